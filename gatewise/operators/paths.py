@@ -1 +1,211 @@
-"""Path offset jobs (filled in below)."""
+"""Path offset jobs: where a visitor was within +-60 minutes of each capture.
+
+All variants share one band self-join: both sides carry an integer position
+(minute index or epoch second); the right side is replicated to the
+neighbouring buckets of width ``W`` so an equi-join on (profile, day, bucket)
+finds every pair with ``|pos2 - pos1| <= W``, which a filter then enforces
+exactly. The join key includes the bucket, so a profile with many captures is
+spread over many join partitions, and AQE splits what is still skewed. Both
+sides are reduced to distinct (profile, time, area, attributes) rows first,
+which bounds each row's partners by the distinct seconds in two hours.
+
+"Nearest" picks use a total order (|delta|, then time, then id/area), so
+every result is reproducible; the reference leaves ties to chance.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gatewise.functions import derive as d
+
+BINS = d.TARGET_BINS
+
+
+def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lpos: str, rpos: str,
+              width: int) -> DataFrame:
+    """All (left, right) pairs with equal ``keys`` and ``|rpos - lpos| <= width``."""
+    lb = left.withColumn("_jb", F.floor(F.col(lpos) / F.lit(width)).cast("long"))
+    rb = (right.withColumn("_b", F.floor(F.col(rpos) / F.lit(width)).cast("long"))
+          .withColumn("_jb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
+          .drop("_b"))
+    return (lb.join(rb, on=[*keys, "_jb"], how="inner")
+            .where(F.abs(F.col(rpos) - F.col(lpos)) <= width)
+            .drop("_jb"))
+
+
+def _recoded_sides(detail: DataFrame):
+    """v1 / v2 of the SQL path jobs: areas recoded (BW, CASINO, else name)."""
+    base = detail.select(
+        "profile_id", "date_casino", "capture_time", "member_tier", "age", "gender", "profile_type",
+        d.path_area("region_name").alias("area"),
+        d.path_area("region_name_heatmap").alias("area_h"))
+    v1 = (base.distinct()
+          .withColumn("m1", d.minute_index("capture_time"))
+          .withColumn("s1", d.epoch_seconds("capture_time")))
+    v2 = (base.select("profile_id", "date_casino", F.col("capture_time").alias("ct2"),
+                      F.col("area").alias("area2"), F.col("area_h").alias("area_h2"))
+          .distinct()
+          .withColumn("m2", d.minute_index("ct2"))
+          .withColumn("s2", d.epoch_seconds("ct2")))
+    return v1, v2
+
+
+def path_offsets(detail: DataFrame) -> DataFrame:
+    """Q21: per capture, the offset bins (boundary minutes, first SQL rule) at
+    which the same profile was seen within +-60 minutes of the business day;
+    distinct profiles per hour, area, bin and demographics. ``area_at_off`` is
+    the own area for bin 0, else the area of the group's nearest sighting
+    (|seconds|, then time, then area)."""
+    v1, v2 = _recoded_sides(detail)
+    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
+    pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
+             .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
+             .withColumn("off_bin", d.offset_bin_v1("d_min", "same_time"))
+             .where(F.col("off_bin").isin(BINS)))
+    keys = ["date_casino", "date_hour", "region_name", "region_name_heatmap", "z0_time", "off_bin",
+            "member_tier", "profile_type", "age_range", "gender"]
+    pick = F.struct(F.abs(F.col("s2") - F.col("s1")).alias("k1"), F.col("ct2").alias("k2"),
+                    F.col("area2").alias("a"), F.col("area_h2").alias("h"))
+    per_profile = (pairs.select(
+        "date_casino", F.date_format("capture_time", "HH:00").alias("date_hour"),
+        F.col("area").alias("region_name"), F.col("area_h").alias("region_name_heatmap"),
+        d.hour_start("capture_time").alias("z0_time"), "off_bin", "member_tier", "profile_type",
+        d.age_band("age").alias("age_range"), "gender", "profile_id", pick.alias("_pick"))
+        .groupBy(*keys, "profile_id").agg(F.min("_pick").alias("_pick")))
+    g = per_profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("visitor_num"), F.min("_pick").alias("_pick"))
+    zero = F.col("off_bin") == 0
+    return g.select(
+        "date_casino", "date_hour", "visitor_num", "region_name", "region_name_heatmap", "z0_time",
+        "off_bin",
+        F.when(zero, F.col("region_name")).otherwise(F.col("_pick.a")).alias("area_at_off"),
+        F.when(zero, F.col("region_name_heatmap")).otherwise(F.col("_pick.h")).alias("area_at_off_heatmap"),
+        "member_tier", "profile_type", "age_range", "gender")
+
+
+def path_offsets_carry(detail: DataFrame) -> DataFrame:
+    """Q22: 13 fixed bins per capture (second SQL rule, d = 0 always bin 0).
+
+    Bin 0 is the own area; a bin with a sighting takes the nearest one's
+    area; a positive (negative) bin without a sighting carries the own area
+    when the capture has no later (earlier) sighting at all; otherwise the bin
+    is dropped. Distinct profiles per (hour, own area, bin, area at bin,
+    demographics). Per capture at most 19 bins exist, so the per-capture bin
+    map is bounded.
+    """
+    v1, v2 = _recoded_sides(detail)
+    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
+    pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
+             .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
+             .withColumn("bin", d.offset_bin_new("d_min", "same_time"))
+             .where(F.col("bin").isNotNull()))
+    row = ["profile_id", "date_casino", "capture_time", "area", "area_h", "member_tier", "profile_type",
+           "age", "gender"]
+    pick = F.struct(F.abs(F.col("s2") - F.col("s1")).alias("k1"), F.col("ct2").alias("k2"),
+                    F.col("area2").alias("a"), F.col("area_h2").alias("h"))
+    per_bin = pairs.groupBy(*row, "bin").agg(F.min(pick).alias("_pick"))
+    per_row = per_bin.groupBy(*row).agg(
+        F.max("bin").alias("_mx"), F.min("bin").alias("_mn"),
+        F.map_from_entries(F.collect_list(F.struct("bin", "_pick"))).alias("_mv"))
+    t = F.col("target_bin")
+    hit = F.element_at(F.col("_mv"), t)
+    carry = ((F.col("_mx") == 0) & (t > 0)) | ((F.col("_mn") == 0) & (t < 0))
+    exploded = per_row.withColumn("target_bin", F.explode(F.array(*[F.lit(b).cast("long") for b in BINS])))
+    area = (F.when(t == 0, F.col("area")).when(hit.isNotNull(), hit["a"])
+            .when(carry, F.col("area")).otherwise(F.lit("")))
+    area_h = (F.when(t == 0, F.col("area_h")).when(hit.isNotNull(), hit["h"])
+              .when(carry, F.col("area_h")).otherwise(F.lit("")))
+    keys = ["date_casino", "date_hour", "off_bin", "area_at_off", "area_at_off_heatmap", "region_name",
+            "z0_time", "member_tier", "profile_type", "age_range", "gender"]
+    return (exploded.select(
+        "date_casino", F.date_format("capture_time", "HH:00").alias("date_hour"),
+        t.alias("off_bin"), area.alias("area_at_off"), area_h.alias("area_at_off_heatmap"),
+        F.col("area").alias("region_name"), d.hour_start("capture_time").alias("z0_time"),
+        "member_tier", "profile_type", d.age_band("age").alias("age_range"), "gender", "profile_id")
+        .where(F.col("area_at_off") != "")
+        .groupBy(*keys).agg(F.countDistinct("profile_id").alias("visitor_num")))
+
+
+NEAREST_COLUMNS = ["date", "date_hour", "profile_id", "region_name", "z0_time", "off_bin", "area_at_off",
+                   "member_tier", "age_range", "gender"]
+
+
+def _calendar_sides(detail: DataFrame, per_row_attrs: bool):
+    base = detail.select("profile_id", F.to_date("capture_time").alias("date"), "capture_time", "capture_id",
+                         "region_name", "member_tier", "age", "gender")
+    if not per_row_attrs:
+        # the first capture of the profile-day stands for its attributes
+        first = (base.groupBy("profile_id", "date")
+                 .agg(F.min_by(F.struct("member_tier", "age", "gender"),
+                               F.struct("capture_time", "capture_id")).alias("_f")))
+        base = (base.drop("member_tier", "age", "gender")
+                .join(first, on=["profile_id", "date"], how="inner")
+                .select("*", "_f.member_tier", "_f.age", "_f.gender").drop("_f"))
+    v1 = base.withColumn("s1", d.epoch_seconds("capture_time"))
+    v2 = base.select("profile_id", "date", F.col("capture_time").alias("ct2"),
+                     F.col("capture_id").alias("cid2"), F.col("region_name").alias("area2"),
+                     d.epoch_seconds("capture_time").alias("s2"))
+    return v1, v2
+
+
+def _nearest(pairs: DataFrame, diff: F.Column, band: str) -> DataFrame:
+    """Per (date, hour, profile, own area, hour start, bin, attributes): area of
+    the pair with the least |diff|, then earliest own capture, then earliest
+    sighting (the reference's two nested arg-mins merged into one)."""
+    keys = ["date", "date_hour", "profile_id", "region_name", "z0_time", "off_bin", "member_tier",
+            "age_range", "gender"]
+    pick = F.struct(F.abs(diff).alias("k0"), F.col("capture_time").alias("k1"), F.col("capture_id").alias("k2"),
+                    F.col("ct2").alias("k3"), F.col("cid2").alias("k4"), F.col("area2").alias("a"))
+    out = (pairs.select("date", F.date_format("capture_time", "HH:00").alias("date_hour"), "profile_id",
+                        "region_name", d.hour_start("capture_time").alias("z0_time"), "off_bin",
+                        "member_tier", d.age_band("age", default=band).alias("age_range"), "gender",
+                        pick.alias("_p"))
+           .groupBy(*keys).agg(F.min("_p").alias("_p")))
+    return out.select(*[c if c != "area_at_off" else F.col("_p.a").alias("area_at_off")
+                        for c in NEAREST_COLUMNS])
+
+
+def path_offsets_nearest(detail: DataFrame) -> DataFrame:
+    """Q23: per calendar day and profile, every capture within +-60 minutes
+    (elapsed time); minutes = floor of elapsed minutes; bins by floor division
+    (own capture -> 0); nearest sighting per bin. The first capture's age,
+    tier and gender stand for the profile-day; bad ages give ''."""
+    v1, v2 = _calendar_sides(detail, per_row_attrs=False)
+    pairs = band_join(v1, v2, ["profile_id", "date"], "s1", "s2", 3600)
+    diff = F.floor((F.col("s2") - F.col("s1")) / F.lit(60)).cast("long")
+    pairs = (pairs.withColumn("d_min", diff)
+             .withColumn("is_self", F.col("capture_id") == F.col("cid2"))
+             .withColumn("off_bin", d.offset_bin_floor("d_min", "is_self"))
+             .where(F.col("off_bin").isin(BINS)))
+    return _nearest(pairs, F.col("d_min"), "")
+
+
+def path_offsets_fractional(detail: DataFrame) -> DataFrame:
+    """Q24: as Q23 on fractional minutes (seconds / 60), each capture with its
+    own attributes; profile-days with a single capture give no rows; values
+    between 15 and 16 minutes get no bin."""
+    v1, v2 = _calendar_sides(detail, per_row_attrs=True)
+    multi = (v1.groupBy("profile_id", "date").agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") >= 2).drop("_n"))
+    v1 = v1.join(multi, on=["profile_id", "date"], how="left_semi")
+    pairs = band_join(v1, v2, ["profile_id", "date"], "s1", "s2", 3600)
+    frac = (F.col("s2") - F.col("s1")) / F.lit(60.0)
+    pairs = (pairs.withColumn("d_frac", frac)
+             .withColumn("off_bin", d.offset_bin_fractional("d_frac"))
+             .where(F.col("off_bin").isin(BINS)))
+    return _nearest(pairs, F.col("s2") - F.col("s1"), "")
+
+
+def path_daily(index: DataFrame) -> DataFrame:
+    """Q25: distinct profiles per business day x area x demographics; area
+    recoded (gaming floor -> CASINO, BW prefix -> BW); sector recoded."""
+    return (index.select("date_casino", "region_type",
+                         d.daily_path_area("region_name", "region_type").alias("region_name"),
+                         "gender", "Age_range", "profile_type", "member_tier",
+                         d.recoded_sector("region_type", "sector").alias("sector"), "profile_id")
+            .groupBy("date_casino", "region_type", "region_name", "gender", "Age_range", "profile_type",
+                     "member_tier", "sector")
+            .agg(F.countDistinct("profile_id").alias("visitor_num")))

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewise.operators import footfall as ff
+from gatewise.operators import paths as pa
 from gatewise.plans import duckdb_twins as tw
 from gatewise.plans.catalog import Footfall
 
@@ -110,3 +111,28 @@ def q19(spark, sf_dir):
 @register("q20_companion_group_sizes", tw.table("q20"))
 def q20(spark, sf_dir):
     return ff.companion_group_sizes(Footfall(spark, sf_dir).companion_groups)
+
+
+@register("q21_path_offsets", tw.table("q21"))
+def q21(spark, sf_dir):
+    return pa.path_offsets(Footfall(spark, sf_dir).detail)
+
+
+@register("q22_path_offsets_carry", tw.table("q22"))
+def q22(spark, sf_dir):
+    return pa.path_offsets_carry(Footfall(spark, sf_dir).detail)
+
+
+@register("q23_path_offsets_nearest", tw.table("q23"))
+def q23(spark, sf_dir):
+    return pa.path_offsets_nearest(Footfall(spark, sf_dir).detail)
+
+
+@register("q24_path_offsets_fractional", tw.table("q24"))
+def q24(spark, sf_dir):
+    return pa.path_offsets_fractional(Footfall(spark, sf_dir).detail)
+
+
+@register("q25_path_daily", tw.table("q25"))
+def q25(spark, sf_dir):
+    return pa.path_daily(Footfall(spark, sf_dir).index)
