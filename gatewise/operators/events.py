@@ -1 +1,373 @@
-"""Event warehouse jobs (filled in below)."""
+"""Event warehouse jobs: calendar, captures around events, pre/post visits,
+conversion to the casino entrance, joined summary, run dates and reports.
+
+The reference runs one event title (or one date) per call; these jobs handle
+every event of the calendar in one plan, keyed by ``event_name``. The event
+calendar is a dimension (a few rows per day); dimension joins are left to
+Catalyst/AQE, which broadcast a side only when its measured size is under
+``spark.sql.autoBroadcastJoinThreshold``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gatewise.functions import derive as d
+from gatewise.operators.common import next_capture_time
+
+DEMO = ["Age_range", "gender", "profile_type", "member_tier"]
+ARENA = "Arena"
+CASINO_ENTRANCE = "Casino Entrance"
+
+
+def _hours(ts: F.Column, h: int) -> F.Column:
+    return F.timestamp_add("HOUR", F.lit(h), ts)
+
+
+def first_per(df: DataFrame, keys: list, order: list) -> DataFrame:
+    """Keep the row with the least ``order`` per key (``LIMIT 1 BY``), as a
+    ``min_by`` aggregate that combines map-side."""
+    payload = [c for c in df.columns if c not in keys]
+    picked = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), F.struct(*order)).alias("_row"))
+    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
+
+
+# ---------------------------------------------------------------------------
+# Q26 camera alias map
+# ---------------------------------------------------------------------------
+def camera_alias_map(camera: DataFrame, zone_cameras: DataFrame, zones: DataFrame) -> DataFrame:
+    """Q26: (property, alias, camera_name) of every camera mapped to a zone;
+    camera ids are compared as text on both sides."""
+    alias = (zone_cameras.join(zones, on="zone_id", how="inner")
+             .select("property", "alias", F.col("camera_id").cast("string").alias("camera_id")))
+    cams = camera.select(F.col("camera_id").cast("string").alias("camera_id"), "camera_name")
+    return cams.join(alias, on="camera_id", how="inner").select("property", "alias", "camera_name")
+
+
+# ---------------------------------------------------------------------------
+# Q27 event calendar
+# ---------------------------------------------------------------------------
+CALENDAR_COLUMNS = ["CDate", "Title", "Venue", "EventType", "Genre", "StartDtm", "EndDtm", "StartDtm_",
+                    "EndDtm_", "Period_Flag", "InsertDtm"]
+
+
+def event_calendar(event_list: DataFrame) -> DataFrame:
+    """Q27: one row per event day; day k starts at StartDtm + k days (the
+    start's time of day) and ends at EndDtm on the last day, else one second
+    before StartDtm + (k + 1) days. Title gets '_' + date; the start hour
+    gives the band EM/AM/PM/EV; one event is kept per (date, band): earliest
+    start, then title, then end."""
+    n = F.datediff(F.to_date("EndDtm"), F.to_date("StartDtm"))
+    days = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
+    ex = event_list.withColumn("_n", n).withColumn("num", F.explode(days))
+    start_ = F.when(F.col("num") == 0, F.col("StartDtm")) \
+        .otherwise(F.timestamp_add("DAY", F.col("num"), F.col("StartDtm")))
+    end_ = F.when(F.col("num") == F.col("_n"), F.col("EndDtm")) \
+        .otherwise(F.timestamp_add("SECOND", F.lit(-1),
+                                   F.timestamp_add("DAY", F.col("num") + 1, F.col("StartDtm"))))
+    ex = (ex.withColumn("StartDtm_", start_).withColumn("EndDtm_", end_)
+          .withColumn("CDate", F.to_date("StartDtm_"))
+          .withColumn("Title", F.concat(F.col("Title"), F.lit("_"), F.col("CDate").cast("string")))
+          .withColumn("Period_Flag", d.period_flag("StartDtm_"))
+          .select(*CALENDAR_COLUMNS))
+    return first_per(ex, ["CDate", "Period_Flag"], [F.col("StartDtm_"), F.col("Title"), F.col("EndDtm_")]) \
+        .select(*CALENDAR_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Q28 event capture detail
+# ---------------------------------------------------------------------------
+EVENT_DETAIL_COLUMNS = ["profile_id", "age", "Age_range", "gender", "profile_type", "member_tier", "capture_time",
+                        "next_capture_time", "group", "business_sector", "camera_id", "event_name", "CDate",
+                        "StartDtm_event", "EndDtm_event", "time_window"]
+
+
+def event_capture_detail(captures: DataFrame, camera_dim: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Q28: captures + next capture (same calendar date and profile) + camera
+    group/sector; every event of the capture's date is joined (several events
+    on a date give several rows). Inside [start - 4 h, end + 4 h] at an Arena
+    camera the event fields and ``time_window`` are set: -1/-2/-4 for up to
+    60/120/240 boundary minutes before the start, 0 during, 1/2/4 after the
+    end (first matching rule wins)."""
+    t1 = (captures.select("profile_id", "age", d.age_band("age").alias("Age_range"), "gender", "profile_type",
+                          "member_tier", "capture_time", "capture_id", "camera_id",
+                          F.to_date("capture_time").alias("_cal")))
+    t1 = next_capture_time(t1, ["_cal", "profile_id"])
+    t1 = t1.withColumn("camera_id", F.col("camera_id").cast("string"))
+    cam = camera_dim.select(F.col("camera_id").cast("string").alias("camera_id"), "group", "business_sector")
+    j = t1.join(cam, on="camera_id", how="inner")
+    cal = calendar.select(F.col("CDate").alias("_cal"), "Title", "CDate", "StartDtm_", "EndDtm_")
+    j = j.join(cal, on="_cal", how="left")
+    inside = (F.col("capture_time").between(_hours(F.col("StartDtm_"), -4), _hours(F.col("EndDtm_"), 4))
+              & (F.col("business_sector") == ARENA))
+    ev = F.when(inside, F.col("Title"))
+    ds = d.minute_index("capture_time") - d.minute_index("StartDtm_")
+    de = d.minute_index("capture_time") - d.minute_index("EndDtm_")
+    on = ev.isNotNull()
+    tw = (F.when(on & (ds < 0) & (ds > -60), -1)
+          .when(on & (ds <= -60) & (ds > -120), -2)
+          .when(on & (ds <= -120) & (ds >= -240), -4)
+          .when(on & ((ds == 0) | (de == 0) | F.col("capture_time").between(F.col("StartDtm_"), F.col("EndDtm_"))), 0)
+          .when(on & (de > 0) & (de < 60), 1)
+          .when(on & (de >= 60) & (de < 120), 2)
+          .when(on & (de >= 120) & (de <= 240), 4))
+    return j.select("profile_id", "age", "Age_range", "gender", "profile_type", "member_tier", "capture_time",
+                    "next_capture_time", "group", "business_sector", "camera_id",
+                    ev.alias("event_name"), F.when(inside, F.col("CDate")).alias("CDate"),
+                    F.when(inside, F.col("StartDtm_")).alias("StartDtm_event"),
+                    F.when(inside, F.col("EndDtm_")).alias("EndDtm_event"),
+                    tw.cast("int").alias("time_window"))
+
+
+# ---------------------------------------------------------------------------
+# Q29 / Q30 pre and post visits
+# ---------------------------------------------------------------------------
+PRE_POST_COLUMNS = ["date", "event_name", *DEMO, "group", "hour_window", "pre_visition_num", "pre_stay_time",
+                    "post_visition_num", "post_stay_time"]
+
+
+def _attendees(detail: DataFrame) -> DataFrame:
+    """Distinct (event_name, profile_id, hour_window): captured within
+    ``time_window`` -h..h of the event for h in 1, 2, 4."""
+    return (detail.where(F.col("event_name").isNotNull())
+            .withColumn("hour_window", F.explode(F.array(*[F.lit(h) for h in d.HOUR_WINDOWS])))
+            .where(F.col("time_window").between(-F.col("hour_window"), F.col("hour_window")))
+            .select("event_name", "profile_id", "hour_window").distinct())
+
+
+def _event_days(calendar: DataFrame, first: F.Column, last: F.Column, count_from: F.Column | None = None) -> DataFrame:
+    """Calendar rows exploded to dates ``first + i`` for i in 0..(last - count_from)."""
+    count_from = first if count_from is None else count_from
+    n = F.datediff(last, count_from)
+    return (calendar.withColumn("_first", first)
+            .withColumn("_i", F.explode(F.when(n >= 0, F.sequence(F.lit(0), n))
+                                        .otherwise(F.array().cast("array<int>"))))
+            .withColumn("join_date", F.date_add("_first", F.col("_i")))
+            .drop("_first", "_i"))
+
+
+def _stay_rows(detail: DataFrame) -> DataFrame:
+    nxt = F.coalesce(F.col("next_capture_time"), F.col("capture_time"))
+    return detail.select("profile_id", *DEMO, "group", "capture_time", F.to_date("capture_time").alias("join_date"),
+                         (d.epoch_seconds(nxt) - d.epoch_seconds("capture_time")).cast("double").alias("_stay"))
+
+
+def _windows(cal: DataFrame) -> DataFrame:
+    """Calendar rows x hour windows with the pre/post thresholds."""
+    h = F.col("hour_window")
+    return (cal.withColumn("hour_window", F.explode(F.array(*[F.lit(x) for x in d.HOUR_WINDOWS])))
+            .withColumn("pre_th", F.timestamp_add("HOUR", -h, F.col("StartDtm_")))
+            .withColumn("post_th", F.timestamp_add("HOUR", h, F.col("EndDtm_"))))
+
+
+def _group_and_all(df: DataFrame) -> DataFrame:
+    return df.withColumn("group", F.explode(F.array(F.col("group"), F.lit("all"))))
+
+
+def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Q29: for attendees of each event (per hour window h), distinct visitors
+    and stay seconds in [start - h, start] and in [end, end + h], per
+    demographics and camera group (plus group 'all'). Rows of the capture
+    detail are taken as they are (a capture repeated for several events of
+    its date counts once per repetition, as in the reference). No match
+    gives 0."""
+    cal = calendar.select(F.col("Title").alias("event_name"), F.col("CDate").alias("date"), "StartDtm_", "EndDtm_")
+    days = _event_days(cal, F.to_date(_hours(F.col("StartDtm_"), -4)), F.to_date(_hours(F.col("EndDtm_"), 4)))
+    win = _windows(days).join(_attendees(detail), on=["event_name", "hour_window"], how="inner")
+    rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
+    rows = _group_and_all(rows)
+    pre = F.col("capture_time").between(F.col("pre_th"), F.col("StartDtm_"))
+    post = F.col("capture_time").between(F.col("EndDtm_"), F.col("post_th"))
+    keys = ["date", "event_name", *DEMO, "group", "hour_window"]
+    per = rows.groupBy(*keys, "profile_id").agg(
+        F.max(F.when(pre, 1).otherwise(0)).alias("_pre"),
+        F.sum(F.when(pre, F.col("_stay")).otherwise(0.0)).alias("_pre_st"),
+        F.max(F.when(post, 1).otherwise(0)).alias("_post"),
+        F.sum(F.when(post, F.col("_stay")).otherwise(0.0)).alias("_post_st"))
+    out = per.groupBy(*keys).agg(
+        F.sum("_pre").cast("long").alias("pre_visition_num"),
+        F.sum("_pre_st").alias("pre_stay_time"),
+        F.sum("_post").cast("long").alias("post_visition_num"),
+        F.sum("_post_st").alias("post_stay_time"))
+    return out.select(*PRE_POST_COLUMNS)
+
+
+def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Q30: six-branch variant. Counts captures at or before start - h and at
+    or after end + h; when start - h falls on an earlier date (end + h on a
+    later date) than the event date, every joined capture counts. Dates run
+    from the day before the start, as many as [start - 4 h, end + 4 h] spans."""
+    cal = calendar.select(F.col("Title").alias("event_name"), F.col("CDate").alias("date"), "StartDtm_", "EndDtm_")
+    days = _event_days(cal, F.to_date(F.date_sub(F.to_date("StartDtm_"), 1)),
+                       F.to_date(_hours(F.col("EndDtm_"), 4)),
+                       count_from=F.to_date(_hours(F.col("StartDtm_"), -4)))
+    win = _windows(days).join(_attendees(detail), on=["event_name", "hour_window"], how="inner")
+    rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
+    rows = _group_and_all(rows)
+    pre = F.col("capture_time") <= F.col("pre_th")
+    post = F.col("capture_time") >= F.col("post_th")
+    keys = ["date", "event_name", *DEMO, "group", "hour_window"]
+    per = rows.groupBy(*keys, "profile_id").agg(
+        F.max(F.when(pre, 1).otherwise(0)).alias("_pre"),
+        F.sum(F.when(pre, F.col("_stay")).otherwise(0.0)).alias("_pre_st"),
+        F.max(F.when(post, 1).otherwise(0)).alias("_post"),
+        F.sum(F.when(post, F.col("_stay")).otherwise(0.0)).alias("_post_st"),
+        F.sum("_stay").alias("_all_st"),
+        F.max(F.to_date("pre_th")).alias("_pre_d"),
+        F.max(F.to_date("post_th")).alias("_post_d"))
+    g = per.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_pre").alias("_npre"), F.sum("_post").alias("_npost"),
+        F.sum("_pre_st").alias("_pre_st"), F.sum("_post_st").alias("_post_st"), F.sum("_all_st").alias("_all_st"),
+        F.max("_pre_d").alias("_pre_d"), F.max("_post_d").alias("_post_d"))
+    pre_all = F.col("_pre_d") < F.col("date")
+    post_all = F.col("_post_d") > F.col("date")
+    return g.select(
+        "date", "event_name", *DEMO, "group", "hour_window",
+        F.when(pre_all, F.col("_n")).otherwise(F.col("_npre")).cast("long").alias("pre_visition_num"),
+        F.when(pre_all, F.col("_all_st")).otherwise(F.col("_pre_st")).alias("pre_stay_time"),
+        F.when(post_all, F.col("_n")).otherwise(F.col("_npost")).cast("long").alias("post_visition_num"),
+        F.when(post_all, F.col("_all_st")).otherwise(F.col("_post_st")).alias("post_stay_time"))
+
+
+# ---------------------------------------------------------------------------
+# Q31 conversion, Q32 summary
+# ---------------------------------------------------------------------------
+CONVERSION_COLUMNS = ["date", "hour_window", "event_name", "Age_range", "member_tier", "profile_type", "gender",
+                      "group", "visition_num", "casino_converted_visition_num"]
+
+
+def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Q31: attendees (profile, date, hour window, demographics, camera group)
+    and whether each was seen at a 'Casino Entrance' camera on the same date
+    (dates from the day before the start to the day after the end); distinct
+    visitors and converted visitors by group and 'all'."""
+    cal = calendar.select(F.col("Title").alias("event_name"), "StartDtm_", "EndDtm_")
+    days = (_event_days(cal, F.date_sub(F.to_date("StartDtm_"), 1), F.date_add(F.to_date("EndDtm_"), 1))
+            .select("event_name", F.col("join_date").alias("date")))
+    att = (detail.where(F.col("event_name").isNotNull())
+           .withColumn("hour_window", F.explode(F.array(*[F.lit(h) for h in d.HOUR_WINDOWS])))
+           .where(F.col("time_window").between(-F.col("hour_window"), F.col("hour_window")))
+           .select("profile_id", F.to_date("capture_time").alias("date"), "hour_window", "event_name",
+                   *DEMO, "group")
+           .distinct())
+    casino = (detail.where(F.col("business_sector") == CASINO_ENTRANCE)
+              .select("profile_id", F.to_date("capture_time").alias("date")).distinct()
+              .withColumn("_seen", F.lit(1)))
+    # an attendee date outside the event's dates cannot convert
+    in_days = days.withColumn("_in", F.lit(1))
+    f = (att.join(in_days, on=["event_name", "date"], how="left")
+         .join(casino, on=["profile_id", "date"], how="left")
+         .withColumn("_conv", F.when(F.col("_in").isNotNull() & F.col("_seen").isNotNull(), 1).otherwise(0)))
+    f = _group_and_all(f)
+    keys = ["date", "hour_window", "event_name", *DEMO, "group"]
+    per = f.groupBy(*keys, "profile_id").agg(F.max("_conv").alias("_conv"))
+    out = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("visition_num"),
+                                 F.sum("_conv").cast("long").alias("casino_converted_visition_num"))
+    return out.select(*CONVERSION_COLUMNS)
+
+
+SUMMARY_COLUMNS = [*CONVERSION_COLUMNS, "post_stay_time", "post_visition_num", "pre_stay_time", "pre_visition_num"]
+
+
+def event_summary(conversion: DataFrame, pre_post: DataFrame) -> DataFrame:
+    """Q32: conversion joined with pre/post measures on eight keys; the tier
+    matches when both are NULL or '' (``coalesce(tier, '')``)."""
+    keys = ["date", "hour_window", "event_name", "Age_range", "group", "profile_type", "gender"]
+    t2 = pre_post.select(*keys, F.coalesce("member_tier", F.lit("")).alias("_tier"),
+                         "post_stay_time", "post_visition_num", "pre_stay_time", "pre_visition_num")
+    t1 = conversion.withColumn("_tier", F.coalesce("member_tier", F.lit("")))
+    return t1.join(t2, on=[*keys, "_tier"], how="inner").select(*SUMMARY_COLUMNS)
+
+
+# ---------------------------------------------------------------------------
+# Q33 run dates, Q34 hourly visitors, Q35 reports
+# ---------------------------------------------------------------------------
+def event_run_dates(calendar: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """Q33: dates to process: each event date and the days before and after,
+    up to today, distinct. With ``titles`` (a one-column DataFrame of event
+    names) only those events count; it is applied as a semi-join."""
+    cal = calendar.where(F.col("CDate") <= F.current_date())
+    if titles is not None:
+        cal = cal.join(titles.select(F.col(titles.columns[0]).alias("Title")), on="Title", how="left_semi")
+    return (cal.select(F.explode(F.array(F.date_sub("CDate", 1), F.col("CDate"), F.date_add("CDate", 1)))
+                       .alias("CDate"))
+            .where(F.col("CDate") <= F.current_date())
+            .distinct())
+
+
+def latest_events(calendar: DataFrame, n: int = 7) -> DataFrame:
+    """Q33: the ``n`` most recent event titles up to today (ties by title);
+    the limit is the feature of this report."""
+    return (calendar.where(F.col("CDate") <= F.current_date())
+            .select(F.col("Title").alias("event_name"), "CDate").distinct()
+            .orderBy(F.col("CDate").desc(), F.col("event_name").desc())
+            .limit(n).select("event_name"))
+
+
+def hourly_visitors(detail: DataFrame) -> DataFrame:
+    """Q34: distinct persons per calendar hour and region; the 'casino' hour
+    labels are the capture time plus 6 hours, as in the handler demo."""
+    plus6 = F.col("capture_time") + F.expr("INTERVAL 6 HOURS")
+    return (detail.select(F.date_format("capture_time", "yyyy-MM-dd HH:00:00").alias("date"),
+                          F.date_format("capture_time", "HH:00").alias("date_hour"),
+                          F.date_format(plus6, "yyyy-MM-dd HH:00:00").alias("date_casino"),
+                          F.date_format(plus6, "HH:00").alias("date_casino_hour"),
+                          "region_id", "region_name", "region_type", "person_id")
+            .groupBy("date", "region_id", "region_name", "region_type", "date_hour", "date_casino",
+                     "date_casino_hour")
+            .agg(F.countDistinct("person_id").alias("visitors_num")))
+
+
+def conversion_table(summary: DataFrame) -> DataFrame:
+    """The conversion table shape built from the event summary (Q32)."""
+    return summary.select(
+        F.col("date").alias("event_date"), F.md5("event_name").alias("event_id"), "event_name", "group",
+        F.col("hour_window").cast("byte").alias("time_window_hours"), F.col("gender").cast("byte").alias("gender"),
+        "Age_range", F.col("profile_type").cast("long").alias("profile_type"), "member_tier",
+        F.col("visition_num").cast("int").alias("visit_count"),
+        F.col("casino_converted_visition_num").cast("int").alias("casino_converted_people"),
+        F.col("pre_stay_time").cast("double").alias("pre_event_casino_staytime"),
+        F.col("post_stay_time").cast("double").alias("post_event_casino_staytime"),
+        F.col("pre_visition_num").cast("int").alias("pre_visit_count"),
+        F.col("post_visition_num").cast("int").alias("post_visit_count"))
+
+
+def conversion_stats(conversion: DataFrame, top: int = 5) -> DataFrame:
+    """Q35: the conversion table report as (stat, key, value) rows: row count,
+    rows of the ``top`` events (ties by name), rows per time window, gender
+    and profile type, and four averages."""
+    def counts(stat, c):
+        return (conversion.groupBy(c).agg(F.count(F.lit(1)).cast("double").alias("value"))
+                .select(F.lit(stat).alias("stat"), F.col(c).cast("string").alias("key"), "value"))
+    total = conversion.agg(F.count(F.lit(1)).cast("double").alias("value")) \
+        .select(F.lit("rows").alias("stat"), F.lit("").alias("key"), "value")
+    top_events = (conversion.groupBy("event_name").agg(F.count(F.lit(1)).cast("double").alias("value"))
+                  .orderBy(F.col("value").desc(), F.col("event_name")).limit(top)
+                  .select(F.lit("top_event_rows").alias("stat"), F.col("event_name").alias("key"), "value"))
+    avgs = conversion.agg(
+        F.avg("visit_count").alias("avg_visit_count"),
+        F.avg("casino_converted_people").alias("avg_casino_converted_people"),
+        F.avg("pre_event_casino_staytime").alias("avg_pre_event_casino_staytime"),
+        F.avg("post_event_casino_staytime").alias("avg_post_event_casino_staytime"))
+    avg_rows = avgs.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("stat"), F.lit("").alias("key"), F.col(c).cast("double").alias("value"))
+        for c in avgs.columns])).alias("s")).select("s.*")
+    return (total.unionByName(top_events).unionByName(counts("rows_by_time_window", "time_window_hours"))
+            .unionByName(counts("rows_by_gender", "gender")).unionByName(counts("rows_by_profile_type", "profile_type"))
+            .unionByName(avg_rows))
+
+
+def capture_stats(captures: DataFrame) -> DataFrame:
+    """Q35 (capture side): tier and gender value counts, min/max age and the
+    number of distinct cameras, as (stat, key, value) rows."""
+    def counts(stat, c):
+        return (captures.groupBy(c).agg(F.count(F.lit(1)).cast("double").alias("value"))
+                .select(F.lit(stat).alias("stat"), F.coalesce(F.col(c).cast("string"), F.lit("NULL")).alias("key"),
+                        "value"))
+    agg = captures.agg(F.min("age").cast("double").alias("min_age"), F.max("age").cast("double").alias("max_age"),
+                       F.countDistinct("camera_id").cast("double").alias("distinct_cameras"))
+    rows = agg.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("stat"), F.lit("").alias("key"), F.col(c).alias("value")) for c in agg.columns]))
+        .alias("s")).select("s.*")
+    return counts("member_tier_counts", "member_tier").unionByName(counts("gender_counts", "gender")).unionByName(rows)

@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewise.operators import footfall as ff
+from gatewise.operators import events as ev
 from gatewise.operators import paths as pa
+from gatewise.sources import testdata as td
 from gatewise.plans import duckdb_twins as tw
 from gatewise.plans.catalog import Footfall
 
@@ -136,3 +138,60 @@ def q24(spark, sf_dir):
 @register("q25_path_daily", tw.table("q25"))
 def q25(spark, sf_dir):
     return pa.path_daily(Footfall(spark, sf_dir).index)
+
+
+@register("q26_camera_alias_map", tw.table("q26"))
+def q26(spark, sf_dir):
+    cam, zc, zones = td.camera_tables(Footfall(spark, sf_dir).captures_raw)
+    return ev.camera_alias_map(cam, zc, zones)
+
+
+@register("q27_event_calendar", tw.table("calendar"))
+def q27(spark, sf_dir):
+    return Footfall(spark, sf_dir).event_calendar
+
+
+@register("q28_event_capture_detail", tw.table("q28"))
+def q28(spark, sf_dir):
+    return Footfall(spark, sf_dir).event_detail
+
+
+@register("q29_event_pre_post", tw.table("q29"))
+def q29(spark, sf_dir):
+    return Footfall(spark, sf_dir).event_pre_post
+
+
+@register("q30_event_pre_post_v2", tw.table("q30"))
+def q30(spark, sf_dir):
+    f = Footfall(spark, sf_dir)
+    return ev.event_pre_post_v2(f.event_detail, f.event_calendar)
+
+
+@register("q31_event_conversion", tw.table("q31"))
+def q31(spark, sf_dir):
+    return Footfall(spark, sf_dir).event_conversion
+
+
+@register("q32_event_summary", tw.table("q32"))
+def q32(spark, sf_dir):
+    return Footfall(spark, sf_dir).event_summary
+
+
+@register("q33_event_run_dates", tw.table("q33"))
+def q33(spark, sf_dir):
+    return ev.event_run_dates(Footfall(spark, sf_dir).event_calendar)
+
+
+@register("q34_hourly_visitors", tw.table("q34"))
+def q34(spark, sf_dir):
+    return ev.hourly_visitors(Footfall(spark, sf_dir).detail)
+
+
+@register("q35_conversion_stats", tw.table("q35"))
+def q35(spark, sf_dir):
+    return ev.conversion_stats(ev.conversion_table(Footfall(spark, sf_dir).event_summary))
+
+
+@register("q35_capture_stats", tw.table("q35_captures"))
+def q35b(spark, sf_dir):
+    return ev.capture_stats(Footfall(spark, sf_dir).captures_raw)
