@@ -195,3 +195,26 @@ def q35(spark, sf_dir):
 @register("q35_capture_stats", tw.table("q35_captures"))
 def q35b(spark, sf_dir):
     return ev.capture_stats(Footfall(spark, sf_dir).captures_raw)
+
+
+# The adapter names no region 'Entrances ...'; the per-camera grouping runs on
+# the gaming-floor regions (prefix CASINO) of the test data instead.
+@register("q03_companion_groups_by_camera", tw.table("q03"))
+def q03(spark, sf_dir):
+    return ff.companion_groups_by_camera(Footfall(spark, sf_dir).captures_raw, region_prefix="CASINO")
+
+
+@register("q04_companion_group_binned", tw.table("q04"))
+def q04(spark, sf_dir):
+    return ff.companion_group_binned(
+        ff.companion_groups_by_camera(Footfall(spark, sf_dir).captures_raw, region_prefix="CASINO"))
+
+
+@register("q06_stay_time_filled", tw.table("q06"))
+def q06(spark, sf_dir):
+    return ff.stay_time_filled(Footfall(spark, sf_dir).detail)
+
+
+@register("q07_stay_time_segments", tw.table("q07"))
+def q07(spark, sf_dir):
+    return ff.stay_time_segments(Footfall(spark, sf_dir).captures_raw)
