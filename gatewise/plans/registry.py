@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gatewise.operators import footfall as ff
 from gatewise.operators import events as ev
+from gatewise.operators import misc as ms
 from gatewise.operators import paths as pa
 from gatewise.sources import testdata as td
 from gatewise.plans import duckdb_twins as tw
@@ -218,3 +219,91 @@ def q06(spark, sf_dir):
 @register("q07_stay_time_segments", tw.table("q07"))
 def q07(spark, sf_dir):
     return ff.stay_time_segments(Footfall(spark, sf_dir).captures_raw)
+
+
+# --------------------------------------------------------------------------- stream
+def _run_stream(spark, sf_dir):
+    from gatewise.sources.tables import scratch_path
+    from gatewise.streaming import ingest as si
+    events = td.read_table(spark, sf_dir, "events")
+    src = scratch_path(spark, "stream-src")
+    td.stream_records(events).repartition(8).write.mode("overwrite").text(src)
+    tables = si.StreamTables(table=scratch_path(spark, "stream-table"), rejects=scratch_path(spark, "stream-rejects"),
+                             checkpoint=scratch_path(spark, "stream-ckpt"))
+    q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=2), tables)
+    q.awaitTermination()
+    return q, si.read_table(spark, tables.table)
+
+
+@register("q36_stream_ingest", tw.table("q36"))
+def q36(spark, sf_dir):
+    return _run_stream(spark, sf_dir)[1]
+
+
+@register("q37_latest_n", tw.table("q37_latest"))
+def q37(spark, sf_dir):
+    from gatewise.streaming import ingest as si
+    return si.latest_n(_run_stream(spark, sf_dir)[1], 10)
+
+
+@register("q37_row_count", tw.table("q37_count"))
+def q37b(spark, sf_dir):
+    from gatewise.streaming import ingest as si
+    return si.row_count(_run_stream(spark, sf_dir)[1])
+
+
+@register("q44_stream_stats")
+def q44(spark, sf_dir):
+    from gatewise.streaming import ingest as si
+    q, table = _run_stream(spark, sf_dir)
+    return si.stream_stats(q, table)
+
+
+# --------------------------------------------------------------------------- ingest
+def _string_ingest(spark, sf_dir):
+    from gatewise.sources import tables as tb
+    source = td.read_table(spark, sf_dir, "customer")
+    path = tb.scratch_path(spark, "sheet")
+    tb.export_csv(source, path)
+    return source, tb.string_ingest(spark, path)
+
+
+@register("q38_string_ingest", tw.table("q38"))
+def q38(spark, sf_dir):
+    return _string_ingest(spark, sf_dir)[1]
+
+
+@register("q39_ingest_audit", tw.table("q39"))
+def q39(spark, sf_dir):
+    from gatewise.sources import tables as tb
+    source, stored = _string_ingest(spark, sf_dir)
+    return tb.ingest_audit(source, stored)
+
+
+@register("q40_slim_copy", tw.table("q40"))
+def q40(spark, sf_dir):
+    from gatewise.sources import tables as tb
+    return tb.slim_copy(Footfall(spark, sf_dir).captures_raw, tb.scratch_path(spark, "slim"))
+
+
+# --------------------------------------------------------------------------- misc
+@register("q41_region_runs", tw.table("q41"))
+def q41(spark, sf_dir):
+    return ms.region_runs(Footfall(spark, sf_dir).captures_raw)
+
+
+@register("q42_group_center_range", tw.table("q42"))
+def q42(spark, sf_dir):
+    import pyspark.sql.functions as F
+    e = td.read_table(spark, sf_dir, "events").withColumn("cam", F.get_json_object("props", "$.k").cast("int"))
+    out = ms.group_center_range(e, "event_type", "value")
+    out = ms.time_gaps(out, ["user_id"], "ts", "event_id")
+    out = ms.score_pass(out, "value", "cam")
+    return out.select("event_id", "user_id", "event_type", "value", "ts", "centered", "range", "time_diff",
+                      "new_time", "score_total", "score_pass")
+
+
+@register("q43_min_per_time_bucket", tw.table("q43"))
+def q43(spark, sf_dir):
+    return ms.min_per_time_bucket(td.read_table(spark, sf_dir, "events"), "user_id", "event_type", "value", "ts",
+                                  "event_id")
