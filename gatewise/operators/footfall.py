@@ -198,20 +198,28 @@ INDEX_KEYS = ["date_hour", "date_casino_hour", "profile_id", "region_id", "regio
               "gender", "Age_range", "profile_type", "member_tier", "sector"]
 
 
-def visitor_index(detail: DataFrame, stay: DataFrame, flags: DataFrame | None = None) -> DataFrame:
+def visitor_index(detail: DataFrame, stay: DataFrame, nor: DataFrame | None = None) -> DataFrame:
     """Q09: hour-grain profile facts.
 
     Detail rows are reduced to distinct hour rows first, then joined once to a
-    per-(date, business date, profile, region) table carrying the longest stay
-    and both return flags (several stay rows of one key collapse by ``max``,
-    as the reference's fan-out + ``max`` does). Unmatched keys read as 0.
+    per-(date, business date, profile, region) table with the longest stay
+    (from ``stay``) and both return flags (from ``nor``, the Q08 table). That
+    table is one aggregate over the union of the two inputs (no join between
+    them); several rows of one key collapse by ``max``, as the reference's
+    fan-out + ``max`` does. Unmatched keys read as 0.
     """
-    if flags is None:
-        flags = stay_with_flags(stay)
-    keyed = (flags.groupBy("date", "date_casino", "profile_id", "region_id")
-             .agg(F.max("stay_time").alias("_stay"),
-                  F.max(F.coalesce("is_return_zone", F.lit(0))).alias("is_return_zone"),
-                  F.max(F.coalesce("is_return_casino", F.lit(0))).alias("is_return_casino")))
+    if nor is None:
+        nor = new_or_return(stay)
+    keys = ["date", "date_casino", "profile_id", "region_id"]
+    null_d = F.lit(None).cast("double")
+    null_i = F.lit(None).cast("int")
+    both = (stay.select(*keys, F.col("stay_time").cast("double").alias("_stay"),
+                        null_i.alias("_rz"), null_i.alias("_rc"))
+            .unionByName(nor.select(*keys, null_d.alias("_stay"),
+                                    F.col("is_return_zone").cast("int").alias("_rz"),
+                                    F.col("is_return_casino").cast("int").alias("_rc"))))
+    keyed = both.groupBy(*keys).agg(F.max("_stay").alias("_stay"), F.max("_rz").alias("is_return_zone"),
+                                    F.max("_rc").alias("is_return_casino"))
     hours = (detail.select(d.hour_start("capture_time").alias("date_hour"),
                            d.business_hour_start("capture_time").alias("date_casino_hour"),
                            "profile_id", "region_id", "region_name", "region_type", "gender",
@@ -219,7 +227,7 @@ def visitor_index(detail: DataFrame, stay: DataFrame, flags: DataFrame | None =
                            "sector", "date_casino")
              .distinct()
              .withColumn("date", F.to_date("date_hour")))
-    j = hours.join(keyed, on=["date", "date_casino", "profile_id", "region_id"], how="left")
+    j = hours.join(keyed, on=keys, how="left")
     st = F.coalesce(F.col("_stay"), F.lit(0.0))
     short = F.when(st < SHORT, 1).otherwise(0)
     return j.select(*INDEX_KEYS, st.alias("stay_time"),

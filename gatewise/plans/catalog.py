@@ -1,91 +1,135 @@
 """Job composition in build order over the shared test tables.
 
-``Footfall(spark, sf_dir)`` exposes each derived table as a lazily built
-DataFrame; upstream tables are built once per instance and reused by the
-downstream jobs (so one Spark plan reads the raw table once per query).
+``Footfall(spark, sf_dir)`` exposes every warehouse layer. As in the
+reference (which stores each layer as a table and lets the next job read it),
+layers are *staged*: built once per session and input folder, written as
+parquet under the shared checkpoint folder (``spark.checkpoint.dir``),
+business-day layers partitioned by ``date_casino``, and read back. A
+registered query then runs exactly one job on its staged inputs, and the
+written layers cut lineage, so a lost executor only recomputes one layer.
+
+``staged=False`` builds everything as one lazy plan instead (tests).
 Nothing here collects data to the driver.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from gatewise.operators import events as ev
 from gatewise.operators import footfall as ff
-from gatewise.operators import paths as pa
 from gatewise.sources import testdata as td
+from gatewise.sources.tables import scratch_path
+
+# (application id, input folder, layer) -> parquet path
+_STAGED: dict[tuple[str, str, str], str] = {}
+
+# layer -> partition column of its staged table
+PARTITIONS = {"detail": "date_casino", "stay": "date_casino", "new_or_return": "date_casino",
+              "index": "date_casino"}
 
 
 class Footfall:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
-
-    # inputs -------------------------------------------------------------
-    @cached_property
+        self.staged = staged
+        self._lazy: dict[str, DataFrame] = {}
+
+    # staging ------------------------------------------------------------------
+    def _key(self, name: str) -> tuple[str, str, str]:
+        return (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+
+    def is_staged(self, name: str) -> bool:
+        return self._key(name) in _STAGED
+
+    def layer(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if not self.staged:
+            if name not in self._lazy:
+                self._lazy[name] = build()
+            return self._lazy[name]
+        key = self._key(name)
+        if key not in _STAGED:
+            path = scratch_path(self.spark, f"layer-{name}")
+            writer = build().write.mode("overwrite")
+            part = PARTITIONS.get(name)
+            if part:
+                writer = writer.partitionBy(part)
+            writer.parquet(path)
+            _STAGED[key] = path
+        return self.spark.read.parquet(_STAGED[key])
+
+    # inputs -------------------------------------------------------------------
+    @property
     def events(self) -> DataFrame:
         return td.read_table(self.spark, self.sf_dir, "events")
 
-    @cached_property
+    @property
     def captures_raw(self) -> DataFrame:
-        return td.captures_raw(self.events)
+        return self.layer("captures_raw", lambda: td.captures_raw(self.events))
 
-    # footfall chain -------------------------------------------------------
-    @cached_property
+    # footfall chain -----------------------------------------------------------
+    @property
     def detail(self) -> DataFrame:
-        return ff.capture_detail(self.captures_raw)
+        return self.layer("detail", lambda: ff.capture_detail(self.captures_raw))
 
-    @cached_property
+    @property
     def stay(self) -> DataFrame:
-        return ff.stay_time(self.detail)
+        return self.layer("stay", lambda: ff.stay_time(self.detail))
 
-    @cached_property
-    def flags(self) -> DataFrame:
-        return ff.stay_with_flags(self.stay)
-
-    @cached_property
+    @property
     def new_or_return(self) -> DataFrame:
-        return ff.new_or_return(self.stay)
+        return self.layer("new_or_return", lambda: ff.new_or_return(self.stay))
 
-    @cached_property
+    @property
     def index(self) -> DataFrame:
-        return ff.visitor_index(self.detail, self.stay, self.flags)
+        return self.layer("index", lambda: ff.visitor_index(self.detail, self.stay, self.new_or_return))
 
-    @cached_property
+    @property
     def companion_groups(self) -> DataFrame:
-        return ff.companion_groups(self.captures_raw)
+        return self.layer("companion_groups", lambda: ff.companion_groups(self.captures_raw))
 
-    # events chain -----------------------------------------------------------
-    @cached_property
+    # events chain ---------------------------------------------------------------
+    @property
     def event_list(self) -> DataFrame:
-        return td.event_list(self.events)
+        return self.layer("event_list", lambda: td.event_list(self.events))
 
-    @cached_property
+    @property
     def camera_dim(self) -> DataFrame:
-        return td.camera_dim(self.captures_raw)
+        return self.layer("camera_dim", lambda: td.camera_dim(self.captures_raw))
 
-    @cached_property
+    @property
     def event_calendar(self) -> DataFrame:
-        return ev.event_calendar(self.event_list)
+        return self.layer("event_calendar", lambda: ev.event_calendar(self.event_list))
 
-    @cached_property
+    @property
     def event_detail(self) -> DataFrame:
-        return ev.event_capture_detail(self.captures_raw, self.camera_dim, self.event_calendar)
+        return self.layer("event_detail",
+                          lambda: ev.event_capture_detail(self.captures_raw, self.camera_dim, self.event_calendar))
 
-    @cached_property
+    @property
     def event_pre_post(self) -> DataFrame:
-        return ev.event_pre_post(self.event_detail, self.event_calendar)
+        return self.layer("event_pre_post", lambda: ev.event_pre_post(self.event_detail, self.event_calendar))
 
-    @cached_property
+    @property
     def event_conversion(self) -> DataFrame:
-        return ev.event_conversion(self.event_detail, self.event_calendar)
+        return self.layer("event_conversion", lambda: ev.event_conversion(self.event_detail, self.event_calendar))
 
-    @cached_property
+    @property
     def event_summary(self) -> DataFrame:
-        return ev.event_summary(self.event_conversion, self.event_pre_post)
-
-    # paths -------------------------------------------------------------------
-    def path(self, name: str) -> DataFrame:
-        return getattr(pa, name)(self.detail)
+        return self.layer("event_summary", lambda: ev.event_summary(self.event_conversion, self.event_pre_post))
+
+    LAYERS = ["captures_raw", "detail", "stay", "new_or_return", "index", "companion_groups", "event_list",
+              "camera_dim", "event_calendar", "event_detail", "event_pre_post", "event_conversion", "event_summary"]
+
+    def stage_all(self, on_layer: Callable[[str, float], None] | None = None) -> None:
+        """Stage every layer in build order, reporting (layer, seconds)."""
+        import time
+        for name in self.LAYERS:
+            t0 = time.perf_counter()
+            getattr(self, name)
+            if on_layer:
+                on_layer(name, time.perf_counter() - t0)

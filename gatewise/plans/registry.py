@@ -38,27 +38,28 @@ DETAIL_COLS = ("profile_id, person_id, profile_type, member_tier, age, gender, c
 
 @register("q01_capture_detail", tw.table("detail", DETAIL_COLS))
 def q01(spark, sf_dir):
-    return Footfall(spark, sf_dir).detail
+    return ff.capture_detail(Footfall(spark, sf_dir).captures_raw)
 
 
 @register("q02_companion_groups", tw.table("q02"))
 def q02(spark, sf_dir):
-    return Footfall(spark, sf_dir).companion_groups
+    return ff.companion_groups(Footfall(spark, sf_dir).captures_raw)
 
 
 @register("q05_stay_time", tw.table("stay"))
 def q05(spark, sf_dir):
-    return Footfall(spark, sf_dir).stay
+    return ff.stay_time(Footfall(spark, sf_dir).detail)
 
 
 @register("q08_new_or_return", tw.table("q08"))
 def q08(spark, sf_dir):
-    return Footfall(spark, sf_dir).new_or_return
+    return ff.new_or_return(Footfall(spark, sf_dir).stay)
 
 
 @register("q09_visitor_index", tw.table("q09"))
 def q09(spark, sf_dir):
-    return Footfall(spark, sf_dir).index
+    f = Footfall(spark, sf_dir)
+    return ff.visitor_index(f.detail, f.stay, f.new_or_return)
 
 
 @register("q10_visits_daily_region", tw.table("q10"))
@@ -149,17 +150,19 @@ def q26(spark, sf_dir):
 
 @register("q27_event_calendar", tw.table("calendar"))
 def q27(spark, sf_dir):
-    return Footfall(spark, sf_dir).event_calendar
+    return ev.event_calendar(Footfall(spark, sf_dir).event_list)
 
 
 @register("q28_event_capture_detail", tw.table("q28"))
 def q28(spark, sf_dir):
-    return Footfall(spark, sf_dir).event_detail
+    f = Footfall(spark, sf_dir)
+    return ev.event_capture_detail(f.captures_raw, f.camera_dim, f.event_calendar)
 
 
 @register("q29_event_pre_post", tw.table("q29"))
 def q29(spark, sf_dir):
-    return Footfall(spark, sf_dir).event_pre_post
+    f = Footfall(spark, sf_dir)
+    return ev.event_pre_post(f.event_detail, f.event_calendar)
 
 
 @register("q30_event_pre_post_v2", tw.table("q30"))
@@ -170,12 +173,14 @@ def q30(spark, sf_dir):
 
 @register("q31_event_conversion", tw.table("q31"))
 def q31(spark, sf_dir):
-    return Footfall(spark, sf_dir).event_conversion
+    f = Footfall(spark, sf_dir)
+    return ev.event_conversion(f.event_detail, f.event_calendar)
 
 
 @register("q32_event_summary", tw.table("q32"))
 def q32(spark, sf_dir):
-    return Footfall(spark, sf_dir).event_summary
+    f = Footfall(spark, sf_dir)
+    return ev.event_summary(f.event_conversion, f.event_pre_post)
 
 
 @register("q33_event_run_dates", tw.table("q33"))
