@@ -26,15 +26,25 @@ BINS = d.TARGET_BINS
 
 
 def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lpos: str, rpos: str,
-              width: int) -> DataFrame:
-    """All (left, right) pairs with equal ``keys`` and ``|rpos - lpos| <= width``."""
-    lb = left.withColumn("_jb", F.floor(F.col(lpos) / F.lit(width)).cast("long"))
+              width: int, dedupe: bool = False) -> DataFrame:
+    """All (left, right) pairs with equal ``keys`` and ``|rpos - lpos| <= width``.
+
+    Both sides are hash-partitioned on (keys, bucket) once; optional
+    de-duplication then runs inside those partitions, and the join reuses the
+    same partitioning. The output keeps ``_jb`` (the left row's bucket, a
+    function of its position): grouping keys that contain ``keys`` and
+    ``_jb`` need no further shuffle.
+    """
+    lb = (left.withColumn("_jb", F.floor(F.col(lpos) / F.lit(width)).cast("long"))
+          .repartition(*[F.col(k) for k in keys], F.col("_jb")))
     rb = (right.withColumn("_b", F.floor(F.col(rpos) / F.lit(width)).cast("long"))
           .withColumn("_jb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-          .drop("_b"))
+          .drop("_b")
+          .repartition(*[F.col(k) for k in keys], F.col("_jb")))
+    if dedupe:
+        lb, rb = lb.distinct(), rb.distinct()
     return (lb.join(rb, on=[*keys, "_jb"], how="inner")
-            .where(F.abs(F.col(rpos) - F.col(lpos)) <= width)
-            .drop("_jb"))
+            .where(F.abs(F.col(rpos) - F.col(lpos)) <= width))
 
 
 def _recoded_sides(detail: DataFrame):
@@ -43,12 +53,11 @@ def _recoded_sides(detail: DataFrame):
         "profile_id", "date_casino", "capture_time", "member_tier", "age", "gender", "profile_type",
         d.path_area("region_name").alias("area"),
         d.path_area("region_name_heatmap").alias("area_h"))
-    v1 = (base.distinct()
+    v1 = (base
           .withColumn("m1", d.minute_index("capture_time"))
           .withColumn("s1", d.epoch_seconds("capture_time")))
     v2 = (base.select("profile_id", "date_casino", F.col("capture_time").alias("ct2"),
                       F.col("area").alias("area2"), F.col("area_h").alias("area_h2"))
-          .distinct()
           .withColumn("m2", d.minute_index("ct2"))
           .withColumn("s2", d.epoch_seconds("ct2")))
     return v1, v2
@@ -61,7 +70,7 @@ def path_offsets(detail: DataFrame) -> DataFrame:
     the own area for bin 0, else the area of the group's nearest sighting
     (|seconds|, then time, then area)."""
     v1, v2 = _recoded_sides(detail)
-    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
+    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60, dedupe=True)
     pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
              .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
              .withColumn("off_bin", d.offset_bin_v1("d_min", "same_time"))
@@ -74,8 +83,8 @@ def path_offsets(detail: DataFrame) -> DataFrame:
         "date_casino", F.date_format("capture_time", "HH:00").alias("date_hour"),
         F.col("area").alias("region_name"), F.col("area_h").alias("region_name_heatmap"),
         d.hour_start("capture_time").alias("z0_time"), "off_bin", "member_tier", "profile_type",
-        d.age_band("age").alias("age_range"), "gender", "profile_id", pick.alias("_pick"))
-        .groupBy(*keys, "profile_id").agg(F.min("_pick").alias("_pick")))
+        d.age_band("age").alias("age_range"), "gender", "profile_id", "_jb", pick.alias("_pick"))
+        .groupBy(*keys, "profile_id", "_jb").agg(F.min("_pick").alias("_pick")))
     g = per_profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("visitor_num"), F.min("_pick").alias("_pick"))
     zero = F.col("off_bin") == 0
     return g.select(
@@ -97,12 +106,12 @@ def path_offsets_carry(detail: DataFrame) -> DataFrame:
     map is bounded.
     """
     v1, v2 = _recoded_sides(detail)
-    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
+    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60, dedupe=True)
     pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
              .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
              .withColumn("bin", d.offset_bin_new("d_min", "same_time"))
              .where(F.col("bin").isNotNull()))
-    row = ["profile_id", "date_casino", "capture_time", "area", "area_h", "member_tier", "profile_type",
+    row = ["profile_id", "date_casino", "_jb", "capture_time", "area", "area_h", "member_tier", "profile_type",
            "age", "gender"]
     pick = F.struct(F.abs(F.col("s2") - F.col("s1")).alias("k1"), F.col("ct2").alias("k2"),
                     F.col("area2").alias("a"), F.col("area_h2").alias("h"))
@@ -162,8 +171,8 @@ def _nearest(pairs: DataFrame, diff: F.Column, band: str) -> DataFrame:
     out = (pairs.select("date", F.date_format("capture_time", "HH:00").alias("date_hour"), "profile_id",
                         "region_name", d.hour_start("capture_time").alias("z0_time"), "off_bin",
                         "member_tier", d.age_band("age", default=band).alias("age_range"), "gender",
-                        pick.alias("_p"))
-           .groupBy(*keys).agg(F.min("_p").alias("_p")))
+                        "_jb", pick.alias("_p"))
+           .groupBy(*keys, "_jb").agg(F.min("_p").alias("_p")))
     return out.select(*[c if c != "area_at_off" else F.col("_p.a").alias("area_at_off")
                         for c in NEAREST_COLUMNS])
 

@@ -123,7 +123,13 @@ class Footfall:
         return self.layer("event_summary", lambda: ev.event_summary(self.event_conversion, self.event_pre_post))
 
     LAYERS = ["captures_raw", "detail", "stay", "new_or_return", "index", "companion_groups", "event_list",
-              "camera_dim", "event_calendar", "event_detail", "event_pre_post", "event_conversion", "event_summary"]
+              "camera_dim", "event_calendar", "event_detail", "event_pre_post", "event_conversion", "event_summary",
+              "stream_table"]
+
+    @property
+    def stream_table(self) -> DataFrame:
+        from gatewise.plans.registry import _stream_table
+        return _stream_table(self.spark, self.sf_dir)
 
     def stage_all(self, on_layer: Callable[[str, float], None] | None = None) -> None:
         """Stage every layer in build order, reporting (layer, seconds)."""

@@ -33,6 +33,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        # Small local inputs: let AQE keep enough shuffle partitions to use
+        # every core (its 1 MB floor would merge them into one task). On a
+        # cluster the default floor is right, as partitions are far larger.
+        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "16k"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
