@@ -22,16 +22,18 @@ def next_capture_time(df: DataFrame, keys: Sequence[str], time: str = "capture_t
 
     For second-resolution times the lead of a row is its own time when a later
     row (by ``tiebreak``) shares the second, else the next distinct second of
-    the key. So the per-row window is replaced by an aggregate over distinct
-    (key, second) plus a window over those seconds only.
+    the key. A window over (key, second) finds the former and marks the last
+    row of each second; a window over those last rows only (at most 86,400
+    per key and day) finds the next second, joined back on (key, second),
+    which reuses the rows' partitioning.
     """
     keys = list(keys)
-    seconds = (df.groupBy(*keys, time).agg(F.max(tiebreak).alias("_last_id")))
-    w = Window.partitionBy(*keys).orderBy(time)
-    seconds = seconds.withColumn("_next_t", F.lead(time).over(w))
-    joined = df.join(seconds, on=[*keys, time], how="inner")
-    nxt = F.when(F.col(tiebreak) < F.col("_last_id"), F.col(time)).otherwise(F.col("_next_t"))
-    return joined.withColumn(out, nxt).drop("_last_id", "_next_t")
+    w_sec = Window.partitionBy(*keys, time).orderBy(tiebreak)
+    rows = df.withColumn("_in", F.lead(time).over(w_sec))
+    seconds = rows.where(F.col("_in").isNull()).select(*keys, time)
+    seconds = seconds.withColumn("_next_t", F.lead(time).over(Window.partitionBy(*keys).orderBy(time)))
+    joined = rows.join(seconds, on=[*keys, time], how="left")
+    return joined.withColumn(out, F.coalesce(F.col("_in"), F.col("_next_t"))).drop("_in", "_next_t")
 
 
 def gap_group_ids(df: DataFrame, keys: Sequence[str], time: str = "capture_time",

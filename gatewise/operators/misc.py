@@ -28,13 +28,14 @@ def region_runs(captures: DataFrame) -> DataFrame:
     df = captures.select("profile_id", "capture_time", "capture_id", "region_name",
                          F.to_date("capture_time").alias("date"))
     w_sec = Window.partitionBy(*keys, "capture_time").orderBy("capture_id")
-    df = df.withColumn("_in", F.lead(F.struct("capture_time", "region_name")).over(w_sec))
-    firsts = (df.groupBy(*keys, "capture_time")
-              .agg(F.min_by(F.struct("capture_time", "region_name"), F.col("capture_id")).alias("_first")))
+    df = (df.withColumn("_in", F.lead(F.struct("capture_time", "region_name")).over(w_sec))
+          .withColumn("_first", F.lag("capture_id").over(w_sec).isNull()))
+    firsts = df.where(F.col("_first")).select(*keys, "capture_time",
+                                               F.struct("capture_time", "region_name").alias("_f"))
     w = Window.partitionBy(*keys).orderBy("capture_time")
-    firsts = firsts.withColumn("_next_sec", F.lead("_first").over(w)).drop("_first")
+    firsts = firsts.withColumn("_next_sec", F.lead("_f").over(w)).drop("_f")
     nxt = F.coalesce(F.col("_in"), F.col("_next_sec"))
-    out = (df.join(firsts, on=[*keys, "capture_time"], how="inner")
+    out = (df.join(firsts, on=[*keys, "capture_time"], how="left")
            .withColumn("next_capture_time", nxt["capture_time"])
            .withColumn("next_region_name", nxt["region_name"]))
     return (out.where(F.col("next_region_name").isNull() | (F.col("region_name") != F.col("next_region_name")))
