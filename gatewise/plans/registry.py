@@ -233,9 +233,8 @@ def _run_stream(spark, sf_dir):
     events = td.read_table(spark, sf_dir, "events")
     src = scratch_path(spark, "stream-src")
     td.stream_records(events).repartition(8).write.mode("overwrite").text(src)
-    tables = si.StreamTables(table=scratch_path(spark, "stream-table"), rejects=scratch_path(spark, "stream-rejects"),
-                             checkpoint=scratch_path(spark, "stream-ckpt"))
-    q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=2), tables)
+    tables = si.StreamTables(table=scratch_path(spark, "stream-table"), checkpoint=scratch_path(spark, "stream-ckpt"))
+    q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=4), tables)
     q.awaitTermination()
     return q, si.read_table(spark, tables.table)
 
