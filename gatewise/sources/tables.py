@@ -23,19 +23,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_slices(df: DataFrame, path: str, slice_col: str | list[str], add_batch_time: bool = True,
-                 sort_within: list[str] | None = None) -> None:
+                 files_per_slice: int | None = None, max_records_per_file: int = 5_000_000) -> None:
     """Replace the slices (partitions of ``slice_col``) present in ``df``.
 
-    Rows are clustered by the slice key before the write so each task writes
-    few files per slice.
+    Rows are not funnelled into one task per slice (a day can be terabytes):
+    each task writes its own files for the slices it holds, capped at
+    ``max_records_per_file`` rows per file. With ``files_per_slice`` the rows
+    are first spread over that many hash buckets per slice, bounding the file
+    count per slice instead.
     """
     cols = [slice_col] if isinstance(slice_col, str) else list(slice_col)
     out = df.withColumn("batch_time", F.current_timestamp()) if add_batch_time else df
-    out = out.repartition(*[F.col(c) for c in cols])
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+    if files_per_slice:
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_slice))
+        out = out.repartition(*[F.col(c) for c in cols], spread)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(*cols).parquet(path))
 
 
