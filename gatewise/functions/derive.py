@@ -34,8 +34,6 @@ GROUP_GAP_SECONDS = 2
 GROUP_SIZE_LABELS = ["1", "2", "3", "4", "5"]
 GROUP_SIZE_OVER = "5+"
 
-_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -52,13 +50,27 @@ def business_hour_start(ts="capture_time") -> Column:
 
 
 def hour_start(ts="capture_time") -> Column:
-    """Hour truncation that keeps the wall-clock (NTZ) type."""
-    return F.date_trunc("hour", col(ts)).cast("timestamp_ntz")
+    """Start of the hour of a wall-clock (NTZ) timestamp, built from its
+    fields, so no session time zone takes part."""
+    c = col(ts)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
 def epoch_seconds(ts="capture_time") -> Column:
-    """Whole seconds since 1970-01-01 of a wall-clock timestamp (time-zone free)."""
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), col(ts))
+    """Whole seconds since 1970-01-01 00:00:00 of a wall-clock timestamp,
+    from its date and time fields (independent of the session time zone)."""
+    c = col(ts)
+    days = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
+def epoch_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp (field based)."""
+    c = col(ts)
+    whole_minutes = F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long") * 1440 \
+        + F.hour(c) * 60 + F.minute(c)
+    micros_in_minute = (F.extract(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("long")
+    return whole_minutes * 60_000_000 + micros_in_minute
 
 
 def minute_index(ts="capture_time") -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gatewise.functions.derive import epoch_seconds
+from gatewise.functions.derive import epoch_micros, epoch_seconds
 
 
 def region_runs(captures: DataFrame) -> DataFrame:
@@ -59,9 +59,9 @@ def time_gaps(df: DataFrame, keys: Sequence[str], time: str, tiebreak: str) -> D
     """Q42 (part 2): seconds since the previous row of the same key (NULL for
     the first) and the time shifted by 1 h 30 min."""
     w = Window.partitionBy(*keys).orderBy(time, tiebreak)
-    prev = F.lag(time).over(w)
-    micros = F.timestamp_diff("MICROSECOND", prev, F.col(time))
-    return (df.withColumn("time_diff", micros / F.lit(1_000_000.0))
+    micros = epoch_micros(time)
+    gap = micros - F.lag(micros).over(w)
+    return (df.withColumn("time_diff", gap / F.lit(1_000_000.0))
             .withColumn("new_time", F.col(time) + F.expr("INTERVAL 1 HOURS 30 MINUTES")))
 
 

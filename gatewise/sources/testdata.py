@@ -115,7 +115,8 @@ def event_list(events: DataFrame) -> DataFrame:
     its compressed time (to the minute) and lasting 60 + 2 * floor(value)
     minutes, so some events cross midnight and span two dates.
     """
-    start = F.date_trunc("minute", _compressed_time()).cast("timestamp_ntz")
+    t = _compressed_time()
+    start = F.timestamp_add("SECOND", -F.second(t), t)   # whole seconds -> start of the minute
     dur = (F.lit(60) + F.floor(F.col("value")).cast("long") * 2)
     return (events
             .where((F.col("event_type") == EVENT_SOURCE_TYPE) & (_camera() == 0)
