@@ -188,6 +188,11 @@ def q33(spark, sf_dir):
     return ev.event_run_dates(Footfall(spark, sf_dir).event_calendar)
 
 
+@register("q33_latest_events", tw.table("q33_latest"))
+def q33b(spark, sf_dir):
+    return ev.latest_events(Footfall(spark, sf_dir).event_calendar, 7)
+
+
 @register("q34_hourly_visitors", tw.table("q34"))
 def q34(spark, sf_dir):
     return ev.hourly_visitors(Footfall(spark, sf_dir).detail)

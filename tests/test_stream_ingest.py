@@ -56,3 +56,20 @@ def test_write_slices_replaces_only_present_slices(spark, tmp_path):
     tb.write_slices(b, path, "d", add_batch_time=False)   # rerun leaves it unchanged
     got = sorted((str(r.d), r.v) for r in spark.read.parquet(path).collect())
     assert got == [("2024-01-01", 1), ("2024-01-02", 20)]
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_path):
+    """A batch re-run after a failure (no commit marker) overwrites its own partition."""
+    src = str(tmp_path / "src")
+    tables = si.StreamTables(table=str(tmp_path / "table"), checkpoint=str(tmp_path / "ckpt"))
+    _write(src, "a.json", [f'{{"date_time": "2024-01-02 10:00:0{i}", "ID": {i}}}' for i in range(5)])
+    si.start_ingest(si.file_source(spark, src), tables).awaitTermination()
+    commits = os.path.join(tables.checkpoint, "commits")
+    last = sorted(os.listdir(commits), key=lambda n: (len(n), n))[-1]
+    os.remove(os.path.join(commits, last))            # as if the process died after writing
+    crc = os.path.join(commits, f".{last}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    si.start_ingest(si.file_source(spark, src), tables).awaitTermination()
+    assert os.path.exists(os.path.join(commits, last))   # the batch really ran again
+    assert si.row_count(si.read_table(spark, tables.table)).first().row_count == 5
