@@ -65,7 +65,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     _write(src, "a.json", [f'{{"date_time": "2024-01-02 10:00:0{i}", "ID": {i}}}' for i in range(5)])
     si.start_ingest(si.file_source(spark, src), tables).awaitTermination()
     commits = os.path.join(tables.checkpoint, "commits")
-    last = sorted(os.listdir(commits), key=lambda n: (len(n), n))[-1]
+    last = sorted((n for n in os.listdir(commits) if not n.startswith(".")), key=lambda n: (len(n), n))[-1]
     os.remove(os.path.join(commits, last))            # as if the process died after writing
     crc = os.path.join(commits, f".{last}.crc")
     if os.path.exists(crc):
