@@ -5,9 +5,9 @@ All variants share one band self-join: both sides carry an integer position
 neighbouring buckets of width ``W`` so an equi-join on (profile, day, bucket)
 finds every pair with ``|pos2 - pos1| <= W``, which a filter then enforces
 exactly. The join key includes the bucket, so a profile with many captures is
-spread over many join partitions, and AQE splits what is still skewed. Both
-sides are reduced to distinct (profile, time, area, attributes) rows first,
-which bounds each row's partners by the distinct seconds in two hours.
+spread over many join partitions, and AQE splits what is still skewed. The
+sightings side is reduced to distinct (profile, time, area) rows, which
+bounds each capture's partners by the distinct seconds in two hours.
 
 "Nearest" picks use a total order (|delta|, then time, then id/area), so
 every result is reproducible; the reference leaves ties to chance.
@@ -30,8 +30,9 @@ def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lpos: str,
     """All (left, right) pairs with equal ``keys`` and ``|rpos - lpos| <= width``.
 
     Both sides are hash-partitioned on (keys, bucket) once; optional
-    de-duplication then runs inside those partitions, and the join reuses the
-    same partitioning. The output keeps ``_jb`` (the left row's bucket, a
+    de-duplication of the replicated right side then runs inside those
+    partitions (it bounds every left row's partners; left duplicates only
+    repeat pairs), and the join reuses the same partitioning. The output keeps ``_jb`` (the left row's bucket, a
     function of its position): grouping keys that contain ``keys`` and
     ``_jb`` need no further shuffle.
     """
@@ -42,7 +43,7 @@ def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lpos: str,
           .drop("_b")
           .repartition(*[F.col(k) for k in keys], F.col("_jb")))
     if dedupe:
-        lb, rb = lb.distinct(), rb.distinct()
+        rb = rb.distinct()
     return (lb.join(rb, on=[*keys, "_jb"], how="inner")
             .where(F.abs(F.col(rpos) - F.col(lpos)) <= width))
 
