@@ -175,14 +175,24 @@ def _return_flags(stay: DataFrame) -> DataFrame:
         F.when(last4 >= F.date_sub("date_casino", 2), 1).otherwise(0).alias("is_return_casino"))
 
 
-def stay_with_flags(stay: DataFrame) -> DataFrame:
+def stay_with_flags(stay: DataFrame, days: Iterable | None = None) -> DataFrame:
+    """Stay rows (of ``days``, default all) with both return flags.
+
+    With ``days`` only the look-back the flags need is read: business dates
+    from two months before the first day up to the last day (on a table
+    partitioned by ``date_casino`` this prunes partitions)."""
+    if days is not None:
+        ds = sorted(str(x) for x in days)
+        lo = F.add_months(F.lit(ds[0]).cast("date"), -2)
+        stay = stay.where((F.col("date_casino") >= lo) & (F.col("date_casino") <= F.lit(ds[-1]).cast("date")))
     flags = _return_flags(stay)
-    return stay.join(flags, on=["profile_id", "region_id", "date_casino"], how="left")
+    out = stay.join(flags, on=["profile_id", "region_id", "date_casino"], how="left")
+    return _days(out, days)
 
 
-def new_or_return(stay: DataFrame) -> DataFrame:
+def new_or_return(stay: DataFrame, days: Iterable | None = None) -> DataFrame:
     """Q08: each stay row + is_return_zone, is_return_casino, is_less15min_visitor."""
-    s = stay_with_flags(stay)
+    s = stay_with_flags(stay, days)
     return s.select(
         "date", "date_casino", "profile_id", "region_id", "region_name", "region_type", "gender",
         "Age_range", "profile_type", "member_tier",

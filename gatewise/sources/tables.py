@@ -23,20 +23,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def write_slices(df: DataFrame, path: str, slice_col: str | list[str], add_batch_time: bool = True,
-                 files_per_slice: int | None = None, max_records_per_file: int = 5_000_000) -> None:
+                 files_per_slice: int | None = None, max_records_per_file: int = 5_000_000,
+                 sort_within: list[str] | None = None) -> None:
     """Replace the slices (partitions of ``slice_col``) present in ``df``.
 
     Rows are not funnelled into one task per slice (a day can be terabytes):
     each task writes its own files for the slices it holds, capped at
     ``max_records_per_file`` rows per file. With ``files_per_slice`` the rows
     are first spread over that many hash buckets per slice, bounding the file
-    count per slice instead.
+    count per slice instead. ``sort_within`` orders rows inside each file
+    (the reference's ordered table), which tightens parquet min/max statistics.
     """
     cols = [slice_col] if isinstance(slice_col, str) else list(slice_col)
     out = df.withColumn("batch_time", F.current_timestamp()) if add_batch_time else df
     if files_per_slice:
         spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_slice))
         out = out.repartition(*[F.col(c) for c in cols], spread)
+    if sort_within:
+        out = out.sortWithinPartitions(*cols, *sort_within)
     (out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", max_records_per_file)
@@ -57,6 +61,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType, path: str,
+                           partition_by: list[str] | None = None) -> None:
+    """``CREATE TABLE IF NOT EXISTS`` a parquet table at ``path`` (catalog entry only)."""
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    part = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part} LOCATION '{path}'")
+
+
+def insert_by_name(df: DataFrame, table: str) -> None:
+    """Append ``df`` to a catalog table matching columns by name (extra columns
+    are dropped, missing ones fail), like the reference's insert-select."""
+    target = df.sparkSession.table(table).columns
+    df.select(*target).write.insertInto(table)   # positional, after selecting by name
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_format: str = "yyyy-MM-dd HH:mm:ss",
+             date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """Read a CSV dimension with an explicit schema; timestamp and date
+    columns are parsed with the given formats (no inference)."""
+    return (spark.read.option("header", "true").option("timestampNTZFormat", time_format)
+            .option("timestampFormat", time_format).option("dateFormat", date_format)
+            .schema(schema).csv(path))
+
+
+def write_csv(df: DataFrame, path: str, time_format: str = "yyyy-MM-dd HH:mm:ss") -> None:
+    """Write CSV with a header, timestamps formatted as text with ``time_format``."""
+    out = df.select([F.date_format(F.col(f.name), time_format).alias(f.name)
+                     if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f.name)
+                     for f in df.schema.fields])
+    out.write.mode("overwrite").option("header", "true").csv(path)
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as text CSV with a header (every value as its string form)."""
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
