@@ -113,41 +113,54 @@ def stay_time_filled(detail: DataFrame) -> DataFrame:
 def stay_time_segments(captures_raw: DataFrame) -> DataFrame:
     """Q07: gaps-and-islands stay per (profile, date, business date, region).
 
-    A segment starts when the region differs from the previous capture of the
-    profile on that (date, business date); its stay is the start of the next
-    segment minus its own start (NULL for the last). The result keeps the
-    longest stay per region; a missing stay takes the mean of that (date,
-    business date, region), else 0. Captures sharing a second and region
-    are one step of the sequence (ties ordered by first capture id), which
-    bounds each window partition by the distinct seconds of a profile-day.
+    Captures of a profile on a (date, business date), in (time, capture id)
+    order, form segments: a new segment starts where the region differs from
+    the previous capture's. A segment's stay is the next segment's start minus
+    its own (NULL for the last); the result keeps the longest stay per region,
+    and a missing stay takes the mean of that (date, business date, region),
+    else 0.
+
+    No window spans a whole profile-day: the previous capture's region comes
+    from a window over one second (or the last capture of the previous
+    distinct second), and the next segment start from a window over one
+    second or over distinct start seconds (at most 86,400 per profile-day).
     """
     keys = ["profile_id", "date", "date_casino"]
     base = captures_raw.select(
         "profile_id", "profile_type", "member_tier", d.age_band("age").alias("Age_range"),
         "gender", "region_id", "region_name", "capture_time", "capture_id",
         F.to_date("capture_time").alias("date"), d.business_day("capture_time").alias("date_casino"))
-    steps = (base.groupBy(*keys, "capture_time", "region_id")
-             .agg(F.min("capture_id").alias("_cid")))
-    w = Window.partitionBy(*keys).orderBy("capture_time", "_cid")
-    steps = (steps.withColumn("_new", F.when(F.lag("region_id").over(w) == F.col("region_id"), 0).otherwise(1))
-             .withColumn("segment_id", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    segments = (steps.groupBy(*keys, "region_id", "segment_id")
-                .agg(F.min("capture_time").alias("start_time")))
-    ws = Window.partitionBy(*keys).orderBy("start_time", "segment_id")
-    segments = segments.withColumn(
-        "_stay", (d.epoch_seconds(F.lead("start_time").over(ws)) - d.epoch_seconds("start_time")).cast("double"))
-    per_region = segments.groupBy(*keys, "region_id").agg(F.max("_stay").alias("stay_time"))
+    t = "capture_time"
+    w_sec = Window.partitionBy(*keys, t).orderBy("capture_id")
+    rows = (base.select(*keys, t, "capture_id", "region_id")
+            .withColumn("_prev_in", F.lag("region_id").over(w_sec))
+            .withColumn("_is_first", F.lag("capture_id").over(w_sec).isNull())
+            .withColumn("_is_last", F.lead("capture_id").over(w_sec).isNull()))
+    lasts = (rows.where(F.col("_is_last")).select(*keys, t, F.col("region_id").alias("_last_region"))
+             .withColumn("_prev_sec", F.lag("_last_region").over(Window.partitionBy(*keys).orderBy(t)))
+             .select(*keys, t, "_prev_sec"))
+    rows = rows.join(lasts, on=[*keys, t], how="left")
+    prev = F.when(F.col("_is_first"), F.col("_prev_sec")).otherwise(F.col("_prev_in"))
+    starts = (rows.where(prev.isNull() | (prev != F.col("region_id")))
+              .select(*keys, t, "capture_id", "region_id"))
+    starts = starts.withColumn("_later", F.lead("capture_id").over(w_sec).isNotNull())
+    start_secs = (starts.select(*keys, t).distinct()
+                  .withColumn("_next_sec", F.lead(t).over(Window.partitionBy(*keys).orderBy(t))))
+    starts = starts.join(start_secs, on=[*keys, t], how="inner")
+    next_start = F.when(F.col("_later"), F.col(t)).otherwise(F.col("_next_sec"))
+    starts = starts.withColumn("_stay", (d.epoch_seconds(next_start) - d.epoch_seconds(t)).cast("double"))
+    per_region = starts.groupBy(*keys, "region_id").agg(F.max("_stay").alias("stay_time"))
     attrs = (base.groupBy(*keys, "region_id")
              .agg(*[F.min_by(c, F.struct("capture_time", "capture_id")).alias(c)
                     for c in ["profile_type", "Age_range", "gender", "region_name"]],
                   F.min_by("member_tier", F.when(F.col("member_tier").isNotNull(),
                                                  F.struct("capture_time", "capture_id"))).alias("member_tier")))
     res = per_region.join(attrs, on=[*keys, "region_id"], how="inner")
-    wm = Window.partitionBy("date", "date_casino", "region_id")
-    mean = F.avg("stay_time").over(wm)
+    means = res.groupBy("date", "date_casino", "region_id").agg(F.avg("stay_time").alias("_mean"))
+    res = res.join(means, on=["date", "date_casino", "region_id"], how="inner")
     return res.select(
         "profile_id", "date", "date_casino", "region_id",
-        F.coalesce(F.col("stay_time"), mean, F.lit(0.0)).alias("stay_time"),
+        F.coalesce(F.col("stay_time"), F.col("_mean"), F.lit(0.0)).alias("stay_time"),
         "profile_type", "member_tier", "Age_range", "gender", "region_name",
         F.lit("").alias("region_type"))
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions import derive as d
@@ -143,7 +143,14 @@ NEAREST_COLUMNS = ["date", "date_hour", "profile_id", "region_name", "z0_time",
                    "member_tier", "age_range", "gender"]
 
 
-def _calendar_sides(detail: DataFrame, per_row_attrs: bool):
+def _calendar_sides(detail: DataFrame, per_row_attrs: bool, keep_per_second: int):
+    """Captures (v1) and sightings (v2) of the per-profile jobs.
+
+    Sightings keep only the ``keep_per_second`` smallest capture ids of each
+    (profile, date, second): the nearest pick orders by (|delta|, time, id),
+    so a larger id of the same second can never win. This bounds each
+    capture's partners by the distinct seconds within two hours.
+    """
     base = detail.select("profile_id", F.to_date("capture_time").alias("date"), "capture_time", "capture_id",
                          "region_name", "member_tier", "age", "gender")
     if not per_row_attrs:
@@ -155,9 +162,12 @@ def _calendar_sides(detail: DataFrame, per_row_attrs: bool):
                 .join(first, on=["profile_id", "date"], how="inner")
                 .select("*", "_f.member_tier", "_f.age", "_f.gender").drop("_f"))
     v1 = base.withColumn("s1", d.epoch_seconds("capture_time"))
-    v2 = base.select("profile_id", "date", F.col("capture_time").alias("ct2"),
-                     F.col("capture_id").alias("cid2"), F.col("region_name").alias("area2"),
-                     d.epoch_seconds("capture_time").alias("s2"))
+    w = Window.partitionBy("profile_id", "date", "capture_time").orderBy("capture_id")
+    v2 = (detail.select("profile_id", F.to_date("capture_time").alias("date"), F.col("capture_time").alias("ct2"),
+                        F.col("capture_id").alias("cid2"), F.col("region_name").alias("area2"))
+          .withColumn("_rk", F.row_number().over(w.partitionBy("profile_id", "date", "ct2").orderBy("cid2")))
+          .where(F.col("_rk") <= keep_per_second).drop("_rk")
+          .withColumn("s2", d.epoch_seconds("ct2")))
     return v1, v2
 
 
@@ -182,22 +192,32 @@ def path_offsets_nearest(detail: DataFrame) -> DataFrame:
     """Q23: per calendar day and profile, every capture within +-60 minutes
     (elapsed time); minutes = floor of elapsed minutes; bins by floor division
     (own capture -> 0); nearest sighting per bin. The first capture's age,
-    tier and gender stand for the profile-day; bad ages give ''."""
-    v1, v2 = _calendar_sides(detail, per_row_attrs=False)
+    tier and gender stand for the profile-day; bad ages give ''.
+
+    Bin 0 comes only from the capture itself, so self rows are added
+    directly and the join keeps other captures only (two smallest ids per
+    second suffice: one of them is not the capture itself)."""
+    v1, v2 = _calendar_sides(detail, per_row_attrs=False, keep_per_second=2)
     pairs = band_join(v1, v2, ["profile_id", "date"], "s1", "s2", 3600)
-    diff = F.floor((F.col("s2") - F.col("s1")) / F.lit(60)).cast("long")
-    pairs = (pairs.withColumn("d_min", diff)
-             .withColumn("is_self", F.col("capture_id") == F.col("cid2"))
+    pairs = (pairs.where(F.col("capture_id") != F.col("cid2"))
+             .withColumn("d_min", F.floor((F.col("s2") - F.col("s1")) / F.lit(60)).cast("long"))
+             .withColumn("is_self", F.lit(False))
              .withColumn("off_bin", d.offset_bin_floor("d_min", "is_self"))
              .where(F.col("off_bin").isin(BINS)))
-    return _nearest(pairs, F.col("d_min"), "")
+    selfs = (v1.withColumn("_jb", F.floor(F.col("s1") / F.lit(3600)).cast("long"))
+             .withColumn("ct2", F.col("capture_time")).withColumn("cid2", F.col("capture_id"))
+             .withColumn("area2", F.col("region_name")).withColumn("s2", F.col("s1"))
+             .withColumn("d_min", F.lit(0).cast("long")).withColumn("is_self", F.lit(True))
+             .withColumn("off_bin", F.lit(0).cast("long")))
+    return _nearest(pairs.unionByName(selfs), F.col("d_min"), "")
 
 
 def path_offsets_fractional(detail: DataFrame) -> DataFrame:
     """Q24: as Q23 on fractional minutes (seconds / 60), each capture with its
     own attributes; profile-days with a single capture give no rows; values
-    between 15 and 16 minutes get no bin."""
-    v1, v2 = _calendar_sides(detail, per_row_attrs=True)
+    between 15 and 16 minutes get no bin. Any same-second pair is bin 0, so
+    one sighting (the smallest id) per second is kept."""
+    v1, v2 = _calendar_sides(detail, per_row_attrs=True, keep_per_second=1)
     multi = (v1.groupBy("profile_id", "date").agg(F.count(F.lit(1)).alias("_n"))
              .where(F.col("_n") >= 2).drop("_n"))
     v1 = v1.join(multi, on=["profile_id", "date"], how="left_semi")
