@@ -131,22 +131,32 @@ def stay_time_segments(captures_raw: DataFrame) -> DataFrame:
         "gender", "region_id", "region_name", "capture_time", "capture_id",
         F.to_date("capture_time").alias("date"), d.business_day("capture_time").alias("date_casino"))
     t = "capture_time"
+    # 1) inside one second (ordered by capture id): region changes and whether
+    #    a later change follows in the same second
     w_sec = Window.partitionBy(*keys, t).orderBy("capture_id")
+    prev_in = F.lag("region_id").over(w_sec)
     rows = (base.select(*keys, t, "capture_id", "region_id")
-            .withColumn("_prev_in", F.lag("region_id").over(w_sec))
-            .withColumn("_is_first", F.lag("capture_id").over(w_sec).isNull())
-            .withColumn("_is_last", F.lead("capture_id").over(w_sec).isNull()))
-    lasts = (rows.where(F.col("_is_last")).select(*keys, t, F.col("region_id").alias("_last_region"))
-             .withColumn("_prev_sec", F.lag("_last_region").over(Window.partitionBy(*keys).orderBy(t)))
-             .select(*keys, t, "_prev_sec"))
-    rows = rows.join(lasts, on=[*keys, t], how="left")
-    prev = F.when(F.col("_is_first"), F.col("_prev_sec")).otherwise(F.col("_prev_in"))
-    starts = (rows.where(prev.isNull() | (prev != F.col("region_id")))
-              .select(*keys, t, "capture_id", "region_id"))
-    starts = starts.withColumn("_later", F.lead("capture_id").over(w_sec).isNotNull())
-    start_secs = (starts.select(*keys, t).distinct()
-                  .withColumn("_next_sec", F.lead(t).over(Window.partitionBy(*keys).orderBy(t))))
-    starts = starts.join(start_secs, on=[*keys, t], how="inner")
+            .withColumn("_is_first", prev_in.isNull())
+            .withColumn("_changed", prev_in.isNotNull() & (prev_in != F.col("region_id")))
+            .withColumn("_later", F.max(F.col("_changed").cast("int"))
+                        .over(w_sec.rowsBetween(1, Window.unboundedFollowing)) == 1))
+    # 2) per second: first and last region, any inner change; then over the
+    #    distinct seconds: does the second open a segment, and the next second
+    #    that holds a segment start
+    secs = (rows.groupBy(*keys, t)
+            .agg(F.min_by("region_id", "capture_id").alias("_first_region"),
+                 F.max_by("region_id", "capture_id").alias("_last_region"),
+                 F.max(F.col("_changed").cast("int")).alias("_inner")))
+    w = Window.partitionBy(*keys).orderBy(t)
+    prev_last = F.lag("_last_region").over(w)
+    secs = secs.withColumn("_first_start", prev_last.isNull() | (prev_last != F.col("_first_region")))
+    has_start = F.col("_first_start") | (F.col("_inner") == 1)
+    secs = (secs.withColumn("_next_sec", F.min(F.when(has_start, F.col(t)))
+                            .over(w.rowsBetween(1, Window.unboundedFollowing)))
+            .select(*keys, t, "_first_start", "_next_sec"))
+    # 3) segment starts and the start of the following segment
+    rows = rows.join(secs, on=[*keys, t], how="inner")
+    starts = rows.where(F.when(F.col("_is_first"), F.col("_first_start")).otherwise(F.col("_changed")))
     next_start = F.when(F.col("_later"), F.col(t)).otherwise(F.col("_next_sec"))
     starts = starts.withColumn("_stay", (d.epoch_seconds(next_start) - d.epoch_seconds(t)).cast("double"))
     per_region = starts.groupBy(*keys, "region_id").agg(F.max("_stay").alias("stay_time"))
