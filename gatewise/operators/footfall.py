@@ -273,13 +273,22 @@ def visitor_index(detail: DataFrame, stay: DataFrame, nor: DataFrame | None = No
 # ---------------------------------------------------------------------------
 # Q10 - Q16 daily cubes
 # ---------------------------------------------------------------------------
+def by_profile_day(index: DataFrame) -> DataFrame:
+    """Hash-partition the hour-grain index on (business day, profile).
+
+    The index holds at most 24 x regions rows per (day, profile), so no
+    partition key is hot; every later aggregate or join whose keys include
+    both columns then runs without another shuffle."""
+    return index.repartition("date_casino", "profile_id")
+
+
 def _tab_profile(index: DataFrame, with_sector: bool = True) -> DataFrame:
     """Per (date, business date, profile, region, attributes, flags): the
     longest hourly stay ``stay_time_p`` and the three short-stay flags."""
     keys = ["date", "date_casino", "profile_id", "region_type", "region_id", "region_name", *DEMO,
             "is_return_zone", "is_return_casino"] + (["sector"] if with_sector else [])
     p = F.max("stay_time")
-    return (index.withColumn("date", F.to_date("date_hour"))
+    return (by_profile_day(index).withColumn("date", F.to_date("date_hour"))
             .groupBy(*keys)
             .agg(p.alias("stay_time_p"))
             .withColumn("is_less_15min_region",
@@ -481,7 +490,7 @@ HOURLY_COLUMNS = ["date_casino", "date_hour", "region_type", "region_id", "regio
 def _hour_base(index: DataFrame) -> DataFrame:
     """Distinct (hour, region, demographics, recoded sector, profile): every
     level below counts profiles of this one shuffled set."""
-    return (index.select("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO,
+    return (by_profile_day(index).select("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO,
                          d.recoded_sector("region_type", "sector").alias("sector"), "profile_id")
             .distinct())
 
@@ -506,7 +515,7 @@ def visits_hourly(index: DataFrame) -> DataFrame:
 
 def visits_hourly_casino(index: DataFrame) -> DataFrame:
     """Q18: type '4' only, levels region and 'all' (no sector column)."""
-    base = (index.where(F.col("region_type") == "4")
+    base = (by_profile_day(index).where(F.col("region_type") == "4")
             .select("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO, "profile_id")
             .distinct())
     l1 = (base.groupBy("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO)
