@@ -37,6 +37,25 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, **options) -> Da
             .select(F.col("value").cast("string").alias("value")))
 
 
+def to_records(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Rows -> topic records: ``value`` = JSON of all columns (times as
+    'YYYY-MM-DD HH:MM:SS'), optional ``key`` column as text (keeps per-key order)."""
+    cols = [F.date_format(F.col(f.name), TIME_FORMAT).alias(f.name)
+            if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f.name)
+            for f in df.schema.fields]
+    out = df.select(F.to_json(F.struct(*cols)).alias("value"), *([F.col(key).cast("string").alias("key")]
+                                                                 if key else []))
+    return out
+
+
+def write_topic(df: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
+    """Publish ``df`` to a Kafka topic (acks=all, idempotent producer); needs
+    the Kafka connector on the classpath."""
+    (to_records(df, key).write.format("kafka")
+     .option("kafka.bootstrap.servers", servers).option("topic", topic)
+     .option("kafka.acks", "all").option("kafka.enable.idempotence", "true").save())
+
+
 def file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Stream of JSON-lines text from a folder (new files are new records)."""
     return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)

@@ -73,3 +73,14 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     si.start_ingest(si.file_source(spark, src), tables).awaitTermination()
     assert os.path.exists(os.path.join(commits, last))   # the batch really ran again
     assert si.row_count(si.read_table(spark, tables.table)).first().row_count == 5
+
+
+def test_records_round_trip_through_decoder(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 10, 0, 5), 42)], "date_time timestamp_ntz, ID long")
+    recs = si.to_records(df, key="ID")
+    row = recs.first()
+    assert row.key == "42" and row.value == '{"date_time":"2024-01-02 10:00:05","ID":42}'
+    back = si.decode(recs.select("value")).first()
+    assert (back.date_time, back.ID, back.time_was_defaulted, back._bad) == (dt.datetime(2024, 1, 2, 10, 0, 5), 42,
+                                                                              False, False)
