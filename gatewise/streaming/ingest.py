@@ -65,7 +65,10 @@ def file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1)
 def decode(values: DataFrame) -> DataFrame:
     """Text -> (date_time, ID, time_was_defaulted, _bad, _raw)."""
     rec = F.from_json(F.col("value"), RECORD_SCHEMA)
-    parsed = F.try_to_timestamp(rec["date_time"], F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    # the exact format decides validity; the wall-clock value is taken without
+    # any session time zone (a zoned parse could shift DST-gap times)
+    valid = F.try_to_timestamp(rec["date_time"], F.lit(TIME_FORMAT)).isNotNull()
+    parsed = F.when(valid, rec["date_time"].try_cast("timestamp_ntz"))
     return values.select(
         F.coalesce(parsed, F.current_timestamp().cast("timestamp_ntz")).alias("date_time"),
         rec["ID"].alias("ID"),
