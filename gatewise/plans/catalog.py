@@ -26,6 +26,9 @@ from gatewise.sources.tables import scratch_path
 
 # (application id, input folder, layer) -> parquet path
 _STAGED: dict[tuple[str, str, str], str] = {}
+# (application id, path) -> DataFrame reading it: staged layers never change,
+# so the file listing and footer schema are resolved once per session
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 # layer -> partition column of its staged table
 PARTITIONS = {"detail": "date_casino", "stay": "date_casino", "new_or_return": "date_casino",
@@ -60,7 +63,10 @@ class Footfall:
                 writer = writer.partitionBy(part)
             writer.parquet(path)
             _STAGED[key] = path
-        return self.spark.read.parquet(_STAGED[key])
+        rkey = (key[0], _STAGED[key])
+        if rkey not in _READS:
+            _READS[rkey] = self.spark.read.parquet(_STAGED[key])
+        return _READS[rkey]
 
     # inputs -------------------------------------------------------------------
     @property
