@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -65,7 +64,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    local = tempfile.mkdtemp(prefix="gatewise-ckpt-", dir=os.environ.get("GATEWISE_SCRATCH", "/tmp"))
+    local = tempfile.mkdtemp(prefix="gatewise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local

@@ -58,7 +58,7 @@ def _compressed_time(ts="ts"):
 
 
 def captures_raw(events: DataFrame) -> DataFrame:
-    """Raw captures (``dwd_user_capture_original`` shape) from ``events``."""
+    """Raw captures (the capture input schema) from ``events``."""
     uid = F.col("user_id")
     n = (F.col("camera_id") % 10)
     ptype = (uid % 4 + 1).cast("int")
@@ -109,7 +109,7 @@ def camera_tables(captures: DataFrame):
 
 
 def event_list(events: DataFrame) -> DataFrame:
-    """Event calendar input (``dim_event_list`` shape) derived from ``events``.
+    """Event list input (Title, StartDtm, EndDtm, Venue, EventType, Genre, InsertDtm) derived from ``events``.
 
     Each ``signup`` row with k = 0 and value >= 50 becomes one event starting at
     its compressed time (to the minute) and lasting 60 + 2 * floor(value)
