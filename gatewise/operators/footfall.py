@@ -135,7 +135,7 @@ def stay_time_segments(captures_raw: DataFrame) -> DataFrame:
     #    a later change follows in the same second
     w_sec = Window.partitionBy(*keys, t).orderBy("capture_id")
     prev_in = F.lag("region_id").over(w_sec)
-    rows = (base.select(*keys, t, "capture_id", "region_id")
+    rows = (base
             .withColumn("_is_first", prev_in.isNull())
             .withColumn("_changed", prev_in.isNotNull() & (prev_in != F.col("region_id")))
             .withColumn("_later", F.max(F.col("_changed").cast("int"))
@@ -154,18 +154,19 @@ def stay_time_segments(captures_raw: DataFrame) -> DataFrame:
     secs = (secs.withColumn("_next_sec", F.min(F.when(has_start, F.col(t)))
                             .over(w.rowsBetween(1, Window.unboundedFollowing)))
             .select(*keys, t, "_first_start", "_next_sec"))
-    # 3) segment starts and the start of the following segment
+    # 3) segment starts carry the stay to the following start; one aggregate
+    #    per (profile-day, region) takes the longest stay and the first
+    #    capture's attributes
     rows = rows.join(secs, on=[*keys, t], how="inner")
-    starts = rows.where(F.when(F.col("_is_first"), F.col("_first_start")).otherwise(F.col("_changed")))
+    is_start = F.when(F.col("_is_first"), F.col("_first_start")).otherwise(F.col("_changed"))
     next_start = F.when(F.col("_later"), F.col(t)).otherwise(F.col("_next_sec"))
-    starts = starts.withColumn("_stay", (d.epoch_seconds(next_start) - d.epoch_seconds(t)).cast("double"))
-    per_region = starts.groupBy(*keys, "region_id").agg(F.max("_stay").alias("stay_time"))
-    attrs = (base.groupBy(*keys, "region_id")
-             .agg(*[F.min_by(c, F.struct("capture_time", "capture_id")).alias(c)
-                    for c in ["profile_type", "Age_range", "gender", "region_name"]],
-                  F.min_by("member_tier", F.when(F.col("member_tier").isNotNull(),
-                                                 F.struct("capture_time", "capture_id"))).alias("member_tier")))
-    res = per_region.join(attrs, on=[*keys, "region_id"], how="inner")
+    stay = F.when(is_start, (d.epoch_seconds(next_start) - d.epoch_seconds(t)).cast("double"))
+    order = F.struct("capture_time", "capture_id")
+    res = (rows.withColumn("_stay", stay)
+           .groupBy(*keys, "region_id")
+           .agg(F.max("_stay").alias("stay_time"),
+                *[F.min_by(c, order).alias(c) for c in ["profile_type", "Age_range", "gender", "region_name"]],
+                F.min_by("member_tier", F.when(F.col("member_tier").isNotNull(), order)).alias("member_tier")))
     means = res.groupBy("date", "date_casino", "region_id").agg(F.avg("stay_time").alias("_mean"))
     res = res.join(means, on=["date", "date_casino", "region_id"], how="inner")
     return res.select(
