@@ -79,3 +79,31 @@ def ratio_round2(total: Column, count: Column) -> Column:
     r = scaled - q * count
     up = F.when(r * 2 > count, 1).when((r * 2 == count) & (q % 2 != 0), 1).otherwise(0)
     return ((q + up) / F.lit(100.0)).cast("double")
+
+
+# Dimensions with at most this many rows are broadcast (checked by counting).
+MAX_BROADCAST_ROWS = 2_000_000
+# Salt buckets of the fallback join for larger dimensions.
+DIMENSION_SALTS = 64
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
+                   max_rows: int = MAX_BROADCAST_ROWS, salts: int = DIMENSION_SALTS) -> DataFrame:
+    """Join a fact table to a dimension whose key can be hot on the fact side
+    (a date, a camera, a region-day).
+
+    The dimension is counted first; within ``max_rows`` it is broadcast, so no
+    fact row is shuffled by the hot key. Beyond that, a salted shuffle join is
+    used: every dimension row is replicated to ``salts`` buckets and each fact
+    row goes to one bucket chosen by a hash of the row, which spreads a hot key
+    over ``salts`` tasks. Inner and left joins keep their meaning (each fact row
+    meets each matching dimension row exactly once).
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("join_dimension supports inner and left joins")
+    if dim.count() <= max_rows:
+        return fact.join(F.broadcast(dim), on=list(on), how=how)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
+    f = fact.withColumn("_salt", salt)
+    d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return f.join(d, on=[*on, "_salt"], how=how).drop("_salt")

@@ -3,9 +3,10 @@ conversion to the casino entrance, joined summary, run dates and reports.
 
 The reference runs one event title (or one date) per call; these jobs handle
 every event of the calendar in one plan, keyed by ``event_name``. The event
-calendar is a dimension (a few rows per day); dimension joins are left to
-Catalyst/AQE, which broadcast a side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold``.
+calendar and the camera table are dimensions joined on keys that are hot on
+the capture side (a date, a camera): they go through ``join_dimension``
+(broadcast after a row-count check, else a salted join). Other joins are
+left to Catalyst/AQE.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewise.functions import derive as d
-from gatewise.operators.common import next_capture_time
+from gatewise.operators.common import join_dimension, next_capture_time
 
 DEMO = ["Age_range", "gender", "profile_type", "member_tier"]
 ARENA = "Arena"
@@ -96,9 +97,9 @@ def event_capture_detail(captures: DataFrame, camera_dim: DataFrame, calendar: D
     t1 = next_capture_time(t1, ["_cal", "profile_id"])
     t1 = t1.withColumn("camera_id", F.col("camera_id").cast("string"))
     cam = camera_dim.select(F.col("camera_id").cast("string").alias("camera_id"), "group", "business_sector")
-    j = t1.join(cam, on="camera_id", how="inner")
+    j = join_dimension(t1, cam, ["camera_id"], "inner")
     cal = calendar.select(F.col("CDate").alias("_cal"), "Title", "CDate", "StartDtm_", "EndDtm_")
-    j = j.join(cal, on="_cal", how="left")
+    j = join_dimension(j, cal, ["_cal"], "left")
     inside = (F.col("capture_time").between(_hours(F.col("StartDtm_"), -4), _hours(F.col("EndDtm_"), 4))
               & (F.col("business_sector") == ARENA))
     ev = F.when(inside, F.col("Title"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions.derive import epoch_micros, epoch_seconds
+from gatewise.operators.common import join_dimension
 
 
 def region_runs(captures: DataFrame) -> DataFrame:
@@ -47,11 +48,12 @@ def group_center_range(df: DataFrame, group: str, value: str) -> DataFrame:
     """Q42 (part 1): value minus its group mean (rounded to 6 decimals), and
     the group's max - min.
 
-    Group statistics are an aggregate joined back on the group key (a
-    partial aggregate per task, no window over a whole group)."""
+    Group statistics are an aggregate (partial per task, no window over a
+    whole group) joined back as a dimension, so a large group is not
+    shuffled to one task."""
     stats = df.groupBy(group).agg(F.avg(value).alias("_mean"),
                                   (F.max(value) - F.min(value)).alias("range"))
-    return (df.join(stats, on=group, how="inner")
+    return (join_dimension(df, stats, [group], "inner")
             .withColumn("centered", F.round(F.col(value) - F.col("_mean"), 6)).drop("_mean"))
 
 
