@@ -175,7 +175,8 @@ def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     gives 0."""
     cal = calendar.select(F.col("Title").alias("event_name"), F.col("CDate").alias("date"), "StartDtm_", "EndDtm_")
     days = _event_days(cal, F.to_date(_hours(F.col("StartDtm_"), -4)), F.to_date(_hours(F.col("EndDtm_"), 4)))
-    win = _windows(days).join(_attendees(detail), on=["event_name", "hour_window"], how="inner")
+    # calendar-derived windows are a dimension; one event may hold most attendees
+    win = join_dimension(_attendees(detail), _windows(days), ["event_name", "hour_window"], "inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
     rows = _group_and_all(rows)
     pre = F.col("capture_time").between(F.col("pre_th"), F.col("StartDtm_"))
@@ -203,7 +204,8 @@ def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     days = _event_days(cal, F.to_date(F.date_sub(F.to_date("StartDtm_"), 1)),
                        F.to_date(_hours(F.col("EndDtm_"), 4)),
                        count_from=F.to_date(_hours(F.col("StartDtm_"), -4)))
-    win = _windows(days).join(_attendees(detail), on=["event_name", "hour_window"], how="inner")
+    # calendar-derived windows are a dimension; one event may hold most attendees
+    win = join_dimension(_attendees(detail), _windows(days), ["event_name", "hour_window"], "inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
     rows = _group_and_all(rows)
     pre = F.col("capture_time") <= F.col("pre_th")
@@ -257,7 +259,7 @@ def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
               .withColumn("_seen", F.lit(1)))
     # an attendee date outside the event's dates cannot convert
     in_days = days.withColumn("_in", F.lit(1))
-    f = (att.join(in_days, on=["event_name", "date"], how="left")
+    f = (join_dimension(att, in_days, ["event_name", "date"], "left")
          .join(casino, on=["profile_id", "date"], how="left")
          .withColumn("_conv", F.when(F.col("_in").isNotNull() & F.col("_seen").isNotNull(), 1).otherwise(0)))
     f = _group_and_all(f)
