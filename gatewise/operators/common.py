@@ -89,8 +89,12 @@ DIMENSION_SALTS = 64
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
                    max_rows: int = MAX_BROADCAST_ROWS, salts: int = DIMENSION_SALTS) -> DataFrame:
-    """Join a fact table to a dimension whose key can be hot on the fact side
-    (a date, a camera, a region-day).
+    """Join a fact table to a stored dimension whose key can be hot on the
+    fact side (a date, a camera, an event).
+
+    Meant for dimensions that are cheap to count (read from storage or derived
+    from another dimension); for aggregates of the fact data itself, a plain
+    join sized by AQE at run time avoids an extra pass.
 
     The dimension is counted first; within ``max_rows`` it is broadcast, so no
     fact row is shuffled by the hot key. Beyond that, a salted shuffle join is

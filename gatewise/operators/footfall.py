@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions import derive as d
-from gatewise.operators.common import (gap_group_ids, join_dimension, latest_per, next_capture_time,
+from gatewise.operators.common import (gap_group_ids, latest_per, next_capture_time,
                                        ratio_round2)
 
 DEMO = ["gender", "Age_range", "profile_type", "member_tier"]
@@ -104,7 +104,9 @@ def stay_time_filled(detail: DataFrame) -> DataFrame:
                    .agg(ratio_round2(F.sum("_p"), F.count("profile_id")).alias("_avg")))
     grouped = (base.groupBy(*STAY_KEYS)
                .agg(F.count("camera_id").alias("capture_count"), F.max("_secs").alias("_mx")))
-    out = join_dimension(grouped, region_mean, ["date", "date_casino", "region_id"], "left")
+    # region means are an aggregate of the input itself: counting them first
+    # would cost a pass, so AQE sizes this join at run time
+    out = grouped.join(region_mean, on=["date", "date_casino", "region_id"], how="left")
     filled = F.when(F.col("_mx") == 0, F.coalesce(F.col("_avg"), F.lit(0.0))) \
         .otherwise(F.col("_mx").cast("double"))
     return out.select(*STAY_KEYS, "capture_count", filled.alias("stay_time"))
@@ -168,7 +170,7 @@ def stay_time_segments(captures_raw: DataFrame) -> DataFrame:
                 *[F.min_by(c, order).alias(c) for c in ["profile_type", "Age_range", "gender", "region_name"]],
                 F.min_by("member_tier", F.when(F.col("member_tier").isNotNull(), order)).alias("member_tier")))
     means = res.groupBy("date", "date_casino", "region_id").agg(F.avg("stay_time").alias("_mean"))
-    res = join_dimension(res, means, ["date", "date_casino", "region_id"], "inner")
+    res = res.join(means, on=["date", "date_casino", "region_id"], how="inner")
     return res.select(
         "profile_id", "date", "date_casino", "region_id",
         F.coalesce(F.col("stay_time"), F.col("_mean"), F.lit(0.0)).alias("stay_time"),

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions.derive import epoch_micros, epoch_seconds
-from gatewise.operators.common import join_dimension
 
 
 def region_runs(captures: DataFrame) -> DataFrame:
@@ -49,11 +48,11 @@ def group_center_range(df: DataFrame, group: str, value: str) -> DataFrame:
     the group's max - min.
 
     Group statistics are an aggregate (partial per task, no window over a
-    whole group) joined back as a dimension, so a large group is not
-    shuffled to one task."""
+    whole group) joined back; AQE broadcasts them when small at run time and
+    splits a skewed group's partition otherwise."""
     stats = df.groupBy(group).agg(F.avg(value).alias("_mean"),
                                   (F.max(value) - F.min(value)).alias("range"))
-    return (join_dimension(df, stats, [group], "inner")
+    return (df.join(stats, on=group, how="inner")
             .withColumn("centered", F.round(F.col(value) - F.col("_mean"), 6)).drop("_mean"))
 
 
