@@ -36,6 +36,28 @@ def next_capture_time(df: DataFrame, keys: Sequence[str], time: str = "capture_t
     return joined.withColumn(out, F.coalesce(F.col("_in"), F.col("_next_t"))).drop("_in", "_next_t")
 
 
+def previous_time(df: DataFrame, keys: Sequence[str], time: str, tiebreak: str,
+                  out: str = "_prev_time") -> DataFrame:
+    """``lag(time)`` over ``partitionBy(keys).orderBy(time, tiebreak)`` for
+    times of any resolution, without a window over a whole key: inside one
+    (key, whole second) the previous row comes from a window over that
+    second; the first row of a second takes the last time of the key's
+    previous distinct second (a window over at most 86,400 seconds per key
+    and day), joined back on (key, second)."""
+    keys = list(keys)
+    sec = epoch_seconds(time)
+    rows = df.withColumn("_sec", sec)
+    w_sec = Window.partitionBy(*keys, "_sec").orderBy(time, tiebreak)
+    rows = rows.withColumn("_prev_in", F.lag(time).over(w_sec))
+    lasts = (rows.groupBy(*keys, "_sec")
+             .agg(F.max_by(F.col(time), F.struct(time, tiebreak)).alias("_last"))
+             .withColumn("_prev_sec", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_sec")))
+             .drop("_last"))
+    joined = rows.join(lasts, on=[*keys, "_sec"], how="inner")
+    return (joined.withColumn(out, F.coalesce(F.col("_prev_in"), F.col("_prev_sec")))
+            .drop("_sec", "_prev_in", "_prev_sec"))
+
+
 def gap_group_ids(df: DataFrame, keys: Sequence[str], time: str = "capture_time",
                   gap_seconds: int = 2, first_starts_group: bool = False,
                   out: str = "group_id") -> DataFrame:

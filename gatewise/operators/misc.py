@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions.derive import epoch_micros, epoch_seconds
+from gatewise.operators.common import previous_time
 
 
 def region_runs(captures: DataFrame) -> DataFrame:
@@ -58,11 +59,12 @@ def group_center_range(df: DataFrame, group: str, value: str) -> DataFrame:
 
 def time_gaps(df: DataFrame, keys: Sequence[str], time: str, tiebreak: str) -> DataFrame:
     """Q42 (part 2): seconds since the previous row of the same key (NULL for
-    the first) and the time shifted by 1 h 30 min."""
-    w = Window.partitionBy(*keys).orderBy(time, tiebreak)
-    micros = epoch_micros(time)
-    gap = micros - F.lag(micros).over(w)
-    return (df.withColumn("time_diff", gap / F.lit(1_000_000.0))
+    the first; previous by time, then ``tiebreak``) and the time shifted by
+    1 h 30 min. The previous row is found without a window over a whole key
+    (see ``previous_time``)."""
+    with_prev = previous_time(df, keys, time, tiebreak, out="_prev")
+    gap = epoch_micros(time) - epoch_micros("_prev")
+    return (with_prev.withColumn("time_diff", gap / F.lit(1_000_000.0)).drop("_prev")
             .withColumn("new_time", F.col(time) + F.expr("INTERVAL 1 HOURS 30 MINUTES")))
 
 

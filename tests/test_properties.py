@@ -57,3 +57,16 @@ def test_join_dimension_salted_path_equals_plain_join(spark):
         for other in (bcast, salted):
             o = other.select(*plain.columns)
             assert o.exceptAll(plain).count() == 0 and plain.exceptAll(o).count() == 0
+
+
+def test_previous_time_equals_lag(spark):
+    from gatewise.operators.common import previous_time
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 2, 8, 0, 0)
+    rows = [(1 if rnd.random() < 0.7 else 2, i,
+             base + dt.timedelta(seconds=rnd.choice([0, 1, 5, 60]), microseconds=rnd.choice([0, 0, 250000, 999999])))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, i int, t timestamp_ntz")
+    ours = previous_time(df, ["k"], "t", "i", out="p").select("i", "p")
+    plain = df.select("i", F.lag("t").over(Window.partitionBy("k").orderBy("t", "i")).alias("p"))
+    assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
