@@ -13,7 +13,7 @@ the classpath) or a folder of JSON-lines files (tests).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +82,6 @@ class StreamTables:
     """Sink folder (partitioned by kind = good / bad and batch_id) and checkpoint."""
     table: str
     checkpoint: str
-    stats: list = field(default_factory=list)
 
 
 def start_ingest(values: DataFrame, tables: StreamTables, trigger: dict | None = None) -> StreamingQuery:
