@@ -270,8 +270,13 @@ def q37b(spark, sf_dir):
 @register("q44_stream_stats")
 def q44(spark, sf_dir):
     from gatewise.streaming import ingest as si
-    q, table = _run_stream(spark, sf_dir)
-    return si.stream_stats(q, table)
+    totals = si.ProgressTotals()
+    spark.streams.addListener(totals)
+    try:
+        q, table = _run_stream(spark, sf_dir)
+    finally:
+        spark.streams.removeListener(totals)
+    return si.stream_stats(q, table, totals)
 
 
 # --------------------------------------------------------------------------- ingest

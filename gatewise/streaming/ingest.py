@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 RECORD_SCHEMA = T.StructType([
     T.StructField("date_time", T.StringType(), True),
@@ -122,15 +122,45 @@ def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def stream_stats(query: StreamingQuery, stored: DataFrame) -> DataFrame:
-    """Q44: consumed rows, written rows, average input rate and stored count,
-    from the query's progress reports (one row)."""
-    progress = query.recentProgress or []
-    consumed = sum(int(p.get("numInputRows", 0) if isinstance(p, dict) else p.numInputRows) for p in progress)
-    rates = [float((p.get("processedRowsPerSecond") if isinstance(p, dict) else p.processedRowsPerSecond) or 0.0)
-             for p in progress]
+class ProgressTotals(StreamingQueryListener):
+    """Running totals of every micro-batch of the watched queries (the
+    reference's periodic consumed / rate report). ``recentProgress`` keeps only
+    the latest reports; a listener sees all of them."""
+
+    def __init__(self):
+        self.batches = 0
+        self.rows = 0
+        self.rates: list[float] = []
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.batches += 1
+        self.rows += int(p.numInputRows)
+        self.rates.append(float(p.processedRowsPerSecond or 0.0))
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
+def stream_stats(query: StreamingQuery, stored: DataFrame, totals: ProgressTotals | None = None) -> DataFrame:
+    """Q44: batches, consumed rows, average processing rate, written rows and
+    stored count (one row), from a ``ProgressTotals`` listener when given,
+    else from the query's recent progress reports."""
+    if totals is not None:
+        batches, consumed, rates = totals.batches, totals.rows, totals.rates
+    else:
+        progress = query.recentProgress or []
+        batches = len(progress)
+        consumed = sum(int(p.numInputRows) for p in progress)
+        rates = [float(p.processedRowsPerSecond or 0.0) for p in progress]
     avg_rate = sum(rates) / len(rates) if rates else 0.0
     counts = stored.agg(F.count(F.lit(1)).alias("stored_rows"))
-    return counts.select(F.lit(len(progress)).alias("batches"), F.lit(consumed).cast("long").alias("consumed_rows"),
+    return counts.select(F.lit(batches).alias("batches"), F.lit(consumed).cast("long").alias("consumed_rows"),
                          F.col("stored_rows").alias("written_rows"), F.lit(avg_rate).alias("avg_rows_per_sec"),
                          "stored_rows")

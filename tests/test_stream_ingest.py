@@ -84,3 +84,25 @@ def test_records_round_trip_through_decoder(spark):
     back = si.decode(recs.select("value")).first()
     assert (back.date_time, back.ID, back.time_was_defaulted, back._bad) == (dt.datetime(2024, 1, 2, 10, 0, 5), 42,
                                                                               False, False)
+
+
+def test_listener_totals_match_progress(spark, tmp_path):
+    src = str(tmp_path / "src")
+    for i in range(3):
+        _write(src, f"f{i}.json", [f'{{"date_time": "2024-01-02 10:00:0{j}", "ID": {10 * i + j}}}' for j in range(4)])
+    tables = si.StreamTables(table=str(tmp_path / "table"), checkpoint=str(tmp_path / "ckpt"))
+    totals = si.ProgressTotals()
+    spark.streams.addListener(totals)
+    try:
+        q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=1), tables)
+        q.awaitTermination()
+        import time
+        for _ in range(50):                     # listener events arrive asynchronously
+            if totals.rows >= 12:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(totals)
+    stats = si.stream_stats(q, si.read_table(spark, tables.table), totals).first()
+    assert (stats.consumed_rows, stats.written_rows, stats.stored_rows) == (12, 12, 12)
+    assert stats.batches >= 3
