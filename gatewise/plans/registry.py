@@ -274,6 +274,7 @@ def q44(spark, sf_dir):
     spark.streams.addListener(totals)
     try:
         q, table = _run_stream(spark, sf_dir)
+        totals.wait_for(q)
     finally:
         spark.streams.removeListener(totals)
     return si.stream_stats(q, table, totals)

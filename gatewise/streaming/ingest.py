@@ -147,6 +147,14 @@ class ProgressTotals(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
+    def wait_for(self, query: StreamingQuery, timeout_s: float = 10.0) -> None:
+        """Progress events arrive asynchronously: wait (bounded) until every
+        batch the query reported has been seen."""
+        import time
+        deadline = time.monotonic() + timeout_s
+        while self.batches < len(query.recentProgress or []) and time.monotonic() < deadline:
+            time.sleep(0.05)
+
 
 def stream_stats(query: StreamingQuery, stored: DataFrame, totals: ProgressTotals | None = None) -> DataFrame:
     """Q44: batches, consumed rows, average processing rate, written rows and

@@ -96,11 +96,7 @@ def test_listener_totals_match_progress(spark, tmp_path):
     try:
         q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=1), tables)
         q.awaitTermination()
-        import time
-        for _ in range(50):                     # listener events arrive asynchronously
-            if totals.rows >= 12:
-                break
-            time.sleep(0.1)
+        totals.wait_for(q)                      # listener events arrive asynchronously
     finally:
         spark.streams.removeListener(totals)
     stats = si.stream_stats(q, si.read_table(spark, tables.table), totals).first()
