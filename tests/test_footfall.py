@@ -125,3 +125,24 @@ def test_daily_cube_counts(spark):
     allr = ff.visits_daily_all(idx).where(F.col("date_casino") == "2024-01-02").collect()[0]
     assert (allr.visitor_num, allr.less15min_region_visitor_num, allr.new_zone_visitor_num) == (2, 1, 2)
     assert allr.new_zone_less15min_num == 1 and allr.return_zone_stay_time is None
+
+
+def test_casino_cubes_mixed_rule(spark):
+    # day 1: CASINO 1 once; day 2: CASINO 1 again (a return within 2 days) and CASINO 2 (first visit)
+    rows = [capture(1, "2024-01-02 09:00:00", region="CASINO 1", sector="Casino", cid="a"),
+            capture(1, "2024-01-03 10:00:00", region="CASINO 1", sector="Casino", cid="b"),
+            capture(1, "2024-01-03 10:10:00", region="CASINO 1", sector="Casino", cid="c"),
+            capture(1, "2024-01-03 10:20:00", region="CASINO 2", sector="Casino", cid="d"),
+            capture(1, "2024-01-03 10:25:00", region="CASINO 2", sector="Casino", cid="e")]
+    det = ff.capture_detail(captures_df(spark, rows))
+    idx = ff.visitor_index(det, ff.stay_time(det))
+    day2 = F.col("date_casino") == "2024-01-03"
+    by_region = {r.region_id: (r.return_casino_visitor_num, r.new_casino_visitor_num, r.stay_time)
+                 for r in ff.visits_daily_casino_region(idx).where(day2).collect()}
+    assert by_region == {"1": (1, 0, 1200.0), "2": (0, 1, 300.0)}
+    r = ff.visits_daily_casino_all(idx).where(day2).collect()[0]
+    # visitors: the profile has a return flag somewhere that day -> returning, not new
+    assert (r.visitor_num, r.return_casino_visitor_num, r.new_casino_visitor_num) == (1, 1, 0)
+    # stay: split by each row's own flag
+    assert (r.stay_time, r.return_casino_stay_time, r.new_casino_stay_time) == (1500.0, 1200.0, 300.0)
+    assert (r.less15min_casino_visitor_num, r.return_casino_less15min_num, r.new_casino_less15min_num) == (0, 0, 0)
