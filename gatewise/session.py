@@ -16,6 +16,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
+    # day-partitioned writes: keep up to this many files open per task instead
+    # of sorting every task's rows by the partition column (falls back to the
+    # sort beyond it)
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.ui.enabled": "false",
 }
 
