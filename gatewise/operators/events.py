@@ -166,6 +166,17 @@ def _group_and_all(df: DataFrame) -> DataFrame:
     return df.withColumn("group", F.explode(F.array(F.col("group"), F.lit("all"))))
 
 
+def _plus_all_group(per: DataFrame, keys: list, flags: list, sums: list) -> DataFrame:
+    """Per-(keys, profile) rows of the real camera groups plus the same rows
+    for group 'all', derived from them (flags OR-ed, sums added) instead of
+    doubling every capture row before aggregating."""
+    rest = [k for k in keys if k != "group"]
+    all_rows = (per.groupBy(*rest, "profile_id")
+                .agg(*[F.max(c).alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums])
+                .withColumn("group", F.lit("all")))
+    return per.unionByName(all_rows)
+
+
 def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     """Q29: for attendees of each event (per hour window h), distinct visitors
     and stay seconds in [start - h, start] and in [end, end + h], per
@@ -178,7 +189,6 @@ def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     # calendar-derived windows are a dimension; one event may hold most attendees
     win = join_dimension(_attendees(detail), _windows(days), ["event_name", "hour_window"], "inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
-    rows = _group_and_all(rows)
     pre = F.col("capture_time").between(F.col("pre_th"), F.col("StartDtm_"))
     post = F.col("capture_time").between(F.col("EndDtm_"), F.col("post_th"))
     keys = ["date", "event_name", *DEMO, "group", "hour_window"]
@@ -187,6 +197,7 @@ def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
         F.sum(F.when(pre, F.col("_stay")).otherwise(0.0)).alias("_pre_st"),
         F.max(F.when(post, 1).otherwise(0)).alias("_post"),
         F.sum(F.when(post, F.col("_stay")).otherwise(0.0)).alias("_post_st"))
+    per = _plus_all_group(per, keys, ["_pre", "_post"], ["_pre_st", "_post_st"])
     out = per.groupBy(*keys).agg(
         F.sum("_pre").cast("long").alias("pre_visition_num"),
         F.sum("_pre_st").alias("pre_stay_time"),
@@ -207,7 +218,6 @@ def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     # calendar-derived windows are a dimension; one event may hold most attendees
     win = join_dimension(_attendees(detail), _windows(days), ["event_name", "hour_window"], "inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
-    rows = _group_and_all(rows)
     pre = F.col("capture_time") <= F.col("pre_th")
     post = F.col("capture_time") >= F.col("post_th")
     keys = ["date", "event_name", *DEMO, "group", "hour_window"]
@@ -219,6 +229,7 @@ def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
         F.sum("_stay").alias("_all_st"),
         F.max(F.to_date("pre_th")).alias("_pre_d"),
         F.max(F.to_date("post_th")).alias("_post_d"))
+    per = _plus_all_group(per, keys, ["_pre", "_post", "_pre_d", "_post_d"], ["_pre_st", "_post_st", "_all_st"])
     g = per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_pre").alias("_npre"), F.sum("_post").alias("_npost"),
         F.sum("_pre_st").alias("_pre_st"), F.sum("_post_st").alias("_post_st"), F.sum("_all_st").alias("_all_st"),
