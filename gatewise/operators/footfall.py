@@ -91,8 +91,9 @@ def stay_time(detail: DataFrame) -> DataFrame:
 def stay_time_filled(detail: DataFrame) -> DataFrame:
     """Q06 (older variant): longest single gap per group; a group whose longest
     gap is 0 gets the (date, business date, region) mean instead, where the
-    mean is round(sum of per-profile longest gaps / distinct profiles, 2) over
-    captures that have a next capture (0 when the region has none)."""
+    mean is round(sum of per-profile longest gaps / distinct profiles, 2),
+    half-to-even on the exact quotient, over captures that have a next
+    capture (0 when the region has none)."""
     base = detail.select(F.to_date("capture_time").alias("date"), "date_casino", "profile_id",
                          "region_id", "region_name", "region_type", "member_tier", "gender",
                          d.age_band("age").alias("Age_range"), "profile_type", "camera_id",

@@ -10,7 +10,9 @@ sightings side is reduced to distinct (profile, time, area) rows, which
 bounds each capture's partners by the distinct seconds in two hours.
 
 "Nearest" picks use a total order (|delta|, then time, then id/area), so
-every result is reproducible; the reference leaves ties to chance.
+every result is reproducible; the reference leaves ties to chance. The
+per-profile variants (Q23, Q24) keep visitors without a member tier as their
+own group (a NULL group key), where the reference's frame grouping drops them.
 """
 
 from __future__ import annotations

@@ -130,6 +130,7 @@ SLIM_COLUMNS = ["profile_id", "region_id", "region_name", "capture_time", "age",
 
 
 def slim_copy(captures: DataFrame, path: str) -> DataFrame:
-    """Q40: full reload of the narrow capture projection (overwrite)."""
+    """Q40: full reload of the narrow capture projection (overwrite); the
+    load time is not carried as a column."""
     truncate_and_load(captures.select(*SLIM_COLUMNS), path)
     return captures.sparkSession.read.parquet(path)
