@@ -51,3 +51,28 @@ def test_day_slice_prunes_and_matches_full_run(spark, tmp_path):
     assert sliced.exceptAll(full).count() == 0 and full.exceptAll(sliced).count() == 0
     got = {r.profile_id: (r.is_return_zone, r.is_return_casino) for r in sliced.collect()}
     assert got == {1: (1, 0), 2: (0, 1), 3: (0, 0)}
+
+
+def test_write_slices_spread_and_sorted(spark, tmp_path):
+    import glob
+    import os
+    df = spark.range(0, 2000).select((F.col("id") % 2).cast("string").alias("d"), F.col("id").alias("v"))
+    path = str(tmp_path / "spread")
+    tb.write_slices(df.repartition(16), path, "d", add_batch_time=False, files_per_slice=3, sort_within=["v"])
+    for part in ("d=0", "d=1"):
+        files = glob.glob(os.path.join(path, part, "*.parquet"))
+        assert 1 <= len(files) <= 3
+        for f in files:   # each file is sorted by v
+            vs = [r.v for r in spark.read.parquet(f).collect()]
+            assert vs == sorted(vs)
+    assert spark.read.parquet(path).count() == 2000
+
+
+def test_materialize_cuts_lineage_and_preview(spark):
+    df = spark.range(0, 50).withColumn("x", F.col("id") * 2)
+    m = tb.materialize(df, "unit")
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "Range" not in plan
+    assert m.count() == 50
+    prev = tb.ingest_preview(m.select("id", "x", (F.col("x") + 1).alias("y"), F.lit(1).alias("z")), 3)
+    assert prev.columns == ["id", "x", "y"] and prev.count() == 3
