@@ -254,6 +254,8 @@ def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
            .select("profile_id", F.to_date("capture_time").alias("date"), "hour_window", "event_name",
                    *DEMO, "group")
            .distinct())
+    # only events of the given calendar (the detail carries every event of a date)
+    att = join_dimension(att, cal.select("event_name").distinct(), ["event_name"], "inner")
     casino = (detail.where(F.col("business_sector") == CASINO_ENTRANCE)
               .select("profile_id", F.to_date("capture_time").alias("date")).distinct()
               .withColumn("_seen", F.lit(1)))

@@ -10,7 +10,8 @@ need history (return flags) read it from the stored table.
 
 Slice keys: business day (``date_casino``) for the footfall layers and
 cubes; calendar date (``date``) for the calendar-day jobs (path offsets per
-profile, companion groups); event date for the event layers.
+profile, companion groups) and the event capture detail; event name for the
+event result tables.
 """
 
 from __future__ import annotations
@@ -101,17 +102,31 @@ def run_footfall(spark: SparkSession, captures_raw: DataFrame, root: str,
 
 
 def run_events(spark: SparkSession, captures: DataFrame, camera_dim: DataFrame, event_list: DataFrame,
-               root: str) -> dict[str, DataFrame]:
-    """Event calendar (truncate and load), event capture detail (by calendar
-    date), pre/post, conversion and summary (by event date)."""
+               root: str, titles: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Event calendar (truncate and load), event capture detail (sliced by
+    calendar date), pre/post, conversion and summary (sliced by event).
+
+    With ``titles`` (a one-column DataFrame of calendar titles) only those
+    events are processed, as in the reference's per-title runs: the capture
+    detail is rebuilt for their dates (the day before to the day after,
+    selected by a semi-join, not a driver-side list) against the whole
+    calendar, because every event of a date joins its captures; the event
+    tables replace only the slices of the chosen events."""
     cal = ev.event_calendar(event_list)
     cal_path = f"{root.rstrip('/')}/event_calendar"
     cal.write.mode("overwrite").parquet(cal_path)
     cal = spark.read.parquet(cal_path)
-    detail = ev.event_capture_detail(captures, camera_dim, cal).withColumn("date", F.to_date("capture_time"))
+    chosen = cal
+    caps = captures
+    if titles is not None:
+        chosen = cal.join(titles.select(F.col(titles.columns[0]).alias("Title")), on="Title", how="left_semi")
+        dates = ev.event_run_dates(chosen).select(F.col("CDate").alias("_d"))
+        caps = (captures.withColumn("_d", F.to_date("capture_time"))
+                .join(dates, on="_d", how="left_semi").drop("_d"))
+    detail = ev.event_capture_detail(caps, camera_dim, cal).withColumn("date", F.to_date("capture_time"))
     detail = _store(spark, detail, root, "event_capture_detail", "date").drop("date")
-    pre_post = _store(spark, ev.event_pre_post(detail, cal), root, "event_pre_post", "date")
-    conversion = _store(spark, ev.event_conversion(detail, cal), root, "event_conversion", "date")
-    summary = _store(spark, ev.event_summary(conversion, pre_post), root, "event_summary", "date")
+    pre_post = _store(spark, ev.event_pre_post(detail, chosen), root, "event_pre_post", "event_name")
+    conversion = _store(spark, ev.event_conversion(detail, chosen), root, "event_conversion", "event_name")
+    summary = _store(spark, ev.event_summary(conversion, pre_post), root, "event_summary", "event_name")
     return {"event_calendar": cal, "event_capture_detail": detail, "event_pre_post": pre_post,
             "event_conversion": conversion, "event_summary": summary}
