@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, sharding
+from gatewise.llm import bpe, exact_dedup, sharding, simhash
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), sharding.layout(n), sharding.layout(n + 1))
 
 
+@register("op2_simhash_deletion_variants")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 4-word shingles, 4 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @register("op3_bpe_trie")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of the ids and of the decoded text of every document."""
@@ -44,3 +51,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+@register("op4_chunk_recipes", """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the copy that stays of its text."""
+    return exact_dedup.mark(table(spark, sf_dir, "documents"))
