@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gatewise.llm.chunking import borders
 from gatewise.llm.common import id_and_text, keep_rows, slices, stage
@@ -43,7 +44,7 @@ def chunk_name(chunk: bytes, size: int) -> bytes:
 
 def recipes(rows: DataFrame, size: int) -> DataFrame:
     """doc_id, row_id, text_sha256 and recipe (list of chunk names) of each row."""
-    schema = rows.schema[0:2].add("text_sha256", "string").add("recipe", "array<binary>")
+    schema = rows.schema[0:2].add("text_sha256", "string").add("recipe", T.ArrayType(T.BinaryType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
