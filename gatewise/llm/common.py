@@ -80,3 +80,30 @@ def keep_rows(docs: DataFrame, winners: DataFrame, id_col: str = "doc_id", text_
     named = winners.select(F.col("doc_id").alias("w_id"), F.col("text_sha256").alias("w_sha"))
     hit = keyed[key].eqNullSafe(named["w_id"]) & (keyed[digest] == named["w_sha"])
     return keyed.join(named, hit, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def sum_vectors(parts: DataFrame) -> DataFrame:
+    """Sum the equally long ``values`` (array of double) of each ``key``.
+
+    Rows meet by key, and a task holds one running vector per key it owns, so
+    any number of partial vectors is summed in the memory of the result.
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches: Iterator) -> Iterator:
+        sums: dict = {}
+        for batch in batches:
+            for key, values in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                vector = values.values.to_numpy(zero_copy_only=False)
+                if key in sums:
+                    sums[key] += vector
+                else:
+                    sums[key] = vector.astype(np.float64)
+        for key, vector in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key], batch.schema.field(0).type), pa.array([vector], pa.list_(pa.float64()))],
+                names=["key", "values"])
+
+    rows = parts.select("key", "values")
+    return rows.repartition("key").mapInArrow(run, rows.schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, exact_dedup, sharding, simhash
+from gatewise.llm import bpe, exact_dedup, quality, sharding, simhash
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the copy that stays of its text."""
     return exact_dedup.mark(table(spark, sf_dir, "documents"))
+
+
+@register("op10_fourier_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from ``labels.quality``."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
