@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, exact_dedup, quality, sharding, simhash
+from gatewise.llm import bpe, exact_dedup, language, quality, sharding, simhash
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from ``labels.quality``."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op7_language_mixture")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from ``documents.lang``."""
+    return language.identify(table(spark, sf_dir, "documents"))
