@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, exact_dedup, language, quality, sharding, simhash
+from gatewise.llm import bpe, exact_dedup, language, quality, sharding, simhash, sketches
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from ``documents.lang``."""
     return language.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op9_invertible_sketches")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, with their likeness."""
+    return sketches.compare(table(spark, sf_dir, "documents")).drop("lost", "gained")
