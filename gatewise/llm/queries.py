@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, exact_dedup, language, quality, sharding, simhash, sketches
+from gatewise.llm import bpe, exact_dedup, html_text, language, quality, sharding, simhash, sketches
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and its edited text, with their likeness."""
     return sketches.compare(table(spark, sf_dir, "documents")).drop("lost", "gained")
+
+
+@register("op5_text_to_tag_ratio")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
