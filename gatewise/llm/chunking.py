@@ -15,15 +15,43 @@ import numpy as np
 GEAR = np.array([int.from_bytes(hashlib.md5(bytes([b])).digest()[:4], "little") for b in range(256)], dtype=np.uint32)
 
 
-def rolling(data: bytes) -> np.ndarray:
-    """Gear hash at every byte: sum of GEAR[byte] << distance over 32 bytes, modulo 2**32."""
+def rolling(data: bytes, window: int = 32) -> np.ndarray:
+    """Gear hash at every byte: sum of GEAR[byte] << distance * (32 / window) over
+    the last ``window`` (a power of two, at most 32) bytes, modulo 2**32."""
     h = GEAR[np.frombuffer(data, dtype=np.uint8)]
-    for width in (1, 2, 4, 8, 16):  # each round doubles the window
-        if len(h) > width:
-            h[width:] += h[:-width] << np.uint32(width)
+    width, each = 1, 32 // window
+    while width < window and len(h) > width:  # each round doubles the window
+        h[width:] += h[:-width] << np.uint32(width * each)
+        width *= 2
     return h
 
 
+def low_points(data: bytes, reach: int, window: int = 16) -> np.ndarray:
+    """Ends of the chunks of ``data`` (the last one its length) at local minima:
+    a chunk ends after the byte whose hash is below that of the ``reach`` bytes
+    before it and not above that of the ``reach`` bytes after it.
+
+    Chunks are longer than ``reach`` bytes and about twice as long on average;
+    a border depends on the ``window + reach`` bytes before it and the
+    ``reach`` bytes after it, on nothing else. Borders closer than ``reach``
+    bytes to either end of the data are left out.
+    """
+    n = len(data)
+    if n > 2 * reach:
+        h = rolling(data, window)
+        runs, width = h, 1  # minima over the next ``width`` bytes
+        while width < reach:
+            step = min(width, reach - width)
+            runs = np.minimum(runs[:-step], runs[step:])
+            width += step
+        here = h[reach:n - reach]
+        low = (here < runs[:len(here)]) & (here <= runs[reach + 1:reach + 1 + len(here)])
+        ends = np.flatnonzero(low) + reach + 1
+    else:
+        ends = np.zeros(0, dtype=np.int64)
+    return np.append(ends, n) if n else ends
+
+
 def borders(data: bytes, bits: int, least: int = 1, most: int = 0) -> list[int]:
     """Ends of the chunks of ``data``, the last one its length.
 

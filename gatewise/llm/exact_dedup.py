@@ -123,8 +123,9 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     any size are counted by partial sums; no task gathers a group.
     """
     stored = verified_recipes(docs, id_col, text_col, name_bytes)
-    groups = stored.groupBy("recipe").agg(F.max(F.struct("doc_id", "row_id")).alias("best"),
-                                          F.count("*").alias("group_size"))
+    # stored, so that the join shuffles both sides and Spark can split a large group
+    groups = stage(stored.groupBy("recipe").agg(F.max(F.struct("doc_id", "row_id")).alias("best"),
+                                                F.count("*").alias("group_size")), "recipe-groups")
     return (stored.join(groups, "recipe")
             .select("doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
                     (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256"))

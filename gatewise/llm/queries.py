@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, exact_dedup, html_text, language, quality, sharding, simhash, sketches
+from gatewise.llm import bpe, exact_dedup, html_text, language, mixing, quality, sharding, simhash, sketches, substrings
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op6_soft_membership_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rate and copies of every document; domains good, poor and toxic from ``labels``."""
+    labelled = table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+    return mixing.mix(table(spark, sf_dir, "documents"), labelled, mixing.TARGETS)
+
+
+@register("op8_gear_chunks")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of about 50 words and more that repeat across documents."""
+    return substrings.passages(table(spark, sf_dir, "documents"))
