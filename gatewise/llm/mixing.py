@@ -100,24 +100,39 @@ def posteriors(docs: DataFrame, model: LogisticRegressionModel | None, domains:
     return rows.drop(counted, seen, features, chance)
 
 
+def moved(chance: Column, steps: list[list[float]]) -> Column:
+    """Struct (r, y) of a document after the gradient ``steps``, from rate 1.
+
+    A step is (gain, one number per domain): from the point y the document
+    moves along its probabilities, and to zero if it fell below; that is its
+    rate r. The next y lies beyond r by ``gain`` times the way that r has gone.
+    """
+    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+    if not steps:
+        return start
+    rows = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
+    k = len(steps[0]) - 1
+
+    def step(at: Column, s: Column) -> Column:
+        slope = sum((chance[i] * s[i + 1] for i in range(1, k)), chance[0] * s[1])
+        r = F.greatest(F.lit(0.0), at["y"] - slope)
+        return F.struct(r.alias("r"), (r + s[0] * (r - at["r"])).alias("y"))
+
+    return F.aggregate(rows, start, step)
+
+
 def rate(chance: Column, steps: list[list[float]]) -> Column:
-    """Rate of a document after the gradient ``steps``: from 1, each step moves
-    it along its probabilities and then to zero if it fell below."""
-    out = F.lit(1.0)
-    if steps:
-        rows = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
-        k = len(steps[0])
-        out = F.aggregate(rows, out, lambda r, s: F.greatest(
-            F.lit(0.0), r - sum((chance[i] * s[i] for i in range(1, k)), chance[0] * s[0])))
-    return out
+    return moved(chance, steps)["r"]
 
 
 def solve(known: DataFrame, targets: list[float], chance: str, tokens: str) -> list[list[float]]:
-    """Gradient steps that bring the expected tokens of the domains to the targets.
+    """Steps that bring the expected tokens of the domains to the targets.
 
-    Least squares in the norm of the domains' second moments, so that a step
-    of length 1 would end it if no rate were held at zero; every pass over the
-    stored ``known`` returns one sum per domain.
+    Accelerated projected gradient for least squares in the norm of the
+    domains' second moments: a step of length 1 would end it if no rate were
+    held at zero. The gain grows with the steps and falls back to zero when
+    the error has grown. Each pass over the stored ``known`` returns two sums
+    per domain.
     """
     k = len(targets)
     t, p = F.col(tokens), F.col(chance)
@@ -130,12 +145,16 @@ def solve(known: DataFrame, targets: list[float], chance: str, tokens: str) -> l
     goal = float(sums[0]) * weight / weight.sum()
     inverse = np.linalg.pinv(moments, rcond=1e-9)
     steps: list[list[float]] = []
+    error, since = float("inf"), 0
     while sums[0] and len(steps) < STEPS:
-        now = rate(p, steps) * t
-        have = np.array(known.agg(*[F.sum(now * p[i]) for i in range(k)]).first(), dtype=float)
-        if np.abs(have - goal).max() <= TOLERANCE * goal.max():
+        now = known.select(moved(p, steps).alias("at"), t.alias("t"), p.alias("p"))
+        have = now.agg(*[F.sum(F.col(f"at.{x}") * F.col("t") * F.col("p")[i]) for x in "ry" for i in range(k)]).first()
+        off, ahead = np.array(have[:k], dtype=float) - goal, np.array(have[k:], dtype=float) - goal
+        if np.abs(off).max() <= TOLERANCE * goal.max():
             break
-        steps.append((inverse @ (have - goal)).tolist())
+        since = since + 1 if off @ inverse @ off <= error else 0
+        error = off @ inverse @ off
+        steps.append([since / (since + 3), *(inverse @ ahead).tolist()])
     return steps
 
 
