@@ -28,13 +28,15 @@ def rolling(data: bytes, window: int = 32) -> np.ndarray:
 
 def low_points(data: bytes, reach: int, window: int = 16) -> np.ndarray:
     """Ends of the chunks of ``data`` (the last one its length) at local minima:
-    a chunk ends after the byte whose hash is below that of the ``reach`` bytes
-    before it and not above that of the ``reach`` bytes after it.
+    a chunk ends after a byte whose hash is not above that of the ``reach``
+    bytes before it and after it. Of equal minima that stand closer, as in text
+    that repeats a short period, those within ``reach`` bytes of the border
+    before are passed over; what lies between is whole periods either way.
 
     Chunks are longer than ``reach`` bytes and about twice as long on average;
-    a border depends on the ``window + reach`` bytes before it and the
-    ``reach`` bytes after it, on nothing else. Borders closer than ``reach``
-    bytes to either end of the data are left out.
+    but for such periods, a border depends on the ``window + reach`` bytes
+    before it and the ``reach`` bytes after it, on nothing else. Borders closer
+    than ``reach`` bytes to either end of the data are left out.
     """
     n = len(data)
     if n > 2 * reach:
@@ -45,8 +47,14 @@ def low_points(data: bytes, reach: int, window: int = 16) -> np.ndarray:
             runs = np.minimum(runs[:-step], runs[step:])
             width += step
         here = h[reach:n - reach]
-        low = (here < runs[:len(here)]) & (here <= runs[reach + 1:reach + 1 + len(here)])
+        low = (here <= runs[:len(here)]) & (here <= runs[reach + 1:reach + 1 + len(here)])
         ends = np.flatnonzero(low) + reach + 1
+        if len(ends) > 1 and np.diff(ends).min() <= reach:
+            kept = [int(ends[0])]
+            for end in ends[1:].tolist():
+                if end - kept[-1] > reach:
+                    kept.append(end)
+            ends = np.array(kept, dtype=np.int64)
     else:
         ends = np.zeros(0, dtype=np.int64)
     return np.append(ends, n) if n else ends

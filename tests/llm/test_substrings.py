@@ -14,8 +14,10 @@ def brute_chunks(data, reach, window):
     gear = [int(x) for x in chunking.GEAR]
     each = 32 // window
     h = [sum(gear[data[i - k]] << (k * each) for k in range(min(window, i + 1))) % (1 << 32) for i in range(len(data))]
-    ends = [i + 1 for i in range(reach, len(data) - reach)
-            if all(h[i] < x for x in h[i - reach:i]) and all(h[i] <= x for x in h[i + 1:i + reach + 1])]
+    ends = []
+    for i in range(reach, len(data) - reach):
+        if h[i] <= min(h[i - reach:i + reach + 1]) and (not ends or i + 1 - ends[-1] > reach):
+            ends.append(i + 1)
     return ends + [len(data)]
 
 
@@ -24,6 +26,8 @@ def test_borders_match_the_definition():
     for n in (1, 5, 32, 33, 34, 100, 700):
         data = words(rng, 200).encode()[:n]
         assert chunking.low_points(data, 16, 16).tolist() == brute_chunks(data, 16, 16)
+    for data in (b"be " * 90, b"x" * 200, b"abcdefghijklmnopqrstuvwxyz" * 9):
+        assert chunking.low_points(data, 16, 16).tolist() == brute_chunks(data, 16, 16)
     assert chunking.low_points(b"", 16).tolist() == []
     data = words(rng, 400).encode()
     assert chunking.rolling(data, 32)[500] == sum(int(chunking.GEAR[data[500 - k]]) << k for k in range(32)) % (1 << 32)
@@ -89,6 +93,12 @@ def test_awkward_rows(awkward, nothing):
     assert substrings.passages(nothing).collect() == []
 
 
+def test_runs_of_one_word_are_passages_too(spark):
+    rng = random.Random(6)
+    rows = [(i, words(rng, 30) + " same" * (80 + i) + " " + words(rng, 30)) for i in range(3)]
+    assert {r["doc_id"] for r in substrings.passages(docs_df(spark, rows)).collect()} == {0, 1, 2}
+
+
 def test_repeats_inside_one_document_do_not_count(spark):
     line = words(random.Random(9), 80)
     assert substrings.passages(docs_df(spark, [(1, line + "\n" + line), (1, line), (2, "other words")])).collect() == []
