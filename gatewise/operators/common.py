@@ -53,7 +53,7 @@ def previous_time(df: DataFrame, keys: Sequence[str], time: str, tiebreak: str,
              .agg(F.max_by(F.col(time), F.struct(time, tiebreak)).alias("_last"))
              .withColumn("_prev_sec", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_sec")))
              .drop("_last"))
-    joined = rows.join(lasts, on=[*keys, "_sec"], how="inner")
+    joined = join_null_safe(rows, lasts, [*keys, "_sec"])
     return (joined.withColumn(out, F.coalesce(F.col("_prev_in"), F.col("_prev_sec")))
             .drop("_sec", "_prev_in", "_prev_sec"))
 
@@ -103,33 +103,8 @@ def ratio_round2(total: Column, count: Column) -> Column:
     return ((q + up) / F.lit(100.0)).cast("double")
 
 
-# Dimensions with at most this many rows are broadcast (checked by counting).
-MAX_BROADCAST_ROWS = 2_000_000
-# Salt buckets of the fallback join for larger dimensions.
-DIMENSION_SALTS = 64
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "inner",
-                   max_rows: int = MAX_BROADCAST_ROWS, salts: int = DIMENSION_SALTS) -> DataFrame:
-    """Join a fact table to a stored dimension whose key can be hot on the
-    fact side (a date, a camera, an event).
-
-    Meant for dimensions that are cheap to count (read from storage or derived
-    from another dimension); for aggregates of the fact data itself, a plain
-    join sized by AQE at run time avoids an extra pass.
-
-    The dimension is counted first; within ``max_rows`` it is broadcast, so no
-    fact row is shuffled by the hot key. Beyond that, a salted shuffle join is
-    used: every dimension row is replicated to ``salts`` buckets and each fact
-    row goes to one bucket chosen by a hash of the row, which spreads a hot key
-    over ``salts`` tasks. Inner and left joins keep their meaning (each fact row
-    meets each matching dimension row exactly once).
-    """
-    if how not in ("inner", "left"):
-        raise ValueError("join_dimension supports inner and left joins")
-    if dim.count() <= max_rows:
-        return fact.join(F.broadcast(dim), on=list(on), how=how)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
-    f = fact.withColumn("_salt", salt)
-    d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return f.join(d, on=[*on, "_salt"], how=how).drop("_salt")
+def join_null_safe(rows: DataFrame, other: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL matches NULL; the keys come from ``rows``."""
+    renamed = other.select(*[F.col(c).alias(f"_other_{c}" if c in keys else c) for c in other.columns])
+    on = [rows[k].eqNullSafe(renamed[f"_other_{k}"]) for k in keys]
+    return rows.join(renamed, on=on, how=how).drop(*[f"_other_{k}" for k in keys])

@@ -4,9 +4,8 @@ conversion to the casino entrance, joined summary, run dates and reports.
 The reference runs one event title (or one date) per call; these jobs handle
 every event of the calendar in one plan, keyed by ``event_name``. The event
 calendar and the camera table are dimensions joined on keys that are hot on
-the capture side (a date, a camera): they go through ``join_dimension``
-(broadcast after a row-count check, else a salted join). Other joins are
-left to Catalyst/AQE.
+the capture side (a date, a camera). All joins are plain equi-joins: Spark
+broadcasts a side by its size in bytes and splits skewed partitions at run time.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewise.functions import derive as d
-from gatewise.operators.common import join_dimension, next_capture_time
+from gatewise.operators.common import next_capture_time
 
 DEMO = ["Age_range", "gender", "profile_type", "member_tier"]
 ARENA = "Arena"
@@ -97,9 +96,9 @@ def event_capture_detail(captures: DataFrame, camera_dim: DataFrame, calendar: D
     t1 = next_capture_time(t1, ["_cal", "profile_id"])
     t1 = t1.withColumn("camera_id", F.col("camera_id").cast("string"))
     cam = camera_dim.select(F.col("camera_id").cast("string").alias("camera_id"), "group", "business_sector")
-    j = join_dimension(t1, cam, ["camera_id"], "inner")
+    j = t1.join(cam, on="camera_id", how="inner")
     cal = calendar.select(F.col("CDate").alias("_cal"), "Title", "CDate", "StartDtm_", "EndDtm_")
-    j = join_dimension(j, cal, ["_cal"], "left")
+    j = j.join(cal, on="_cal", how="left")
     inside = (F.col("capture_time").between(_hours(F.col("StartDtm_"), -4), _hours(F.col("EndDtm_"), 4))
               & (F.col("business_sector") == ARENA))
     ev = F.when(inside, F.col("Title"))
@@ -176,7 +175,7 @@ def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     cal = calendar.select(F.col("Title").alias("event_name"), F.col("CDate").alias("date"), "StartDtm_", "EndDtm_")
     days = _event_days(cal, F.to_date(_hours(F.col("StartDtm_"), -4)), F.to_date(_hours(F.col("EndDtm_"), 4)))
     # calendar-derived windows are a dimension; one event may hold most attendees
-    win = join_dimension(_attendees(detail), _windows(days), ["event_name", "hour_window"], "inner")
+    win = _attendees(detail).join(_windows(days), on=["event_name", "hour_window"], how="inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
     rows = _group_and_all(rows)
     pre = F.col("capture_time").between(F.col("pre_th"), F.col("StartDtm_"))
@@ -205,7 +204,7 @@ def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
                        F.to_date(_hours(F.col("EndDtm_"), 4)),
                        count_from=F.to_date(_hours(F.col("StartDtm_"), -4)))
     # calendar-derived windows are a dimension; one event may hold most attendees
-    win = join_dimension(_attendees(detail), _windows(days), ["event_name", "hour_window"], "inner")
+    win = _attendees(detail).join(_windows(days), on=["event_name", "hour_window"], how="inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
     rows = _group_and_all(rows)
     pre = F.col("capture_time") <= F.col("pre_th")
@@ -255,13 +254,13 @@ def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
                    *DEMO, "group")
            .distinct())
     # only events of the given calendar (the detail carries every event of a date)
-    att = join_dimension(att, cal.select("event_name").distinct(), ["event_name"], "inner")
+    att = att.join(cal.select("event_name").distinct(), on="event_name", how="inner")
     casino = (detail.where(F.col("business_sector") == CASINO_ENTRANCE)
               .select("profile_id", F.to_date("capture_time").alias("date")).distinct()
               .withColumn("_seen", F.lit(1)))
     # an attendee date outside the event's dates cannot convert
     in_days = days.withColumn("_in", F.lit(1))
-    f = (join_dimension(att, in_days, ["event_name", "date"], "left")
+    f = (att.join(in_days, on=["event_name", "date"], how="left")
          .join(casino, on=["profile_id", "date"], how="left")
          .withColumn("_conv", F.when(F.col("_in").isNotNull() & F.col("_seen").isNotNull(), 1).otherwise(0)))
     f = _group_and_all(f)
@@ -292,7 +291,7 @@ def event_run_dates(calendar: DataFrame, titles: DataFrame | None = None) -> Dat
     """Q33: dates to process: each event date and the days before and after,
     up to today, distinct. With ``titles`` (a one-column DataFrame of event
     names) only those events count; it is applied as a semi-join."""
-    cal = calendar.where(F.col("CDate") <= F.current_date())
+    cal = calendar
     if titles is not None:
         cal = cal.join(titles.select(F.col(titles.columns[0]).alias("Title")), on="Title", how="left_semi")
     return (cal.select(F.explode(F.array(F.date_sub("CDate", 1), F.col("CDate"), F.date_add("CDate", 1)))

@@ -18,6 +18,7 @@ Intended meaning instead of a default-value artefact
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
@@ -52,7 +53,16 @@ def capture_detail(captures_raw: DataFrame, days: Iterable | None = None) -> Dat
     profile), so it never crosses 06:00 or midnight. Optional pass-through
     columns of the raw table are kept.
     """
-    df = captures_raw.withColumn("date_casino", d.business_day("capture_time"))
+    df = captures_raw
+    if days is not None:
+        days = [x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x)) for x in days]
+        # business days run from 06:00 to 06:00: a range on the stored column
+        # reaches the scan, the exact days are kept after it
+        if days:
+            opens = [dt.datetime.combine(x, dt.time(6)) for x in (min(days), max(days) + dt.timedelta(days=1))]
+            df = df.where((F.col("capture_time") >= F.lit(opens[0]).cast("timestamp_ntz"))
+                          & (F.col("capture_time") < F.lit(opens[1]).cast("timestamp_ntz")))
+    df = df.withColumn("date_casino", d.business_day("capture_time"))
     df = _days(df, days)
     df = df.withColumn("_cal", F.to_date("capture_time"))
     df = next_capture_time(df, ["date_casino", "_cal", "profile_id"])
@@ -316,9 +326,10 @@ def _by_flag_cube(tab: DataFrame, keys: list, ret: F.Column, short: F.Column, na
                 F.max(F.when((F.col("_r") == 0) & (F.col("_s") == 1), 1).otherwise(0)).alias("_r0s"),
                 F.sum(F.when(F.col("_r") == 1, F.col("stay_time_p"))).alias("_st1"),
                 F.sum(F.when(F.col("_r") == 0, F.col("stay_time_p"))).alias("_st0")))
-    cnt = lambda c: F.sum(c).cast("long")
+    # a missing profile is nobody: its time counts, but not as a visitor
+    cnt = lambda c: F.sum(F.when(F.col("profile_id").isNull(), 0).otherwise(F.col(c))).cast("long")
     return per.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("visitor_num"),
+        F.count("profile_id").alias("visitor_num"),
         F.sum("_stay").alias("stay_time"),
         cnt("_any_s").alias(names["less"]),
         cnt("_r1").alias(names["ret"]),
@@ -369,17 +380,19 @@ def _profile_level(tab: DataFrame, keys: list, ret_cols: list) -> DataFrame:
     prof = (per.groupBy("date_casino", "profile_id")
             .agg(F.sum("_stay").alias("_tot"),
                  sum((F.sum(f"_{c}") for c in ret_cols), F.lit(0)).alias("_rsum")))
-    return (per.join(prof, on=["date_casino", "profile_id"], how="inner")
-            .withColumn("_short", F.col("_tot") < SHORT)
-            .withColumn("_new", F.col("_rsum") == 0))
+    # a missing profile is nobody: its rows meet no profile-day, only their time counts
+    return (per.join(prof, on=["date_casino", "profile_id"], how="left")
+            .withColumn("_short", F.coalesce(F.col("_tot") < SHORT, F.lit(False)))
+            .withColumn("_new", F.coalesce(F.col("_rsum") == 0, F.lit(False))))
 
 
 def _all_cube(tab: DataFrame, keys: list) -> DataFrame:
     per = _profile_level(tab, keys, ["is_return_zone", "is_return_casino"])
     ret = ~F.col("_new")
-    ones = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    someone = F.col("profile_id").isNotNull()
+    ones = lambda c: F.sum(F.when(c & someone, 1).otherwise(0)).cast("long")
     out = per.groupBy("date_casino", *keys).agg(
-        F.count(F.lit(1)).alias("visitor_num"),
+        F.count("profile_id").alias("visitor_num"),
         F.sum("_stay").alias("stay_time"),
         ones(F.col("_short")).alias("less15min_region_visitor_num"),
         ones(ret).alias("return_zone_visitor_num"),

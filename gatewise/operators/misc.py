@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions.derive import epoch_micros, epoch_seconds
-from gatewise.operators.common import previous_time
+from gatewise.operators.common import join_null_safe, previous_time
 
 
 def region_runs(captures: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def group_center_range(df: DataFrame, group: str, value: str) -> DataFrame:
     splits a skewed group's partition otherwise."""
     stats = df.groupBy(group).agg(F.avg(value).alias("_mean"),
                                   (F.max(value) - F.min(value)).alias("range"))
-    return (df.join(stats, on=group, how="inner")
+    return (join_null_safe(df, stats, [group])
             .withColumn("centered", F.round(F.col(value) - F.col("_mean"), 6)).drop("_mean"))
 
 

@@ -5,9 +5,9 @@ All variants share one band self-join: both sides carry an integer position
 neighbouring buckets of width ``W`` so an equi-join on (profile, day, bucket)
 finds every pair with ``|pos2 - pos1| <= W``, which a filter then enforces
 exactly. The join key includes the bucket, so a profile with many captures is
-spread over many join partitions, and AQE splits what is still skewed. The
-sightings side is reduced to distinct (profile, time, area) rows, which
-bounds each capture's partners by the distinct seconds in two hours.
+spread over its hours. The sightings side is reduced to distinct (profile,
+time, area) rows before it is replicated, which bounds each capture's partners
+by the distinct seconds in two hours.
 
 "Nearest" picks use a total order (|delta|, then time, then id/area), so
 every result is reproducible; the reference leaves ties to chance. The
@@ -28,39 +28,39 @@ BINS = d.TARGET_BINS
 
 
 def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lpos: str, rpos: str,
-              width: int, dedupe: bool = False) -> DataFrame:
+              width: int) -> DataFrame:
     """All (left, right) pairs with equal ``keys`` and ``|rpos - lpos| <= width``.
 
-    Both sides are hash-partitioned on (keys, bucket) once; optional
-    de-duplication of the replicated right side then runs inside those
-    partitions (it bounds every left row's partners; left duplicates only
-    repeat pairs), and the join reuses the same partitioning. The output keeps ``_jb`` (the left row's bucket, a
-    function of its position): grouping keys that contain ``keys`` and
-    ``_jb`` need no further shuffle.
+    An equi-join on (keys, bucket), the right side sent to three buckets. The
+    output keeps ``_jb`` (the left row's bucket, a function of its position):
+    grouping keys that contain ``keys`` and ``_jb`` need no further shuffle.
     """
-    lb = (left.withColumn("_jb", F.floor(F.col(lpos) / F.lit(width)).cast("long"))
-          .repartition(*[F.col(k) for k in keys], F.col("_jb")))
+    lb = left.withColumn("_jb", F.floor(F.col(lpos) / F.lit(width)).cast("long"))
     rb = (right.withColumn("_b", F.floor(F.col(rpos) / F.lit(width)).cast("long"))
           .withColumn("_jb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
-          .drop("_b")
-          .repartition(*[F.col(k) for k in keys], F.col("_jb")))
-    if dedupe:
-        rb = rb.distinct()
+          .drop("_b"))
     return (lb.join(rb, on=[*keys, "_jb"], how="inner")
             .where(F.abs(F.col(rpos) - F.col(lpos)) <= width))
 
 
 def _recoded_sides(detail: DataFrame):
-    """v1 / v2 of the SQL path jobs: areas recoded (BW, CASINO, else name)."""
+    """v1 / v2 of the SQL path jobs: areas recoded (BW, CASINO, else name).
+
+    Both sides are distinct rows: the jobs count distinct profiles and pick
+    by (|seconds|, time, area), so repeated captures of a second and area can
+    change nothing. A (profile, day, hour) then holds at most its distinct
+    seconds and areas, however many captures there are.
+    """
     base = detail.select(
         "profile_id", "date_casino", "capture_time", "member_tier", "age", "gender", "profile_type",
         d.path_area("region_name").alias("area"),
         d.path_area("region_name_heatmap").alias("area_h"))
-    v1 = (base
+    v1 = (base.distinct()
           .withColumn("m1", d.minute_index("capture_time"))
           .withColumn("s1", d.epoch_seconds("capture_time")))
     v2 = (base.select("profile_id", "date_casino", F.col("capture_time").alias("ct2"),
                       F.col("area").alias("area2"), F.col("area_h").alias("area_h2"))
+          .distinct()
           .withColumn("m2", d.minute_index("ct2"))
           .withColumn("s2", d.epoch_seconds("ct2")))
     return v1, v2
@@ -73,7 +73,7 @@ def path_offsets(detail: DataFrame) -> DataFrame:
     the own area for bin 0, else the area of the group's nearest sighting
     (|seconds|, then time, then area)."""
     v1, v2 = _recoded_sides(detail)
-    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60, dedupe=True)
+    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
     pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
              .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
              .withColumn("off_bin", d.offset_bin_v1("d_min", "same_time"))
@@ -109,7 +109,7 @@ def path_offsets_carry(detail: DataFrame) -> DataFrame:
     map is bounded.
     """
     v1, v2 = _recoded_sides(detail)
-    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60, dedupe=True)
+    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
     pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
              .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
              .withColumn("bin", d.offset_bin_new("d_min", "same_time"))

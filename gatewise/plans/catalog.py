@@ -14,7 +14,6 @@ Nothing here collects data to the driver.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from gatewise.operators import events as ev
 from gatewise.operators import footfall as ff
 from gatewise.sources import testdata as td
-from gatewise.sources.tables import scratch_path
+from gatewise.sources.tables import input_stamp, scratch_path
 
-# (application id, input folder, layer) -> parquet path
-_STAGED: dict[tuple[str, str, str], str] = {}
+# (application id, input folder, its stamp, layer) -> parquet path
+_STAGED: dict[tuple[str, str, str, str], str] = {}
 # (application id, path) -> DataFrame reading it: staged layers never change,
 # so the file listing and footer schema are resolved once per session
 _READS: dict[tuple[str, str], DataFrame] = {}
@@ -41,10 +40,12 @@ class Footfall:
         self.sf_dir = sf_dir
         self.staged = staged
         self._lazy: dict[str, DataFrame] = {}
+        # a changed input gets layers of its own
+        self.stamp = input_stamp(spark, f"{sf_dir.rstrip('/')}/events.parquet") if staged else ""
 
     # staging ------------------------------------------------------------------
-    def _key(self, name: str) -> tuple[str, str, str]:
-        return (self.spark.sparkContext.applicationId, os.path.abspath(self.sf_dir), name)
+    def _key(self, name: str) -> tuple[str, str, str, str]:
+        return (self.spark.sparkContext.applicationId, self.sf_dir.rstrip("/"), self.stamp, name)
 
     def is_staged(self, name: str) -> bool:
         return self._key(name) in _STAGED

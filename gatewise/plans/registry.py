@@ -237,22 +237,27 @@ def _run_stream(spark, sf_dir):
     from gatewise.streaming import ingest as si
     events = td.read_table(spark, sf_dir, "events")
     src = scratch_path(spark, "stream-src")
-    td.stream_records(events).repartition(8).write.mode("overwrite").text(src)
+    td.stream_records(events).write.mode("overwrite").text(src)
     tables = si.StreamTables(table=scratch_path(spark, "stream-table"), checkpoint=scratch_path(spark, "stream-ckpt"))
-    q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=4), tables)
+    q = si.start_ingest(si.file_source(spark, src), tables)
     q.awaitTermination()
-    return q, si.read_table(spark, tables.table)
+    return q, tables
 
 
 @register("q36_stream_ingest", tw.table("q36"))
 def q36(spark, sf_dir):
-    return _run_stream(spark, sf_dir)[1]
+    return _stored(spark, _run_stream(spark, sf_dir)[1])
+
+
+def _stored(spark, tables):
+    from gatewise.streaming import ingest as si
+    return si.read_table(spark, tables.table)
 
 
 def _stream_table(spark, sf_dir):
     """The stored stream table (the stream runs once per session and input)."""
     f = Footfall(spark, sf_dir)
-    return f.layer("stream_table", lambda: _run_stream(spark, sf_dir)[1])
+    return f.layer("stream_table", lambda: _stored(spark, _run_stream(spark, sf_dir)[1]))
 
 
 @register("q37_latest_n", tw.table("q37_latest"))
@@ -267,17 +272,17 @@ def q37b(spark, sf_dir):
     return si.row_count(_stream_table(spark, sf_dir))
 
 
-@register("q44_stream_stats")
+@register("q44_stream_stats", tw.table("q44"))
 def q44(spark, sf_dir):
     from gatewise.streaming import ingest as si
     totals = si.ProgressTotals()
     spark.streams.addListener(totals)
     try:
-        q, table = _run_stream(spark, sf_dir)
-        totals.wait_for(q)
+        q, tables = _run_stream(spark, sf_dir)
+        batches = totals.of(q)
     finally:
         spark.streams.removeListener(totals)
-    return si.stream_stats(q, table, totals)
+    return si.stream_stats(batches, si.read_counts(spark, tables.table), _stored(spark, tables))
 
 
 # --------------------------------------------------------------------------- ingest

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from gatewise.operators import events as ev
 from gatewise.operators import footfall as ff
 from gatewise.operators import paths as pa
-from gatewise.sources.tables import write_slices
+from gatewise.sources.tables import replace_slices
 
 
 def _dates(days: Iterable | None) -> list[dt.date] | None:
@@ -34,12 +34,13 @@ def _dates(days: Iterable | None) -> list[dt.date] | None:
     return sorted({d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days})
 
 
-def _store(spark: SparkSession, df: DataFrame, root: str, table: str, slice_col: str) -> DataFrame:
-    """Replace the slices of ``df`` in ``<root>/<table>`` and read the table
-    back (with the written schema, so a table whose slices are all empty
+def _store(spark: SparkSession, df: DataFrame, root: str, table: str, slice_col: str,
+           slices: Iterable | None = None) -> DataFrame:
+    """Replace the named slices (None: all) in ``<root>/<table>``, emptying
+    those that ``df`` has no row for, and read the table back (with the written schema, so a table whose slices are all empty
     still reads as an empty table)."""
     path = f"{root.rstrip('/')}/{table}"
-    write_slices(df, path, slice_col, add_batch_time=True)
+    replace_slices(df, path, slice_col, slices, add_batch_time=True)
     return _read(spark, path, df.schema)
 
 
@@ -51,6 +52,16 @@ def _between(col: str, lo: dt.date, hi: dt.date):
     return (F.col(col) >= F.lit(lo)) & (F.col(col) <= F.lit(hi))
 
 
+def during(first: dt.date | None, last: dt.date | None):
+    """Captures of the calendar dates ``first`` to ``last``, as a range on the
+    stored column that reaches the scan; no dates: no rows."""
+    if first is None or last is None:
+        return F.lit(False)
+    t = F.col("capture_time")
+    return ((t >= F.lit(dt.datetime.combine(first, dt.time())).cast("timestamp_ntz"))
+            & (t < F.lit(dt.datetime.combine(last + dt.timedelta(days=1), dt.time())).cast("timestamp_ntz")))
+
+
 def run_footfall(spark: SparkSession, captures_raw: DataFrame, root: str,
                  days: Iterable | None = None) -> dict[str, DataFrame]:
     """Build detail -> stay -> new/return -> index -> cubes and path tables for
@@ -59,10 +70,10 @@ def run_footfall(spark: SparkSession, captures_raw: DataFrame, root: str,
     out: dict[str, DataFrame] = {}
 
     def store(name, df, slice_col="date_casino"):
-        t = _store(spark, df, root, name, slice_col)
+        t = _store(spark, df, root, name, slice_col, ds)
         return t if ds is None else t.where(F.col(slice_col).isin(ds))
 
-    detail_all = _store(spark, ff.capture_detail(captures_raw, ds), root, "capture_detail", "date_casino")
+    detail_all = _store(spark, ff.capture_detail(captures_raw, ds), root, "capture_detail", "date_casino", ds)
     detail = detail_all if ds is None else detail_all.where(F.col("date_casino").isin(ds))
     out["capture_detail"] = detail
     stay = store("stay_time", ff.stay_time(detail))
@@ -93,7 +104,7 @@ def run_footfall(spark: SparkSession, captures_raw: DataFrame, root: str,
     # dates d and d + 1, both computed whole from the raw captures
     cal_days = None if ds is None else sorted(set(ds) | {d + dt.timedelta(days=1) for d in ds})
     groups = ff.companion_groups(captures_raw, cal_days).withColumn("date", F.to_date("date_hour"))
-    stored_groups = _store(spark, groups, root, "companion_groups", "date")
+    stored_groups = _store(spark, groups, root, "companion_groups", "date", cal_days)
     if ds is not None:
         stored_groups = stored_groups.where(F.to_date("date_casino_hour").isin(ds))
     out["companion_groups"] = stored_groups
@@ -118,15 +129,19 @@ def run_events(spark: SparkSession, captures: DataFrame, camera_dim: DataFrame,
     cal = spark.read.parquet(cal_path)
     chosen = cal
     caps = captures
+    days = names = None
     if titles is not None:
         chosen = cal.join(titles.select(F.col(titles.columns[0]).alias("Title")), on="Title", how="left_semi")
         dates = ev.event_run_dates(chosen).select(F.col("CDate").alias("_d"))
-        caps = (captures.withColumn("_d", F.to_date("capture_time"))
-                .join(dates, on="_d", how="left_semi").drop("_d"))
+        # the chosen events and their dates (a few per event), as slice names
+        names = [r[0] for r in chosen.select("Title").distinct().collect()]
+        days = [r[0] for r in dates.collect()]
+        caps = (captures.where(during(min(days, default=None), max(days, default=None)))
+                .withColumn("_d", F.to_date("capture_time")).join(dates, on="_d", how="left_semi").drop("_d"))
     detail = ev.event_capture_detail(caps, camera_dim, cal).withColumn("date", F.to_date("capture_time"))
-    detail = _store(spark, detail, root, "event_capture_detail", "date").drop("date")
-    pre_post = _store(spark, ev.event_pre_post(detail, chosen), root, "event_pre_post", "event_name")
-    conversion = _store(spark, ev.event_conversion(detail, chosen), root, "event_conversion", "event_name")
-    summary = _store(spark, ev.event_summary(conversion, pre_post), root, "event_summary", "event_name")
+    detail = _store(spark, detail, root, "event_capture_detail", "date", days).drop("date")
+    pre_post = _store(spark, ev.event_pre_post(detail, chosen), root, "event_pre_post", "event_name", names)
+    conversion = _store(spark, ev.event_conversion(detail, chosen), root, "event_conversion", "event_name", names)
+    summary = _store(spark, ev.event_summary(conversion, pre_post), root, "event_summary", "event_name", names)
     return {"event_calendar": cal, "event_capture_detail": detail, "event_pre_post": pre_post,
             "event_conversion": conversion, "event_summary": summary}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,11 +37,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    if master and master.startswith("local"):
-        # Small local inputs: let AQE keep enough shuffle partitions to use
-        # every core (its 1 MB floor would merge them into one task). On a
-        # cluster the default floor is right, as partitions are far larger.
-        conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "16k"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -60,14 +56,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediate tables.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one; only when it is
-    unset (local tests) a private scratch folder is created and registered.
+    Uses ``spark.checkpoint.dir``. When it is unset, a single-machine session
+    (master ``local``) gets a scratch folder of its own; on a cluster that
+    folder would be a different one on every machine, so it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors share (master {master})")
     local = tempfile.mkdtemp(prefix="gatewise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -8,7 +8,9 @@ partitions present in the new data and is idempotent on rerun.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,49 @@ def write_slices(df: DataFrame, path: str, slice_col: str | list[str], add_batch
      .partitionBy(*cols).parquet(path))
 
 
+def _status(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, time changed) of what lies directly under ``path``; nothing if it is absent."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(folder):
+        return []
+    return sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in store.listStatus(folder))
+
+
+def input_stamp(spark: SparkSession, path: str) -> str:
+    """Digest of the files of a table: it changes when the table is replaced."""
+    return hashlib.sha256(repr(_status(spark, path)).encode()).hexdigest()
+
+
+def replace_slices(df: DataFrame, path: str, slice_col: str, slices: Iterable | None = None, **options) -> None:
+    """Replace slices by ``df``, also by nothing: of the named ``slices`` (None:
+    of the whole table), those that ``df`` has no row for are removed.
+
+    The new rows are written first; a slice whose files are the same
+    afterwards got none, and goes.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    named = None if slices is None else {_folder(spark, slice_col, x) for x in slices}
+    old = {name for name, _, _ in _status(spark, path) if name.startswith(f"{slice_col}=")}
+    before = {x: _status(spark, f"{path}/{x}") for x in (old if named is None else old & named)}
+    write_slices(df, path, slice_col, **options)
+    jvm = spark._jvm
+    for name, files in before.items():
+        if _status(spark, f"{path}/{name}") == files:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folder(spark: SparkSession, slice_col: str, value: object) -> str:
+    """Folder name of a partition value, escaped as Spark writes it."""
+    if value is None or value == "":
+        return f"{slice_col}=__HIVE_DEFAULT_PARTITION__"
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return f"{slice_col}={escape(str(value))}"
+
+
 def truncate_and_load(df: DataFrame, path: str) -> None:
     """Replace the whole table (the reference's ``truncate`` + insert)."""
     df.write.mode("overwrite").parquet(path)
@@ -76,11 +121,19 @@ def insert_by_name(df: DataFrame, table: str) -> None:
     df.select(*target).write.insertInto(table)   # positional, after selecting by name
 
 
+#: CSV that gives every text back: blanks kept, quotes doubled, line ends and
+#: backslashes inside quotes left alone. A file is then read by one task.
+CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"',
+             "quoteAll": "true"}
+CSV_READ = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"',
+            "multiLine": "true"}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, time_format: str = "yyyy-MM-dd HH:mm:ss",
              date_format: str = "yyyy-MM-dd") -> DataFrame:
     """Read a CSV dimension with an explicit schema; timestamp and date
     columns are parsed with the given formats (no inference)."""
-    return (spark.read.option("header", "true").option("timestampNTZFormat", time_format)
+    return (spark.read.options(**CSV_READ).option("timestampNTZFormat", time_format)
             .option("timestampFormat", time_format).option("dateFormat", date_format)
             .schema(schema).csv(path))
 
@@ -90,13 +143,13 @@ def write_csv(df: DataFrame, path: str, time_format: str = "yyyy-MM-dd HH:mm:ss"
     out = df.select([F.date_format(F.col(f.name), time_format).alias(f.name)
                      if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f.name)
                      for f in df.schema.fields])
-    out.write.mode("overwrite").option("header", "true").csv(path)
+    out.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Write ``df`` as text CSV with a header (every value as its string form)."""
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-     .write.mode("overwrite").option("header", "true").csv(path))
+     .write.mode("overwrite").options(**CSV_WRITE).csv(path))
 
 
 def string_ingest(spark: SparkSession, path: str) -> DataFrame:
@@ -104,9 +157,9 @@ def string_ingest(spark: SparkSession, path: str) -> DataFrame:
 
     Column names come from the header; no type inference (the reference's
     spreadsheet loader reads ``dtype=str`` and fills NULL with '')."""
-    header = spark.read.option("header", "true").csv(path).columns
+    header = spark.read.options(**CSV_READ).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-    df = spark.read.option("header", "true").schema(schema).csv(path)
+    df = spark.read.options(**CSV_READ).schema(schema).csv(path)
     return df.select([F.coalesce(F.col(c), F.lit("")).alias(c) for c in header])
 
 
@@ -122,8 +175,8 @@ def ingest_audit(source: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def ingest_preview(stored: DataFrame, n: int = 3) -> DataFrame:
-    """Q39: the first ``n`` rows of the first three columns (the limit is the report)."""
-    return stored.select(*stored.columns[:3]).limit(n)
+    """Q39: the first ``n`` rows, by all columns, of the first three columns (the limit is the report)."""
+    return stored.orderBy(*stored.columns).select(*stored.columns[:3]).limit(n)
 
 
 SLIM_COLUMNS = ["profile_id", "region_id", "region_name", "capture_time", "age", "member_tier", "gender"]

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -25,9 +25,9 @@ RECORD_SCHEMA = T.StructType([
     T.StructField("ID", T.LongType(), True),
 ])
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-# Fixed settings of the reference's consumer: read from the earliest offset,
-# at most 500 records per poll.
-KAFKA_DEFAULTS = {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "500"}
+# Read from the earliest offset; how much one micro-batch takes is the caller's
+# choice (``maxOffsetsPerTrigger``), as it depends on the cluster.
+KAFKA_DEFAULTS = {"startingOffsets": "earliest"}
 
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
@@ -56,10 +56,13 @@ def write_topic(df: DataFrame, servers: str, topic: str, key: str | None = None)
      .option("kafka.acks", "all").option("kafka.enable.idempotence", "true").save())
 
 
-def file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Stream of JSON-lines text from a folder (new files are new records)."""
-    return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
-            .load(path))
+def file_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of JSON-lines text from a folder (new files are new records);
+    a micro-batch takes all new files unless the caller sets a limit."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
 
 
 def decode(values: DataFrame) -> DataFrame:
@@ -93,8 +96,13 @@ def start_ingest(values: DataFrame, tables: StreamTables, trigger: dict | None =
         F.when(F.col("_bad"), "bad").otherwise("good").alias("kind"))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id").parquet(tables.table))
+        sunk = Observation(f"sunk-{batch_id}")
+        (batch.withColumn("batch_id", F.lit(batch_id)).observe(sunk, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id")
+         .parquet(tables.table))
+        spark = batch.sparkSession
+        (spark.createDataFrame([(batch_id, sunk.get["rows"])], "batch_id long, rows long").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{tables.table}-counts"))
 
     writer = decoded.writeStream.foreachBatch(write_batch).option("checkpointLocation", tables.checkpoint)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
@@ -112,9 +120,14 @@ def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("kind") == "bad").select(F.col("raw").alias("value"), "batch_id")
 
 
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that the sink wrote per batch, good and bad ones (batch_id, rows)."""
+    return spark.read.schema("rows long, batch_id long").parquet(f"{path}-counts")
+
+
 def latest_n(table: DataFrame, n: int = 10) -> DataFrame:
-    """Q37: the newest ``n`` rows by ID (top-k; the limit is the feature)."""
-    return table.orderBy(F.col("ID").desc()).limit(n)
+    """Q37: the newest ``n`` rows by ID, then by time (top-k; the limit is the feature)."""
+    return table.orderBy(F.col("ID").desc(), F.col("date_time").desc(), F.col("time_was_defaulted")).limit(n)
 
 
 def row_count(table: DataFrame) -> DataFrame:
@@ -123,52 +136,54 @@ def row_count(table: DataFrame) -> DataFrame:
 
 
 class ProgressTotals(StreamingQueryListener):
-    """Running totals of every micro-batch of the watched queries (the
-    reference's periodic consumed / rate report). ``recentProgress`` keeps only
-    the latest reports; a listener sees all of them."""
+    """Running totals of every micro-batch of one query (the reference's
+    periodic consumed / rate report). ``recentProgress`` keeps only the latest
+    reports; a listener sees all of them. Reports of other queries of the
+    session are left out once :meth:`of` has named the query."""
 
     def __init__(self):
-        self.batches = 0
-        self.rows = 0
-        self.rates: list[float] = []
+        self.seen: dict[str, dict[int, tuple[int, float]]] = {}   # run -> batch -> (rows, seconds)
+        self.ended: set[str] = set()
 
     def onQueryStarted(self, event):
-        pass
+        self.seen.setdefault(str(event.runId), {})
 
     def onQueryProgress(self, event):
         p = event.progress
-        self.batches += 1
-        self.rows += int(p.numInputRows)
-        self.rates.append(float(p.processedRowsPerSecond or 0.0))
+        rows = int(p.numInputRows)
+        if rows:
+            seconds = rows / p.processedRowsPerSecond if p.processedRowsPerSecond else 0.0
+            self.seen.setdefault(str(p.runId), {})[int(p.batchId)] = (rows, seconds)
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        pass
+        self.ended.add(str(event.runId))
 
-    def wait_for(self, query: StreamingQuery, timeout_s: float = 10.0) -> None:
-        """Progress events arrive asynchronously: wait (bounded) until every
-        batch the query reported has been seen."""
+    def of(self, query: StreamingQuery) -> dict[int, tuple[int, float]]:
+        """Rows and seconds of each batch of ``query``. Events arrive one
+        after the other, the end of a run last, so all batches are known when
+        the end of an ended run is."""
         import time
-        deadline = time.monotonic() + timeout_s
-        while self.batches < len(query.recentProgress or []) and time.monotonic() < deadline:
+        run = str(query.runId)
+        while not query.isActive and run not in self.ended:
             time.sleep(0.05)
+        return dict(self.seen.get(run, {}))
 
 
-def stream_stats(query: StreamingQuery, stored: DataFrame, totals: ProgressTotals | None = None) -> DataFrame:
-    """Q44: batches, consumed rows, average processing rate, written rows and
-    stored count (one row), from a ``ProgressTotals`` listener when given,
-    else from the query's recent progress reports."""
-    if totals is not None:
-        batches, consumed, rates = totals.batches, totals.rows, totals.rates
-    else:
-        progress = query.recentProgress or []
-        batches = len(progress)
-        consumed = sum(int(p.numInputRows) for p in progress)
-        rates = [float(p.processedRowsPerSecond or 0.0) for p in progress]
-    avg_rate = sum(rates) / len(rates) if rates else 0.0
+def stream_stats(batches: dict[int, tuple[int, float]], written: DataFrame, stored: DataFrame) -> DataFrame:
+    """Q44: one row: batches, consumed_rows (as the query reports them),
+    written_rows (as the sink counted them per batch), stored_rows (as the
+    table holds them). ``written`` is :func:`read_counts` of the sink."""
     counts = stored.agg(F.count(F.lit(1)).alias("stored_rows"))
-    return counts.select(F.lit(batches).alias("batches"), F.lit(consumed).cast("long").alias("consumed_rows"),
-                         F.col("stored_rows").alias("written_rows"), F.lit(avg_rate).alias("avg_rows_per_sec"),
-                         "stored_rows")
+    sunk = written.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("written_rows"))
+    return sunk.join(counts).select(
+        F.lit(len(batches)).cast("long").alias("batches"),
+        F.lit(sum(rows for rows, _ in batches.values())).cast("long").alias("consumed_rows"), "written_rows", "stored_rows")
+
+
+def rate_report(batches: dict[int, tuple[int, float]]) -> str:
+    """Rows per second of a run, for a log: a measurement, no checked result."""
+    rows, seconds = (sum(x[i] for x in batches.values()) for i in (0, 1))
+    return f"{rows} rows in {len(batches)} batches, {rows / seconds if seconds else 0.0:.0f} rows/s"

@@ -106,3 +106,22 @@ def test_path_bins_on_captures(spark):
     # other negative bins stay empty because an earlier sighting exists
     assert got[15] == "ZONE 7" and got[60] == "ZONE 7" and got[-30] == "ZONE 6"
     assert -15 not in got and -60 not in got
+
+
+def test_run_dates_reach_the_day_before_an_event_to_come(spark):
+    import datetime as dt
+    today = spark.sql("SELECT current_date() AS d").first().d
+    day = dt.timedelta(days=1)
+    for shift, want in ((-1, [-2, -1, 0]), (0, [-1, 0]), (1, [0]), (2, [])):
+        cal = spark.createDataFrame([("E", today + shift * day)], "Title string, CDate date")
+        got = sorted(r.CDate for r in ev.event_run_dates(cal).collect())
+        assert got == [today + x * day for x in want]
+
+
+def test_null_keys_keep_their_rows(spark):
+    df = spark.createDataFrame([(None, 1.0, 1), (None, 3.0, 2), ("a", 5.0, 3)], "g string, v double, i int")
+    got = {r.i: (r.centered, r.range) for r in ms.group_center_range(df, "g", "v").collect()}
+    assert got == {1: (-1.0, 2.0), 2: (1.0, 2.0), 3: (0.0, 0.0)}
+    timed = df.selectExpr("g", "i", "timestamp_seconds(i * 10) AS t")
+    gaps = {r.i: r.time_diff for r in ms.time_gaps(timed, ["g"], "t", "i").collect()}
+    assert gaps == {1: None, 2: 10.0, 3: None}

@@ -45,20 +45,6 @@ def test_gap_groups_equal_running_sum(spark):
         assert ours.exceptAll(plain).count() == 0 and plain.exceptAll(ours).count() == 0
 
 
-def test_join_dimension_salted_path_equals_plain_join(spark):
-    from gatewise.operators.common import join_dimension
-    fact = spark.createDataFrame([(i, "2024-01-02" if i % 3 else "2024-01-03") for i in range(200)],
-                                 "id int, d string")
-    dim = spark.createDataFrame([("2024-01-02", "A"), ("2024-01-02", "B"), ("2024-01-04", "C")], "d string, t string")
-    for how in ("inner", "left"):
-        plain = fact.join(dim, on="d", how=how)
-        bcast = join_dimension(fact, dim, ["d"], how)
-        salted = join_dimension(fact, dim, ["d"], how, max_rows=1, salts=7)
-        for other in (bcast, salted):
-            o = other.select(*plain.columns)
-            assert o.exceptAll(plain).count() == 0 and plain.exceptAll(o).count() == 0
-
-
 def test_previous_time_equals_lag(spark):
     from gatewise.operators.common import previous_time
     rnd = random.Random(3)

@@ -96,9 +96,76 @@ def test_listener_totals_match_progress(spark, tmp_path):
     try:
         q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=1), tables)
         q.awaitTermination()
-        totals.wait_for(q)                      # listener events arrive asynchronously
+        batches = totals.of(q)
     finally:
         spark.streams.removeListener(totals)
-    stats = si.stream_stats(q, si.read_table(spark, tables.table), totals).first()
-    assert (stats.consumed_rows, stats.written_rows, stats.stored_rows) == (12, 12, 12)
-    assert stats.batches >= 3
+    stats = si.stream_stats(batches, si.read_counts(spark, tables.table), si.read_table(spark, tables.table)).first()
+    assert tuple(stats) == (3, 12, 12, 12)
+    assert si.rate_report(batches).startswith("12 rows in 3 batches")
+
+
+def test_written_and_stored_rows_can_differ(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _write(src, "a.json", ['{"date_time": "2024-01-02 10:00:00", "ID": 1}', "not json"])
+    tables = si.StreamTables(table=str(tmp_path / "table"), checkpoint=str(tmp_path / "ckpt"))
+    si.start_ingest(si.file_source(spark, src), tables).awaitTermination()
+    stats = si.stream_stats({0: (2, 0.1)}, si.read_counts(spark, tables.table), si.read_table(spark, tables.table)).first()
+    assert (stats.consumed_rows, stats.written_rows, stats.stored_rows) == (2, 2, 1)
+
+
+def test_latest_rows_with_equal_ids(spark):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 2, h), 7, False) for h in (3, 1, 2)]
+    table = spark.createDataFrame(rows, "date_time timestamp_ntz, ID long, time_was_defaulted boolean")
+    assert [r.date_time.hour for r in si.latest_n(table, 2).collect()] == [3, 2]
+
+
+def test_csv_gives_every_text_back(spark, tmp_path):
+    texts = ["  a b  ", "x\ny", 'say "hi"', "back\\slash", "a,b", "r\r\nn", "\ttab", "plain", "'"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, s string")
+    path = str(tmp_path / "sheet")
+    tb.export_csv(df, path)
+    stored = tb.string_ingest(spark, path)
+    assert sorted((int(r.k), r.s) for r in stored.collect()) == list(enumerate(texts))
+    assert tb.ingest_audit(df, stored).first().complete
+    assert [r.k for r in tb.ingest_preview(stored, 2).collect()] == ["0", "1"]
+
+
+def test_replaced_slices_without_rows_are_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    full = spark.createDataFrame([("a:1", 1), ("b", 2), ("c", 3)], "d string, v int")
+    tb.replace_slices(full, path, "d", add_batch_time=False)
+    some = spark.createDataFrame([("b", 20)], "d string, v int")
+    tb.replace_slices(some, path, "d", ["a:1", "b", "never"], add_batch_time=False)
+    read = lambda: sorted((r.d, r.v) for r in spark.read.schema("v int, d string").parquet(path).collect())
+    assert read() == [("b", 20), ("c", 3)]
+    tb.replace_slices(some.where("false"), path, "d", ["c"], add_batch_time=False)
+    assert read() == [("b", 20)]
+    tb.replace_slices(full.where("v = 3"), path, "d", add_batch_time=False)   # no names: the whole table
+    assert read() == [("c", 3)]
+
+
+def test_stamp_follows_the_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(5).write.parquet(path)
+    one = tb.input_stamp(spark, path)
+    assert one == tb.input_stamp(spark, path)
+    spark.range(6).write.mode("overwrite").parquet(path)
+    assert tb.input_stamp(spark, path) != one
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    import pytest
+    from gatewise.session import checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        conf, sparkContext = {}, Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
