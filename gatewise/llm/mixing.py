@@ -47,7 +47,9 @@ def words(text: Column) -> Column:
 
 
 def terms(found: Column) -> Column:
-    """What the classifier sees of a text: its words, and the last letters of its words."""
+    """What the classifier sees of a text: its different words, and the last
+    letters of those (it asks for presence only)."""
+    found = F.array_distinct(found)
     return F.concat(found, F.transform(found, lambda w: F.concat(F.lit(" "), F.substring(w, -1, 1))))
 
 
