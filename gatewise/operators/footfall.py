@@ -504,60 +504,51 @@ HOURLY_COLUMNS = ["date_casino", "date_hour", "region_type", "region_id", "regio
                   "sector", "visitor_num"]
 
 
-def _hour_base(index: DataFrame) -> DataFrame:
-    """Distinct (hour, region, demographics, recoded sector, profile): every
-    level below counts profiles of this one shuffled set."""
-    return (by_profile_day(index).select("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO,
-                         d.recoded_sector("region_type", "sector").alias("sector"), "profile_id")
-            .distinct())
+def _hour_people(index: DataFrame, levels: list, demo: bool = True) -> DataFrame:
+    """Visitors per hour at several levels in one pass over the index.
+
+    Each row of the index turns into one row per level (``levels``: region_id,
+    region_name, sector); the different (level, profile) rows are found inside
+    the profile's partition, and counted by one shuffle on the levels' keys. A
+    missing profile is nobody."""
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("level"), *[c.alias(n) for c, n in zip(
+        cs, ["region_id", "region_name", "sector"], strict=True)]) for i, cs in enumerate(levels)])).alias("_c")
+    keys = ["date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO, "sector"]
+    rows = (by_profile_day(index)
+            .withColumn("sector", d.recoded_sector("region_type", "sector"))
+            .select("date_casino", "date_hour", "region_type", *DEMO, "profile_id", cells)
+            .select("date_casino", "date_hour", "region_type", *DEMO, "profile_id", "_c.*"))
+    if demo:
+        return rows.distinct().groupBy(*keys).agg(F.count("profile_id").alias("visitor_num"))
+    # the region level counts a profile once per type and demographics, the level of all once
+    whole = F.col("level") == 0
+    once = [F.when(whole, F.col(c)).alias(c) for c in ["region_type", *DEMO]]
+    return (rows.select("date_casino", "date_hour", "region_id", "region_name", "sector", "level", "profile_id", *once)
+            .distinct().groupBy("date_casino", "date_hour", "region_id", "region_name", "sector")
+            .agg(F.count("profile_id").alias("visitor_num")))
 
 
 def visits_hourly(index: DataFrame) -> DataFrame:
     """Q17: distinct visitors per hour x demographics at three levels: region;
     region_type with region and sector 'all'; region_type + recoded sector."""
-    base = _hour_base(index)
-    all_ = F.lit("all")
-    l1 = (base.groupBy("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO, "sector")
-          .agg(F.count(F.lit(1)).alias("visitor_num")))
-    l2 = (base.groupBy("date_casino", "date_hour", "region_type", *DEMO)
-          .agg(F.countDistinct("profile_id").alias("visitor_num"))
-          .select("date_casino", "date_hour", "region_type", all_.alias("region_id"), all_.alias("region_name"),
-                  *DEMO, all_.alias("sector"), "visitor_num"))
-    l3 = (base.groupBy("date_casino", "date_hour", "region_type", *DEMO, "sector")
-          .agg(F.countDistinct("profile_id").alias("visitor_num"))
-          .select("date_casino", "date_hour", "region_type", all_.alias("region_id"), all_.alias("region_name"),
-                  *DEMO, "sector", "visitor_num"))
-    return l1.select(*HOURLY_COLUMNS).unionByName(l2).unionByName(l3)
+    all_, sector = F.lit("all"), F.col("sector")
+    out = _hour_people(index, [(F.col("region_id"), F.col("region_name"), sector), (all_, all_, all_), (all_, all_, sector)])
+    return out.select(*HOURLY_COLUMNS)
 
 
 def visits_hourly_casino(index: DataFrame) -> DataFrame:
     """Q18: type '4' only, levels region and 'all' (no sector column)."""
-    base = (by_profile_day(index).where(F.col("region_type") == "4")
-            .select("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO, "profile_id")
-            .distinct())
-    l1 = (base.groupBy("date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO)
-          .agg(F.count(F.lit(1)).alias("visitor_num")))
-    l2 = (base.groupBy("date_casino", "date_hour", "region_type", *DEMO)
-          .agg(F.countDistinct("profile_id").alias("visitor_num"))
-          .select("date_casino", "date_hour", "region_type", F.lit("all").alias("region_id"),
-                  F.lit("all").alias("region_name"), *DEMO, "visitor_num"))
-    return l1.unionByName(l2)
+    all_, none = F.lit("all"), F.lit("")
+    out = _hour_people(index.where(F.col("region_type") == "4"),
+                       [(F.col("region_id"), F.col("region_name"), none), (all_, all_, none)])
+    return out.select(*[c for c in HOURLY_COLUMNS if c != "sector"])
 
 
-def visits_hourly_sector(index: DataFrame, hourly: DataFrame | None = None) -> DataFrame:
-    """Q19: region rows of Q17 summed by sector, plus distinct profiles per
-    recoded sector with region 'all'."""
-    hourly = visits_hourly(index) if hourly is None else hourly
-    l1 = (hourly.where(F.col("region_id") != "all")
-          .groupBy("date_casino", "date_hour", "region_id", "region_name", "sector")
-          .agg(F.sum("visitor_num").cast("long").alias("visitor_num")))
-    l2 = (index.select("date_casino", "date_hour", d.recoded_sector("region_type", "sector").alias("sector"),
-                       "profile_id")
-          .groupBy("date_casino", "date_hour", "sector")
-          .agg(F.countDistinct("profile_id").alias("visitor_num"))
-          .select("date_casino", "date_hour", F.lit("all").alias("region_id"), F.lit("all").alias("region_name"),
-                  "sector", "visitor_num"))
-    return l1.unionByName(l2)
+def visits_hourly_sector(index: DataFrame) -> DataFrame:
+    """Q19: visitors of Q17's regions summed over the demographics, by sector,
+    and distinct profiles per recoded sector with region 'all'."""
+    all_, sector = F.lit("all"), F.col("sector")
+    return _hour_people(index, [(F.col("region_id"), F.col("region_name"), sector), (all_, all_, sector)], demo=False)
 
 
 # ---------------------------------------------------------------------------

@@ -212,13 +212,13 @@ def q35b(spark, sf_dir):
 # the gaming-floor regions (prefix CASINO) of the test data instead.
 @register("q03_companion_groups_by_camera", tw.table("q03"))
 def q03(spark, sf_dir):
-    return ff.companion_groups_by_camera(Footfall(spark, sf_dir).captures_raw, region_prefix="CASINO")
+    return ff.companion_groups_by_camera(Footfall(spark, sf_dir).captures_raw)
 
 
 @register("q04_companion_group_binned", tw.table("q04"))
 def q04(spark, sf_dir):
     return ff.companion_group_binned(
-        ff.companion_groups_by_camera(Footfall(spark, sf_dir).captures_raw, region_prefix="CASINO"))
+        ff.companion_groups_by_camera(Footfall(spark, sf_dir).captures_raw))
 
 
 @register("q06_stay_time_filled", tw.table("q06"))

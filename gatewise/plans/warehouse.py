@@ -86,10 +86,9 @@ def run_footfall(spark: SparkSession, captures_raw: DataFrame, root: str,
     out["visits_daily"] = store("visits_daily", ff.visits_daily(index))
     out["visits_daily_casino"] = store("visits_daily_casino", ff.visits_daily_casino(index))
     out["daily_sector"] = store("daily_sector", ff.daily_sector(index))
-    hourly = store("visits_hourly", ff.visits_hourly(index))
-    out["visits_hourly"] = hourly
+    out["visits_hourly"] = store("visits_hourly", ff.visits_hourly(index))
     out["visits_hourly_casino"] = store("visits_hourly_casino", ff.visits_hourly_casino(index))
-    out["visits_hourly_sector"] = store("visits_hourly_sector", ff.visits_hourly_sector(index, hourly))
+    out["visits_hourly_sector"] = store("visits_hourly_sector", ff.visits_hourly_sector(index))
     out["path_offsets"] = store("path_offsets", pa.path_offsets(detail))
     out["path_offsets_carry"] = store("path_offsets_carry", pa.path_offsets_carry(detail))
     out["path_daily"] = store("path_daily", pa.path_daily(index))

@@ -11,7 +11,7 @@ Mapping (``events`` -> ``captures_raw``):
 - capture_time = 2024-01-01 00:00:00 + ((whole epoch seconds of ts) - 1704067200) div 6 seconds
   (the clock is compressed six-fold so paths within +-60 minutes occur)
 - camera_id = k of ``props``; region number n = camera_id % 10
-- region_name: n in 0..3 -> 'CASINO n', n = 4 -> 'BW n', else 'ZONE n';
+- region_name: n in 0..3 -> 'CASINO n', n = 4 -> 'BW n', n = 9 -> 'Entrances 9', else 'ZONE n';
   region_name_heatmap = 'MAP ' || region_name; sector Casino / Halls / Music alike
 - age = 15 + (user_id * 7) % 60; gender = 1 + user_id % 2; profile_type = 1 + user_id % 4
 - member_tier only for profile_type 1: Basic, Silver, Gold, Diamond by (user_id div 4) % 4
@@ -30,8 +30,7 @@ CLOCK_BASE_EPOCH = 1704067200
 CLOCK_COMPRESSION = 6
 TIERS = ["Basic", "Silver", "Gold", "Diamond"]
 ARENA_SECTORS = ["Arena", "Casino Entrance", "Retail"]  # by camera_id % 3
-EVENT_SOURCE_TYPE = "signup"   # rows of this type with k = 0 and value >= 50 become events
-EVENT_MIN_VALUE = 50.0
+EVENT_SOURCE_TYPE = "signup"   # rows of this type become events
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +44,7 @@ def _camera(props="props"):
 def _region_name(n):
     return (F.when(n <= 3, F.concat(F.lit("CASINO "), n.cast("string")))
             .when(n == 4, F.concat(F.lit("BW "), n.cast("string")))
+            .when(n == 9, F.concat(F.lit("Entrances "), n.cast("string")))
             .otherwise(F.concat(F.lit("ZONE "), n.cast("string"))))
 
 
@@ -111,7 +111,7 @@ def camera_tables(captures: DataFrame):
 def event_list(events: DataFrame) -> DataFrame:
     """Event list input (Title, StartDtm, EndDtm, Venue, EventType, Genre, InsertDtm) derived from ``events``.
 
-    Each ``signup`` row with k = 0 and value >= 50 becomes one event starting at
+    Each ``signup`` row becomes one event starting at
     its compressed time (to the minute) and lasting 60 + 2 * floor(value)
     minutes, so some events cross midnight and span two dates.
     """
@@ -119,8 +119,7 @@ def event_list(events: DataFrame) -> DataFrame:
     start = F.timestamp_add("SECOND", -F.second(t), t)   # whole seconds -> start of the minute
     dur = (F.lit(60) + F.floor(F.col("value")).cast("long") * 2)
     return (events
-            .where((F.col("event_type") == EVENT_SOURCE_TYPE) & (_camera() == 0)
-                   & (F.col("value") >= EVENT_MIN_VALUE))
+            .where(F.col("event_type") == EVENT_SOURCE_TYPE)
             .select(
                 F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("Title"),
                 start.alias("StartDtm"),
