@@ -10,7 +10,7 @@ broadcasts a side by its size in bytes and splits skewed partitions at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewise.functions import derive as d
@@ -337,41 +337,55 @@ def conversion_table(summary: DataFrame) -> DataFrame:
         F.col("post_visition_num").cast("int").alias("post_visit_count"))
 
 
+def _stat_rows(df: DataFrame, counted: dict[str, str], aggregates: dict[str, F.Column], missing: str | None,
+               top: tuple[str, int] | None = None) -> DataFrame:
+    """(stat, key, value) rows from one pass over ``df`` with grouping sets:
+    a row count per value of each column of ``counted`` (column -> stat), and
+    the ``aggregates`` of the whole table. ``missing`` stands for NULL keys;
+    with ``top`` (column, n) only that column's n commonest values are kept,
+    ties by value."""
+    cols = list(counted)
+    everything = (1 << len(cols)) - 1
+    bits = {c: everything - (1 << (len(cols) - 1 - i)) for i, c in enumerate(cols)}
+    grouped = df.groupingSets([*[[F.col(c)] for c in cols], []], *[F.col(c) for c in cols]).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).cast("double").alias("_n"),
+        *[x.cast("double").alias(f"_{stat}") for stat, x in aggregates.items()])
+    out = F.array(*[F.struct(F.lit(stat).alias("stat"), F.lit("").alias("key"), F.col(f"_{stat}").alias("value"))
+                    for stat in aggregates])
+    for c, stat in counted.items():
+        key = F.col(c).cast("string")
+        if missing is not None:
+            key = F.coalesce(key, F.lit(missing))
+        out = F.when(F.col("_set") == bits[c], F.array(F.struct(
+            F.lit(stat).alias("stat"), key.alias("key"), F.col("_n").alias("value")))).otherwise(out)
+    if top is not None:
+        # the grouped rows are few: one per event and category
+        order = Window.partitionBy("_set").orderBy(F.col("_n").desc(), F.col(top[0]))
+        grouped = grouped.withColumn("_rank", F.row_number().over(order)).where(
+            (F.col("_set") != bits[top[0]]) | (F.col("_rank") <= top[1]))
+    return grouped.select(F.explode(out).alias("s")).select("s.*")
+
+
 def conversion_stats(conversion: DataFrame, top: int = 5) -> DataFrame:
     """Q35: the conversion table report as (stat, key, value) rows: row count,
     rows of the ``top`` events (ties by name), rows per time window, gender
     and profile type, and four averages."""
-    def counts(stat, c):
-        return (conversion.groupBy(c).agg(F.count(F.lit(1)).cast("double").alias("value"))
-                .select(F.lit(stat).alias("stat"), F.col(c).cast("string").alias("key"), "value"))
-    total = conversion.agg(F.count(F.lit(1)).cast("double").alias("value")) \
-        .select(F.lit("rows").alias("stat"), F.lit("").alias("key"), "value")
-    top_events = (conversion.groupBy("event_name").agg(F.count(F.lit(1)).cast("double").alias("value"))
-                  .orderBy(F.col("value").desc(), F.col("event_name")).limit(top)
-                  .select(F.lit("top_event_rows").alias("stat"), F.col("event_name").alias("key"), "value"))
-    avgs = conversion.agg(
-        F.avg("visit_count").alias("avg_visit_count"),
-        F.avg("casino_converted_people").alias("avg_casino_converted_people"),
-        F.avg("pre_event_casino_staytime").alias("avg_pre_event_casino_staytime"),
-        F.avg("post_event_casino_staytime").alias("avg_post_event_casino_staytime"))
-    avg_rows = avgs.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("stat"), F.lit("").alias("key"), F.col(c).cast("double").alias("value"))
-        for c in avgs.columns])).alias("s")).select("s.*")
-    return (total.unionByName(top_events).unionByName(counts("rows_by_time_window", "time_window_hours"))
-            .unionByName(counts("rows_by_gender", "gender")).unionByName(counts("rows_by_profile_type", "profile_type"))
-            .unionByName(avg_rows))
+    counted = {"event_name": "top_event_rows", "time_window_hours": "rows_by_time_window", "gender": "rows_by_gender",
+               "profile_type": "rows_by_profile_type"}
+    averages = {f"avg_{c}": F.avg(c) for c in ("visit_count", "casino_converted_people", "pre_event_casino_staytime",
+                                               "post_event_casino_staytime")}
+    return _stat_rows(conversion, counted, {"rows": F.count(F.lit(1)), **averages}, None, ("event_name", top))
+
+
+def conversion_preview(conversion: DataFrame, n: int = 3) -> DataFrame:
+    """Q35: the first ``n`` rows of the conversion table, by all its columns (the limit is the report)."""
+    return conversion.orderBy(*conversion.columns).limit(n)
 
 
 def capture_stats(captures: DataFrame) -> DataFrame:
     """Q35 (capture side): tier and gender value counts, min/max age and the
     number of distinct cameras, as (stat, key, value) rows."""
-    def counts(stat, c):
-        return (captures.groupBy(c).agg(F.count(F.lit(1)).cast("double").alias("value"))
-                .select(F.lit(stat).alias("stat"), F.coalesce(F.col(c).cast("string"), F.lit("NULL")).alias("key"),
-                        "value"))
-    agg = captures.agg(F.min("age").cast("double").alias("min_age"), F.max("age").cast("double").alias("max_age"),
-                       F.countDistinct("camera_id").cast("double").alias("distinct_cameras"))
-    rows = agg.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("stat"), F.lit("").alias("key"), F.col(c).alias("value")) for c in agg.columns]))
-        .alias("s")).select("s.*")
-    return counts("member_tier_counts", "member_tier").unionByName(counts("gender_counts", "gender")).unionByName(rows)
+    rows = captures.select("member_tier", "gender", "age", "camera_id")
+    return _stat_rows(rows, {"member_tier": "member_tier_counts", "gender": "gender_counts"},
+                      {"min_age": F.min("age"), "max_age": F.max("age"), "distinct_cameras": F.countDistinct("camera_id")},
+                      "NULL")
