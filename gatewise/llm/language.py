@@ -13,13 +13,13 @@ worker's and the driver's memory follow the number of languages only.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +42,7 @@ UNDEFINED = "und"
 #: Words whose likelihoods a worker keeps; past it the memory is emptied.
 KEPT_WORDS = 200_000
 
-WORD = re.compile(r"[^\W\d_]+")
+WORD = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str) -> list[str]:

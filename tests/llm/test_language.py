@@ -96,3 +96,7 @@ def test_words_that_are_forgotten_come_back(spark, monkeypatch):
         model.rows([c])
         again.append(model.predict(c))
     assert again == plain
+
+
+def test_only_letters_make_words():
+    assert language.words_of("½ ² Ⅷ 12_3 Été x2y") == ["été", "x", "y"]
