@@ -12,7 +12,10 @@ Conventions of every operator in this package:
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +26,33 @@ from gatewise.sources.tables import scratch_path
 SLICE_ROWS = 256
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``spark-submit --py-files`` does,
+    once per application: their Python workers import the operators' helpers."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="gatewise-")) / f"{package.name}.zip"  # Spark serves it from the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under ``spark.checkpoint.dir`` and read it back: it is
     computed once, and a lost executor re-reads files instead of lineage."""
+    ship(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -37,6 +60,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), null texts as empty texts."""
+    ship(docs.sparkSession)
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
 
