@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,131 +22,173 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewise.llm.chunking import borders
+from gatewise.llm.chunking import rolling
 from gatewise.llm.common import slices
 
-#: Cells of each of the three parts of a fingerprint.
+#: Cells of each of the three parts of a fingerprint (a power of two).
 PART_CELLS = 8
-#: A line of more bytes is cut at content-defined borders, about every 2**CUT_BITS bytes.
-LINE_BYTES, CUT_BITS = 256, 7
-#: Bytes of results sent back in one batch.
-OUT_BYTES = 4 << 20
-MIX = np.uint64(0x9E3779B97F4A7C15)
+#: A line of more bytes is cut at content-defined borders, about every
+#: 2**CUT_BITS bytes, that look at WINDOW bytes of the line.
+LINE_BYTES, CUT_BITS, WINDOW = 256, 7, 32
+#: Documents whose tables are handled at once.
+GROUP = 128
+#: Peeling rounds after which a table counts as not peeled.
+ROUNDS = 500
+#: Where in a mixed digest the cells of the three parts are read.
+SHIFTS = np.array([[0], [21], [42]], dtype=np.uint64)
 
 
 class Sketch(NamedTuple):
+    """Tables in a row: one row of 3 x cells per document or pair."""
+
     count: np.ndarray
     keys: np.ndarray
     checks: np.ndarray
 
 
 def paragraphs(text: str) -> list[bytes]:
-    """Non-empty lines in order, trimmed; long lines in content-defined pieces."""
-    out = []
-    for line in text.split("\n"):
-        data = line.strip().encode("utf-8")
-        if len(data) <= LINE_BYTES:
-            if data:
-                out.append(data)
-        else:
-            start = 0
-            for end in borders(data, CUT_BITS):
-                out.append(data[start:end])
-                start = end
-    return out
+    """Non-empty lines in order, trimmed; long lines in content-defined pieces.
+
+    How a line is cut depends on that line alone: borders in its first WINDOW
+    bytes, where the rolling hash still sees the line before, do not count.
+    """
+    data = text.encode("utf-8")
+    if not data:
+        return []
+    codes = np.frombuffer(data, dtype=np.uint8)
+    ends = np.append(np.flatnonzero(codes == 10) + 1, len(data))
+    if np.diff(ends, prepend=0).max() > LINE_BYTES:
+        starts = np.concatenate([[0], ends[:-1]])
+        found = np.flatnonzero(rolling(data, WINDOW) >> np.uint32(32 - CUT_BITS) == 0) + 1
+        line = np.searchsorted(ends, found, side="left")
+        fits = (ends[line] - starts[line] > LINE_BYTES) & (found - starts[line] > WINDOW)
+        ends = np.union1d(ends, found[fits])
+    pieces, start = [], 0
+    for end in ends.tolist():
+        piece = data[start:end].strip()
+        if piece:
+            pieces.append(piece)
+        start = end
+    return pieces
 
 
 def digests(text: str) -> np.ndarray:
     """One digest per paragraph; the n-th copy of a paragraph has its own."""
-    met: Counter = Counter()
+    met: dict[bytes, int] = {}
     out = []
     for p in paragraphs(text):
-        out.append(xxhash.xxh64_intdigest(p, met[p]))
-        met[p] += 1
+        nth = met.get(p, 0)
+        met[p] = nth + 1
+        out.append(xxhash.xxh64_intdigest(p, nth))
     return np.array(out, dtype=np.uint64)
 
 
-def mixed(keys: np.ndarray, salt: int) -> np.ndarray:
-    h = (keys ^ np.uint64(salt * 0x632BE59BD9B4E019 & (1 << 64) - 1)) * MIX
+def mixed(keys: np.ndarray) -> np.ndarray:
+    h = keys * np.uint64(0x9E3779B97F4A7C15)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     return h ^ (h >> np.uint64(32))
 
 
-def places(keys: np.ndarray, cells: int) -> np.ndarray:
-    """The cell of every key in each part (3 x keys); ``cells`` are per part."""
-    return np.stack([(mixed(keys, part + 1) % np.uint64(cells)).astype(np.int64) + part * cells for part in range(3)])
+def places(h: np.ndarray, cells: int) -> np.ndarray:
+    """The cell of every mixed digest in each part (3 x digests)."""
+    at = (h >> SHIFTS) & np.uint64(cells - 1)
+    return at.astype(np.int64) + np.arange(0, 3 * cells, cells)[:, None]
 
 
-def checks_of(keys: np.ndarray) -> np.ndarray:
-    return (mixed(keys, 9) >> np.uint64(32)).astype(np.uint32)
+def checks_of(h: np.ndarray) -> np.ndarray:
+    return ((h * np.uint64(0x94D049BB133111EB)) >> np.uint64(32)).astype(np.uint32)
 
 
-def sketch(keys: np.ndarray, cells: int = PART_CELLS) -> Sketch:
-    count, xor, check = np.zeros(3 * cells, np.int32), np.zeros(3 * cells, np.uint64), np.zeros(3 * cells, np.uint32)
-    if len(keys):
-        at = places(keys, cells).ravel()
-        count += np.bincount(at, minlength=3 * cells).astype(np.int32)
-        np.bitwise_xor.at(xor, at, np.tile(keys, 3))
-        np.bitwise_xor.at(check, at, np.tile(checks_of(keys), 3))
-    return Sketch(count, xor, check)
+def sketch(lists: list[np.ndarray], cells: int = PART_CELLS) -> Sketch:
+    """One table per list of digests."""
+    width = 3 * cells
+    keys = np.concatenate(lists) if lists else np.zeros(0, np.uint64)
+    h = mixed(keys)
+    at = (places(h, cells) + np.repeat(np.arange(len(lists)), list(map(len, lists))) * width).ravel()
+    count = np.bincount(at, minlength=len(lists) * width).astype(np.int32)
+    xor, check = np.zeros(len(count), np.uint64), np.zeros(len(count), np.uint32)
+    np.bitwise_xor.at(xor, at, np.tile(keys, 3))
+    np.bitwise_xor.at(check, at, np.tile(checks_of(h), 3))
+    return Sketch(*[x.reshape(len(lists), width) for x in (count, xor, check)])
 
 
-def written(table: Sketch) -> str:
+def written(count: np.ndarray, keys: np.ndarray, checks: np.ndarray) -> str:
     """A table as text: counts, keys and checks of the cells, little-endian, in base64."""
-    return base64.b64encode(table.count.astype("<i4").tobytes() + table.keys.astype("<u8").tobytes()
-                            + table.checks.astype("<u4").tobytes()).decode("ascii")
+    return base64.b64encode(count.astype("<i4").tobytes() + keys.astype("<u8").tobytes()
+                            + checks.astype("<u4").tobytes()).decode("ascii")
 
 
 def read(text: str) -> Sketch:
     data = base64.b64decode(text)
     n = len(data) // 16
-    return Sketch(np.frombuffer(data, "<i4", n), np.frombuffer(data, "<u8", n, 4 * n), np.frombuffer(data, "<u4", n, 12 * n))
-
-
-def peel(a: Sketch, b: Sketch) -> tuple[np.ndarray, np.ndarray] | None:
-    """(digests only in a, digests only in b), or None if the peeling stops short."""
-    count, xor, check = a.count - b.count, a.keys ^ b.keys, a.checks ^ b.checks
-    cells = len(count) // 3
-    found: list[np.ndarray] = []
-    signs: list[np.ndarray] = []
-    while True:
-        alone = np.flatnonzero(np.abs(count) == 1)
-        alone = alone[checks_of(xor[alone]) == check[alone]]
-        if not len(alone):
+    return Sketch(np.frombuffer(data, "<i4", n)[None], np.frombuffer(data, "<u8", n, 4 * n)[None],
+                  np.frombuffer(data, "<u4", n, 12 * n)[None])
+
+
+def peel(a: Sketch, b: Sketch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Subtract tables row by row and peel: (row of each digest found, the
+    digest, 1 if it is in a or -1 if in b, whether each row was peeled whole)."""
+    rows, width = a.count.shape
+    cells = width // 3
+    count, xor, check = (a.count - b.count).ravel(), (a.keys ^ b.keys).ravel(), (a.checks ^ b.checks).ravel()
+    part = np.arange(len(count)) // cells % 3
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for _ in range(ROUNDS):
+        moved = False
+        for p in range(3):  # a digest has one cell in a part, so none is met twice
+            alone = np.flatnonzero((np.abs(count) == 1) & (part == p))
+            keys = xor[alone]
+            h = mixed(keys)
+            row = alone // width
+            at = places(h, cells) + row * width
+            real = (checks_of(h) == check[alone]) & (at[p] == alone)
+            if not real.any():
+                continue
+            moved = True
+            keys, h, row, at, sign = keys[real], h[real], row[real], at[:, real].ravel(), count[alone][real]
+            found.append((row, keys, sign))
+            np.subtract.at(count, at, np.tile(sign, 3))
+            np.bitwise_xor.at(xor, at, np.tile(keys, 3))
+            np.bitwise_xor.at(check, at, np.tile(checks_of(h), 3))
+        if not moved:
             break
-        keys, first = np.unique(xor[alone], return_index=True)
-        sign = count[alone][first]
-        at = places(keys, cells)
-        real = (at == alone[first]).any(axis=0)  # a key found where it cannot be is chance
-        keys, sign, at = keys[real], sign[real], at[:, real].ravel()
-        if not len(keys) or sum(map(len, found)) > len(count):
-            break
-        found.append(keys)
-        signs.append(sign)
-        np.subtract.at(count, at, np.tile(sign, 3))
-        np.bitwise_xor.at(xor, at, np.tile(keys, 3))
-        np.bitwise_xor.at(check, at, np.tile(checks_of(keys), 3))
-    if count.any() or xor.any() or check.any():
-        return None
-    keys = np.concatenate(found) if found else np.zeros(0, np.uint64)
-    sign = np.concatenate(signs) if signs else np.zeros(0, np.int32)
-    return keys[sign > 0], keys[sign < 0]
-
-
-def differing(a: np.ndarray, b: np.ndarray, first: tuple[Sketch, Sketch] | None = None
-              ) -> tuple[np.ndarray, np.ndarray, int]:
-    """(digests only in a, only in b, cells per part that it took): tables of
-    PART_CELLS, then of twice as many until the peeling succeeds."""
-    cells = PART_CELLS
-    while True:
-        # each difference needs a cell of its own, so fewer cells cannot do
-        if abs(len(a) - len(b)) <= 3 * cells:
-            pair = first if first and cells == PART_CELLS else (sketch(a, cells), sketch(b, cells))
-            got = peel(*pair)
-            if got is not None:
-                return *got, cells
-        cells *= 2
+    left = ((count != 0) | (xor != 0) | (check != 0)).reshape(rows, width).any(axis=1)
+    out = [np.concatenate(x) for x in zip(*found, strict=True)] if found else [
+        np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int32)]
+    return *out, ~left
+
+
+def differing(pairs: list[tuple[np.ndarray, np.ndarray]], first: tuple[Sketch, Sketch] | None = None
+              ) -> tuple[list[np.ndarray], list[np.ndarray], list[int]]:
+    """For each pair of digest lists: those only in the left one, those only in
+    the right one, and the cells per part that recovering them took.
+
+    All pairs are tried with tables of PART_CELLS (``first``, if given); those
+    that fail again with tables that would hold a difference in every
+    paragraph, and then with twice the cells until they are peeled.
+    """
+    lost, gained, took = [None] * len(pairs), [None] * len(pairs), [0] * len(pairs)
+    todo = {PART_CELLS: list(range(len(pairs)))}
+    while todo:
+        cells = min(todo)
+        which = todo.pop(cells)
+        if cells == PART_CELLS and first is not None:
+            a, b = first
+        else:
+            a, b = sketch([pairs[i][0] for i in which], cells), sketch([pairs[i][1] for i in which], cells)
+        row, keys, sign, whole = peel(a, b)
+        order = np.argsort(row, kind="stable")
+        row, keys, sign = row[order], keys[order], sign[order]
+        ends = np.searchsorted(row, np.arange(len(which) + 1))
+        for k, i in enumerate(which):
+            if whole[k]:
+                own, signs = keys[ends[k]:ends[k + 1]], sign[ends[k]:ends[k + 1]]
+                lost[i], gained[i], took[i] = own[signs > 0], own[signs < 0], cells
+            else:
+                need = (len(pairs[i][0]) + len(pairs[i][1])) // 2
+                todo.setdefault(max(2 * cells, 1 << need.bit_length()), []).append(i)
+    return lost, gained, took
 
 
 def likeness(a: int, b: int, differ: int) -> float:
@@ -191,19 +232,6 @@ def sequence(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .sortWithinPartitions("part", "ghost", F.col("doc_id").desc_nulls_last(), F.col("tie").desc()))
 
 
-class Printed(NamedTuple):
-    """A text with what is made of it once."""
-
-    text: str
-    keys: np.ndarray
-    table: Sketch
-
-
-def printed(text: str) -> Printed:
-    keys = digests(text)
-    return Printed(text, keys, sketch(keys))
-
-
 def edited(text: str, following: str) -> str:
     """``text`` with its last third (rounded down) replaced by the first as
     many characters (or all) of ``following``."""
@@ -228,37 +256,45 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = (f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double, lost array<long>, gained array<long>, cells int")
 
-    def row(doc_id: object, one: Printed, following: Printed) -> tuple:
-        other = printed(edited(one.text, following.text))
-        lost, gained, cells = differing(one.keys, other.keys, (one.table, other.table))
-        gone, new, _ = differing(one.keys, following.keys, (one.table, following.table))
-        return (doc_id, len(one.text), hashlib.sha256(other.text.encode("utf-8")).hexdigest(), written(one.table),
-                written(other.table), likeness(len(one.keys), len(other.keys), len(lost) + len(gained)),
-                likeness(len(one.keys), len(following.keys), len(gone) + len(new)),
-                lost.view(np.int64).tolist(), gained.view(np.int64).tolist(), cells)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before: tuple | None = None  # (part, doc_id, Printed) of the row that waits for the next one
-        out: list[tuple] = []
-        held = 0
+        last: tuple | None = None  # (part, doc_id, text) that waits for the row after it
         for batch in batches:
             names = dict(zip(OUT, [batch.schema.field(2).type, *OUT_TYPES], strict=True))
-            for piece in slices(batch):
-                for part, _, doc_id, _, text in zip(*[c.to_pylist() for c in piece.columns], strict=True):
-                    this = printed(text)
-                    if before is not None and before[0] == part:
-                        out.append(row(before[1], before[2], this))
-                        held += 2000 + 16 * len(before[2].keys)
-                        if held >= OUT_BYTES:
-                            yield batch_of(out, names)
-                            out, held = [], 0
-                    before = (part, doc_id, this)
-        if out:
-            yield batch_of(out, names)
+            for piece in slices(batch, GROUP):
+                columns = [c.to_pylist() for c in piece.columns]
+                rows = list(zip(columns[0], columns[2], columns[4], strict=True))
+                if last is not None:
+                    rows.insert(0, last)
+                last = rows[-1]
+                met = [(x, y) for x, y in zip(rows, rows[1:]) if x[0] == y[0]]
+                if met:
+                    yield batch_of(compared(met), names)
 
     return rows.mapInArrow(run, schema)
 
 
+def compared(met: list[tuple[tuple, tuple]]) -> list[tuple]:
+    """Result rows of documents, each with the row that follows it; both are (part, doc_id, text)."""
+    texts = [x[2] for x, _ in met]
+    after = [y[2] for _, y in met]
+    changed = [edited(t, n) for t, n in zip(texts, after, strict=True)]
+    known = {t: digests(t) for t in {*texts, *after, *changed}}
+    keys, next_keys, new_keys = ([known[t] for t in ts] for ts in (texts, after, changed))
+    tables, next_tables, new_tables = sketch(keys), sketch(next_keys), sketch(new_keys)
+    lost, gained, took = differing(list(zip(keys, new_keys, strict=True)), (tables, new_tables))
+    gone, came, _ = differing(list(zip(keys, next_keys, strict=True)), (tables, next_tables))
+    out = []
+    for i, (x, _) in enumerate(met):
+        out.append((
+            x[1], len(texts[i]), hashlib.sha256(changed[i].encode("utf-8")).hexdigest(),
+            written(tables.count[i], tables.keys[i], tables.checks[i]),
+            written(new_tables.count[i], new_tables.keys[i], new_tables.checks[i]),
+            likeness(len(keys[i]), len(new_keys[i]), len(lost[i]) + len(gained[i])),
+            likeness(len(keys[i]), len(next_keys[i]), len(gone[i]) + len(came[i])),
+            lost[i].view(np.int64).tolist(), gained[i].view(np.int64).tolist(), took[i]))
+    return out
+
+
 OUT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "lost",
        "gained", "cells"]
 OUT_TYPES = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int64()),

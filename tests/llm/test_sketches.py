@@ -58,25 +58,46 @@ def test_sequence_wraps_and_one_document_follows_itself(spark, nothing):
 
 def test_peeling_recovers_what_differs():
     rng = np.random.default_rng(1)
-    for shared, left, right in [(0, 0, 0), (500, 0, 0), (300, 3, 5), (40, 0, 60), (2000, 700, 10)]:
+    pairs, want = [], []
+    for shared, left, right in [(0, 0, 0), (500, 0, 0), (300, 3, 5), (40, 0, 60), (2000, 700, 10), (0, 1, 0)]:
         keys = rng.integers(0, 1 << 63, shared + left + right).astype(np.uint64)
-        a, b = keys[:shared + left], np.concatenate([keys[:shared], keys[shared + left:]])
-        lost, gained, cells = sketches.differing(a, b)
-        assert sorted(lost) == sorted(keys[shared:shared + left])
-        assert sorted(gained) == sorted(keys[shared + left:])
-        assert cells * 3 >= left + right
+        pairs.append((keys[:shared + left], np.concatenate([keys[:shared], keys[shared + left:]])))
+        want.append((sorted(keys[shared:shared + left]), sorted(keys[shared + left:])))
+    lost, gained, cells = sketches.differing(pairs)
+    assert [(sorted(a), sorted(b)) for a, b in zip(lost, gained, strict=True)] == want
+    assert all(3 * c >= len(a) + len(b) for c, (a, b) in zip(cells, want, strict=True))
+    assert cells[1] == cells[2] == sketches.PART_CELLS
 
 
 def test_a_full_table_fails_and_a_larger_one_works():
     keys = np.arange(1, 60, dtype=np.uint64)
     none = np.zeros(0, np.uint64)
-    assert sketches.peel(sketches.sketch(keys, 8), sketches.sketch(none, 8)) is None
-    assert sketches.differing(keys, none)[2] > 8
+    assert not sketches.peel(sketches.sketch([keys], 8), sketches.sketch([none], 8))[3].any()
+    assert sketches.differing([(keys, none)])[2][0] > 8
+
+
+def test_every_difference_is_recovered_at_last():
+    rng = np.random.default_rng(2)
+    pairs = []
+    for _ in range(400):
+        a = rng.integers(0, 1 << 63, rng.integers(0, 80)).astype(np.uint64)
+        b = rng.integers(0, 1 << 63, rng.integers(0, 80)).astype(np.uint64)
+        pairs.append((np.concatenate([a, b[: len(b) // 2]]), b))
+    lost, gained, _ = sketches.differing(pairs)
+    for (a, b), x, y in zip(pairs, lost, gained, strict=True):
+        assert set(x.tolist()) == set(a.tolist()) - set(b.tolist()) and set(y.tolist()) == set(b.tolist()) - set(a.tolist())
+
+
+def test_a_line_is_cut_alike_wherever_it_stands():
+    line = words(random.Random(8), 300)
+    alone = sketches.paragraphs(line)
+    assert len(alone) > 5 and b"".join(alone).replace(b" ", b"") == line.encode().replace(b" ", b"")
+    assert set(sketches.paragraphs("another line\n" + line + "\nand one more")) == {*alone, b"another line", b"and one more"}
 
 
 def test_fingerprints_read_back():
-    table = sketches.sketch(sketches.digests("a\nb\nb\nc"))
-    again = sketches.read(sketches.written(table))
+    table = sketches.sketch([sketches.digests("a\nb\nb\nc")])
+    again = sketches.read(sketches.written(*[x[0] for x in table]))
     assert all((x == y).all() for x, y in zip(table, again, strict=True))
     assert table.count.sum() == 3 * 4
 
