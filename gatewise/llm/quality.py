@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from gatewise.llm.common import fold, fresh, id_and_text, slices, stage, sum_vectors
 
-#: Random features, seed and ridge weight of a labelled row.
-FEATURES, RANDOM_SEED, RIDGE = 256, 17, 1e-4
+#: Random features, seed, and the ridge weight: so much and so much per labelled row.
+FEATURES, RANDOM_SEED, RIDGE, RIDGE_ROW = 256, 17, 0.3, 1e-4
 #: Every fourth labelled row (by a hash of its id) calibrates instead of fitting.
 CALIBRATION = 4
 #: Ridge scores are calibrated on cells of 1/CELLS from LOW to HIGH.
@@ -170,7 +170,7 @@ def fit(stats: DataFrame, labels: DataFrame, label: str = "quality") -> Model:
     system = np.zeros((FEATURES + 1, FEATURES + 2))
     for row in sum_vectors(parts).collect():  # FEATURES + 1 rows, whatever the input
         system[row["key"]] = row["values"]
-    gram = system[:, :-1] + RIDGE * moments[0] * np.eye(FEATURES + 1)
+    gram = system[:, :-1] + (RIDGE + RIDGE_ROW * moments[0]) * np.eye(FEATURES + 1)
     model.weights = np.linalg.solve(gram, system[:, -1])
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ import numpy as np
 from gatewise.llm import quality
 from gatewise.llm.queries import QUERIES
 
-from .conftest import SF, docs_df, table
+from .conftest import docs_df, table
 
 
 def auc(scores, labels):
@@ -42,7 +42,7 @@ def test_partition_sums_give_the_ridge_solution(spark):
     x = np.array([r["stats"] for r in rows if not r["later"]])
     y = np.array([r["quality"] for r in rows if not r["later"]], dtype=float)
     z = model.features(x)
-    weights = np.linalg.solve(z.T @ z + quality.RIDGE * len(y) * np.eye(z.shape[1]), z.T @ y)
+    weights = np.linalg.solve(z.T @ z + (quality.RIDGE + quality.RIDGE_ROW * len(y)) * np.eye(z.shape[1]), z.T @ y)
     assert np.allclose(z @ weights, model.ridge(x), atol=1e-6)
 
 
