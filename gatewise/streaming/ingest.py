@@ -176,9 +176,11 @@ def stream_stats(batches: dict[int, tuple[int, float]], written: DataFrame, stor
     """Q44: one row: batches, consumed_rows (as the query reports them),
     written_rows (as the sink counted them per batch), stored_rows (as the
     table holds them). ``written`` is :func:`read_counts` of the sink."""
-    counts = stored.agg(F.count(F.lit(1)).alias("stored_rows"))
-    sunk = written.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("written_rows"))
-    return sunk.join(counts).select(
+    sunk = written.select(F.col("rows").alias("written_rows"), F.lit(0).cast("long").alias("stored_rows"))
+    held = stored.select(F.lit(0).cast("long").alias("written_rows"), F.lit(1).cast("long").alias("stored_rows"))
+    return sunk.unionByName(held).agg(
+        F.coalesce(F.sum("written_rows"), F.lit(0)).alias("written_rows"),
+        F.coalesce(F.sum("stored_rows"), F.lit(0)).alias("stored_rows")).select(
         F.lit(len(batches)).cast("long").alias("batches"),
         F.lit(sum(rows for rows, _ in batches.values())).cast("long").alias("consumed_rows"), "written_rows", "stored_rows")
 
