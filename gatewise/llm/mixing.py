@@ -201,9 +201,9 @@ def resample(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
     """``docs`` with every row repeated as often as :func:`mix` says (0: left out)."""
     domains, model = _fitted(docs, labelled, targets, id_col, text_col)
     chance, tokens, times = (fresh(docs, n) for n in ("mix_chance", "mix_tokens", "mix_times"))
-    rows = posteriors(docs, model, domains, chance, tokens, text_col)
-    known = stage(rows.select(chance, tokens), "mixing")
+    # the classifier runs once a row: its probabilities are written beside the row
+    known = stage(posteriors(docs, model, domains, chance, tokens, text_col), "mixing")
     steps = solve(known, [targets[d] for d in domains], chance, tokens)
-    drawn = rows.withColumn(times, copies(rate(F.col(chance), steps), F.col(f"`{id_col}`")))
+    drawn = known.withColumn(times, copies(rate(F.col(chance), steps), F.col(f"`{id_col}`")))
     return (drawn.where(F.col(times) > 0).withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
