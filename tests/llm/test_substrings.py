@@ -107,3 +107,62 @@ def test_repeats_inside_one_document_do_not_count(spark):
 def test_words_are_counted_where_they_end():
     text = "one two  three\nfour five six seven eight nine ten eleven twelve thirteen fourteen fifteen"
     assert int(np.sum(substrings.chunk_rows(text)[2])) == 14  # the last one does not end in white space
+
+
+def kept_somewhere(spark, rows):
+    """Cut ``drop`` out of every text; the rest, by doc_id, with the rows found."""
+    got = substrings.passages(docs_df(spark, rows)).collect()
+    left = {i: t.encode() for i, t in rows}
+    for r in got:
+        for d in r["drop"]:
+            left[r["doc_id"]] = left[r["doc_id"]][:d["start"]] + b"\0" * (d["stop"] - d["start"]) + left[r["doc_id"]][d["stop"]:]
+    for i, text in rows:  # every chunk of every text stays in some text
+        starts, ends, _, _ = substrings.chunk_rows(text)
+        for a, z in zip(starts.tolist(), ends.tolist(), strict=True):
+            piece = text.encode()[a:z]
+            assert any(piece in x for x in left.values()), (i, a, z)
+    return got, left
+
+
+def test_overlapping_passages_are_kept_somewhere(spark):
+    rng = random.Random(21)
+    p, q = words(rng, 60), words(rng, 60)
+    rows = [(1, words(rng, 40) + " " + p + " " + words(rng, 40)),
+            *[(i, words(rng, 40) + " " + p + " " + q + " " + words(rng, 40)) for i in (2, 3)]]
+    got, left = kept_somewhere(spark, rows)
+    assert {r["doc_id"] for r in got} == {1, 2, 3}
+    middle = {"p": p.encode()[100:-100], "q": q.encode()[100:-100]}
+    holds = {k: [i for i, x in left.items() if v in x] for k, v in middle.items()}
+    assert holds == {"p": [1], "q": [2]}
+    assert {d["first_doc_id"] for r in got if r["doc_id"] == 3 for d in r["drop"]} == {1, 2}
+
+
+def test_a_chunk_common_elsewhere_does_not_take_the_passage_along(spark):
+    rng = random.Random(22)
+    p = words(rng, 60)
+    starts, ends, _, _ = substrings.chunk_rows(p)
+    k = len(ends) // 2  # one chunk and as much of its neighbours as its borders need
+    phrase = p.encode()[starts[k - 1]:ends[k + 1]].decode()
+    rows = [(1, words(rng, 40) + " " + phrase + " " + words(rng, 40)),
+            *[(i, words(rng, 40) + " " + p + " " + words(rng, 40)) for i in (5, 9)]]
+    got, left = kept_somewhere(spark, rows)
+    assert {r["doc_id"]: (r["first_doc_id"], r["kept"]) for r in got} == {5: (1, False), 9: (1, False)}
+    assert p.encode()[100:-100] in left[5] or {d["first_doc_id"] for r in got if r["doc_id"] == 5 for d in r["drop"]} == {1}
+    assert p.encode()[100:-100] not in left[9]
+
+
+def test_chunks_of_different_documents_do_not_add_up(spark):
+    rng = random.Random(23)
+    body = words(rng, 200)
+    starts, ends, _, _ = substrings.chunk_rows(body)
+    rows = [(0, body)]
+    for k in range(4, 16):  # each chunk recurs alone, in a document of its own
+        reach = body.encode()[starts[k] - 33:ends[k] + 17].decode()
+        rows.append((k, words(rng, 40) + " " + reach + " " + words(rng, 40)))
+    where = defaultdict(set)
+    for i, t in rows:
+        for d in substrings.chunk_rows(t)[3]:
+            where[d].add(i)
+    repeated = [len(where[d]) > 1 for d in substrings.chunk_rows(body)[3]]
+    assert sum(repeated) > 6
+    assert substrings.passages(docs_df(spark, rows)).collect() == []
