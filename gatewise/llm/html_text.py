@@ -2,18 +2,21 @@
 
 The standard library's parser streams a page as events. Text gathers into
 blocks (lines of the page as a reader sees it), each with the number of tags
-met since the block before it and with the container that holds it; containers
-that hold no article text (menus, headers, footers, sidebars, forms, scripts,
-notices, adverts, comments) are passed over. A block's text-to-tag ratio is
-smoothed over its neighbours with a Gaussian, and the smoothed ratios are
-clustered around two centres with a threshold between them. The regions
-(containers) that hold blocks of the upper cluster are the content, and all
-of their blocks are kept, short ones too.
+met since the block before it and with the container that holds it; scripts and
+hidden elements are passed over. Blocks of menus, headers, footers, sidebars,
+forms, notices, adverts and comments are marked as aside. The text-to-tag
+ratios of all blocks, these too, are smoothed over their neighbours with a
+Gaussian and clustered around two centres, one of them fixed at the origin,
+with a threshold between them. The regions (containers) that hold blocks of the
+upper cluster are the content, and all of their blocks are kept, short ones
+too. What is aside is left out of them, and an article or main element that
+holds most of the upper cluster's text is the region.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -47,74 +50,93 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 
 #: Width of the smoothing, in blocks, and rounds of the clustering.
 SIGMA, ROUNDS = 1.0, 20
+#: Share of the upper cluster's text that an article or main element must hold.
+MOST = 2 / 3
+#: What an element's text is: the page's own, aside from the article, or not shown.
+OWN, ASIDE, UNSEEN = range(3)
 
 
 class Block(NamedTuple):
     text: str
     tags: int  # tags since the block before
     region: int
-    story: bool  # inside an article or main element
+    story: int  # the outermost article or main element around it, 0 if there is none
+    aside: bool
+    links: bool  # most of it is link text
 
 
 class Open(NamedTuple):
     tag: str
-    skip: bool
+    kind: int
     region: int
-    story: bool
+    story: int
+    link: bool
 
 
-def passed_over(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether an element holds no article text, by its name, role, class or id."""
-    if tag in HIDDEN or tag in CHROME:
-        return True
+def kind_of(tag: str, attrs: list[tuple[str, str | None]]) -> int:
+    """What the text of an element is, by its name, role, class, id or style."""
+    if tag in HIDDEN:
+        return UNSEEN
+    kind = ASIDE if tag in CHROME else OWN
     if tag in ("html", "body", "main"):
-        return False
+        return kind
     for name, value in attrs:
         value = (value or "").lower()
-        if (name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES
-                or name in ("class", "id") and tag not in HEADINGS and NAMES.search(value)
+        if (name == "hidden" or name == "aria-hidden" and value == "true"
                 or name == "style" and "display:none" in value.replace(" ", "")):
-            return True
-    return False
+            return UNSEEN
+        if name == "role" and value in ROLES or name in ("class", "id") and tag not in HEADINGS and NAMES.search(value):
+            kind = ASIDE
+    return kind
 
 
 class Reader(HTMLParser):
-    """Gathers the blocks of a page from the parser's events, in page order."""
+    """Gathers the blocks of a page from the parser's events, in page order.
+
+    Text that is aside gathers apart, so an aside inside a line does not split it.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open = [Open("", False, 0, False)]
+        self.open = [Open("", OWN, 0, 0, False)]
         self.blocks: list[Block] = []
-        self.parts: list[str] = []
-        self.tags = self.regions = 0
+        self.parts: tuple[list[str], list[str]] = [], []
+        self.tags, self.linked = [0, 0], [0, 0]
+        self.regions = self.stories = 0
 
-    def flush(self) -> None:
-        text = " ".join("".join(self.parts).split())
-        self.parts.clear()
+    def flush(self, kind: int) -> None:
+        text = " ".join("".join(self.parts[kind]).split())
+        self.parts[kind].clear()
         if text:
             at = self.open[-1]
-            self.blocks.append(Block(text, self.tags, at.region, at.story))
-            self.tags = 0
+            self.blocks.append(Block(text, self.tags[kind], at.region, at.story, kind == ASIDE,
+                                     2 * self.linked[kind] > len(text)))
+            self.tags[kind] = 0
+        self.linked[kind] = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if not self.open[-1].skip:
-            self.tags += 1
+        kind = self.open[-1].kind
+        if kind != UNSEEN:
+            self.tags[kind] += 1
             if tag in BLOCKS:
-                self.flush()
+                self.flush(kind)
             elif tag == "br":
-                self.parts.append(" ")
+                self.parts[kind].append(" ")
         if tag in VOID:
             return
         if tag in ENDS_P:
             self.leave("p")
-        _, skip, region, story = self.open[-1]
-        if not skip:
-            skip = passed_over(tag, attrs)
-            if tag in REGIONS and not story:  # containers inside an article belong to its region
+        _, kind, region, story, link = self.open[-1]
+        if kind != UNSEEN:
+            kind = max(kind, kind_of(tag, attrs))
+            if tag in REGIONS:
                 self.regions += 1
                 region = self.regions
-            story = story or tag in ("article", "main")
-        self.open.append(Open(tag, skip, region, story))
+            if tag in ("article", "main") and not story:
+                self.stories += 1
+                story = self.stories
+        link = link and tag not in BLOCKS or tag == "a" and any(name == "href" for name, _ in attrs)
+        self.open.append(Open(tag, kind, region, story, link))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)  # a browser does not heed the slash
@@ -123,28 +145,34 @@ class Reader(HTMLParser):
         """Close the innermost open ``tag`` and what is open inside it; a <p> only within its container."""
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
-                if not self.open[-1].skip and any(x.tag in BLOCKS for x in self.open[i:]):
-                    self.flush()
+                kind = self.open[-1].kind
+                if kind == OWN and any(x.tag in BLOCKS for x in self.open[i:]):
+                    self.flush(OWN)
+                elif kind == ASIDE and (self.open[i - 1].kind == OWN or any(x.tag in BLOCKS for x in self.open[i:])):
+                    self.flush(ASIDE)
                 del self.open[i:]
                 return
             if tag == "p" and self.open[i].tag in REGIONS:
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if not self.open[-1].skip:
-            self.tags += 1
+        if self.open[-1].kind != UNSEEN:
+            self.tags[self.open[-1].kind] += 1
         if tag not in VOID:
             self.leave(tag)
 
     def handle_data(self, data: str) -> None:
-        if not self.open[-1].skip:
-            self.parts.append(data)
+        at = self.open[-1]
+        if at.kind != UNSEEN:
+            self.parts[at.kind].append(data)
+            if at.link:
+                self.linked[at.kind] += sum(map(len, data.split()))
 
     def read(self, html: str) -> list[Block]:
         self.feed(html)
         self.close()
-        if not self.open[-1].skip:
-            self.flush()
+        self.flush(OWN)
+        self.flush(ASIDE)
         return self.blocks
 
 
@@ -156,39 +184,42 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Border of the two clusters of ``values`` (two-means on a line)."""
-    low, high = float(values.min()), float(values.max())
+    """Border of the two clusters of ``values`` (two-means on a line, the lower
+    centre fixed at 0: text that is all tags). It is not above the largest value."""
+    high = float(values.max())
     for _ in range(ROUNDS):
-        border = (low + high) / 2
-        upper = values >= border
-        if upper.all() or not upper.any():
-            break
-        new = float(values[~upper].mean()), float(values[upper].mean())
-        if new == (low, high):
+        new = float(values[values >= high / 2].mean())
+        if new == high:
             break
-        low, high = new
-    return (low + high) / 2 if high > low else low
+        high = new
+    return high / 2
 
 
 def content(blocks: list[Block]) -> list[Block]:
-    """The blocks of the content regions.
+    """The blocks of the content regions, without what is aside.
 
-    If the page marks an article (or main) element with text, its regions are
-    the candidates, else all are. A region is content if at least half of its
-    characters lie in blocks of the upper cluster; if none is, the region with
-    the highest smoothed ratio.
+    The ratios of all blocks decide which are in the upper cluster; those that
+    are aside or mostly links do not count, and if none is left, the ratios of
+    the blocks that are not aside decide. An article or main element
+    is the content if it holds MOST of the upper cluster's text. Else all regions with a block of the upper cluster are.
     """
-    if any(b.story for b in blocks):
-        blocks = [b for b in blocks if b.story]
-    if not blocks or len({b.region for b in blocks}) == 1:
-        return blocks
+    own = [i for i, b in enumerate(blocks) if not b.aside]
+    if not own:
+        return []
     ratio = smoothed(np.log1p([len(b.text) / max(1, b.tags) for b in blocks]))
-    upper = ratio >= threshold(ratio)
-    balance: dict[int, int] = {}
-    for b, up in zip(blocks, upper, strict=True):
-        balance[b.region] = balance.get(b.region, 0) + (len(b.text) if up else -len(b.text))
-    chosen = {r for r, x in balance.items() if x >= 0} or {blocks[int(np.argmax(ratio))].region}
-    return [b for b in blocks if b.region in chosen]
+    border = threshold(ratio)
+    upper = [i for i in own if ratio[i] >= border and not blocks[i].links]
+    if not upper:
+        border = threshold(ratio[own])
+        upper = [i for i in own if ratio[i] >= border]
+    held: Counter[int] = Counter()
+    for i in upper:
+        held[blocks[i].story] += len(blocks[i].text)
+    story, most = held.most_common(1)[0]
+    if story and most >= MOST * held.total():
+        return [blocks[i] for i in own if blocks[i].story == story]
+    chosen = {blocks[i].region for i in upper}
+    return [blocks[i] for i in own if blocks[i].region in chosen]
 
 
 def main_text(html: str) -> str:

@@ -60,3 +60,26 @@ def test_broken_and_odd_pages(spark):
     got = sorted(((str(r["page_id"]), r["n_chars"]) for r in html_text.extract(pages).collect()))
     assert got == sorted([("1", 0), ("2", 0), ("None", 1), ("4", len(long) - 1), ("4", 1)])
     assert html_text.extract(pages.limit(0)).collect() == []
+
+
+def test_the_articles_are_found_without_their_tags(spark):
+    for p in table(spark, "pages").collect():
+        bare = re.sub(r"</?article>", "", p["html"])
+        assert bare != p["html"] and main_text(bare) == brute(p["html"])
+
+
+def test_clusters_choose_when_the_article_element_holds_little():
+    text = "<p>" + "A sentence that says something at length about a thing. " * 4 + "</p>"
+    page = f"<body><div><article><a href=1>Read on</a></article></div><div>{text * 4}</div></body>"
+    assert main_text(page).count("A sentence") == 16
+
+
+def test_ratios_leave_unnamed_links_out_without_an_article():
+    text = "<p>" + "A sentence that says something at length about a thing. " * 4 + "</p>"
+    links = "".join(f"<li><a href={i}>l{i}</a></li>" for i in range(12))
+    page = f"<body><nav>{links}</nav><div><ul>{links}</ul></div><section>{text * 4}</section><div><ul>{links}</ul></div></body>"
+    assert main_text(page).count("A sentence") == 16 and "l1" not in main_text(page)
+
+
+def test_an_aside_inside_a_line_does_not_split_it():
+    assert main_text("<article><p>one <button>Share</button>two</p><p>three</p></article>") == "one two\n\nthree"
