@@ -7,10 +7,10 @@ hidden elements are passed over. Blocks of menus, headers, footers, sidebars,
 forms, notices, adverts and comments are marked as aside. The text-to-tag
 ratios of all blocks, these too, are smoothed over their neighbours with a
 Gaussian and clustered around two centres, one of them fixed at the origin,
-with a threshold between them. The regions (containers) that hold blocks of the
-upper cluster are the content, and all of their blocks are kept, short ones
-too. What is aside is left out of them, and an article or main element that
-holds most of the upper cluster's text is the region.
+with a threshold between them. The content is an article or main element that
+holds most of the upper cluster's text, else what stands in the nearest common
+container of the upper cluster between its first and last block and next to
+them, short blocks too. What is aside is left out.
 """
 
 from __future__ import annotations
@@ -102,7 +102,8 @@ class Reader(HTMLParser):
         self.blocks: list[Block] = []
         self.parts: tuple[list[str], list[str]] = [], []
         self.tags, self.linked = [0, 0], [0, 0]
-        self.regions = self.stories = 0
+        self.stories = 0
+        self.around = [0]  # the region around each region
 
     def flush(self, kind: int) -> None:
         text = " ".join("".join(self.parts[kind]).split())
@@ -130,8 +131,8 @@ class Reader(HTMLParser):
         if kind != UNSEEN:
             kind = max(kind, kind_of(tag, attrs))
             if tag in REGIONS:
-                self.regions += 1
-                region = self.regions
+                self.around.append(region)
+                region = len(self.around) - 1
             if tag in ("article", "main") and not story:
                 self.stories += 1
                 story = self.stories
@@ -195,13 +196,27 @@ def threshold(values: np.ndarray) -> float:
     return high / 2
 
 
-def content(blocks: list[Block]) -> list[Block]:
-    """The blocks of the content regions, without what is aside.
+def within(regions: list[int], around: list[int]) -> list[int]:
+    """How many of ``regions`` lie in each region; a region's number is above that of the region around it."""
+    count = [0] * len(around)
+    for region in regions:
+        count[region] += 1
+    for region in range(len(around) - 1, 0, -1):
+        count[around[region]] += count[region]
+    return count
+
+
+def content(blocks: list[Block], around: list[int]) -> list[Block]:
+    """The blocks of the content, without what is aside; ``around`` has the region around each region.
 
     The ratios of all blocks decide which are in the upper cluster; those that
     are aside or mostly links do not count, and if none is left, the ratios of
-    the blocks that are not aside decide. An article or main element
-    is the content if it holds MOST of the upper cluster's text. Else all regions with a block of the upper cluster are.
+    the blocks that are not aside decide. An article or main element is the
+    content if it holds MOST of the upper cluster's text.
+    Else it is what stands in the nearest common container of the upper
+    cluster from the cluster's first to its last block, and the blocks before
+    and after them there up to the next one that is mostly links. A container
+    of a single block is a part of the container around it.
     """
     own = [i for i, b in enumerate(blocks) if not b.aside]
     if not own:
@@ -218,12 +233,24 @@ def content(blocks: list[Block]) -> list[Block]:
     story, most = held.most_common(1)[0]
     if story and most >= MOST * held.total():
         return [blocks[i] for i in own if blocks[i].story == story]
-    chosen = {blocks[i].region for i in upper}
-    return [blocks[i] for i in own if blocks[i].region in chosen]
+    met, every = (within([blocks[i].region for i in which], around) for which in (upper, own))
+    home = max(r for r, n in enumerate(met) if n == len(upper))
+    while home and every[home] == 1:
+        home = around[home]
+    inside = [home == 0]
+    for region in range(1, len(around)):
+        inside.append(region == home or inside[around[region]])
+    first, last = upper[0], upper[-1]
+    while first > 0 and inside[blocks[first - 1].region] and not blocks[first - 1].links:
+        first -= 1
+    while last + 1 < len(blocks) and inside[blocks[last + 1].region] and not blocks[last + 1].links:
+        last += 1
+    return [b for b in blocks[first:last + 1] if not b.aside]
 
 
 def main_text(html: str) -> str:
-    return "\n\n".join(b.text for b in content(Reader().read(html)))
+    page = Reader()
+    return "\n\n".join(b.text for b in content(page.read(html), page.around))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

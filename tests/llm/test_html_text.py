@@ -83,3 +83,34 @@ def test_ratios_leave_unnamed_links_out_without_an_article():
 
 def test_an_aside_inside_a_line_does_not_split_it():
     assert main_text("<article><p>one <button>Share</button>two</p><p>three</p></article>") == "one two\n\nthree"
+
+
+LONG = "A sentence that says something at length about one thing. " * 9
+
+
+def test_a_teaser_article_does_not_replace_the_body():
+    card = "<article class=card><h3>Read this too</h3><p>A short teaser of another story.</p></article>"
+    for page in (f"<body>{card}<div class=post>{f'<p>{LONG}</p>' * 6}</div></body>",
+                 f"<body><div class=post>{f'<div>{LONG}</div>' * 6}</div>{card}</body>"):
+        assert main_text(page).count(LONG.strip()) == 6
+
+
+def test_one_div_per_paragraph_keeps_short_lines_and_their_neighbours():
+    links = "<div>" + "".join(f"<a href={i}>l{i}</a> " for i in range(12)) + "</div>"
+    for at in range(9):
+        lines = [f"{n} {LONG}".strip() for n in range(8)]
+        lines.insert(at, "Short one.")
+        page = f"<body>{links}<div>{''.join(f'<div>{x}</div>' for x in lines)}</div>{links}</body>"
+        assert main_text(page) == "\n\n".join(lines)
+        assert main_text(page.replace(links, "")) == "\n\n".join(lines)
+
+
+def test_a_body_in_two_containers_is_kept_whole():
+    part = f"<p>{LONG}</p>" * 3
+    page = f"<body><div><div>{part}</div><div><h2>Next</h2></div><div><section>{part}</section></div></div></body>"
+    assert main_text(page).count(LONG.strip()) == 6 and "Next" in main_text(page)
+
+
+def test_a_lone_long_paragraph_takes_its_neighbours_along():
+    lines = ["Tiny", LONG.strip() * 8, "End"]
+    assert main_text("".join(f"<div>{x}</div>" for x in lines)) == "\n\n".join(lines)
