@@ -35,6 +35,16 @@ STEPS, TOLERANCE = 60, 1e-4
 TARGETS = {"good": 0.96, "poor": 0.01, "toxic": 0.03}
 
 
+class Kept(dict):
+    """Targets of which the ``wanted`` domains lose no document: a document
+    whose likeliest domain is wanted has a rate of 1 at least, and no other
+    domain's target is above its share of the expected tokens of the input."""
+
+    def __init__(self, targets: Mapping[str, float], wanted: set[str]) -> None:
+        super().__init__(targets)
+        self.wanted = frozenset(wanted)
+
+
 def domain_of_labels() -> Column:
     """toxic, else good (quality 1), else poor; null if quality and toxic are null."""
     return (F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good")
@@ -102,37 +112,77 @@ def posteriors(docs: DataFrame, model: LogisticRegressionModel | None, domains:
     return rows.drop(counted, seen, features, chance)
 
 
-def moved(chance: Column, steps: list[list[float]]) -> Column:
+def likeliest(chance: Column) -> Column:
+    """Place of the largest probability, from 1; of equal ones the first."""
+    return F.array_position(chance, F.array_max(chance)).cast("int")
+
+
+def least_rate(chance: Column, domains: list[str], targets: Mapping[str, float]) -> Column:
+    """1 for documents whose likeliest domain is wanted, else 0."""
+    wanted = [i + 1 for i, d in enumerate(domains) if d in getattr(targets, "wanted", ())]
+    return F.when(likeliest(chance).isin(wanted), 1.0).otherwise(0.0) if wanted else F.lit(0.0)
+
+
+def moved(chance: Column, steps: list[list[float]], least: Column | None = None) -> Column:
     """Struct (r, y) of a document after the gradient ``steps``, from rate 1.
 
     A step is (gain, one number per domain): from the point y the document
-    moves along its probabilities, and to zero if it fell below; that is its
-    rate r. The next y lies beyond r by ``gain`` times the way that r has gone.
+    moves along its probabilities, and to ``least`` (zero) if it fell below;
+    that is its rate r. The next y lies beyond r by ``gain`` times the way that r has gone.
     """
     start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not steps:
         return start
     rows = F.array(*[F.array(*[F.lit(float(x)) for x in s]) for s in steps])
     k = len(steps[0]) - 1
+    least = F.lit(0.0) if least is None else least
 
     def step(at: Column, s: Column) -> Column:
         slope = sum((chance[i] * s[i + 1] for i in range(1, k)), chance[0] * s[1])
-        r = F.greatest(F.lit(0.0), at["y"] - slope)
+        r = F.greatest(least, at["y"] - slope)
         return F.struct(r.alias("r"), (r + s[0] * (r - at["r"])).alias("y"))
 
     return F.aggregate(rows, start, step)
 
 
-def rate(chance: Column, steps: list[list[float]]) -> Column:
-    return moved(chance, steps)["r"]
+def rate(chance: Column, steps: list[list[float]], least: Column | None = None) -> Column:
+    return moved(chance, steps, least)["r"]
 
 
-def solve(known: DataFrame, targets: list[float], chance: str, tokens: str) -> list[list[float]]:
+def present_shares(known: DataFrame, k: int, chance: str, tokens: str) -> list[float]:
+    """Share of every domain in the expected tokens of ``known`` (zeros without tokens)."""
+    sums = known.agg(*[F.sum(F.col(tokens) * F.col(chance)[i]) for i in range(k)]).first()
+    total = sum(x or 0.0 for x in sums)
+    return [(x or 0.0) / total if total else 0.0 for x in sums]
+
+
+def aims(known: DataFrame, domains: list[str], targets: Mapping[str, float], chance: str, tokens: str) -> list[float]:
+    """The target weights in the order of ``domains``. With :class:`Kept`
+    targets the domains that are not wanted get at most their present share,
+    and the wanted ones the rest, in the proportion of their targets."""
+    total = sum(targets.values())
+    aim = [targets[d] / total for d in domains]
+    wanted = getattr(targets, "wanted", ())
+    rest = sum(x for x, d in zip(aim, domains, strict=True) if d in wanted)
+    if not rest:
+        return aim
+    now = present_shares(known, len(domains), chance, tokens)
+    if all(x >= n for x, n, d in zip(aim, now, domains, strict=True) if d not in wanted):
+        capped = now  # nothing to take away: the input is the mixture
+    else:
+        capped = [min(x, n) for x, n in zip(aim, now, strict=True)]
+        left = 1 - sum(x for x, d in zip(capped, domains, strict=True) if d not in wanted)
+        capped = [x / rest * left if d in wanted else c for x, c, d in zip(aim, capped, domains, strict=True)]
+    return capped if any(capped) else aim
+
+
+def solve(known: DataFrame, targets: list[float], chance: str, tokens: str, least: Column | None = None
+          ) -> list[list[float]]:
     """Steps that bring the expected tokens of the domains to the targets.
 
     Accelerated projected gradient for least squares in the norm of the
     domains' second moments: a step of length 1 would end it if no rate were
-    held at zero. The gain grows with the steps and falls back to zero when
+    held at ``least`` (zero). The gain grows with the steps and falls back to zero when
     the error has grown. Each pass over the stored ``known`` returns two sums
     per domain.
     """
@@ -149,7 +199,7 @@ def solve(known: DataFrame, targets: list[float], chance: str, tokens: str) -> l
     steps: list[list[float]] = []
     error, since = float("inf"), 0
     while sums[0] and len(steps) < STEPS:
-        now = known.select(moved(p, steps).alias("at"), t.alias("t"), p.alias("p"))
+        now = known.select(moved(p, steps, least).alias("at"), t.alias("t"), p.alias("p"))
         have = now.agg(*[F.sum(F.col(f"at.{x}") * F.col("t") * F.col("p")[i]) for x in "ry" for i in range(k)]).first()
         off, ahead = np.array(have[:k], dtype=float) - goal, np.array(have[k:], dtype=float) - goal
         if np.abs(off).max() <= TOLERANCE * goal.max():
@@ -174,6 +224,13 @@ def _fitted(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
     return domains, learn(docs, labelled, domains, id_col, text_col)
 
 
+def _steps(known: DataFrame, domains: list[str], model: LogisticRegressionModel | None, targets: Mapping[str, float],
+           chance: str, tokens: str, least: Column) -> list[list[float]]:
+    if model is None:
+        return []
+    return solve(known, aims(known, domains, targets, chance, tokens), chance, tokens, least)
+
+
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
         text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, tokens, domain (the likeliest),
@@ -182,16 +239,18 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_c
     The expected tokens of all domains together stay what they are. Null and
     empty texts have no tokens: they weigh nothing and get the rate of their
     probabilities. Targets that no nonnegative rates can meet are met as
-    closely as the least squares allow.
+    closely as the least squares allow. :class:`Kept` targets follow the input
+    and bound the rates of wanted documents. Without a model nothing tells the
+    documents apart, and their rates are 1 then.
     """
     domains, model = _fitted(docs, labelled, targets, id_col, text_col)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     known = stage(posteriors(rows, model, domains, "chance", "tokens").drop("text"), "mixing")
-    steps = solve(known, [targets[d] for d in domains], "chance", "tokens")
     p = F.col("chance")
-    best = F.array_position(p, F.array_max(p)).cast("int")
-    return known.withColumn("rate", rate(p, steps)).select(
-        "doc_id", "tokens", F.element_at(F.array(*[F.lit(d) for d in domains]), best).alias("domain"),
+    least = least_rate(p, domains, targets)
+    steps = _steps(known, domains, model, targets, "chance", "tokens", least)
+    return known.withColumn("rate", rate(p, steps, least)).select(
+        "doc_id", "tokens", F.element_at(F.array(*[F.lit(d) for d in domains]), likeliest(p)).alias("domain"),
         F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), p).alias("posterior"), "rate",
         copies(F.col("rate"), F.col("doc_id")).alias("copies"))
 
@@ -203,7 +262,8 @@ def resample(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
     chance, tokens, times = (fresh(docs, n) for n in ("mix_chance", "mix_tokens", "mix_times"))
     # the classifier runs once a row: its probabilities are written beside the row
     known = stage(posteriors(docs, model, domains, chance, tokens, text_col), "mixing")
-    steps = solve(known, [targets[d] for d in domains], chance, tokens)
-    drawn = known.withColumn(times, copies(rate(F.col(chance), steps), F.col(f"`{id_col}`")))
+    least = least_rate(F.col(chance), domains, targets)
+    steps = _steps(known, domains, model, targets, chance, tokens, least)
+    drawn = known.withColumn(times, copies(rate(F.col(chance), steps, least), F.col(f"`{id_col}`")))
     return (drawn.where(F.col(times) > 0).withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
