@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatewise.llm import bpe, exact_dedup, html_text, language, mixing, quality, sharding, simhash, sketches, substrings
+from gatewise.llm import alignment, bpe, centroids, divergence, exact_dedup, html_text, language, mixing, quality, sharding, simhash, sketches, substrings
 from gatewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,24 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of about 50 words and more that repeat across documents."""
     return substrings.passages(table(spark, sf_dir, "documents"))
+
+
+@register("op11_heap_bounds_centroids")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster and squared distance of every 64-component embedding: 8 centroids, 10 rounds."""
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_asof_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned groups and linked id pairs of two public tokenizers over every document."""
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(alignment.LEFT),
+                           public_tokenizers.path(alignment.RIGHT))
+
+
+@register("op13_language_divergence")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and whether it stays near a language of the corpus."""
+    return divergence.judge(table(spark, sf_dir, "documents"))

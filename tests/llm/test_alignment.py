@@ -1,0 +1,127 @@
+import hashlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from gatewise.llm import alignment
+from gatewise.llm.queries import QUERIES
+
+from .conftest import SF, docs_df, table
+
+PATHS = public_tokenizers.path(alignment.LEFT), public_tokenizers.path(alignment.RIGHT)
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    left = Tokenizer.from_file(PATHS[0])
+    left.encode_special_tokens = True
+    return left, sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+
+
+def byte_alphabet():
+    keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in keep]
+    return {chr(b): b for b in keep} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def groups(libraries, text):
+    """[(a ids, b ids)] of one text by walking both token lists side by side."""
+    left, right = libraries
+    if not text:
+        return []
+    back = byte_alphabet()
+    a = left.encode(" " + text, add_special_tokens=False)
+    b = right.encode(text, num_threads=1)
+    a = [(i, len(bytes(back[c] for c in t)), bytes(back[c] for c in t)) for i, t in zip(a.ids, a.tokens)]
+    pieces = [right.id_to_piece(i) for i in b]
+    raw = [bytes([int(p[3:5], 16)]) if right.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(b, pieces)]
+    b = [(i, len(r), r) for i, r in zip(b, raw)]
+    if not b"".join(x[2] for x in a) == b"".join(x[2] for x in b) == (" " + text).encode():
+        return []
+    out, i, j = [], 0, 0
+    while i < len(a):
+        ia, jb, ends = i + 1, j + 1, [a[i][1], b[j][1]]
+        while ends[0] != ends[1]:
+            if ends[0] < ends[1]:
+                ends[0] += a[ia][1]
+                ia += 1
+            else:
+                ends[1] += b[jb][1]
+                jb += 1
+        out.append(([x[0] for x in a[i:ia]], [x[0] for x in b[j:jb]]))
+        i, j = ia, jb
+    return out
+
+
+def brute(libraries, rows):
+    every = [(i, groups(libraries, t)) for i, t in rows]
+    linked = [Counter((x, y) for a, b in g for x in a for y in b) for _, g in every]
+    count = Counter(p for c in linked for p in c)
+    most = {}
+    for (x, _), n in count.items():
+        most[x] = max(n, most.get(x, 0))
+    out = []
+    for (i, g), c in zip(every, linked):
+        text = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in g)
+        out.append((str(i), sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), sum(c.values()),
+                    sum(n for p, n in c.items() if count[p] == most[p[0]]), sum(n * count[p] for p, n in c.items()),
+                    hashlib.sha256(text.encode()).hexdigest() if g else ""))
+    return sorted(out)
+
+
+def got(df):
+    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    return sorted((str(r["doc_id"]), *[r[n] for n in names]) for r in df.collect())
+
+
+def test_query_matches_brute_force(spark, libraries):
+    rows = [(r["doc_id"], r["text"]) for r in table(spark, "documents").collect()]
+    assert got(QUERIES["op12_asof_token_alignment"](spark, SF)) == brute(libraries, rows)
+
+
+ODD = [(20, " "), (21, "  two  spaces \n\n and\tlines \r\n"), (22, "▁ block"), (23, "<s> </s> <unk> <0x41> <|endoftext|>"),
+       (24, "é ﬁ ① ﷺ"), (25, "\U0001f468‍\U0001f469‍\U0001f467 สวัสดี"),
+       (26, "-" * 997), (27, " " * 301 + "x"), (28, "aAa" * 400), (29, "漢" * 300), (30, "x\x00y"), (31, "'s 's'S")]
+
+
+def test_awkward_rows(spark, libraries, awkward, awkward_rows):
+    rows = [*awkward_rows, *ODD]
+    df = awkward.unionByName(docs_df(spark, ODD))
+    want = brute(libraries, rows)
+    assert got(alignment.align(df, *PATHS)) == want
+    assert [r for r in want if r[0] == "22"][0][1:] == (0, 0, 0, 0, 0, 0, "")  # the sign stands for a space on one side
+
+
+def test_rare_pairs_take_the_other_way(spark, libraries, awkward, awkward_rows):
+    """More pairs than may be broadcast: the same result."""
+    assert got(alignment.align(awkward, *PATHS, head_pairs=10)) == brute(libraries, awkward_rows)
+
+
+def test_empty_table(nothing):
+    found = alignment.align(nothing, *PATHS)
+    assert found.collect() == []
+    assert found.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def test_texts_are_cut_into_bounded_ranges():
+    size = alignment.GROUP_CHARS
+    texts = ["x" * (size // 2), "y" * (size // 2), "z", "w" * (3 * size), "", "v"]
+    ranges = list(alignment.batches_of(texts))
+    assert ranges == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(alignment.batches_of([])) == []
+
+
+def test_long_groups_are_counted_without_all_their_links():
+    """Two tokenizers that never agree: a group's links are products of its distinct ids."""
+    one = alignment.Aligner(*PATHS)
+    a, b = [5] * 300 + [6], [7] * 200 + [8, 8]
+    side = alignment.Side([b"x"] * 10)
+    one.left, one.right, one.wide = side, side, 10
+    import numpy as np
+    ends, x, y, times = one.linked(1, np.array(a), np.array(b), np.zeros(301, int), np.zeros(202, int), np.array([301]),
+                                   np.array([202]), np.array([0]), (np.zeros(0, int),) * 3)
+    assert ends.tolist() == [4]
+    assert list(zip(x.tolist(), y.tolist(), times.tolist())) == [(5, 7, 60000), (5, 8, 600), (6, 7, 200), (6, 8, 2)]
