@@ -16,7 +16,7 @@ rare ones, each of which few documents hold, are shuffled.
 from __future__ import annotations
 
 import hashlib
-import os
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,8 +31,10 @@ from gatewise.llm.common import id_and_text, stage
 
 #: Characters of the documents that are aligned at once (a longer one is alone).
 GROUP_CHARS = 400_000
-#: Counted id pairs that are broadcast: about 16 MB in memory, whatever the input.
-HEAD_PAIRS = 1 << 18
+#: Counted id pairs that are broadcast: a few MB in memory, whatever the input.
+HEAD_PAIRS = 1 << 16
+#: How byte-level BPE cuts words (a fixed value of that kind of tokenizer).
+BYTE_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: The tokenizer files of the registered query, as the package that has them names them.
 LEFT, RIGHT = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -53,40 +55,45 @@ class Aligner:
 
     def __init__(self, left: str, right: str):
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.byte_bpe = Tokenizer.from_file(left)
-        self.byte_bpe.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.byte_bpe.no_truncation()
-        self.byte_bpe.no_padding()
+        with open(left, encoding="utf-8") as f:
+            spec = json.load(f)
         back = {ord(letter): b for b, letter in byte_letters().items()}
-        vocab = sorted(self.byte_bpe.get_vocab(with_added_tokens=True).items(), key=lambda x: x[1])
-        named = dict((i, t) for t, i in vocab)
-        self.left = Side([named.get(i, "").translate(back).encode("latin-1", "replace") for i in range(vocab[-1][1] + 1)])
+        special = {t["id"] for t in spec["added_tokens"]}
+        ranks = {t.translate(back).encode("latin-1"): i for t, i in spec["model"]["vocab"].items() if i not in special}
+        # ids in the order of the merges, which every token's own text goes through: the ids are ranks
+        merged = [t if isinstance(t, str) else " ".join(t) for t in spec["model"]["merges"]]
+        if spec["normalizer"] or any(spec["model"]["vocab"][t.replace(" ", "")] != 256 + i for i, t in enumerate(merged)):
+            raise ValueError(f"{left} is no byte-level BPE whose ids follow its merges")
+        self.byte_bpe = tiktoken.Encoding("left", pat_str=BYTE_LEVEL_WORDS, mergeable_ranks=ranks, special_tokens={})
+        named = {i: p for p, i in ranks.items()}
+        self.left = Side([named.get(i, b"") for i in range(max(named) + 1)])
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=right)
         self.right = Side([bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace("▁", " ").encode()
                            for i, p in enumerate(map(self.pieces.id_to_piece, range(self.pieces.vocab_size())))])
         self.wide = len(self.right.pieces)
 
-    def tokens(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each side; none if a side's bytes are not a space and the text."""
-        full = [e.ids for e in self.byte_bpe.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        out = []
-        for text, a, b in zip(texts, full, self.pieces.encode(texts, num_threads=1), strict=True):
+        none = np.zeros(0, np.int64)
+        left, right = [], []
+        for text, b in zip(texts, self.pieces.encode(texts, num_threads=1), strict=True):
+            a = self.byte_bpe.encode_to_numpy(" " + text, disallowed_special=()) if text else none
             want = (" " + text).encode()
-            whole = text and want == b"".join(map(self.left.pieces.__getitem__, a)) == b"".join(
+            # byte-level BPE without a normaliser loses no byte, so its length tells
+            whole = text and len(want) == self.left.size[a].sum() and want == b"".join(
                 map(self.right.pieces.__getitem__, b))
-            out.append((a, b) if whole else ([], []))
-        return out
+            left.append(a.astype(np.int64) if whole else none)
+            right.append(np.array(b, dtype=np.int64) if whole else none)
+        return left, right
 
     def align(self, texts: list[str]) -> dict[str, np.ndarray | list]:
         """Counts, digest and linked id pairs (``ends`` has the end of each
         text's pairs in ``a``, ``b`` and ``times``) of every text."""
-        found = self.tokens(texts)
-        n = len(found)
-        n_a, n_b = (np.array([len(x[s]) for x in found], dtype=np.int64) for s in (0, 1))
-        a, b = (np.array([i for x in found for i in x[s]], dtype=np.int64) for s in (0, 1))
+        n, (left, right) = len(texts), self.tokens(texts)
+        n_a, n_b = (np.array(list(map(len, side)), dtype=np.int64) for side in (left, right))
+        a, b = np.concatenate(left), np.concatenate(right)
         doc_a, doc_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
         # a text has as many bytes on both sides, so running ends agree across texts
         end_a, end_b = np.cumsum(self.left.size[a]), np.cumsum(self.right.size[b])

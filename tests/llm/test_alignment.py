@@ -125,3 +125,16 @@ def test_long_groups_are_counted_without_all_their_links():
                                    np.array([202]), np.array([0]), (np.zeros(0, int),) * 3)
     assert ends.tolist() == [4]
     assert list(zip(x.tolist(), y.tolist(), times.tolist())) == [(5, 7, 60000), (5, 8, 600), (6, 7, 200), (6, 8, 2)]
+
+
+def test_ids_are_ranks_for_every_token_and_character(libraries):
+    """The left side is encoded by ranks; the library gives the same ids for
+    every token's own text and for characters of all kinds in context."""
+    left, _ = libraries
+    one = alignment.aligner(*PATHS)
+    for token, i in left.get_vocab(with_added_tokens=False).items():
+        assert i == 50256 or left.model.tokenize(token)[0].id == i
+    texts = [f"a{chr(c)}a1{chr(c)}1!{chr(c)}! {chr(c)}  {chr(c)}x" for c in [*range(0x3000), *range(0x3000, 0xD800, 97),
+                                                                           *range(0xE000, 0x110000, 997)]]
+    want = [e.ids for e in left.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [one.byte_bpe.encode_ordinary(t) for t in texts] == want
