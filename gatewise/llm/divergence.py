@@ -44,7 +44,8 @@ UNIT = 1_000_000
 #: Marks that are cut from both ends of a word before it is looked up.
 TRIM = ".,;:!?\"'()[]-"
 #: (language, word) entries that a task counts before it sends them on.
-HELD_WORDS = 200_000
+HELD_WORDS = 300_000
+PAIR = 1 << 62
 
 CLASSES = ["lower", "upper", "digit", "space", "line", "stop", "quote", "symbol", "mark", "control",
            "letters_c2", "letters_d0", "wide", "beyond"]
@@ -72,8 +73,12 @@ def class_counts(text: str) -> np.ndarray:
     return np.bincount(BYTE_CLASS[BYTE_CLASS >= 0], seen[BYTE_CLASS >= 0], len(CLASSES)).astype(np.int64)
 
 
-def looked_up(word: str) -> str:
-    return word.strip(TRIM).lower()
+def looked_up(text: str) -> Counter:
+    """How often each word of a text occurs, in lower case and without the marks around it."""
+    found: Counter = Counter()
+    for word, k in Counter(WORD.findall(text.lower())).items():
+        found[word.strip(TRIM)] += k
+    return found
 
 
 def repeated_words(words: list[str]) -> int:
@@ -81,22 +86,30 @@ def repeated_words(words: list[str]) -> int:
     n = len(words) - WINDOW + 1
     if n < 2:
         return 0
-    numbers: dict[str, int] = {}
-    ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], dtype=np.int64)
-    rank = ids[:n]
-    for step in range(1, WINDOW):  # windows are numbered by their first words so far and the next one
-        rank = np.unique(rank * len(numbers) + ids[step:step + n], return_inverse=True)[1]
-    again = np.bincount(rank)[rank] > 1
-    if not again.any():
+    number = dict(zip(words, range(len(words)), strict=True))  # of equal words the last place
+    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    rank, most = ids[:n], len(words)
+    for step in range(1, WINDOW):  # a window's number: its first words so far and the next one
+        if most > (1 << 62) // len(words):
+            rank = np.unique(rank, return_inverse=True)[1]
+            most = n
+        rank = rank * len(words) + ids[step:step + n]
+        most *= len(words)
+    order = np.argsort(rank, kind="stable")
+    same = rank[order[1:]] == rank[order[:-1]]
+    if not same.any():
         return 0
+    again = np.zeros(n, dtype=np.int64)
+    again[order[1:][same]] = again[order[:-1][same]] = 1
     edges = np.zeros(len(words) + 1, dtype=np.int64)
     edges[:n] += again
     edges[WINDOW:] -= again
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
-def base(text: str, words: list[str]) -> tuple[int, int, int, int, int]:
+def base(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text."""
+    words = WORD.findall(text)
     seen: set[str] = set()
     doubled = 0
     for line in text.split("\n"):
@@ -122,36 +135,44 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-        shares: Counter = Counter()
-
-        def sent() -> pa.RecordBatch:
-            keys = list(shares)
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-                 pa.array([k[2] for k in keys], pa.int32()), pa.array([held[k] for k in keys], pa.int64()),
-                 pa.array([shares[k] for k in keys], pa.int64())], names=["lang", "word", "kind", "documents", "share"])
-            held.clear()
-            shares.clear()
-            return batch
+        # one number per entry: PAIR times the documents, plus the share
+        words: dict[str, dict[str, int]] = {}
+        classes: dict[str, dict[int, int]] = {}
+        entries = 0
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for lang in words:
+                for keys, kinds, sums in ((list(words[lang]), -1, words[lang]), ("", list(classes[lang]), classes[lang])):
+                    n = len(sums)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * n, pa.string()), pa.array(keys or [""] * n, pa.string()),
+                         pa.array([-1] * n if kinds == -1 else kinds, pa.int32()),
+                         pa.array([x // PAIR for x in sums.values()], pa.int64()),
+                         pa.array([x % PAIR for x in sums.values()], pa.int64())],
+                        names=["lang", "word", "kind", "documents", "share"])
+            words.clear()
+            classes.clear()
 
         for batch in batches:
             for part in slices(batch):
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    words = WORD.findall(text)
-                    n = len(words)
+                    found = looked_up(text)
+                    n = found.total()
                     if n < REFERENCE_WORDS:
                         continue
-                    for word, k in Counter(map(looked_up, words)).items():
-                        held[lang, word, -1] += 1
-                        shares[lang, word, -1] += k * UNIT // n
+                    own = words.setdefault(lang, {})
+                    entries -= len(own)
+                    for word, k in found.items():
+                        own[word] = own.get(word, 0) + PAIR + k * UNIT // n
+                    entries += len(own)
                     counts = class_counts(text)
+                    own = classes.setdefault(lang, {})
                     for kind, share in enumerate((counts * UNIT // counts.sum()).tolist()):
-                        held[lang, "", kind] += 1
-                        shares[lang, "", kind] += share
-                    if len(held) >= HELD_WORDS:
-                        yield sent()
-        yield sent()
+                        own[kind] = own.get(kind, 0) + PAIR + share
+                    if entries >= HELD_WORDS:
+                        yield from sent()
+                        entries = 0
+        yield from sent()
 
     sums = rows.mapInArrow(run, "lang string, word string, kind int, documents long, share long").groupBy(
         "lang", "word", "kind").agg(F.sum("documents").alias("documents"), F.sum("share").alias("share"))
@@ -200,34 +221,35 @@ class References:
             shares.append(own / own.sum())
         return cls([r["lang"] for r in rows], classes / classes.sum(axis=1, keepdims=True) if rows else classes, words, shares)
 
-    def distances(self, text: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def distances(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Distances of a document with words to every language, by classes and by common words."""
         counts = class_counts(text)
         by_class = distance(counts / counts.sum(), self.classes)
-        found = Counter(map(looked_up, words))
+        found = looked_up(text)
+        n = found.total()
         by_word = np.zeros(len(self.langs))
         for i, (places, shares) in enumerate(zip(self.words, self.shares, strict=True)):
             own = np.zeros(len(shares))
             for word in places.keys() & found.keys():
                 own[places[word]] = found[word]
-            own[-1] = len(words) - own.sum()
-            by_word[i] = distance(own / len(words), shares)
+            own[-1] = n - own.sum()
+            by_word[i] = distance(own / n, shares)
         return by_class, by_word
 
-    def judge(self, text: str, words: list[str], word_chars: int) -> tuple[float | None, float | None, str | None, bool]:
+    def judge(self, text: str, n_words: int, word_chars: int) -> tuple[float | None, float | None, str | None, bool]:
         """Distances to the nearest language, its name, and the verdict.
 
         Nearest is the language with the smallest larger one of both
         distances, each measured in units of what is allowed.
         """
-        if not self.langs or not words:
+        if not self.langs or not n_words:
             return None, None, None, True
-        by_class, by_word = self.distances(text, words)
+        by_class, by_word = self.distances(text)
         over = np.zeros(len(self.langs))
         if word_chars >= LEAST_CHARS:
             over = by_class / np.sqrt(FAR_CLASSES + CLASS_CHANCE / word_chars)
-        if len(words) >= LEAST_COMPARED:
-            over = np.maximum(over, by_word / np.sqrt(FAR_WORDS + WORD_CHANCE / len(words)))
+        if n_words >= LEAST_COMPARED:
+            over = np.maximum(over, by_word / np.sqrt(FAR_WORDS + WORD_CHANCE / n_words))
         near = int(np.argmin(over))
         return float(by_class[near]), float(by_word[near]), self.langs[near], bool(over[near] <= 1)
 
@@ -242,8 +264,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept, and the distances to the nearest
-    language by classes and by words with its name (null without words or
-    references). Null and empty texts have no words and fail the base rules.
+    language by classes and by words with its name (null if the base rules
+    fail, or without references). Null and empty texts have no words and fail the base rules.
     Documents without a language are judged, but are in no reference; where
     no document has a language, the base rules decide alone. Repeated rows
     each get their own row.
@@ -256,11 +278,11 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
               "word_distance double, nearest string")
 
     def judged(text: str) -> tuple:
-        words = WORD.findall(text)
-        counts = base(text, words)
-        failed = fails(counts[0], counts[4])
-        by_class, by_word, lang, passed = known.judge(text, words, counts[1])
-        return *counts, failed, passed and not failed, by_class, by_word, lang
+        counts = base(text)
+        if fails(counts[0], counts[4]):
+            return *counts, True, False, None, None, None
+        by_class, by_word, lang, passed = known.judge(text, *counts[:2])
+        return *counts, False, passed, by_class, by_word, lang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

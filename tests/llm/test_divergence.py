@@ -57,7 +57,7 @@ def reference_brute(rows):
             if own != lang or len(found) < divergence.REFERENCE_WORDS:
                 continue
             docs += 1
-            for w, k in Counter(divergence.looked_up(w) for w in found).items():
+            for w, k in Counter(w.lower().strip(divergence.TRIM) for w in found).items():
                 held[w] += 1
                 shares[w] += k * divergence.UNIT // len(found)
             c = divergence.class_counts(text)
