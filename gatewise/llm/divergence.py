@@ -15,10 +15,9 @@ five-word windows.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +26,8 @@ from pyspark.sql import functions as F
 
 from gatewise.llm.common import id_and_text, ship, slices, stage
 
-#: Words of a text, and the marks that the base rules count.
-WORD, SYMBOL = re.compile(r"[^\x20\x09-\x0D]+"), re.compile(r"[#*$%&|<>]")
+#: Bytes between words (where ``bytes.split`` cuts), and the marks that the base rules count.
+BLANKS, SYMBOLS = list(b" \t\n\v\f\r"), list(b"#*$%&|<>")
 #: Fewer words, or a larger share (in hundredths) of words in repeated windows, fail the base rules.
 LEAST_WORDS, REPEATED_SHARE, WINDOW = 10, 20, 5
 #: Common words of a language, and the words of a document that contributes to the references.
@@ -38,11 +37,9 @@ LEAST_CHARS, LEAST_COMPARED = 100, 50
 #: Largest squared distances of a document that passes: for a very long text,
 #: and what is added for the chance of a short one, divided by its length.
 FAR_CLASSES, CLASS_CHANCE = 0.02, 9.6
-FAR_WORDS, WORD_CHANCE = 0.12, 6.0
+FAR_WORDS, WORD_CHANCE = 0.105, 5.5
 #: Shares are whole numbers of this unit.
 UNIT = 1_000_000
-#: Marks that are cut from both ends of a word before it is looked up.
-TRIM = ".,;:!?\"'()[]-"
 #: (language, word) entries that a task counts before it sends them on.
 HELD_WORDS = 300_000
 PAIR = 1 << 62
@@ -67,21 +64,21 @@ def byte_classes() -> np.ndarray:
 BYTE_CLASS = byte_classes()
 
 
-def class_counts(text: str) -> np.ndarray:
-    """Characters of each class in a text."""
-    seen = np.bincount(np.frombuffer(text.encode("utf-8"), dtype=np.uint8), minlength=256)
+def byte_counts(data: bytes) -> np.ndarray:
+    return np.bincount(np.frombuffer(data, dtype=np.uint8), minlength=256)
+
+
+def class_counts(seen: np.ndarray) -> np.ndarray:
+    """Characters of each class, from the counts of the bytes."""
     return np.bincount(BYTE_CLASS[BYTE_CLASS >= 0], seen[BYTE_CLASS >= 0], len(CLASSES)).astype(np.int64)
 
 
-def looked_up(text: str) -> Counter:
-    """How often each word of a text occurs, in lower case and without the marks around it."""
-    found: Counter = Counter()
-    for word, k in Counter(WORD.findall(text.lower())).items():
-        found[word.strip(TRIM)] += k
-    return found
+def folded_words(data: bytes) -> list[bytes]:
+    """Words as they are looked up: letters of ASCII in lower case."""
+    return data.lower().split()
 
 
-def repeated_words(words: list[str]) -> int:
+def repeated_words(words: list[bytes]) -> int:
     """Words in windows of WINDOW words that occur twice or more, the first one included."""
     n = len(words) - WINDOW + 1
     if n < 2:
@@ -107,16 +104,17 @@ def repeated_words(words: list[str]) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
-def base(text: str) -> tuple[int, int, int, int, int]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text."""
-    words = WORD.findall(text)
-    seen: set[str] = set()
+def base(data: bytes, seen: np.ndarray) -> tuple[int, int, int, int, int]:
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text in UTF-8."""
+    words = data.split()
+    met: set[bytes] = set()
     doubled = 0
-    for line in text.split("\n"):
-        if WORD.search(line):
-            doubled += line in seen
-            seen.add(line)
-    return len(words), sum(map(len, words)), len(SYMBOL.findall(text)), doubled, repeated_words(words)
+    for line in data.split(b"\n"):
+        if line.strip():
+            doubled += line in met
+            met.add(line)
+    chars = len(data) - seen[0x80:0xC0].sum() - seen[BLANKS].sum()
+    return len(words), int(chars), int(seen[SYMBOLS].sum()), doubled, repeated_words(words)
 
 
 def fails(n_words: int, n_repeat_words: int) -> bool:
@@ -136,16 +134,16 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one number per entry: PAIR times the documents, plus the share
-        words: dict[str, dict[str, int]] = {}
+        words: dict[str, dict[bytes, int]] = {}
         classes: dict[str, dict[int, int]] = {}
         entries = 0
 
         def sent() -> Iterator[pa.RecordBatch]:
             for lang in words:
-                for keys, kinds, sums in ((list(words[lang]), -1, words[lang]), ("", list(classes[lang]), classes[lang])):
+                for keys, kinds, sums in ((list(words[lang]), -1, words[lang]), ([], list(classes[lang]), classes[lang])):
                     n = len(sums)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * n, pa.string()), pa.array(keys or [""] * n, pa.string()),
+                        [pa.array([lang] * n, pa.string()), pa.array(keys or [b""] * n, pa.binary()).cast(pa.string()),
                          pa.array([-1] * n if kinds == -1 else kinds, pa.int32()),
                          pa.array([x // PAIR for x in sums.values()], pa.int64()),
                          pa.array([x % PAIR for x in sums.values()], pa.int64())],
@@ -155,17 +153,18 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
         for batch in batches:
             for part in slices(batch):
-                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    found = looked_up(text)
-                    n = found.total()
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                for lang, data in zip(part.column(0).to_pylist(), texts, strict=True):
+                    found = folded_words(data)
+                    n = len(found)
                     if n < REFERENCE_WORDS:
                         continue
                     own = words.setdefault(lang, {})
                     entries -= len(own)
-                    for word, k in found.items():
+                    for word, k in Counter(found).items():
                         own[word] = own.get(word, 0) + PAIR + k * UNIT // n
                     entries += len(own)
-                    counts = class_counts(text)
+                    counts = class_counts(byte_counts(data))
                     own = classes.setdefault(lang, {})
                     for kind, share in enumerate((counts * UNIT // counts.sum()).tolist()):
                         own[kind] = own.get(kind, 0) + PAIR + share
@@ -192,7 +191,7 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon distance (base 2) of a histogram to each row of ``q``; all sum to 1."""
+    """Jensen-Shannon distance (base 2) of a histogram, or of rows of them, to each row of ``q``; all sum to 1."""
     middle = (p + q) / 2
     with np.errstate(divide="ignore", invalid="ignore"):
         left = np.where(p > 0, p * np.log2(p / middle), 0.0)
@@ -200,43 +199,40 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.clip((left + right).sum(axis=-1) / 2, 0.0, 1.0))
 
 
-@dataclass
 class References:
-    """What documents are compared with: per language the class shares, and the
-    shares of its common words and of all others."""
-
-    langs: list[str]
-    classes: np.ndarray
-    words: list[dict[str, int]]
-    shares: list[np.ndarray]
-
-    @classmethod
-    def of(cls, rows: list) -> References:
-        classes = np.array([[c["share"] for c in r["classes"]] for r in rows], dtype=float)
-        words = [{w["word"]: i for i, w in enumerate(r["words"])} for r in rows]
-        shares = []
+    """What documents are compared with: per language (a row of the matrices)
+    the class shares, and the shares of its common words and of all others."""
+
+    def __init__(self, rows: list):
+        self.langs = [r["lang"] for r in rows]
+        classes = np.array([[c["share"] for c in r["classes"]] for r in rows], dtype=float).reshape(len(rows), -1)
+        self.classes = classes / classes.sum(axis=1, keepdims=True)
+        #: number of every common word; one more number stands for all other words
+        self.number: dict[bytes, int] = {}
         for r in rows:
-            own = np.array([w["share"] / (UNIT * r["documents"]) for w in r["words"]] + [0.0])
-            own[-1] = max(0.0, 1 - own.sum())
-            shares.append(own / own.sum())
-        return cls([r["lang"] for r in rows], classes / classes.sum(axis=1, keepdims=True) if rows else classes, words, shares)
-
-    def distances(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distances of a document with words to every language, by classes and by common words."""
-        counts = class_counts(text)
-        by_class = distance(counts / counts.sum(), self.classes)
-        found = looked_up(text)
-        n = found.total()
-        by_word = np.zeros(len(self.langs))
-        for i, (places, shares) in enumerate(zip(self.words, self.shares, strict=True)):
-            own = np.zeros(len(shares))
-            for word in places.keys() & found.keys():
-                own[places[word]] = found[word]
-            own[-1] = n - own.sum()
-            by_word[i] = distance(own / n, shares)
-        return by_class, by_word
-
-    def judge(self, text: str, n_words: int, word_chars: int) -> tuple[float | None, float | None, str | None, bool]:
+            for w in r["words"]:
+                self.number.setdefault(w["word"].encode(), len(self.number))
+        self.other = len(self.number)
+        width = max((len(r["words"]) for r in rows), default=0)
+        self.places = np.full((len(rows), width), self.other + 1)  # past the last number: nothing is there
+        self.shares = np.zeros((len(rows), width + 1))
+        for i, r in enumerate(rows):
+            n = len(r["words"])
+            self.places[i, :n] = [self.number[w["word"].encode()] for w in r["words"]]
+            self.shares[i, :n] = [w["share"] / (UNIT * r["documents"]) for w in r["words"]]
+        self.shares[:, -1] = np.maximum(0.0, 1 - self.shares.sum(axis=1))
+        self.shares /= self.shares.sum(axis=1, keepdims=True)
+
+    def distances(self, data: bytes, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distances of a text with words to every language, by classes and by common words."""
+        counts = class_counts(seen)
+        words = folded_words(data)
+        found = np.bincount(list(map(self.number.get, words, repeat(self.other))), minlength=self.other + 2)
+        own = found[self.places]
+        own = np.hstack([own, len(words) - own.sum(axis=1, keepdims=True)])
+        return distance(counts / counts.sum(), self.classes), distance(own / len(words), self.shares)
+
+    def judge(self, data: bytes, seen: np.ndarray, n_words: int, word_chars: int) -> tuple[float | None, float | None, str | None, bool]:
         """Distances to the nearest language, its name, and the verdict.
 
         Nearest is the language with the smallest larger one of both
@@ -244,7 +240,7 @@ class References:
         """
         if not self.langs or not n_words:
             return None, None, None, True
-        by_class, by_word = self.distances(text)
+        by_class, by_word = self.distances(data, seen)
         over = np.zeros(len(self.langs))
         if word_chars >= LEAST_CHARS:
             over = by_class / np.sqrt(FAR_CLASSES + CLASS_CHANCE / word_chars)
@@ -271,23 +267,24 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     each get their own row.
     """
     ship(docs.sparkSession)
-    known = References.of(references(docs, text_col, lang_col))
+    known = References(references(docs, text_col, lang_col))
     rows = id_and_text(docs, id_col, text_col)
     schema = (f"doc_id {rows.schema[0].dataType.simpleString()}, n_words long, word_chars long, n_symbols long, "
               "n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, class_distance double, "
               "word_distance double, nearest string")
 
-    def judged(text: str) -> tuple:
-        counts = base(text)
+    def judged(data: bytes) -> tuple:
+        seen = byte_counts(data)
+        counts = base(data, seen)
         if fails(counts[0], counts[4]):
             return *counts, True, False, None, None, None
-        by_class, by_word, lang, passed = known.judge(text, *counts[:2])
+        by_class, by_word, lang, passed = known.judge(data, seen, *counts[:2])
         return *counts, False, passed, by_class, by_word, lang
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                out = zip(*[judged(t) for t in part.column(1).to_pylist()], strict=True)
+                out = zip(*[judged(t) for t in part.column(1).cast(pa.binary()).to_pylist()], strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), *[pa.array(x, t) for x, t in zip(out, TYPES, strict=True)]], names=RESULT)
 

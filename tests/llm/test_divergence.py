@@ -57,14 +57,14 @@ def reference_brute(rows):
             if own != lang or len(found) < divergence.REFERENCE_WORDS:
                 continue
             docs += 1
-            for w, k in Counter(w.lower().strip(divergence.TRIM) for w in found).items():
+            for w, k in Counter(w.encode().lower() for w in found).items():
                 held[w] += 1
                 shares[w] += k * divergence.UNIT // len(found)
-            c = divergence.class_counts(text)
+            c = divergence.class_counts(divergence.byte_counts(text.encode()))
             classes += c * divergence.UNIT // c.sum()
-        top = sorted((w for w in held if w), key=lambda w: (-held[w], w.encode()))[:divergence.COMMON]
+        top = sorted((w for w in held if w), key=lambda w: (-held[w], w))[:divergence.COMMON]
         if docs:
-            out[lang] = (docs, classes.tolist(), [(w, shares[w]) for w in top])
+            out[lang] = (docs, classes.tolist(), [(w.decode(), shares[w]) for w in top])
     return out
 
 
@@ -87,7 +87,7 @@ def test_distance_is_jensen_shannon():
 
 def test_character_classes_cover_all_characters():
     text = "".join(chr(c) for c in [*range(0, 0x250), 0x416, 0x5D0, 0x4E2D, 0x20AC, 0x1F600]) + "##"
-    counts = dict(zip(divergence.CLASSES, divergence.class_counts(text).tolist()))
+    counts = dict(zip(divergence.CLASSES, divergence.class_counts(divergence.byte_counts(text.encode())).tolist()))
     assert sum(counts.values()) == len(text)
     assert counts["lower"] == counts["upper"] == 26 and counts["digit"] == 10 and counts["symbol"] == 10
     assert counts["beyond"] == 1 and counts["wide"] == 2 and counts["letters_d0"] == 2
@@ -97,7 +97,7 @@ def test_repeated_windows_of_long_texts():
     rng = random.Random(1)
     for n, kinds in [(4, 1), (5, 1), (6, 1), (40, 2), (300, 3), (3000, 40), (200, 200)]:
         found = [f"w{rng.randrange(kinds)}" for _ in range(n)]
-        assert divergence.repeated_words(found) == brute(" ".join(found))[4]
+        assert divergence.repeated_words([w.encode() for w in found]) == brute(" ".join(found))[4]
 
 
 def test_awkward_rows(awkward, awkward_rows):
