@@ -205,7 +205,8 @@ class References:
 
     def __init__(self, rows: list):
         self.langs = [r["lang"] for r in rows]
-        classes = np.array([[c["share"] for c in r["classes"]] for r in rows], dtype=float).reshape(len(rows), -1)
+        classes = np.array([[c["share"] for c in r["classes"]] for r in rows], dtype=float)
+        classes = classes.reshape(len(rows), len(CLASSES))
         self.classes = classes / classes.sum(axis=1, keepdims=True)
         #: number of every common word; one more number stands for all other words
         self.number: dict[bytes, int] = {}
