@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame
 from gatewise.llm.common import id_and_text, slices
 
 #: Characters of words whose ids a worker keeps; past it the memory is emptied.
-KEPT_CHARS = 4_000_000
+KEPT_CHARS = 1_500_000
+#: Pairs of tokens whose boundary test a worker keeps, and the words of one trie.
+KEPT_PAIRS, TRIE_WORDS = 60_000, 4096
 #: Characters below this one are composed already and fold case one by one.
 SIMPLE = regex.compile("[^\x00-˿]")
 #: Bytes of results sent back in one batch.
@@ -136,13 +138,25 @@ class Merges:
             pair = (states[n], token)
             good = known.get(pair)
             if good is None:
+                if len(known) >= KEPT_PAIRS:
+                    known.clear()
+                    self._edges.clear()
                 good = known[pair] = self.apart(*pair)
             if good:
                 return token
         raise ValueError(f"no token ends {tail[-8:depth]!r}: the vocabulary lacks a letter")
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of each word (in byte letters), by one walk over their trie."""
+        """Ids of each word (in byte letters): neighbours in alphabetical order,
+        which share their prefixes, go into one trie of at most TRIE_WORDS words."""
+        order = sorted(words)
+        out: dict[str, list[int]] = {}
+        for at in range(0, len(order), TRIE_WORDS):
+            out |= self.walk(order[at:at + TRIE_WORDS])
+        return out
+
+    def walk(self, words: list[str]) -> dict[str, list[int]]:
+        """Ids of each word, by one depth-first walk over their trie."""
         trie: dict = {}
         for word in words:
             node = trie
@@ -238,10 +252,10 @@ class WordBpe:
                 self.kept[w] = pack("<I", w)
             else:
                 spelled[w] = w[1:] if w[0] == "\t" else self.in_letters(w)
-        ids = self.merges.encode_words(set(spelled.values()))
+        ids = {letters: pack(f"<{len(got)}I", *got)
+               for letters, got in self.merges.encode_words(set(spelled.values())).items()}
         for w, letters in spelled.items():
-            got = ids[letters]
-            self.kept[w] = pack(f"<{len(got)}I", *got)
+            self.kept[w] = ids[letters]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -276,7 +290,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = word_bpe(path)
         for batch in batches:
-            for part in slices(batch, 512):
+            for part in slices(batch, 128):
                 got = [(ids, bpe.decode(ids)) for ids in bpe.encode(part.column(1).to_pylist())]
                 at = size = 0
                 for i, (ids, decoded) in enumerate(got, 1):
