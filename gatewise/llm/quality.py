@@ -13,14 +13,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gatewise.llm.common import fold, fresh, id_and_text, slices, stage, sum_vectors
+from gatewise.llm.common import SLICE_ROWS, fold, fresh, id_and_text, ship, slices, stage, sum_vectors
 
 #: Random features, seed, and the ridge weight: so much and so much per labelled row.
 FEATURES, RANDOM_SEED, RIDGE, RIDGE_ROW = 256, 17, 0.3, 1e-4
@@ -202,13 +202,25 @@ def score(stats: DataFrame, model: Model) -> DataFrame:
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def score_column(model: Model, text: Column) -> Column:
-    """The score of a text column (null text: as empty), row by row."""
-    @F.pandas_udf("double")
-    def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(np.array([statistics(t or "") for t in texts]).reshape(-1, len(STATISTICS))))
+def statistics_column(text: Column) -> Column:
+    """The statistics of a text column (null text: as empty), a slice of rows at a time."""
+    @F.arrow_udf("array<double>")
+    def of(texts: pa.Array) -> pa.Array:
+        found = (statistics(t or "") for at in range(0, len(texts), SLICE_ROWS)
+                 for t in texts.slice(at, SLICE_ROWS).to_pylist())
+        flat = np.fromiter(chain.from_iterable(found), float, len(texts) * len(STATISTICS))
+        return pa.ListArray.from_arrays(pa.array(range(0, len(flat) + 1, len(STATISTICS)), pa.int32()), pa.array(flat))
 
-    return scores(text)
+    return of(text)
+
+
+def score_column(model: Model, stats: Column) -> Column:
+    """The score of a column of statistics, row by row."""
+    @F.arrow_udf("double")
+    def scores(rows: pa.Array) -> pa.Array:
+        return pa.array(model.score(matrix(rows, len(STATISTICS))), pa.float64())
+
+    return scores(stats)
 
 
 def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
@@ -225,9 +237,13 @@ def classify(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col:
 
 def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a score of at least THRESHOLD, all columns kept."""
-    stats = stage(document_statistics(docs, id_col, text_col), "statistics")
-    model = fit(stats, labels, label)
-    kept = fresh(docs, "quality_score")
-    scored = docs.withColumn(kept, score_column(model, F.col(f"`{text_col}`")))
-    return scored.where(F.col(kept) >= THRESHOLD).drop(kept)
+    """The rows of ``docs`` with a score of at least THRESHOLD, all columns kept.
+
+    The statistics are computed once and stored beside their rows; the fit and
+    the scores read those.
+    """
+    ship(docs.sparkSession)
+    found = fresh(docs, "quality_statistics")
+    known = stage(docs.withColumn(found, statistics_column(F.col(f"`{text_col}`"))), "quality")
+    model = fit(known.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(found).alias("stats")), labels, label)
+    return known.where(score_column(model, F.col(found)) >= THRESHOLD).drop(found)
