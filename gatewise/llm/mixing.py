@@ -60,7 +60,8 @@ def terms(found: Column) -> Column:
     """What the classifier sees of a text: its different words, and the last
     letters of those (it asks for presence only)."""
     found = F.array_distinct(found)
-    return F.concat(found, F.transform(found, lambda w: F.concat(F.lit(" "), F.substring(w, -1, 1))))
+    last = F.array_distinct(F.transform(found, lambda w: F.substring(w, -1, 1)))
+    return F.concat(found, F.transform(last, lambda x: F.concat(F.lit(" "), x)))
 
 
 def hashed(rows: DataFrame, terms_col: str, out: str) -> DataFrame:
@@ -71,8 +72,8 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str
           text_col: str = "text", fit_rows: int = FIT_ROWS) -> LogisticRegressionModel | None:
     """Fit on documents with a row (doc_id, domain) in ``labelled``.
 
-    About ``fit_rows`` labelled ids are used, which bounds both the broadcast
-    of ids and the texts that are read for the fit. None if fewer than two
+    About ``fit_rows`` labelled ids are used, which bounds the texts that are
+    read for the fit; how they are joined is left to Spark. None if fewer than two
     domains have a document.
     """
     known = labelled.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull())
@@ -82,7 +83,7 @@ def learn(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str
     used = known.where(draw < fit_rows / max(1, total)).select(
         F.col("doc_id").alias("l_id"), index.cast("double").alias("label"))
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    rows = stage(texts.join(F.broadcast(used), F.col("doc_id") == F.col("l_id"))
+    rows = stage(texts.join(used, F.col("doc_id") == F.col("l_id"))
                  .select("label", terms(words(F.col("text"))).alias("terms")), "mixing-fit")
     if len(rows.select("label").distinct().limit(2).collect()) < 2:
         return None
@@ -177,8 +178,9 @@ def aims(known: DataFrame, domains: list[str], targets: Mapping[str, float], cha
 
 
 def solve(known: DataFrame, targets: list[float], chance: str, tokens: str, least: Column | None = None
-          ) -> list[list[float]]:
-    """Steps that bring the expected tokens of the domains to the targets.
+          ) -> tuple[list[list[float]], float]:
+    """Steps that bring the expected tokens of the domains to the targets, and
+    how far the worst total is off after them, in parts of the largest target.
 
     Accelerated projected gradient for least squares in the norm of the
     domains' second moments: a step of length 1 would end it if no rate were
@@ -197,17 +199,18 @@ def solve(known: DataFrame, targets: list[float], chance: str, tokens: str, leas
     goal = float(sums[0]) * weight / weight.sum()
     inverse = np.linalg.pinv(moments, rcond=1e-9)
     steps: list[list[float]] = []
-    error, since = float("inf"), 0
-    while sums[0] and len(steps) < STEPS:
+    error, since, far = float("inf"), 0, 0.0
+    while sums[0]:
         now = known.select(moved(p, steps, least).alias("at"), t.alias("t"), p.alias("p"))
         have = now.agg(*[F.sum(F.col(f"at.{x}") * F.col("t") * F.col("p")[i]) for x in "ry" for i in range(k)]).first()
         off, ahead = np.array(have[:k], dtype=float) - goal, np.array(have[k:], dtype=float) - goal
-        if np.abs(off).max() <= TOLERANCE * goal.max():
+        far = float(np.abs(off).max() / goal.max())
+        if far <= TOLERANCE or len(steps) == STEPS:
             break
         since = since + 1 if off @ inverse @ off <= error else 0
         error = off @ inverse @ off
         steps.append([since / (since + 3), *(inverse @ ahead).tolist()])
-    return steps
+    return steps, far
 
 
 def copies(of: Column, key: Column) -> Column:
@@ -225,16 +228,19 @@ def _fitted(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
 
 
 def _steps(known: DataFrame, domains: list[str], model: LogisticRegressionModel | None, targets: Mapping[str, float],
-           chance: str, tokens: str, least: Column) -> list[list[float]]:
+           chance: str, tokens: str, least: Column) -> tuple[list[list[float]], float | None]:
     if model is None:
-        return []
+        return [], None
     return solve(known, aims(known, domains, targets, chance, tokens), chance, tokens, least)
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
         text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, tokens, domain (the likeliest),
-    posterior (probabilities by domain name), rate and copies.
+    posterior (probabilities by domain name), rate, copies, and off: how far
+    the worst domain's expected tokens are from the target after the last step,
+    in parts of the largest target (TOLERANCE at most, or the steps ran out
+    or no rates meet the targets; null without a model).
 
     The expected tokens of all domains together stay what they are. Null and
     empty texts have no tokens: they weigh nothing and get the rate of their
@@ -248,11 +254,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_c
     known = stage(posteriors(rows, model, domains, "chance", "tokens").drop("text"), "mixing")
     p = F.col("chance")
     least = least_rate(p, domains, targets)
-    steps = _steps(known, domains, model, targets, "chance", "tokens", least)
+    steps, off = _steps(known, domains, model, targets, "chance", "tokens", least)
     return known.withColumn("rate", rate(p, steps, least)).select(
         "doc_id", "tokens", F.element_at(F.array(*[F.lit(d) for d in domains]), likeliest(p)).alias("domain"),
         F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), p).alias("posterior"), "rate",
-        copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+        copies(F.col("rate"), F.col("doc_id")).alias("copies"), F.lit(off).cast("double").alias("off"))
 
 
 def resample(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
@@ -263,7 +269,7 @@ def resample(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float],
     # the classifier runs once a row: its probabilities are written beside the row
     known = stage(posteriors(docs, model, domains, chance, tokens, text_col), "mixing")
     least = least_rate(F.col(chance), domains, targets)
-    steps = _steps(known, domains, model, targets, chance, tokens, least)
+    steps, _ = _steps(known, domains, model, targets, chance, tokens, least)
     drawn = known.withColumn(times, copies(rate(F.col(chance), steps, least), F.col(f"`{id_col}`")))
     return (drawn.where(F.col(times) > 0).withColumn(times, F.explode(F.array_repeat(F.lit(0), F.col(times))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

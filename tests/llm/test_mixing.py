@@ -42,7 +42,7 @@ def test_solution_matches_numpy(spark):
     t = rng.integers(0, 500, 200)
     df = mixing.stage(spark.createDataFrame([(p[i].tolist(), int(t[i])) for i in range(200)], "c array<double>, n long"), "m")
     for targets in ([0.2, 0.3, 0.5], [0.0, 0.5, 0.5]):
-        steps = mixing.solve(df, targets, "c", "n")
+        steps, off = mixing.solve(df, targets, "c", "n")
         got = np.array([r["r"] for r in df.select(mixing.rate(F.col("c"), steps).alias("r"), "c", "n").collect()])
         rows = df.collect()
         pp, tt = np.array([r["c"] for r in rows]), np.array([r["n"] for r in rows])
