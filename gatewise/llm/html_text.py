@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatewise.llm.common import slices
+from gatewise.llm.common import ship, slices
 
 # Fixed values of HTML: elements by what they do to a text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,6 +104,8 @@ class Reader(HTMLParser):
         self.tags, self.linked = [0, 0], [0, 0]
         self.stories = 0
         self.around = [0]  # the region around each region
+        self.at: dict[str, list[int]] = {}  # places of the open elements of each tag ...
+        self.borders: list[int] = [0]  # ... and of the open regions
 
     def flush(self, kind: int) -> None:
         text = " ".join("".join(self.parts[kind]).split())
@@ -137,6 +139,9 @@ class Reader(HTMLParser):
                 self.stories += 1
                 story = self.stories
         link = link and tag not in BLOCKS or tag == "a" and any(name == "href" for name, _ in attrs)
+        self.at.setdefault(tag, []).append(len(self.open))
+        if tag in REGIONS:
+            self.borders.append(len(self.open))
         self.open.append(Open(tag, kind, region, story, link))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -144,17 +149,19 @@ class Reader(HTMLParser):
 
     def leave(self, tag: str) -> None:
         """Close the innermost open ``tag`` and what is open inside it; a <p> only within its container."""
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag == tag:
-                kind = self.open[-1].kind
-                if kind == OWN and any(x.tag in BLOCKS for x in self.open[i:]):
-                    self.flush(OWN)
-                elif kind == ASIDE and (self.open[i - 1].kind == OWN or any(x.tag in BLOCKS for x in self.open[i:])):
-                    self.flush(ASIDE)
-                del self.open[i:]
-                return
-            if tag == "p" and self.open[i].tag in REGIONS:
-                return
+        if not self.at.get(tag) or (tag == "p" and self.at[tag][-1] < self.borders[-1]):
+            return
+        i = self.at[tag][-1]
+        kind, gone = self.open[-1].kind, self.open[i:]
+        if kind == OWN and any(x.tag in BLOCKS for x in gone):
+            self.flush(OWN)
+        elif kind == ASIDE and (self.open[i - 1].kind == OWN or any(x.tag in BLOCKS for x in gone)):
+            self.flush(ASIDE)
+        for x in gone:
+            self.at[x.tag].pop()
+            if x.tag in REGIONS:
+                self.borders.pop()
+        del self.open[i:]
 
     def handle_endtag(self, tag: str) -> None:
         if self.open[-1].kind != UNSEEN:
@@ -260,6 +267,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Pages of any length are parsed whole; broken markup is read as far as it
     goes. Repeated rows each get their own row.
     """
+    ship(pages.sparkSession)
     rows = pages.select(F.col(f"`{id_col}`").alias("page_id"), F.col(f"`{url_col}`").alias("url"),
                         F.coalesce(F.col(f"`{html_col}`"), F.lit("")).alias("html"))
     schema = f"page_id {rows.schema[0].dataType.simpleString()}, url string, text string, n_chars long"

@@ -114,3 +114,20 @@ def test_a_body_in_two_containers_is_kept_whole():
 def test_a_lone_long_paragraph_takes_its_neighbours_along():
     lines = ["Tiny", LONG.strip() * 8, "End"]
     assert main_text("".join(f"<div>{x}</div>" for x in lines)) == "\n\n".join(lines)
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    pages = ["<b>" * 20_000 + "</i>" * 20_000 + "text", "<p>" + "<b>" * 20_000 + "</p><i>" * 20_000,
+             "<p><table><td>" + "<b>" * 20_000 + "</p>" * 20_000 + "text", "<div>" * 20_000 + "</p></span>" * 20_000]
+    for page in pages:
+        began = time.process_time()
+        html_text.main_text(page)
+        assert time.process_time() - began < 5
+
+
+def test_unclosed_and_unmatched_tags():
+    body = "long enough text of the article " * 20
+    page = f"<body><nav><a href=x>menu</a></nav><article><p>{body}<b>bold</i> more<p>{body}</article></span><footer>end"
+    assert html_text.main_text(page).split("\n\n") == [f"{body.strip()} bold more", body.strip()]
