@@ -33,11 +33,10 @@ BLOCK = 1 << 12
 #: language, the ones with the smallest id hashes (all, if there are fewer).
 FIT_DOCUMENTS = 10_000
 SMOOTHING = 0.5
-ROUNDS = 8
-#: A language more must raise the log-likelihood by PENALTY * log(words) ...
+#: EM ends when no share moves by more than this, which it does at last.
+STILL = 1e-4
+#: A language more must raise the log-likelihood by PENALTY * log(words).
 PENALTY = 4.0
-#: ... and the sets are grown from this many single best languages.
-CANDIDATES = 6
 UNDEFINED = "und"
 #: Words whose likelihoods a worker keeps; past it the memory is emptied.
 KEPT_WORDS = 200_000
@@ -102,31 +101,37 @@ class Languages:
 
 
 def expect(likely: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, float]:
-    """Proportions of the columns of ``likely`` by EM, and the log-likelihood."""
+    """Proportions of the columns of ``likely`` by EM, until they stand still, and the log-likelihood."""
     top = likely.max(axis=1, keepdims=True)
     odds = np.exp(likely - top)
     n = often.sum()
     shares = np.full(likely.shape[1], 1 / likely.shape[1])
-    for _ in range(ROUNDS):
+    while True:
         weighted = odds * shares
-        shares = (often / weighted.sum(axis=1)) @ weighted / n
+        new = (often / weighted.sum(axis=1)) @ weighted / n
+        far, shares = np.abs(new - shares).max(), new
+        if far <= STILL:
+            break
     return shares, float(often @ (np.log((odds * shares).sum(axis=1)) + top[:, 0]))
 
 
 def mixture(likely: np.ndarray, often: np.ndarray) -> np.ndarray:
-    """Proportions of all languages; zero outside the chosen set."""
+    """Proportions of all languages; zero outside the chosen set, which grows in
+    the order of the shares that all languages together get."""
     single = often @ likely
     order = np.argsort(-single, kind="stable")  # equal likelihoods: the first name
     chosen, shares, best = order[:1], np.ones(1), single[order[0]]
-    price = PENALTY * np.log(often.sum() + 1)
+    n = often.sum()
+    price = PENALTY * np.log(n + 1)
     if len(order) > 1:
-        first, _ = expect(likely[:, order[:CANDIDATES]], often)
-        by_share = order[:CANDIDATES][np.argsort(-first, kind="stable")]
+        first, _ = expect(likely[:, order], often)
+        by_share = order[np.argsort(-first, kind="stable")]
         for size in range(2, len(by_share) + 1):
-            trial, fit = expect(likely[:, by_share[:size]], often)
-            if fit - price <= best:
+            if first[by_share[size - 1]] * n < 0.5:  # it and those after it explain no whole word
                 break
-            chosen, shares, best = by_share[:size], trial, fit - price
+            trial, fit = expect(likely[:, by_share[:size]], often)
+            if fit - price * (size - 1) > best:
+                chosen, shares, best = by_share[:size], trial, fit - price * (size - 1)
     out = np.zeros(likely.shape[1])
     out[chosen] = shares
     return out

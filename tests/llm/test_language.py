@@ -100,3 +100,21 @@ def test_words_that_are_forgotten_come_back(spark, monkeypatch):
 
 def test_only_letters_make_words():
     assert language.words_of("½ ² Ⅷ 12_3 Été x2y") == ["été", "x", "y"]
+
+
+def test_eight_languages_in_one_text():
+    """All learned languages are in the mixture, none is left out by a limit."""
+    alphabets = ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "éèêëç", "αβγδε", "бвгдж"]
+    rng = np.random.default_rng(3)
+    tables = np.full((2 * language.TABLE, 8), 0.5)
+    texts = [["".join(rng.choice(list(a), 5)) for _ in range(400)] for a in alphabets]
+    for i, found in enumerate(texts):
+        pair, triple, _ = language.grams(found)
+        np.add.at(tables[:, i], pair, 1)
+        np.add.at(tables[:, i], language.TABLE + triple, 1)
+    model = language.Languages([str(i) for i in range(8)], np.log(tables / tables.sum(axis=0)))
+    counts = language.Counter(w for i, found in enumerate(texts) for w in found[:20 + 5 * i])
+    model.rows([counts])
+    at = [model.kept[w] for w in counts]
+    shares = language.mixture(model.known[at], np.array(list(counts.values()), float))
+    assert (shares > 0.05).all() and np.argmax(shares) == 7 and abs(shares[7] - 55 / 300) < 0.02
