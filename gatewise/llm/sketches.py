@@ -12,24 +12,25 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewise.llm.chunking import rolling
-from gatewise.llm.common import slices
+from gatewise.llm.common import ship, slices
 
 #: Cells of each of the three parts of a fingerprint (a power of two).
 PART_CELLS = 8
-#: A line of more bytes is cut at content-defined borders, about every
-#: 2**CUT_BITS bytes, that look at WINDOW bytes of the line.
-LINE_BYTES, CUT_BITS, WINDOW = 256, 7, 32
+#: A line's first piece ends at its first blank after HEAD_BYTES bytes; the
+#: rest is cut at content-defined borders, about every 2**CUT_BITS bytes, that
+#: look at WINDOW bytes of the line.
+HEAD_BYTES, CUT_BITS, WINDOW = 16, 7, 32
 #: Documents whose tables are handled at once.
 GROUP = 128
 #: Peeling rounds after which a table counts as not peeled.
@@ -47,22 +48,24 @@ class Sketch(NamedTuple):
 
 
 def paragraphs(text: str) -> list[bytes]:
-    """Non-empty lines in order, trimmed; long lines in content-defined pieces.
+    """Pieces of the non-empty lines in order, trimmed.
 
     How a line is cut depends on that line alone: borders in its first WINDOW
-    bytes, where the rolling hash still sees the line before, do not count.
+    bytes, where the rolling hash still sees the line before, do not count. A
+    line of two words or more, the first HEAD_BYTES bytes or longer, has two
+    pieces at least, so also a text of one short line is more than one digest.
     """
     data = text.encode("utf-8")
     if not data:
         return []
     codes = np.frombuffer(data, dtype=np.uint8)
     ends = np.append(np.flatnonzero(codes == 10) + 1, len(data))
-    if np.diff(ends, prepend=0).max() > LINE_BYTES:
-        starts = np.concatenate([[0], ends[:-1]])
-        found = np.flatnonzero(rolling(data, WINDOW) >> np.uint32(32 - CUT_BITS) == 0) + 1
-        line = np.searchsorted(ends, found, side="left")
-        fits = (ends[line] - starts[line] > LINE_BYTES) & (found - starts[line] > WINDOW)
-        ends = np.union1d(ends, found[fits])
+    starts = np.concatenate([[0], ends[:-1]])
+    found = np.flatnonzero(rolling(data, WINDOW) >> np.uint32(32 - CUT_BITS) == 0) + 1
+    found = found[found - starts[np.searchsorted(ends, found, side="left")] > WINDOW]
+    blanks = np.append(np.flatnonzero(codes == 32), len(data))
+    heads = blanks[np.searchsorted(blanks, np.minimum(starts + HEAD_BYTES, len(data)))]
+    ends = np.unique(np.concatenate([ends, found, heads[heads < ends]]))
     pieces, start = [], 0
     for end in ends.tolist():
         piece = data[start:end].strip()
@@ -197,28 +200,38 @@ def likeness(a: int, b: int, differ: int) -> float:
     return shared / (shared + differ) if a + b else 1.0
 
 
+def _after(key: tuple) -> tuple:
+    """Sort key of (doc_id, tie, copy), any of them null, in the order of Spark's ascending sort."""
+    return tuple((x is not None, x) for x in key)
+
+
 def sequence(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows (part, ghost, doc_id, tie, text), sorted inside their partition.
 
-    All rows form one sequence: by descending doc_id (nulls last), then by
-    descending hash of the text. It is cut into parts at quantiles of doc_id.
-    Each part also holds, as a ghost at its end, the row that follows its last
-    row; after the last part comes the first row of all. The driver holds one
-    id and hash per part, and the join that finds the ghosts broadcasts those.
+    All rows form one sequence: by descending doc_id (of any type that can be
+    ordered; nulls last), then by descending hash of the text, then by the
+    place of the row in the input, which tells copies of a row apart. It is
+    cut into parts of about as many rows, at limits of these three, so neither
+    null nor repeated ids meet in one part. Each part also holds, as a ghost at
+    its end, the row that follows its last row; after the last part comes the
+    first row of all. The driver holds one limit and one first row per part,
+    and the join that finds the ghosts broadcasts those.
     """
     spark = docs.sparkSession
     key, text = F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.select(F.percentile_approx(key, [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []
-    limits = np.array(sorted(set(cuts)))
-
-    @F.pandas_udf("int")
-    def part_of(ids: pd.Series) -> pd.Series:
-        below = np.searchsorted(limits, ids.fillna(0).to_numpy(), side="left")
-        return pd.Series(np.where(ids.isna(), len(limits) + 1, len(limits) - below))
-
-    rows = docs.select(part_of(key).alias("part"), F.lit(0).alias("ghost"), key.alias("doc_id"),
-                       F.xxhash64(text).alias("tie"), text.alias("text"))
+    keys = docs.select(key.alias("doc_id"), F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("copy"))
+    dealt = keys.repartitionByRange(parts, "doc_id", "tie", "copy").groupBy(F.spark_partition_id().alias("range"))
+    least = dealt.agg(F.min(F.struct("doc_id", "tie", "copy")).alias("least")).collect()  # a row per part
+    limits = sorted(_after(tuple(r["least"])) for r in least)[1:]
+
+    @F.arrow_udf("int")
+    def part_of(ids: pa.Array, ties: pa.Array, copies: pa.Array) -> pa.Array:
+        rows = zip(ids.to_pylist(), ties.to_pylist(), copies.to_pylist(), strict=True)
+        return pa.array([len(limits) - bisect_right(limits, _after(r)) for r in rows], pa.int32())
+
+    rows = docs.select(part_of(key, F.xxhash64(text), F.monotonically_increasing_id()).alias("part"),
+                       F.lit(0).alias("ghost"), key.alias("doc_id"), F.xxhash64(text).alias("tie"), text.alias("text"))
     first = {r["part"]: r["first"] for r in rows.groupBy("part").agg(
         F.max(F.struct("doc_id", "tie")).alias("first")).collect()}
     order = sorted(first)
@@ -251,6 +264,7 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     integers, that the edit takes away and brings in) and cells (per part,
     that recovering them took).
     """
+    ship(docs.sparkSession)
     rows = sequence(docs, id_col, text_col)
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "

@@ -10,6 +10,11 @@ from gatewise.llm.queries import QUERIES
 from .conftest import SF, docs_df, table, words
 
 
+def in_order(rows):
+    """(doc_id, text) by descending id, nulls last; the tests' ids do not repeat with different texts."""
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0), reverse=True)
+
+
 def brute(rows):
     """{row: (n_chars, edited digest, likeness to the edited, to the next)} from multisets of paragraphs."""
     def alike(a, b):
@@ -110,3 +115,32 @@ def test_lost_and_gained_are_the_paragraph_digests(spark):
     a, b = set(sketches.digests(rows[0][1]).tolist()), set(sketches.digests(new).tolist())
     unsigned = lambda xs: {x & ((1 << 64) - 1) for x in xs}
     assert unsigned(r["lost"]) == a - b and unsigned(r["gained"]) == b - a
+
+
+def test_large_and_null_ids_have_the_right_neighbours(spark):
+    rng = random.Random(12)
+    rows = [((1 << 60) + i, f"text {i} " + words(rng, 6)) for i in range(4000)] + [(None, "nobody's text"), (None, "nobody's text")]
+    found = sketches.compare(docs_df(spark, rows).repartition(7))
+    digests = sorted((str(r["doc_id"]), r["edited_sha256"]) for r in found.collect())
+    assert digests == sorted((str(i), sha) for i, _, sha, _, _ in brute(in_order(rows)))
+
+
+def test_text_ids(spark):
+    rng = random.Random(13)
+    rows = [(f"é{i % 7}-{i}", f"text {i} " + words(rng, 9)) for i in range(300)]
+    found = sketches.compare(spark.createDataFrame(rows, "doc_id string, text string").repartition(3))
+    assert sorted(got(found)) == sorted(brute(sorted(rows, key=lambda r: r[0].encode(), reverse=True)))
+
+
+def test_a_hot_id_is_cut_into_parts(spark):
+    rng = random.Random(14)
+    rows = [(None, words(rng, 5)) for _ in range(600)] + [(3, "one text")] * 600 + [(i, words(rng, 5)) for i in range(10, 40)]
+    parts = sketches.sequence(docs_df(spark, rows).repartition(4), "doc_id", "text").where("ghost = 0").groupBy("part").count()
+    assert max(r["count"] for r in parts.collect()) < 300
+
+
+def test_short_texts_of_one_line_resemble_their_edits(spark):
+    rng = random.Random(15)
+    rows = [(i, words(rng, 9)) for i in range(60)]
+    found = sketches.compare(docs_df(spark, rows)).collect()
+    assert all(r["near_edited"] > r["near_next"] == 0 for r in found)
