@@ -32,7 +32,7 @@ def next_capture_time(df: DataFrame, keys: Sequence[str], time: str = "capture_t
     rows = df.withColumn("_in", F.lead(time).over(w_sec))
     seconds = rows.where(F.col("_in").isNull()).select(*keys, time)
     seconds = seconds.withColumn("_next_t", F.lead(time).over(Window.partitionBy(*keys).orderBy(time)))
-    joined = rows.join(seconds, on=[*keys, time], how="left")
+    joined = join_null_safe(rows, seconds, [*keys, time], how="left")  # a missing key is one key, as in a window
     return joined.withColumn(out, F.coalesce(F.col("_in"), F.col("_next_t"))).drop("_in", "_next_t")
 
 
@@ -79,7 +79,7 @@ def gap_group_ids(df: DataFrame, keys: Sequence[str], time: str = "capture_time"
     secs = (secs.withColumn("_new", flag)
             .withColumn(out, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long"))
             .drop("_new"))
-    return df.join(secs, on=[*keys, time], how="inner")
+    return join_null_safe(df, secs, [*keys, time])
 
 
 def latest_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -10,7 +10,7 @@ broadcasts a side by its size in bytes and splits skewed partitions at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gatewise.functions import derive as d
@@ -359,10 +359,10 @@ def _stat_rows(df: DataFrame, counted: dict[str, str], aggregates: dict[str, F.C
         out = F.when(F.col("_set") == bits[c], F.array(F.struct(
             F.lit(stat).alias("stat"), key.alias("key"), F.col("_n").alias("value")))).otherwise(out)
     if top is not None:
-        # the grouped rows are few: one per event and category
-        order = Window.partitionBy("_set").orderBy(F.col("_n").desc(), F.col(top[0]))
-        grouped = grouped.withColumn("_rank", F.row_number().over(order)).where(
-            (F.col("_set") != bits[top[0]]) | (F.col("_rank") <= top[1]))
+        # a distributed top-k: every task keeps its own first rows
+        one = F.col("_set") == bits[top[0]]
+        grouped = grouped.where(~one).unionByName(
+            grouped.where(one).orderBy(F.col("_n").desc(), F.col(top[0])).limit(top[1]))
     return grouped.select(F.explode(out).alias("s")).select("s.*")
 
 

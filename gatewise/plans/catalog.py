@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gatewise.operators import events as ev
 from gatewise.operators import footfall as ff
+from gatewise.operators import presence as pr
 from gatewise.sources import testdata as td
 from gatewise.sources.tables import input_stamp, scratch_path
 
@@ -31,7 +32,7 @@ _READS: dict[tuple[str, str], DataFrame] = {}
 
 # layer -> partition column of its staged table
 PARTITIONS = {"detail": "date_casino", "stay": "date_casino", "new_or_return": "date_casino",
-              "index": "date_casino"}
+              "index": "date_casino", "presence": "date_casino"}
 
 
 class Footfall:
@@ -95,6 +96,10 @@ class Footfall:
     def index(self) -> DataFrame:
         return self.layer("index", lambda: ff.visitor_index(self.detail, self.stay, self.new_or_return))
 
+    @property
+    def presence(self) -> DataFrame:
+        return self.layer("presence", lambda: pr.presence(self.index))
+
     @property
     def companion_groups(self) -> DataFrame:
         return self.layer("companion_groups", lambda: ff.companion_groups(self.captures_raw))
@@ -129,7 +134,7 @@ class Footfall:
     def event_summary(self) -> DataFrame:
         return self.layer("event_summary", lambda: ev.event_summary(self.event_conversion, self.event_pre_post))
 
-    LAYERS = ["captures_raw", "detail", "stay", "new_or_return", "index", "companion_groups", "event_list",
+    LAYERS = ["captures_raw", "detail", "stay", "new_or_return", "index", "presence", "companion_groups", "event_list",
               "camera_dim", "event_calendar", "event_detail", "event_pre_post", "event_conversion", "event_summary",
               "stream_table"]
 

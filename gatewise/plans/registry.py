@@ -14,6 +14,7 @@ from gatewise.operators import footfall as ff
 from gatewise.operators import events as ev
 from gatewise.operators import misc as ms
 from gatewise.operators import paths as pa
+from gatewise.operators import presence as pr
 from gatewise.sources import testdata as td
 from gatewise.plans import duckdb_twins as tw
 from gatewise.plans.catalog import Footfall
@@ -89,27 +90,27 @@ def q14(spark, sf_dir):
 
 @register("q15_daily_sector_rollup", tw.table("q15"))
 def q15(spark, sf_dir):
-    return ff.daily_sector_rollup(ff.visits_daily_region(Footfall(spark, sf_dir).index))
+    return pr.daily_sector_rollup(Footfall(spark, sf_dir).presence)
 
 
 @register("q16_daily_sector_distinct", tw.table("q16"))
 def q16(spark, sf_dir):
-    return ff.daily_sector_distinct(Footfall(spark, sf_dir).index)
+    return pr.daily_sector_distinct(Footfall(spark, sf_dir).presence)
 
 
 @register("q17_visits_hourly", tw.table("q17"))
 def q17(spark, sf_dir):
-    return ff.visits_hourly(Footfall(spark, sf_dir).index)
+    return pr.visits_hourly(Footfall(spark, sf_dir).presence)
 
 
 @register("q18_visits_hourly_casino", tw.table("q18"))
 def q18(spark, sf_dir):
-    return ff.visits_hourly_casino(Footfall(spark, sf_dir).index)
+    return pr.visits_hourly_casino(Footfall(spark, sf_dir).presence)
 
 
 @register("q19_visits_hourly_sector", tw.table("q19"))
 def q19(spark, sf_dir):
-    return ff.visits_hourly_sector(Footfall(spark, sf_dir).index)
+    return pr.visits_hourly_sector(Footfall(spark, sf_dir).presence)
 
 
 @register("q20_companion_group_sizes", tw.table("q20"))

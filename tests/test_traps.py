@@ -62,3 +62,18 @@ def test_window_edges_inclusive(spark):
     r = ev.event_pre_post(det, cal).where((F.col("group") == "all") & (F.col("hour_window") == 1)).first()
     # a: 13:00 -> next 14:30 = 5400 s counted before; c: 17:00 (no next) = 0 s counted after
     assert (r.pre_visition_num, r.pre_stay_time, r.post_visition_num, r.post_stay_time) == (1, 5400.0, 1, 0.0)
+
+
+def test_missing_camera_and_missing_profile_are_keys_of_their_own(spark):
+    """A window takes NULL as one key: no row of it may get lost or stay without its follower."""
+    from gatewise.operators import footfall as ff
+
+    rows = [capture(1, "2024-01-03 10:00:00", region="Entrances 1", camera=None, cid="a"),
+            capture(2, "2024-01-03 10:00:01", region="Entrances 1", camera=None, cid="b"),
+            capture(3, "2024-01-03 10:00:30", region="Entrances 1", camera=7, cid="c"),
+            capture(None, "2024-01-03 11:00:00", cid="d"), capture(None, "2024-01-03 11:00:04", cid="e")]
+    df = captures_df(spark, rows)
+    groups = ff.companion_groups_by_camera(df).collect()
+    assert sorted((r.profile_id, r.group_id) for r in groups) == [(1, 1), (2, 1), (3, 1)]
+    detail = {r.capture_id: r.next_capture_time for r in ff.capture_detail(df).collect()}
+    assert str(detail["d"]) == "2024-01-03 11:00:04" and detail["e"] is None

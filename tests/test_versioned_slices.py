@@ -1,0 +1,111 @@
+"""Versioned slices: a reader sees a whole commit, whatever happens to a writer."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gatewise.sources.versioned import Conflict, SliceTable
+
+SCHEMA = T.StructType([T.StructField("day", T.DateType()), T.StructField("v", T.LongType()),
+                       T.StructField("name", T.StringType())])
+DAYS = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+
+
+def rows_of(table, version=None):
+    return sorted((str(r.day), r.v) for r in table.read(version).collect())
+
+
+@pytest.fixture()
+def table(spark, tmp_path):
+    t = SliceTable(spark, str(tmp_path / "t"), SCHEMA, "day")
+    t.replace(frame(spark, [(d, i) for i, d in enumerate(DAYS)]))
+    return t
+
+
+def frame(spark, pairs):
+    return spark.createDataFrame([(d, v, f"n{v}") for d, v in pairs], SCHEMA)
+
+
+def test_only_named_and_written_slices_change(spark, table):
+    table.replace(frame(spark, [(DAYS[1], 10), (DAYS[1], 11)]), [DAYS[1], DAYS[2]])
+    assert rows_of(table) == [("2024-01-01", 0), ("2024-01-02", 10), ("2024-01-02", 11)]
+    table.replace(frame(spark, [(DAYS[2], 20)]), [])
+    assert rows_of(table) == [("2024-01-01", 0), ("2024-01-02", 10), ("2024-01-02", 11), ("2024-01-03", 20)]
+    table.replace(frame(spark, [(DAYS[0], 5)]))  # the whole table
+    assert rows_of(table) == [("2024-01-01", 5)]
+    table.replace(frame(spark, []))
+    assert rows_of(table) == [] and table.read().columns == SCHEMA.names
+
+
+def test_null_slices_and_columns_by_name(spark, table):
+    table.replace(frame(spark, [(None, 7)]).select("name", "v", "day", F.lit(1).alias("extra")), [])
+    assert ("None", 7) in rows_of(table) and len(rows_of(table)) == 4
+    table.replace(frame(spark, [(None, 8)]), [None])
+    assert [v for d, v in rows_of(table) if d == "None"] == [8]
+
+
+def test_a_run_that_dies_before_the_commit_changes_nothing(spark, table, monkeypatch):
+    before = rows_of(table)
+    monkeypatch.setattr(SliceTable, "_publish", lambda *a, **k: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        table.replace(frame(spark, [(DAYS[0], 99)]), [DAYS[0]])
+    monkeypatch.undo()
+    assert rows_of(table) == before
+    monkeypatch.setattr(SliceTable, "_rename", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        table.replace(frame(spark, [(DAYS[0], 99)]), [DAYS[0]])
+    monkeypatch.undo()
+    assert rows_of(table) == before
+    table.replace(frame(spark, [(DAYS[0], 100)]), [DAYS[0]])  # the next run is not disturbed
+    assert ("2024-01-01", 100) in rows_of(table) and not any(v == 99 for _, v in rows_of(table))
+
+
+def test_readers_keep_their_commit_and_vacuum_removes_the_rest(spark, table):
+    table.replace(frame(spark, [(DAYS[0], 50)]), [DAYS[0]])
+    assert rows_of(table, 0) == [(str(d), i) for i, d in enumerate(DAYS)]
+    assert table.vacuum(keep=2) == 0
+    table.replace(frame(spark, [(d, 60) for d in DAYS]))
+    assert table.vacuum() == 2
+    assert rows_of(table) == [(str(d), 60) for d in DAYS]
+    with pytest.raises(ValueError):
+        table.read(0)
+
+
+def test_two_writers_do_not_lose_each_other(spark, table, monkeypatch):
+    """Another commit lands between this one's reading and its rename."""
+    plain, done = SliceTable._rename, []
+
+    def racing(self, store, draft, target):
+        if not done:
+            done.append(1)
+            SliceTable(spark, table.path, SCHEMA, "day").replace(frame(spark, [(DAYS[1], 77)]), [DAYS[1]])
+        return plain(self, store, draft, target)
+
+    monkeypatch.setattr(SliceTable, "_rename", racing)
+    table.replace(frame(spark, [(DAYS[0], 66)]), [DAYS[0]])
+    assert rows_of(table) == [("2024-01-01", 66), ("2024-01-02", 77), ("2024-01-03", 2)]
+    monkeypatch.setattr(SliceTable, "_rename", lambda *a: False)
+    with pytest.raises(Conflict):
+        table.replace(frame(spark, [(DAYS[0], 1)]), [DAYS[0]])
+
+
+def test_dead_slices_are_pruned_not_read(spark, table):
+    for v in range(3):
+        table.replace(frame(spark, [(DAYS[0], v)]), [DAYS[0]])
+    got = table.read()
+    assert got.count() == 3
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower() or "PartitionFilters" in plan
+
+
+def test_append_refuses_known_slices(spark, table):
+    with pytest.raises(ValueError):
+        table.append(frame(spark, [(DAYS[0], 1)]))
+    table.append(frame(spark, [(dt.date(2024, 2, 1), 9)]))
+    assert len(rows_of(table)) == 4
+    fresh = SliceTable(spark, table.path + "-none", SCHEMA, "day")
+    assert fresh.version() is None and fresh.read().collect() == []
