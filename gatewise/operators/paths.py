@@ -1,13 +1,15 @@
 """Path offset jobs: where a visitor was within +-60 minutes of each capture.
 
-All variants share one band self-join: both sides carry an integer position
-(minute index or epoch second); the right side is replicated to the
+The SQL variants (Q21, Q22) bin whole minutes: :func:`minute_sweep` passes once
+over the minutes of a profile-day with a RANGE frame per bin.
+
+The per-profile variants (Q23, Q24) bin elapsed seconds by a band self-join:
+both sides carry the epoch second; the right side is replicated to the
 neighbouring buckets of width ``W`` so an equi-join on (profile, day, bucket)
 finds every pair with ``|pos2 - pos1| <= W``, which a filter then enforces
 exactly. The join key includes the bucket, so a profile with many captures is
-spread over its hours. The sightings side is reduced to distinct (profile,
-time, area) rows before it is replicated, which bounds each capture's partners
-by the distinct seconds in two hours.
+spread over its hours. The sightings side keeps one or two rows a second,
+which bounds each capture's partners by the distinct seconds in two hours.
 
 "Nearest" picks use a total order (|delta|, then time, then id/area), so
 every result is reproducible; the reference leaves ties to chance. The
@@ -43,27 +45,52 @@ def band_join(left: DataFrame, right: DataFrame, keys: Sequence[str], lpos: str,
             .where(F.abs(F.col(rpos) - F.col(lpos)) <= width))
 
 
-def _recoded_sides(detail: DataFrame):
-    """v1 / v2 of the SQL path jobs: areas recoded (BW, CASINO, else name).
+# Minute differences (first, last) of each bin of the SQL path jobs, as
+# ``d.offset_bin_v1`` and ``d.offset_bin_new`` give them; 15 and 60 are in no
+# listed bin. A negative bin mirrors its positive one.
+BIN_MINUTES = {5: (1, 4), 10: (5, 9), 15: (10, 14), 30: (16, 29), 45: (30, 44), 60: (45, 59)}
+REACH = 60   # minutes
+
+
+def _recoded(detail: DataFrame) -> DataFrame:
+    """Captures of the SQL path jobs: areas recoded (BW, CASINO, else name),
+    minute and second numbers. Rows without a profile or day pair with
+    nothing, not even themselves, and go."""
+    return (detail.where(F.col("profile_id").isNotNull() & F.col("date_casino").isNotNull())
+            .select("profile_id", "date_casino", "capture_time", "member_tier", "age", "gender", "profile_type",
+                    d.path_area("region_name").alias("area"), d.path_area("region_name_heatmap").alias("area_h"),
+                    d.minute_index("capture_time").alias("minute"), d.epoch_seconds("capture_time").alias("second")))
+
+
+def minute_sweep(sightings: DataFrame, keep_seconds: bool = False) -> DataFrame:
+    """One row per (profile, day, minute) with a sighting, and what lies around it.
+
+    In a later bin the nearest sighting is the first one of its minutes, in an
+    earlier bin the last one, whichever second of the minute asks. So each
+    minute keeps its first and last sighting, and one ordered pass over the
+    minutes takes the least of them over a RANGE frame per bin: no pair of
+    captures is formed and no row is sent to a second place. A profile-day
+    has at most 1,440 minutes, however many captures it holds.
 
-    Both sides are distinct rows: the jobs count distinct profiles and pick
-    by (|seconds|, time, area), so repeated captures of a second and area can
-    change nothing. A (profile, day, hour) then holds at most its distinct
-    seconds and areas, however many captures there are.
+    ``ahead`` / ``behind``: bin -> (seconds, time, area, heatmap area), NULL
+    where the bin is empty (seconds are negated in ``behind``);
+    ``any_ahead`` / ``any_behind``: whether any sighting lies within the reach;
+    ``seconds`` (with ``keep_seconds``): the distinct sightings of the minute.
     """
-    base = detail.select(
-        "profile_id", "date_casino", "capture_time", "member_tier", "age", "gender", "profile_type",
-        d.path_area("region_name").alias("area"),
-        d.path_area("region_name_heatmap").alias("area_h"))
-    v1 = (base.distinct()
-          .withColumn("m1", d.minute_index("capture_time"))
-          .withColumn("s1", d.epoch_seconds("capture_time")))
-    v2 = (base.select("profile_id", "date_casino", F.col("capture_time").alias("ct2"),
-                      F.col("area").alias("area2"), F.col("area_h").alias("area_h2"))
-          .distinct()
-          .withColumn("m2", d.minute_index("ct2"))
-          .withColumn("s2", d.epoch_seconds("ct2")))
-    return v1, v2
+    key = ["profile_id", "date_casino", "minute"]
+    seen = [F.col("capture_time").alias("t"), F.col("area").alias("a"), F.col("area_h").alias("h")]
+    first, last = F.struct(F.col("second").alias("s"), *seen), F.struct((-F.col("second")).alias("s"), *seen)
+    minutes = sightings.groupBy(*key).agg(
+        F.min(first).alias("_first"), F.min(last).alias("_last"),
+        *([F.collect_set(first).alias("seconds")] if keep_seconds else []))
+    order = Window.partitionBy("profile_id", "date_casino").orderBy("minute")
+    ahead = [F.min("_first").over(order.rangeBetween(lo, hi)).alias(f"b{b}") for b, (lo, hi) in BIN_MINUTES.items()]
+    behind = [F.min("_last").over(order.rangeBetween(-hi, -lo)).alias(f"b{b}") for b, (lo, hi) in BIN_MINUTES.items()]
+    return minutes.select(
+        *key, F.struct(*ahead).alias("ahead"), F.struct(*behind).alias("behind"),
+        (F.lead("minute").over(order) - F.col("minute") <= REACH).alias("any_ahead"),
+        (F.col("minute") - F.lag("minute").over(order) <= REACH).alias("any_behind"),
+        *(["seconds"] if keep_seconds else []))
 
 
 def path_offsets(detail: DataFrame) -> DataFrame:
@@ -71,23 +98,39 @@ def path_offsets(detail: DataFrame) -> DataFrame:
     which the same profile was seen within +-60 minutes of the business day;
     distinct profiles per hour, area, bin and demographics. ``area_at_off`` is
     the own area for bin 0, else the area of the group's nearest sighting
-    (|seconds|, then time, then area)."""
-    v1, v2 = _recoded_sides(detail)
-    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
-    pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
-             .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
-             .withColumn("off_bin", d.offset_bin_v1("d_min", "same_time"))
-             .where(F.col("off_bin").isin(BINS)))
+    (|seconds|, then time, then area).
+
+    Another second of the capture's own minute is in bin 5, before or after it."""
+    rows = _recoded(detail)
+    sweep = minute_sweep(rows, keep_seconds=True)
+    near = (rows.distinct().join(sweep, on=["profile_id", "date_casino", "minute"], how="inner"))
+    own = F.col("second")
+
+    def entry(b: int, x: F.Column, gap: F.Column) -> F.Column:
+        return F.when(x.isNotNull(), F.struct(
+            F.lit(b).cast("long").alias("off_bin"),
+            F.struct(gap.alias("k1"), x["t"].alias("k2"), x["a"].alias("a"), x["h"].alias("h")).alias("pick")))
+
+    same_minute = F.array_min(F.transform(
+        F.filter("seconds", lambda x: x["t"] != F.col("capture_time")),
+        lambda x: F.struct(F.abs(x["s"] - own).alias("s"), x["t"].alias("t"), x["a"].alias("a"), x["h"].alias("h"))))
+    bins = F.array(
+        F.struct(F.lit(0).cast("long").alias("off_bin"),
+                 F.struct(F.lit(0).cast("long").alias("k1"), F.col("capture_time").alias("k2"),
+                          F.col("area").alias("a"), F.col("area_h").alias("h")).alias("pick")),
+        entry(5, same_minute, same_minute["s"]),
+        *[entry(b, F.col(f"ahead.b{b}"), F.col(f"ahead.b{b}.s") - own) for b in BIN_MINUTES],
+        *[entry(-b, F.col(f"behind.b{b}"), own + F.col(f"behind.b{b}.s")) for b in BIN_MINUTES])
     keys = ["date_casino", "date_hour", "region_name", "region_name_heatmap", "z0_time", "off_bin",
             "member_tier", "profile_type", "age_range", "gender"]
-    pick = F.struct(F.abs(F.col("s2") - F.col("s1")).alias("k1"), F.col("ct2").alias("k2"),
-                    F.col("area2").alias("a"), F.col("area_h2").alias("h"))
-    per_profile = (pairs.select(
+    per_profile = (near.select(
         "date_casino", F.date_format("capture_time", "HH:00").alias("date_hour"),
         F.col("area").alias("region_name"), F.col("area_h").alias("region_name_heatmap"),
-        d.hour_start("capture_time").alias("z0_time"), "off_bin", "member_tier", "profile_type",
-        d.age_band("age").alias("age_range"), "gender", "profile_id", "_jb", pick.alias("_pick"))
-        .groupBy(*keys, "profile_id", "_jb").agg(F.min("_pick").alias("_pick")))
+        d.hour_start("capture_time").alias("z0_time"), "member_tier", "profile_type",
+        d.age_band("age").alias("age_range"), "gender", "profile_id",
+        F.explode(F.filter(bins, lambda x: x.isNotNull())).alias("_e"))
+        .select("*", "_e.off_bin", F.col("_e.pick").alias("_pick")).drop("_e")
+        .groupBy(*keys, "profile_id").agg(F.min("_pick").alias("_pick")))
     g = per_profile.groupBy(*keys).agg(F.count(F.lit(1)).alias("visitor_num"), F.min("_pick").alias("_pick"))
     zero = F.col("off_bin") == 0
     return g.select(
@@ -105,39 +148,35 @@ def path_offsets_carry(detail: DataFrame) -> DataFrame:
     area; a positive (negative) bin without a sighting carries the own area
     when the capture has no later (earlier) sighting at all; otherwise the bin
     is dropped. Distinct profiles per (hour, own area, bin, area at bin,
-    demographics). Per capture at most 19 bins exist, so the per-capture bin
-    map is bounded.
+    demographics).
+
+    Nothing here depends on the second of a capture, so the captures side is
+    distinct minutes (and areas and attributes) too.
     """
-    v1, v2 = _recoded_sides(detail)
-    pairs = band_join(v1, v2, ["profile_id", "date_casino"], "m1", "m2", 60)
-    pairs = (pairs.withColumn("d_min", F.col("m2") - F.col("m1"))
-             .withColumn("same_time", F.col("capture_time") == F.col("ct2"))
-             .withColumn("bin", d.offset_bin_new("d_min", "same_time"))
-             .where(F.col("bin").isNotNull()))
-    row = ["profile_id", "date_casino", "_jb", "capture_time", "area", "area_h", "member_tier", "profile_type",
-           "age", "gender"]
-    pick = F.struct(F.abs(F.col("s2") - F.col("s1")).alias("k1"), F.col("ct2").alias("k2"),
-                    F.col("area2").alias("a"), F.col("area_h2").alias("h"))
-    per_bin = pairs.groupBy(*row, "bin").agg(F.min(pick).alias("_pick"))
-    per_row = per_bin.groupBy(*row).agg(
-        F.max("bin").alias("_mx"), F.min("bin").alias("_mn"),
-        F.map_from_entries(F.collect_list(F.struct("bin", "_pick"))).alias("_mv"))
-    t = F.col("target_bin")
-    hit = F.element_at(F.col("_mv"), t)
-    carry = ((F.col("_mx") == 0) & (t > 0)) | ((F.col("_mn") == 0) & (t < 0))
-    exploded = per_row.withColumn("target_bin", F.explode(F.array(*[F.lit(b).cast("long") for b in BINS])))
-    area = (F.when(t == 0, F.col("area")).when(hit.isNotNull(), hit["a"])
-            .when(carry, F.col("area")).otherwise(F.lit("")))
-    area_h = (F.when(t == 0, F.col("area_h")).when(hit.isNotNull(), hit["h"])
-              .when(carry, F.col("area_h")).otherwise(F.lit("")))
+    rows = _recoded(detail)
+    asked = rows.select("profile_id", "date_casino", "minute", "area", "area_h", "member_tier", "profile_type",
+                        d.age_band("age").alias("age_range"), "gender",
+                        d.hour_start("capture_time").alias("z0_time")).distinct()
+    near = asked.join(minute_sweep(rows), on=["profile_id", "date_casino", "minute"], how="inner")
+
+    def entry(b: int, hit: F.Column, seen: F.Column) -> F.Column:
+        area = F.when(hit.isNotNull(), hit["a"]).when(~F.coalesce(seen, F.lit(False)), F.col("area"))
+        area_h = F.when(hit.isNotNull(), hit["h"]).when(~F.coalesce(seen, F.lit(False)), F.col("area_h"))
+        return F.struct(F.lit(b).cast("long").alias("off_bin"), area.alias("area_at_off"),
+                        area_h.alias("area_at_off_heatmap"))
+
+    bins = F.array(
+        F.struct(F.lit(0).cast("long").alias("off_bin"), F.col("area").alias("area_at_off"),
+                 F.col("area_h").alias("area_at_off_heatmap")),
+        *[entry(b, F.col(f"ahead.b{b}"), F.col("any_ahead")) for b in BIN_MINUTES],
+        *[entry(-b, F.col(f"behind.b{b}"), F.col("any_behind")) for b in BIN_MINUTES])
     keys = ["date_casino", "date_hour", "off_bin", "area_at_off", "area_at_off_heatmap", "region_name",
             "z0_time", "member_tier", "profile_type", "age_range", "gender"]
-    return (exploded.select(
-        "date_casino", F.date_format("capture_time", "HH:00").alias("date_hour"),
-        t.alias("off_bin"), area.alias("area_at_off"), area_h.alias("area_at_off_heatmap"),
-        F.col("area").alias("region_name"), d.hour_start("capture_time").alias("z0_time"),
-        "member_tier", "profile_type", d.age_band("age").alias("age_range"), "gender", "profile_id")
-        .where(F.col("area_at_off") != "")
+    return (near.select(
+        "date_casino", F.date_format("z0_time", "HH:00").alias("date_hour"), F.col("area").alias("region_name"),
+        "z0_time", "member_tier", "profile_type", "age_range", "gender", "profile_id",
+        F.explode(F.filter(bins, lambda x: x["area_at_off"] != "")).alias("_e"))
+        .select("*", "_e.*").drop("_e")
         .groupBy(*keys).agg(F.countDistinct("profile_id").alias("visitor_num")))
 
 
