@@ -209,6 +209,11 @@ def q35b(spark, sf_dir):
     return ev.capture_stats(Footfall(spark, sf_dir).captures_raw)
 
 
+@register("q35_conversion_preview", tw.table("q35_preview"))
+def q35c(spark, sf_dir):
+    return ev.conversion_preview(ev.conversion_table(Footfall(spark, sf_dir).event_summary))
+
+
 # The adapter names no region 'Entrances ...'; the per-camera grouping runs on
 # the gaming-floor regions (prefix CASINO) of the test data instead.
 @register("q03_companion_groups_by_camera", tw.table("q03"))
@@ -307,6 +312,20 @@ def q39(spark, sf_dir):
     return tb.ingest_audit(source, stored)
 
 
+@register("q39_ingest_preview", tw.table("q39_preview"))
+def q39b(spark, sf_dir):
+    from gatewise.sources import tables as tb
+    return tb.ingest_preview(_string_ingest(spark, sf_dir)[1])
+
+
+@register("q38_workbook_ingest", tw.table("q38"))
+def q38b(spark, sf_dir):
+    """Q38 from xlsx: the customers as workbooks, stored, then read again."""
+    from gatewise.sources import spreadsheet as sh
+    from gatewise.sources.tables import materialize
+    return sh.read_workbooks(materialize(sh.to_workbooks(td.read_table(spark, sf_dir, "customer")), "workbooks"))
+
+
 @register("q40_slim_copy", tw.table("q40"))
 def q40(spark, sf_dir):
     from gatewise.sources import tables as tb

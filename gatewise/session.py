@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +74,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``spark-submit --py-files`` does,
+    once per application: their Python workers import its helpers."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gatewise-")) / f"{package.name}.zip"  # Spark serves it from the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))

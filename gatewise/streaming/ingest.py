@@ -13,9 +13,11 @@ the classpath) or a folder of JSON-lines files (tests).
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -37,21 +39,33 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, **options) -> Da
             .select(F.col("value").cast("string").alias("value")))
 
 
-def to_records(df: DataFrame, key: str | None = None) -> DataFrame:
+def to_records(df: DataFrame, key: str | None = None, order: list[str] | None = None) -> DataFrame:
     """Rows -> topic records: ``value`` = JSON of all columns (times as
-    'YYYY-MM-DD HH:MM:SS'), optional ``key`` column as text (keeps per-key order)."""
+    'YYYY-MM-DD HH:MM:SS'), optional ``key`` column as text.
+
+    A topic keeps the order of a key's records only as they were sent. With
+    ``order`` (columns, then all others as tie-break) the records of a key
+    come together in one task, sorted, and ``value`` gets ``seq``, the record's
+    number within the key from 0: a consumer sees gaps and repeats by it. A
+    key's records then go through one task, as they go to one topic partition.
+    """
     cols = [F.date_format(F.col(f.name), TIME_FORMAT).alias(f.name)
             if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)) else F.col(f.name)
             for f in df.schema.fields]
-    out = df.select(F.to_json(F.struct(*cols)).alias("value"), *([F.col(key).cast("string").alias("key")]
-                                                                 if key else []))
-    return out
-
-
-def write_topic(df: DataFrame, servers: str, topic: str, key: str | None = None) -> None:
-    """Publish ``df`` to a Kafka topic (acks=all, idempotent producer); needs
-    the Kafka connector on the classpath."""
-    (to_records(df, key).write.format("kafka")
+    named = [F.col(key).cast("string").alias("key")] if key else []
+    if not order:
+        return df.select(F.to_json(F.struct(*cols)).alias("value"), *named)
+    if not key:
+        raise ValueError("an order needs a key: a topic has none across its partitions")
+    within = Window.partitionBy(key).orderBy(*order, *[c for c in df.columns if c not in (key, *order)])
+    return (df.withColumn("_seq", F.row_number().over(within) - 1)   # shuffles by key, sorts by key and order
+            .select(F.to_json(F.struct(*cols, F.col("_seq").cast("long").alias("seq"))).alias("value"), *named))
+
+
+def write_topic(df: DataFrame, servers: str, topic: str, key: str | None = None, order: list[str] | None = None) -> None:
+    """Publish ``df`` to a Kafka topic (acks=all, idempotent producer), a key's
+    records in ``order``; needs the Kafka connector on the classpath."""
+    (to_records(df, key, order).write.format("kafka")
      .option("kafka.bootstrap.servers", servers).option("topic", topic)
      .option("kafka.acks", "all").option("kafka.enable.idempotence", "true").save())
 
@@ -135,18 +149,51 @@ def row_count(table: DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("row_count"))
 
 
-class ProgressTotals(StreamingQueryListener):
-    """Running totals of every micro-batch of one query (the reference's
-    periodic consumed / rate report). ``recentProgress`` keeps only the latest
-    reports; a listener sees all of them. Reports of other queries of the
-    session are left out once :meth:`of` has named the query."""
+@dataclass
+class Report:
+    """What a run has done up to a moment (the reference's 10-second lines)."""
+    elapsed_seconds: float
+    batches: int
+    consumed_rows: int
+    rows_per_second: float
 
-    def __init__(self):
+
+class ProgressTotals(StreamingQueryListener):
+    """Running totals of every micro-batch of the queries of a session, and a
+    report per query at least ``every`` seconds after the one before and at its
+    end. ``recentProgress`` keeps only the latest progress; a listener sees all.
+
+    Spark calls a listener after every batch, and now and then while a query
+    is idle, so a report comes with the first such call once it is due.
+    ``tell`` gets each report (say, a logger or a table writer); the reports
+    of a run are kept too, see :meth:`reports`.
+    """
+
+    def __init__(self, every: float = 10.0, tell: Callable[[str, Report], None] | None = None,
+                 clock: Callable[[], float] = time.monotonic):
+        self.every, self.tell, self.clock = every, tell, clock
         self.seen: dict[str, dict[int, tuple[int, float]]] = {}   # run -> batch -> (rows, seconds)
+        self.told: dict[str, list[Report]] = {}
+        self.times: dict[str, tuple[float, float]] = {}           # run -> (start, latest report)
         self.ended: set[str] = set()
 
+    def _report(self, run: str, due: float) -> None:
+        now = self.clock()
+        start, latest = self.times.setdefault(run, (now, now))
+        if now - latest < due:
+            return
+        done = self.seen.get(run, {}).values()
+        rows, elapsed = sum(n for n, _ in done), now - start
+        report = Report(elapsed, len(done), rows, rows / elapsed if elapsed else 0.0)
+        self.times[run] = (start, now)
+        self.told.setdefault(run, []).append(report)
+        if self.tell:
+            self.tell(run, report)
+
     def onQueryStarted(self, event):
-        self.seen.setdefault(str(event.runId), {})
+        run, now = str(event.runId), self.clock()
+        self.seen.setdefault(run, {})
+        self.times[run] = (now, now)
 
     def onQueryProgress(self, event):
         p = event.progress
@@ -154,22 +201,33 @@ class ProgressTotals(StreamingQueryListener):
         if rows:
             seconds = rows / p.processedRowsPerSecond if p.processedRowsPerSecond else 0.0
             self.seen.setdefault(str(p.runId), {})[int(p.batchId)] = (rows, seconds)
+        self._report(str(p.runId), self.every)
 
     def onQueryIdle(self, event):
-        pass
+        self._report(str(event.runId), self.every)
 
     def onQueryTerminated(self, event):
+        self._report(str(event.runId), 0.0)
         self.ended.add(str(event.runId))
 
+    def _await(self, query: StreamingQuery, seconds: float = 60.0) -> str:
+        """The run of ``query``, once its end has arrived here (if it has ended)."""
+        run, limit = str(query.runId), time.monotonic() + seconds
+        while not query.isActive and run not in self.ended:
+            if time.monotonic() > limit:
+                raise RuntimeError("no end of the query was reported: was the listener added before it started?")
+            time.sleep(0.05)
+        return run
+
     def of(self, query: StreamingQuery) -> dict[int, tuple[int, float]]:
         """Rows and seconds of each batch of ``query``. Events arrive one
         after the other, the end of a run last, so all batches are known when
         the end of an ended run is."""
-        import time
-        run = str(query.runId)
-        while not query.isActive and run not in self.ended:
-            time.sleep(0.05)
-        return dict(self.seen.get(run, {}))
+        return dict(self.seen.get(self._await(query), {}))
+
+    def reports(self, query: StreamingQuery) -> list[Report]:
+        """The reports of ``query``; the last one of an ended run holds its totals."""
+        return list(self.told.get(self._await(query), []))
 
 
 def stream_stats(batches: dict[int, tuple[int, float]], written: DataFrame, stored: DataFrame) -> DataFrame:

@@ -169,3 +169,72 @@ def test_a_cluster_needs_a_shared_folder(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_topic_records_of_a_key_are_in_order(spark):
+    import datetime as dt
+    import json
+    import random
+    rows = [(k, dt.datetime(2024, 1, 2, 10, 0, s), f"{k}-{s}-{i}") for k in (1, 2, 3) for s in range(20) for i in range(2)]
+    rows += [(None, dt.datetime(2024, 1, 2, 9), "z"), (None, None, "y")]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "ID long, date_time timestamp_ntz, note string").repartition(7)
+    recs = si.to_records(df, key="ID", order=["date_time"])
+    tasks = recs.rdd.glom().collect()                      # what each task sends, in its order
+    seen = {}
+    for task in tasks:
+        for r in task:
+            seen.setdefault(r.key, []).append(json.loads(r.value))
+    assert sum(len(x) for x in seen.values()) == len(rows)
+    for key, values in seen.items():
+        assert [v["seq"] for v in values] == list(range(len(values)))
+        assert [(v.get("date_time") or "", v["note"]) for v in values] == sorted(
+            (v.get("date_time") or "", v["note"]) for v in values)
+        assert sum(any(r.key == key for r in task) for task in tasks) == 1   # one task has all of a key
+    import pytest
+    with pytest.raises(ValueError, match="key"):
+        si.to_records(df, order=["date_time"])
+
+
+def test_reports_while_a_stream_runs(spark, tmp_path):
+    src = str(tmp_path / "src")
+    for i in range(4):
+        _write(src, f"f{i}.json", [f'{{"date_time": "2024-01-02 10:00:0{j}", "ID": {10 * i + j}}}' for j in range(3)])
+    tables = si.StreamTables(table=str(tmp_path / "table"), checkpoint=str(tmp_path / "ckpt"))
+    told = []
+    totals = si.ProgressTotals(every=0.0, tell=lambda run, report: told.append((run, report)))
+    spark.streams.addListener(totals)
+    try:
+        q = si.start_ingest(si.file_source(spark, src, max_files_per_trigger=1), tables)
+        q.awaitTermination()
+        reports = totals.reports(q)
+    finally:
+        spark.streams.removeListener(totals)
+    assert len(reports) >= 4 and [r for run, r in told if run == str(q.runId)] == reports
+    rows = [r.consumed_rows for r in reports]
+    assert rows == sorted(rows) and rows[0] < rows[-1] == 12
+    assert reports[-1].batches == len(totals.of(q)) == 4
+    assert reports[-1].rows_per_second == 12 / reports[-1].elapsed_seconds
+
+
+def test_reports_wait_until_they_are_due():
+    from types import SimpleNamespace as Event
+    now = [0.0]
+    totals = si.ProgressTotals(every=10.0, clock=lambda: now[0])
+    totals.onQueryStarted(Event(runId="r"))
+    for batch in range(25):                       # a batch a second
+        now[0] += 1
+        totals.onQueryProgress(Event(progress=Event(runId="r", batchId=batch, numInputRows=2, processedRowsPerSecond=2.0)))
+    now[0] += 8
+    totals.onQueryIdle(Event(runId="r"))
+    totals.onQueryTerminated(Event(runId="r"))
+    assert [(r.elapsed_seconds, r.consumed_rows) for r in totals.told["r"]] == [(10, 20), (20, 40), (33, 50), (33, 50)]
+
+
+def test_a_listener_that_came_late_says_so(spark, monkeypatch):
+    import pytest
+    from types import SimpleNamespace
+    totals = si.ProgressTotals()
+    ended = SimpleNamespace(runId="other", isActive=False)
+    with pytest.raises(RuntimeError, match="listener"):
+        totals._await(ended, seconds=0.2)
