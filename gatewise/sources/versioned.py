@@ -173,4 +173,15 @@ class SliceTable:
         dead = [n for n in self._numbers("data") if n not in used]
         for n in dead:
             store.delete(self._at(f"{self.path}/data/version={n}")[1], True)
+        for folder in ("data", "commits"):   # a number is claimed once; older claims than the newest number do nothing
+            self._drop_claims(folder, max([-1, *self._numbers(folder)]))
         return len(dead)
+
+    def _drop_claims(self, folder: str, newest: int) -> None:
+        store, at = self._at(f"{self.path}/{folder}")
+        if not store.exists(at):
+            return
+        for status in store.listStatus(at):
+            number = status.getPath().getName().removeprefix(".claim-")
+            if number.isdigit() and status.isFile() and int(number) < newest:
+                store.delete(status.getPath(), False)

@@ -2,10 +2,10 @@
 
 ``{"date_time": "YYYY-MM-DD HH:MM:SS", "ID": n}`` records are decoded with an
 explicit schema; a time that does not parse falls back to the load time and
-is flagged; undecodable records go to the kind=bad partition instead of stopping the
-stream. Each micro-batch is written to its own ``batch_id`` partition with a
-partition overwrite, so a batch replayed after a failure replaces its first
-attempt (checkpointed offsets + idempotent sink = effectively once).
+is flagged; undecodable records are kept as kind bad instead of stopping the
+stream. Each micro-batch is a slice that one commit makes visible, so a batch
+replayed after a failure replaces its first attempt (checkpointed offsets +
+idempotent sink = effectively once); runs of small batches are merged.
 
 Sources: a Kafka topic (``format("kafka")``; the connector jar must be on
 the classpath) or a folder of JSON-lines files (tests).
@@ -17,11 +17,13 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from gatewise.sources.versioned import SliceTable
+
 RECORD_SCHEMA = T.StructType([
     T.StructField("date_time", T.StringType(), True),
     T.StructField("ID", T.LongType(), True),
@@ -94,49 +96,78 @@ def decode(values: DataFrame) -> DataFrame:
         F.col("value").alias("_raw"))
 
 
+#: The sink's columns: a batch's rows lie in the slice ``block`` of their batch
+#: until a merge puts them into the slice of the first batch of a longer run.
+SINK_SCHEMA = T.StructType([
+    T.StructField("date_time", T.TimestampNTZType()), T.StructField("ID", T.LongType()),
+    T.StructField("time_was_defaulted", T.BooleanType()), T.StructField("raw", T.StringType()),
+    T.StructField("kind", T.StringType()), T.StructField("batch_id", T.LongType()),
+    T.StructField("block", T.LongType())])
+
+
 @dataclass
 class StreamTables:
-    """Sink folder (partitioned by kind = good / bad and batch_id) and checkpoint."""
+    """Sink folder (a :class:`SliceTable` by block) and checkpoint."""
     table: str
     checkpoint: str
 
 
+def sink_table(spark: SparkSession, path: str) -> SliceTable:
+    return SliceTable(spark, path, SINK_SCHEMA, "block")
+
+
+def append_batch(batch: DataFrame, batch_id: int, path: str, fanout: int = 10, levels: int = 3) -> None:
+    """Add one batch to the sink by one commit. A batch that comes again
+    replaces itself, so the table stays the same.
+
+    Every ``fanout`` batches the blocks before the newest become one, every
+    ``fanout ** 2`` batches ten such ones do, and so on up to ``levels``: a row
+    is rewritten ``levels`` times at most, and n batches leave about
+    ``fanout * levels + n / fanout ** levels`` blocks. A merge is one commit as
+    well; it leaves the newest batch alone, the only one that can come again.
+    Files of replaced blocks stay for readers until the next merge but one.
+    """
+    sink = sink_table(batch.sparkSession, path)
+    sink.replace(batch.withColumn("batch_id", F.lit(batch_id)).withColumn("block", F.lit(batch_id)), [batch_id])
+    span = max((fanout ** i for i in range(1, levels + 1) if batch_id and batch_id % fanout ** i == 0), default=0)
+    if not span:
+        return
+    first = batch_id - span
+    blocks = [r["slice"] for r in sink.live().where(F.col("slice").between(first, batch_id - 1)).collect()]  # few
+    if len(blocks) > 1:
+        merged = sink.read().where(F.col("block").between(first, batch_id - 1))
+        sink.replace(merged.withColumn("block", F.lit(min(blocks))), blocks)
+    sink.vacuum(keep=2 * fanout)
+
+
 def start_ingest(values: DataFrame, tables: StreamTables, trigger: dict | None = None) -> StreamingQuery:
-    """Q36: decode every micro-batch and write it with one partition overwrite:
-    decoded rows under kind=good, undecodable records under kind=bad."""
+    """Q36: decode every micro-batch and add it to the sink: decoded rows as
+    kind good, undecodable records as kind bad."""
     decoded = decode(values).select(
         "date_time", "ID", "time_was_defaulted",
         F.when(F.col("_bad"), F.col("_raw")).alias("raw"),
         F.when(F.col("_bad"), "bad").otherwise("good").alias("kind"))
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        sunk = Observation(f"sunk-{batch_id}")
-        (batch.withColumn("batch_id", F.lit(batch_id)).observe(sunk, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kind", "batch_id")
-         .parquet(tables.table))
-        spark = batch.sparkSession
-        (spark.createDataFrame([(batch_id, sunk.get["rows"])], "batch_id long, rows long").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{tables.table}-counts"))
-
-    writer = decoded.writeStream.foreachBatch(write_batch).option("checkpointLocation", tables.checkpoint)
+    writer = (decoded.writeStream.foreachBatch(lambda batch, batch_id: append_batch(batch, batch_id, tables.table))
+              .option("checkpointLocation", tables.checkpoint))
     writer = writer.trigger(**(trigger or {"availableNow": True}))
     return writer.start()
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Decoded rows of the sink."""
-    return (spark.read.parquet(path).where(F.col("kind") == "good")
-            .select("date_time", "ID", "time_was_defaulted"))
+    return sink_table(spark, path).read().where(F.col("kind") == "good").select("date_time", "ID", "time_was_defaulted")
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Undecodable records of the sink, as received."""
-    return spark.read.parquet(path).where(F.col("kind") == "bad").select(F.col("raw").alias("value"), "batch_id")
+    return (sink_table(spark, path).read().where(F.col("kind") == "bad")
+            .select(F.col("raw").alias("value"), "batch_id"))
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Rows that the sink wrote per batch, good and bad ones (batch_id, rows)."""
-    return spark.read.schema("rows long, batch_id long").parquet(f"{path}-counts")
+    """Rows that the sink holds per batch, good and bad ones (batch_id, rows)."""
+    return sink_table(spark, path).read().groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def latest_n(table: DataFrame, n: int = 10) -> DataFrame:
@@ -232,8 +263,8 @@ class ProgressTotals(StreamingQueryListener):
 
 def stream_stats(batches: dict[int, tuple[int, float]], written: DataFrame, stored: DataFrame) -> DataFrame:
     """Q44: one row: batches, consumed_rows (as the query reports them),
-    written_rows (as the sink counted them per batch), stored_rows (as the
-    table holds them). ``written`` is :func:`read_counts` of the sink."""
+    written_rows (good and bad, by batch), stored_rows (the decoded table's).
+    ``written`` is :func:`read_counts` of the sink."""
     sunk = written.select(F.col("rows").alias("written_rows"), F.lit(0).cast("long").alias("stored_rows"))
     held = stored.select(F.lit(0).cast("long").alias("written_rows"), F.lit(1).cast("long").alias("stored_rows"))
     return sunk.unionByName(held).agg(

@@ -238,3 +238,66 @@ def test_a_listener_that_came_late_says_so(spark, monkeypatch):
     ended = SimpleNamespace(runId="other", isActive=False)
     with pytest.raises(RuntimeError, match="listener"):
         totals._await(ended, seconds=0.2)
+
+
+def _batch(spark, n):
+    import datetime as dt
+    rows = [(dt.datetime(2024, 1, 2, 10, 0, n % 60), 10 * n + i, False, None, "good") for i in range(2)]
+    return spark.createDataFrame([*rows, (dt.datetime(2024, 1, 2), None, True, f"bad {n}", "bad")],
+                                 "date_time timestamp_ntz, ID long, time_was_defaulted boolean, raw string, kind string")
+
+
+def _held(spark, path):
+    return sorted((r.batch_id, r.ID, r.raw) for r in si.sink_table(spark, path).read()
+                  .selectExpr("batch_id", "coalesce(ID, -1) as ID", "raw").collect())
+
+
+def test_small_batches_are_merged(spark, tmp_path):
+    path = str(tmp_path / "table")
+    blocks = []
+    for n in range(19):
+        si.append_batch(_batch(spark, n), n, path, fanout=3, levels=2)
+        blocks.append(si.sink_table(spark, path).live().count())
+    want = sorted([(n, 10 * n + i, None) for n in range(19) for i in range(2)] + [(n, -1, f"bad {n}") for n in range(19)])
+    assert _held(spark, path) == want
+    assert max(blocks) <= 3 * 2 + 2 and blocks[-1] == 3            # 0-8, 9-17 and the newest
+    assert sorted(r.slice for r in si.sink_table(spark, path).live().collect()) == [0, 9, 18]
+    versions = [x for x in os.listdir(os.path.join(path, "data")) if x.startswith("version=")]
+    claims = [x for f in ("data", "commits") for x in os.listdir(os.path.join(path, f)) if x.startswith(".claim-")]
+    # 19 batches and 6 merges made 25 versions; those that no kept commit names are gone, and old claims with them
+    assert len(versions) <= 14 and len(claims) <= 4
+    si.append_batch(_batch(spark, 18), 18, path, fanout=3, levels=2)   # the newest comes again
+    assert _held(spark, path) == want
+    assert si.read_counts(spark, path).where("rows = 3").count() == 19
+    assert si.read_rejects(spark, path).count() == 19 and si.read_table(spark, path).count() == 38
+
+
+def test_a_merge_that_dies_changes_nothing(spark, tmp_path, monkeypatch):
+    import pytest
+    path = str(tmp_path / "table")
+    for n in range(3):
+        si.append_batch(_batch(spark, n), n, path, fanout=3)
+    real, calls = si.SliceTable._publish, []
+
+    def dies(self, *args, **kw):
+        calls.append(1)
+        if len(calls) == 2:                # batch 3 is committed, its merge is not
+            raise RuntimeError("lost")
+        return real(self, *args, **kw)
+
+    monkeypatch.setattr(si.SliceTable, "_publish", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        si.append_batch(_batch(spark, 3), 3, path, fanout=3)
+    monkeypatch.undo()
+    before = _held(spark, path)
+    assert sorted({b for b, _, _ in before}) == [0, 1, 2, 3] and len(before) == 12
+    si.append_batch(_batch(spark, 3), 3, path, fanout=3)           # the stream sends it again
+    assert _held(spark, path) == before
+    assert sorted(r.slice for r in si.sink_table(spark, path).live().collect()) == [0, 3]
+
+
+def test_an_empty_batch(spark, tmp_path):
+    path = str(tmp_path / "table")
+    si.append_batch(_batch(spark, 0).where("false"), 0, path)
+    si.append_batch(_batch(spark, 1), 1, path)
+    assert _held(spark, path) == [(1, -1, "bad 1"), (1, 10, None), (1, 11, None)]
