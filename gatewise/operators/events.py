@@ -161,8 +161,25 @@ def _windows(cal: DataFrame) -> DataFrame:
             .withColumn("post_th", F.timestamp_add("HOUR", h, F.col("EndDtm_"))))
 
 
-def _group_and_all(df: DataFrame) -> DataFrame:
-    return df.withColumn("group", F.explode(F.array(F.col("group"), F.lit("all"))))
+def _per_group_and_all(rows: DataFrame, keys: list[str], flags: dict[str, F.Column], sums: dict[str, F.Column],
+                       most: dict[str, F.Column] | None = None) -> DataFrame:
+    """Per ``keys`` and camera group, and per ``keys`` over all groups (group
+    'all'): the profiles with at least one row of each of ``flags``, the
+    ``sums``, and the maxima ``most``.
+
+    Rows are reduced once, to (keys, group, profile). A profile counts there
+    for its group; for 'all' its groups are put together first. Both read the
+    same shuffled rows, so no row is doubled."""
+    most = most or {}
+    one = rows.groupBy(*keys, "group", "profile_id").agg(
+        *[F.max(F.when(x, 1).otherwise(0)).alias(c) for c, x in flags.items()],
+        *[F.sum(x).alias(c) for c, x in sums.items()], *[F.max(x).alias(c) for c, x in most.items()])
+    once = one.groupBy(*keys, "profile_id").agg(
+        *[F.max(c).alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in most])
+    totals = [*[F.sum(c).cast("long").alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums],
+              *[F.max(c).alias(c) for c in most]]
+    return one.groupBy(*keys, "group").agg(*totals).unionByName(
+        once.groupBy(*keys).agg(*totals).withColumn("group", F.lit("all")))
 
 
 def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -177,20 +194,12 @@ def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     # calendar-derived windows are a dimension; one event may hold most attendees
     win = _attendees(detail).join(_windows(days), on=["event_name", "hour_window"], how="inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
-    rows = _group_and_all(rows)
     pre = F.col("capture_time").between(F.col("pre_th"), F.col("StartDtm_"))
     post = F.col("capture_time").between(F.col("EndDtm_"), F.col("post_th"))
-    keys = ["date", "event_name", *DEMO, "group", "hour_window"]
-    per = rows.groupBy(*keys, "profile_id").agg(
-        F.max(F.when(pre, 1).otherwise(0)).alias("_pre"),
-        F.sum(F.when(pre, F.col("_stay")).otherwise(0.0)).alias("_pre_st"),
-        F.max(F.when(post, 1).otherwise(0)).alias("_post"),
-        F.sum(F.when(post, F.col("_stay")).otherwise(0.0)).alias("_post_st"))
-    out = per.groupBy(*keys).agg(
-        F.sum("_pre").cast("long").alias("pre_visition_num"),
-        F.sum("_pre_st").alias("pre_stay_time"),
-        F.sum("_post").cast("long").alias("post_visition_num"),
-        F.sum("_post_st").alias("post_stay_time"))
+    out = _per_group_and_all(rows, ["date", "event_name", *DEMO, "hour_window"],
+                             {"pre_visition_num": pre, "post_visition_num": post},
+                             {"pre_stay_time": F.when(pre, F.col("_stay")).otherwise(0.0),
+                              "post_stay_time": F.when(post, F.col("_stay")).otherwise(0.0)})
     return out.select(*PRE_POST_COLUMNS)
 
 
@@ -206,22 +215,13 @@ def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     # calendar-derived windows are a dimension; one event may hold most attendees
     win = _attendees(detail).join(_windows(days), on=["event_name", "hour_window"], how="inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
-    rows = _group_and_all(rows)
     pre = F.col("capture_time") <= F.col("pre_th")
     post = F.col("capture_time") >= F.col("post_th")
-    keys = ["date", "event_name", *DEMO, "group", "hour_window"]
-    per = rows.groupBy(*keys, "profile_id").agg(
-        F.max(F.when(pre, 1).otherwise(0)).alias("_pre"),
-        F.sum(F.when(pre, F.col("_stay")).otherwise(0.0)).alias("_pre_st"),
-        F.max(F.when(post, 1).otherwise(0)).alias("_post"),
-        F.sum(F.when(post, F.col("_stay")).otherwise(0.0)).alias("_post_st"),
-        F.sum("_stay").alias("_all_st"),
-        F.max(F.to_date("pre_th")).alias("_pre_d"),
-        F.max(F.to_date("post_th")).alias("_post_d"))
-    g = per.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("_pre").alias("_npre"), F.sum("_post").alias("_npost"),
-        F.sum("_pre_st").alias("_pre_st"), F.sum("_post_st").alias("_post_st"), F.sum("_all_st").alias("_all_st"),
-        F.max("_pre_d").alias("_pre_d"), F.max("_post_d").alias("_post_d"))
+    g = _per_group_and_all(rows, ["date", "event_name", *DEMO, "hour_window"],
+                           {"_n": F.lit(True), "_npre": pre, "_npost": post},
+                           {"_pre_st": F.when(pre, F.col("_stay")).otherwise(0.0),
+                            "_post_st": F.when(post, F.col("_stay")).otherwise(0.0), "_all_st": F.col("_stay")},
+                           {"_pre_d": F.to_date("pre_th"), "_post_d": F.to_date("post_th")})
     pre_all = F.col("_pre_d") < F.col("date")
     post_all = F.col("_post_d") > F.col("date")
     return g.select(
@@ -261,13 +261,10 @@ def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     # an attendee date outside the event's dates cannot convert
     in_days = days.withColumn("_in", F.lit(1))
     f = (att.join(in_days, on=["event_name", "date"], how="left")
-         .join(casino, on=["profile_id", "date"], how="left")
-         .withColumn("_conv", F.when(F.col("_in").isNotNull() & F.col("_seen").isNotNull(), 1).otherwise(0)))
-    f = _group_and_all(f)
-    keys = ["date", "hour_window", "event_name", *DEMO, "group"]
-    per = f.groupBy(*keys, "profile_id").agg(F.max("_conv").alias("_conv"))
-    out = per.groupBy(*keys).agg(F.count(F.lit(1)).alias("visition_num"),
-                                 F.sum("_conv").cast("long").alias("casino_converted_visition_num"))
+         .join(casino, on=["profile_id", "date"], how="left"))
+    converted = F.col("_in").isNotNull() & F.col("_seen").isNotNull()
+    out = _per_group_and_all(f, ["date", "hour_window", "event_name", *DEMO],
+                             {"visition_num": F.lit(True), "casino_converted_visition_num": converted}, {})
     return out.select(*CONVERSION_COLUMNS)
 
 

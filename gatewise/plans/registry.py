@@ -328,8 +328,10 @@ def q38b(spark, sf_dir):
 
 @register("q40_slim_copy", tw.table("q40"))
 def q40(spark, sf_dir):
+    import pyspark.sql.functions as F
     from gatewise.sources import tables as tb
-    return tb.slim_copy(Footfall(spark, sf_dir).captures_raw, tb.scratch_path(spark, "slim"))
+    return tb.slim_copy(Footfall(spark, sf_dir).captures_raw, tb.scratch_path(spark, "slim"),
+                        F.lit(tw.LOADED_AT).cast("timestamp_ntz"))
 
 
 # --------------------------------------------------------------------------- misc

@@ -12,7 +12,7 @@ import hashlib
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,8 +182,10 @@ def ingest_preview(stored: DataFrame, n: int = 3) -> DataFrame:
 SLIM_COLUMNS = ["profile_id", "region_id", "region_name", "capture_time", "age", "member_tier", "gender"]
 
 
-def slim_copy(captures: DataFrame, path: str) -> DataFrame:
-    """Q40: full reload of the narrow capture projection (overwrite); the
-    load time is not carried as a column."""
-    truncate_and_load(captures.select(*SLIM_COLUMNS), path)
+def slim_copy(captures: DataFrame, path: str, loaded_at: Column | None = None) -> DataFrame:
+    """Q40: full reload of the narrow capture projection (overwrite), with the
+    time of the load as its eighth column ``batch_time``: ``loaded_at``, or
+    the current time (one value per load)."""
+    loaded_at = F.current_timestamp() if loaded_at is None else loaded_at
+    truncate_and_load(captures.select(*SLIM_COLUMNS, loaded_at.alias("batch_time")), path)
     return captures.sparkSession.read.parquet(path)
