@@ -167,19 +167,19 @@ def _per_group_and_all(rows: DataFrame, keys: list[str], flags: dict[str, F.Colu
     'all'): the profiles with at least one row of each of ``flags``, the
     ``sums``, and the maxima ``most``.
 
-    Rows are reduced once, to (keys, group, profile). A profile counts there
-    for its group; for 'all' its groups are put together first. Both read the
-    same shuffled rows, so no row is doubled."""
+    The joined rows are read once and reduced to (keys, group, profile); only
+    those few rows are doubled for the total, where a profile counts once
+    however many groups it was seen in."""
     most = most or {}
-    one = rows.groupBy(*keys, "group", "profile_id").agg(
+    reduced = rows.groupBy(*keys, "group", "profile_id").agg(
         *[F.max(F.when(x, 1).otherwise(0)).alias(c) for c, x in flags.items()],
         *[F.sum(x).alias(c) for c, x in sums.items()], *[F.max(x).alias(c) for c, x in most.items()])
-    once = one.groupBy(*keys, "profile_id").agg(
-        *[F.max(c).alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in most])
-    totals = [*[F.sum(c).cast("long").alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums],
-              *[F.max(c).alias(c) for c in most]]
-    return one.groupBy(*keys, "group").agg(*totals).unionByName(
-        once.groupBy(*keys).agg(*totals).withColumn("group", F.lit("all")))
+    once = (reduced.withColumn("group", F.explode(F.array(F.col("group"), F.lit("all"))))
+            .groupBy(*keys, "group", "profile_id")
+            .agg(*[F.max(c).alias(c) for c in [*flags, *most]], *[F.sum(c).alias(c) for c in sums]))
+    return once.groupBy(*keys, "group").agg(
+        *[F.sum(c).cast("long").alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums],
+        *[F.max(c).alias(c) for c in most])
 
 
 def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
