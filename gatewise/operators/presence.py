@@ -3,13 +3,13 @@
 Everybody seen on a business day gets a dense number of that day, people of
 the same demographics next to each other. A presence row holds, for one hour,
 region, sector and demographics, the visitors whose numbers fall into one
-range of 32,768 as a bitmap. Distinct counts of coarser levels are bitmaps
-combined with OR, so a roll-up never shuffles the visitors again: its rows are
-cells times ranges, however many visitors the cells hold.
+range of 64 as the bits of a long. Distinct counts of coarser levels are such
+words combined with OR, so a roll-up never shuffles the visitors again.
 
 Because neighbours in the numbering share their demographics, the visitors of
-a cell lie in few ranges. A missing profile is nobody: its cell exists with an
-empty bitmap and counts 0.
+a full cell lie in few ranges; a cell of few visitors costs a word for each at
+most, so the table never has more rows than the index, and every row is small.
+A missing profile is nobody: its cell exists with an empty word and counts 0.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from gatewise.operators.footfall import DEMO, HOURLY_COLUMNS, by_profile_day
 
 #: Hash cells that share out the people of a day and demographics while they are numbered.
 CELLS = 64
+#: Numbers of one range: the bits of a long.
+WORD = 64
 #: What a presence row is about; ``range`` and ``present`` follow.
 CELL_KEYS = ["date_casino", "date_hour", "region_type", "region_id", "region_name", *DEMO, "sector"]
 
@@ -47,26 +49,27 @@ def numbered_people(index: DataFrame) -> DataFrame:
 
 
 def presence(index: DataFrame) -> DataFrame:
-    """One row per (CELL_KEYS, range): ``present``, the bitmap of the visitors
-    (empty, in range 1, where a cell holds missing profiles only)."""
+    """One row per (CELL_KEYS, range): ``present``, the visitors as the bits of
+    a long (none, in range 0, where a cell holds missing profiles only)."""
     rows = by_profile_day(index.select("date_casino", "profile_id", "date_hour", "region_type", "region_id", "region_name",
                                        *DEMO, d.recoded_sector("region_type", "sector").alias("sector")))
     numbered = rows.join(numbered_people(index), ["date_casino", "profile_id"], "left")
     at = F.col("number")
-    # narrow rows are moved, not bitmaps of single bits
-    spread = numbered.select(*CELL_KEYS, F.coalesce(F.bitmap_bucket_number(at), F.lit(1)).alias("range"),
-                             F.bitmap_bit_position(at).alias("_bit")).repartition(*CELL_KEYS, "range")
-    return spread.groupBy(*CELL_KEYS, "range").agg(F.bitmap_construct_agg("_bit").alias("present"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (at % WORD).cast("int"))
+    # single bits are moved to their word: the people of a range are spread over all tasks
+    spread = numbered.select(*CELL_KEYS, F.coalesce(F.floor(at / WORD), F.lit(0)).alias("range"),
+                             F.coalesce(bit, F.lit(0)).alias("present")).repartition(*CELL_KEYS, "range")
+    return rolled_up(spread, CELL_KEYS)
 
 
 def rolled_up(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Presence of coarser cells: bitmaps of one range combined with OR."""
-    return rows.groupBy(*keys, "range").agg(F.bitmap_or_agg("present").alias("present"))
+    """Presence of coarser cells: words of one range combined with OR."""
+    return rows.groupBy(*keys, "range").agg(F.bit_or("present").alias("present"))
 
 
 def visitors(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct visitors per ``keys``, which together with the range name a row once."""
-    return rows.groupBy(*keys).agg(F.sum(F.bitmap_count("present")).alias("visitor_num"))
+    return rows.groupBy(*keys).agg(F.sum(F.bit_count("present")).alias("visitor_num"))
 
 
 def _level(keys: list[str], **labels: Column) -> list[Column]:

@@ -59,11 +59,12 @@ class Footfall:
         key = self._key(name)
         if key not in _STAGED:
             path = scratch_path(self.spark, f"layer-{name}")
-            writer = build().write.mode("overwrite")
-            part = PARTITIONS.get(name)
+            df, part = build(), PARTITIONS.get(name)
             if part:
-                writer = writer.partitionBy(part)
-            writer.parquet(path)
+                # a task gets few days, a large day several tasks: files grow with the rows, not with tasks x days
+                df = df.hint("rebalance", part)
+            writer = df.write.mode("overwrite")
+            (writer.partitionBy(part) if part else writer).parquet(path)
             _STAGED[key] = path
         rkey = (key[0], _STAGED[key])
         if rkey not in _READS:
