@@ -127,13 +127,18 @@ PRE_POST_COLUMNS = ["date", "event_name", *DEMO, "group", "hour_window", "pre_vi
                     "post_visition_num", "post_stay_time"]
 
 
+def _least_window() -> F.Column:
+    """The shortest hour window h whose ``time_window`` -h..h holds a row; longer ones hold it too."""
+    tw = F.abs("time_window")
+    return F.least(*[F.when(tw <= h, h) for h in d.HOUR_WINDOWS])
+
+
 def _attendees(detail: DataFrame) -> DataFrame:
-    """Distinct (event_name, profile_id, hour_window): captured within
-    ``time_window`` -h..h of the event for h in 1, 2, 4."""
-    return (detail.where(F.col("event_name").isNotNull())
-            .withColumn("hour_window", F.explode(F.array(*[F.lit(h) for h in d.HOUR_WINDOWS])))
-            .where(F.col("time_window").between(-F.col("hour_window"), F.col("hour_window")))
-            .select("event_name", "profile_id", "hour_window").distinct())
+    """(event_name, profile_id, _least): the least of the hour windows 1, 2, 4
+    within which the profile was captured around the event."""
+    return (detail.where(F.col("event_name").isNotNull()).withColumn("_least", _least_window())
+            .where(F.col("_least").isNotNull())
+            .groupBy("event_name", "profile_id").agg(F.min("_least").alias("_least")))
 
 
 def _event_days(calendar: DataFrame, first: F.Column, last: F.Column, count_from: F.Column | None = None) -> DataFrame:
@@ -148,38 +153,63 @@ def _event_days(calendar: DataFrame, first: F.Column, last: F.Column, count_from
 
 
 def _stay_rows(detail: DataFrame) -> DataFrame:
+    """Stay seconds per profile, demographics, group and capture time: rows
+    that agree in these fall into the same windows, so they are added up before
+    they are joined."""
     nxt = F.coalesce(F.col("next_capture_time"), F.col("capture_time"))
-    return detail.select("profile_id", *DEMO, "group", "capture_time", F.to_date("capture_time").alias("join_date"),
-                         (d.epoch_seconds(nxt) - d.epoch_seconds("capture_time")).cast("double").alias("_stay"))
+    stay = (d.epoch_seconds(nxt) - d.epoch_seconds("capture_time")).cast("double")
+    return (detail.groupBy("profile_id", *DEMO, "group", "capture_time").agg(F.sum(stay).alias("_stay"))
+            .withColumn("join_date", F.to_date("capture_time")))
 
 
-def _windows(cal: DataFrame) -> DataFrame:
-    """Calendar rows x hour windows with the pre/post thresholds."""
-    h = F.col("hour_window")
-    return (cal.withColumn("hour_window", F.explode(F.array(*[F.lit(x) for x in d.HOUR_WINDOWS])))
-            .withColumn("pre_th", F.timestamp_add("HOUR", -h, F.col("StartDtm_")))
-            .withColumn("post_th", F.timestamp_add("HOUR", h, F.col("EndDtm_"))))
+def _before(h: int) -> F.Column:
+    return _hours(F.col("StartDtm_"), -h)
 
 
-def _per_group_and_all(rows: DataFrame, keys: list[str], flags: dict[str, F.Column], sums: dict[str, F.Column],
-                       most: dict[str, F.Column] | None = None) -> DataFrame:
-    """Per ``keys`` and camera group, and per ``keys`` over all groups (group
-    'all'): the profiles with at least one row of each of ``flags``, the
-    ``sums``, and the maxima ``most``.
+def _after(h: int) -> F.Column:
+    return _hours(F.col("EndDtm_"), h)
+
+
+def _by_window(rows: DataFrame, keys: list[str], flags: dict, sums: dict, most: dict | None = None) -> DataFrame:
+    """``_per_group_and_all`` of ``keys`` and the hour window, where the columns
+    of ``flags``, ``sums`` and ``most`` are functions of the window.
 
-    The joined rows are read once and reduced to (keys, group, profile); only
-    those few rows are doubled for the total, where a profile counts once
-    however many groups it was seen in."""
+    A row is joined once, not once per window: the windows are columns until
+    the rows are reduced to totals."""
     most = most or {}
-    reduced = rows.groupBy(*keys, "group", "profile_id").agg(
-        *[F.max(F.when(x, 1).otherwise(0)).alias(c) for c, x in flags.items()],
-        *[F.sum(x).alias(c) for c, x in sums.items()], *[F.max(x).alias(c) for c, x in most.items()])
+    reduced = rows.groupBy(*keys, "group", "profile_id", "_least").agg(*[
+        x.alias(f"{c}_{h}") for h in d.HOUR_WINDOWS for x, c in [
+            *[(F.max(f(h)), c) for c, f in flags.items()], *[(F.sum(f(h)), c) for c, f in sums.items()],
+            *[(F.max(f(h)), c) for c, f in most.items()]]])
+    per = [[f"{c}_{h}" for c in part for h in d.HOUR_WINDOWS] for part in (flags, sums, most)]
+    windows = [F.struct(F.lit(h).alias("hour_window"), *[F.col(f"{c}_{h}").alias(c) for c in [*flags, *sums, *most]])
+               for h in d.HOUR_WINDOWS]
+    # a profile has one least window per event, so the totals of the least windows add up
+    return (_totals(reduced, [*keys, "_least"], *per)
+            .select(*keys, "group", F.explode(F.filter(F.array(*windows), lambda x: x["hour_window"] >= F.col("_least"))).alias("_w"))
+            .groupBy(*keys, "group", "_w.hour_window")
+            .agg(*[F.sum(f"_w.{c}").alias(c) for c in [*flags, *sums]], *[F.max(f"_w.{c}").alias(c) for c in most]))
+
+
+def _per_group_and_all(rows: DataFrame, keys: list[str], flags: dict[str, F.Column]) -> DataFrame:
+    """Per ``keys`` and camera group, and per ``keys`` over all groups (group
+    'all'): the profiles with at least one row of each of ``flags``.
+
+    The joined rows are read once and reduced to (keys, group, profile)."""
+    reduced = rows.groupBy(*keys, "group", "profile_id").agg(*[F.max(x).alias(c) for c, x in flags.items()])
+    return _totals(reduced, keys, list(flags), [], [])
+
+
+def _totals(reduced: DataFrame, keys: list[str], flags: list[str], sums: list[str], most: list[str]) -> DataFrame:
+    """Totals per group and of group 'all' from one row per (keys, group,
+    profile); only these few rows are doubled for the total, where a profile
+    counts once however many groups it was seen in."""
     once = (reduced.withColumn("group", F.explode(F.array(F.col("group"), F.lit("all"))))
             .groupBy(*keys, "group", "profile_id")
             .agg(*[F.max(c).alias(c) for c in [*flags, *most]], *[F.sum(c).alias(c) for c in sums]))
     return once.groupBy(*keys, "group").agg(
-        *[F.sum(c).cast("long").alias(c) for c in flags], *[F.sum(c).alias(c) for c in sums],
-        *[F.max(c).alias(c) for c in most])
+        *[F.sum(F.when(F.col(c), 1).otherwise(0)).cast("long").alias(c) for c in flags],
+        *[F.sum(c).alias(c) for c in sums], *[F.max(c).alias(c) for c in most])
 
 
 def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
@@ -191,15 +221,15 @@ def event_pre_post(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     gives 0."""
     cal = calendar.select(F.col("Title").alias("event_name"), F.col("CDate").alias("date"), "StartDtm_", "EndDtm_")
     days = _event_days(cal, F.to_date(_hours(F.col("StartDtm_"), -4)), F.to_date(_hours(F.col("EndDtm_"), 4)))
-    # calendar-derived windows are a dimension; one event may hold most attendees
-    win = _attendees(detail).join(_windows(days), on=["event_name", "hour_window"], how="inner")
+    # the calendar is a dimension; one event may hold most attendees
+    win = _attendees(detail).join(days, on="event_name", how="inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
-    pre = F.col("capture_time").between(F.col("pre_th"), F.col("StartDtm_"))
-    post = F.col("capture_time").between(F.col("EndDtm_"), F.col("post_th"))
-    out = _per_group_and_all(rows, ["date", "event_name", *DEMO, "hour_window"],
-                             {"pre_visition_num": pre, "post_visition_num": post},
-                             {"pre_stay_time": F.when(pre, F.col("_stay")).otherwise(0.0),
-                              "post_stay_time": F.when(post, F.col("_stay")).otherwise(0.0)})
+    t = F.col("capture_time")
+    pre = lambda h: t.between(_before(h), F.col("StartDtm_"))
+    post = lambda h: t.between(F.col("EndDtm_"), _after(h))
+    out = _by_window(rows, ["date", "event_name", *DEMO], {"pre_visition_num": pre, "post_visition_num": post},
+                     {"pre_stay_time": lambda h: F.when(pre(h), F.col("_stay")).otherwise(0.0),
+                      "post_stay_time": lambda h: F.when(post(h), F.col("_stay")).otherwise(0.0)})
     return out.select(*PRE_POST_COLUMNS)
 
 
@@ -212,16 +242,17 @@ def event_pre_post_v2(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     days = _event_days(cal, F.to_date(F.date_sub(F.to_date("StartDtm_"), 1)),
                        F.to_date(_hours(F.col("EndDtm_"), 4)),
                        count_from=F.to_date(_hours(F.col("StartDtm_"), -4)))
-    # calendar-derived windows are a dimension; one event may hold most attendees
-    win = _attendees(detail).join(_windows(days), on=["event_name", "hour_window"], how="inner")
+    # the calendar is a dimension; one event may hold most attendees
+    win = _attendees(detail).join(days, on="event_name", how="inner")
     rows = win.join(_stay_rows(detail), on=["profile_id", "join_date"], how="inner")
-    pre = F.col("capture_time") <= F.col("pre_th")
-    post = F.col("capture_time") >= F.col("post_th")
-    g = _per_group_and_all(rows, ["date", "event_name", *DEMO, "hour_window"],
-                           {"_n": F.lit(True), "_npre": pre, "_npost": post},
-                           {"_pre_st": F.when(pre, F.col("_stay")).otherwise(0.0),
-                            "_post_st": F.when(post, F.col("_stay")).otherwise(0.0), "_all_st": F.col("_stay")},
-                           {"_pre_d": F.to_date("pre_th"), "_post_d": F.to_date("post_th")})
+    t = F.col("capture_time")
+    pre = lambda h: t <= _before(h)
+    post = lambda h: t >= _after(h)
+    g = _by_window(rows, ["date", "event_name", *DEMO], {"_n": lambda h: F.lit(True), "_npre": pre, "_npost": post},
+                   {"_pre_st": lambda h: F.when(pre(h), F.col("_stay")).otherwise(0.0),
+                    "_post_st": lambda h: F.when(post(h), F.col("_stay")).otherwise(0.0),
+                    "_all_st": lambda h: F.col("_stay")},
+                   {"_pre_d": lambda h: F.to_date(_before(h)), "_post_d": lambda h: F.to_date(_after(h))})
     pre_all = F.col("_pre_d") < F.col("date")
     post_all = F.col("_post_d") > F.col("date")
     return g.select(
@@ -247,12 +278,10 @@ def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     cal = calendar.select(F.col("Title").alias("event_name"), "StartDtm_", "EndDtm_")
     days = (_event_days(cal, F.date_sub(F.to_date("StartDtm_"), 1), F.date_add(F.to_date("EndDtm_"), 1))
             .select("event_name", F.col("join_date").alias("date")))
-    att = (detail.where(F.col("event_name").isNotNull())
-           .withColumn("hour_window", F.explode(F.array(*[F.lit(h) for h in d.HOUR_WINDOWS])))
-           .where(F.col("time_window").between(-F.col("hour_window"), F.col("hour_window")))
-           .select("profile_id", F.to_date("capture_time").alias("date"), "hour_window", "event_name",
-                   *DEMO, "group")
-           .distinct())
+    seen = ["profile_id", F.to_date("capture_time").alias("date"), "event_name", *DEMO, "group"]
+    att = (detail.where(F.col("event_name").isNotNull()).select(*seen, _least_window().alias("_least"))
+           .where(F.col("_least").isNotNull())
+           .groupBy("profile_id", "date", "event_name", *DEMO, "group").agg(F.min("_least").alias("_least")))
     # only events of the given calendar (the detail carries every event of a date)
     att = att.join(cal.select("event_name").distinct(), on="event_name", how="inner")
     casino = (detail.where(F.col("business_sector") == CASINO_ENTRANCE)
@@ -263,8 +292,13 @@ def event_conversion(detail: DataFrame, calendar: DataFrame) -> DataFrame:
     f = (att.join(in_days, on=["event_name", "date"], how="left")
          .join(casino, on=["profile_id", "date"], how="left"))
     converted = F.col("_in").isNotNull() & F.col("_seen").isNotNull()
-    out = _per_group_and_all(f, ["date", "hour_window", "event_name", *DEMO],
-                             {"visition_num": F.lit(True), "casino_converted_visition_num": converted}, {})
+    within = {h: F.col("_least") <= h for h in d.HOUR_WINDOWS}
+    totals = _per_group_and_all(f, ["date", "event_name", *DEMO], {
+        **{f"_n_{h}": x for h, x in within.items()}, **{f"_converted_{h}": x & converted for h, x in within.items()}})
+    windows = F.array(*[F.struct(F.lit(h).alias("hour_window"), F.col(f"_n_{h}").alias("visition_num"),
+                                 F.col(f"_converted_{h}").alias("casino_converted_visition_num")) for h in within])
+    out = totals.select("date", "event_name", *DEMO, "group",
+                        F.explode(F.filter(windows, lambda x: x["visition_num"] > 0)).alias("_w")).select("*", "_w.*")
     return out.select(*CONVERSION_COLUMNS)
 
 

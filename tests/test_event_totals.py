@@ -78,3 +78,32 @@ def test_slim_copy_carries_its_load_time(spark, tmp_path):
     assert {(r.profile_id, r.batch_time) for r in out.collect()} == {(1, dt.datetime(2024, 1, 3, 6)), (None, dt.datetime(2024, 1, 3, 6))}
     now = tb.slim_copy(rows, f"{tmp_path}/slim")
     assert now.count() == 2 and now.select("batch_time").distinct().count() == 1
+
+
+def test_captures_are_joined_once_for_all_hour_windows(show):
+    """Neither the hour windows nor a capture's repetition for several events multiply the joined rows."""
+    detail, calendar = show
+    for job in (ev.event_pre_post, ev.event_pre_post_v2):
+        plan = job(detail, calendar)._jdf.queryExecution().optimizedPlan().toString()
+        joins = plan[plan.index("Join Inner"):]
+        assert "hour_window" not in joins
+        assert "sum(" in joins  # stays are added up per second first
+    conversion = ev.event_conversion(detail, calendar)._jdf.queryExecution().optimizedPlan().toString()
+    assert "hour_window" not in conversion[conversion.index("Join "):]
+
+
+def test_repeated_captures_count_each_time(show):
+    detail, calendar = show
+    for job, c in ((ev.event_pre_post, "pre_stay_time"), (ev.event_pre_post_v2, "pre_stay_time")):
+        single, twice = (by_group(job(x, calendar), c) for x in (detail, detail.unionByName(detail)))
+        assert twice == {g: (2 * n,) for g, (n,) in single.items()}
+
+
+def test_later_windows_hold_the_visitors_of_earlier_ones(spark, show):
+    detail, calendar = show
+    rows = {(r["group"], r["hour_window"]): r["visition_num"] for r in ev.event_conversion(detail, calendar).collect()}
+    assert {k: v for k, v in rows.items() if k[0] == "all"} == {("all", h): 3 for h in (1, 2, 4)}
+    only = detail.where("time_window = -1 and event_name is not null").withColumn("time_window", F.lit(-2))
+    assert {r["hour_window"] for r in ev.event_conversion(only, calendar).collect()} == {2, 4}
+    both = detail.where("event_name is null").unionByName(only)
+    assert {r["hour_window"] for r in ev.event_pre_post(both.unionByName(only), calendar).collect()} <= {2, 4}
