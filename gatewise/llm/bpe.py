@@ -31,10 +31,10 @@ from pyspark.sql import DataFrame
 
 from gatewise.llm.common import id_and_text, slices
 
-#: Characters of words whose ids a worker keeps; past it the memory is emptied.
-KEPT_CHARS = 1_500_000
+#: Characters of words whose ids a worker keeps; past it, those not met lately go.
+KEPT_CHARS = 5_000_000
 #: Pairs of tokens whose boundary test a worker keeps, and the words of one trie.
-KEPT_PAIRS, TRIE_WORDS = 60_000, 4096
+KEPT_PAIRS, TRIE_WORDS = 250_000, 4096
 #: Characters below this one are composed already and fold case one by one.
 SIMPLE = regex.compile("[^\x00-˿]")
 #: Bytes of results sent back in one batch.
@@ -49,6 +49,19 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class Node:
+    """What a prefix of a token spells: the next letters, its longest own suffix
+    in the trie, and the tokens that end it."""
+
+    __slots__ = ("next", "back", "inner", "final")
+
+    def __init__(self) -> None:
+        self.next: dict[str, Node] = {}
+        self.back: Node | None = None
+        self.inner: tuple[int, ...] = ()
+        self.final: tuple[int, ...] = ()
+
+
 class Merges:
     """Tokens by their text, with what the boundary test needs of each."""
 
@@ -64,18 +77,43 @@ class Merges:
             self.parts[left + right] = (left, right)
         self._edges: dict[tuple[str, int], list[tuple[str, int, float]]] = {}
         self._whole: dict[str, bool] = {}
-        # (left, right) -> may right follow left, for all pairs met so far
-        self._follows: dict[tuple[str, str], bool] = {}
-        # tokens read backwards, inside words and at their ends
-        self.inner: dict = {}
-        self.final: dict = {}
-        for token in vocab:
-            if self.whole(token):
-                ends = token.endswith(end)
-                node = self.final if ends else self.inner
-                for letter in reversed(token[:-len(end)] if ends else token):
-                    node = node.setdefault(letter, {})
-                node[""] = token
+        # left id * size + right id -> may right follow left, for all pairs met so far
+        self._follows: dict[int, bool] = {}
+        self.size = max(vocab.values(), default=0) + 1
+        self.names: list[str] = [""] * self.size
+        self.lengths = [0] * self.size  # letters, without the word end
+        self.root = self.suffixes()
+
+    def suffixes(self) -> Node:
+        """Trie of all tokens' letters, where every node knows the tokens that
+        end what it spells, the longest first, inside words and at their ends."""
+        root = Node()
+        for token, i in self.vocab.items():
+            if not self.whole(token):
+                continue
+            ends = token.endswith(self.end)
+            letters = token[:-len(self.end)] if ends else token
+            self.names[i], self.lengths[i] = token, len(letters)
+            node = root
+            for letter in letters:
+                if letter not in node.next:
+                    node.next[letter] = Node()
+                node = node.next[letter]
+            if ends:
+                node.final = (i,)
+            else:
+                node.inner = (i,)
+        level = [(root, letter, node) for letter, node in root.next.items()]
+        while level:  # shorter texts first: a suffix's tokens are known before they are asked for
+            for parent, letter, node in level:
+                back = parent.back
+                while back is not None and letter not in back.next:
+                    back = back.back
+                node.back = root if back is None else back.next[letter]
+                node.inner = node.inner + node.back.inner if node.inner else node.back.inner
+                node.final = node.final + node.back.final if node.final else node.back.final
+            level = [(node, letter, child) for _, _, node in level for letter, child in node.next.items()]
+        return root
 
     def formed(self, token: str) -> int:
         return self.rank[self.parts[token]] if token in self.parts else -1
@@ -119,32 +157,24 @@ class Merges:
             self._whole[token] = found
         return found
 
-    def last(self, tail: list[str], states: list[str], backwards: dict) -> str:
-        """Last token of the prefix whose letters are ``tail``: of the tokens
-        that end it, the one that may follow the last token before it."""
-        depth = n = len(tail)
-        node, known = backwards, self._follows
-        fits = []
-        while n:
-            n -= 1
-            node = node.get(tail[n])
-            if node is None:
-                break
-            if "" in node:
-                fits.append((n, node[""]))
-        for n, token in reversed(fits):
-            if not n:
+    def last(self, states: list[int], depth: int, fits: tuple[int, ...]) -> int:
+        """Last token of the prefix of ``depth`` letters: of the tokens that end
+        it (``fits``), the longest that may follow the last token before it."""
+        lengths, size, known = self.lengths, self.size, self._follows
+        for token in fits:
+            at = depth - lengths[token]
+            if not at:
                 return token
-            pair = (states[n], token)
+            pair = states[at] * size + token
             good = known.get(pair)
             if good is None:
                 if len(known) >= KEPT_PAIRS:
                     known.clear()
                     self._edges.clear()
-                good = known[pair] = self.apart(*pair)
+                good = known[pair] = self.apart(self.names[states[at]], self.names[token])
             if good:
                 return token
-        raise ValueError(f"no token ends {tail[-8:depth]!r}: the vocabulary lacks a letter")
+        raise ValueError(f"no token ends a prefix of {depth} letters: the vocabulary lacks a letter")
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Ids of each word (in byte letters): neighbours in alphabetical order,
@@ -167,27 +197,29 @@ class Merges:
                     node[letter] = node = {}
             node[""] = word
         out: dict[str, list[int]] = {}
-        vocab, inner, final, size = self.vocab, self.inner, self.final, len(self.end)
-        tail: list[str] = []
-        states = [""]  # the last token of each prefix on the path
-        stack = [(trie, 0, "")]
+        lengths, root = self.lengths, self.root
+        states = [0]  # the last token of each prefix on the path
+        stack = [(trie, 0, root)]
         while stack:
-            node, depth, letter = stack.pop()
+            node, depth, spelled = stack.pop()
             if depth:
-                del tail[depth - 1:], states[depth:]
-                tail.append(letter)
+                del states[depth:]
                 if len(node) > ("" in node):  # no word's state is asked for past its end
-                    states.append(self.last(tail, states, inner))
+                    states.append(self.last(states, depth, spelled.inner))
             for letter, child in node.items():
                 if letter:
-                    stack.append((child, depth + 1, letter))
+                    # the longest end of the prefix that some token starts with
+                    at = spelled
+                    while letter not in at.next and at.back is not None:
+                        at = at.back
+                    stack.append((child, depth + 1, at.next.get(letter, root)))
                 elif depth:
-                    token = self.last(tail, states, final)
-                    ids, at = [vocab[token]], depth - len(token) + size
+                    token = self.last(states, depth, spelled.final)
+                    ids, at = [token], depth - lengths[token]
                     while at:
                         token = states[at]
-                        ids.append(vocab[token])
-                        at -= len(token)
+                        ids.append(token)
+                        at -= lengths[token]
                     ids.reverse()
                     out[child] = ids
         return out
@@ -213,8 +245,10 @@ class WordBpe:
         letters = byte_letters()
         self.letters = [letters[b] for b in range(256)]
         self.table = {b: letters[b] for b in range(256)}
+        # words met lately, and those met before them
         self.kept: dict[str | int, bytes] = {}
-        self.room = KEPT_CHARS
+        self.older: dict[str | int, bytes] = {}
+        self.room = KEPT_CHARS // 2
 
     def in_letters(self, word: str) -> str:
         return word.encode("utf-8").decode("latin-1").translate(self.table)
@@ -242,10 +276,16 @@ class WordBpe:
         """Encode the words that the worker has not met (or no longer keeps)."""
         met = set().union(*texts)
         new = met.difference(self.kept)
-        self.room -= sum(len(w) for w in new if isinstance(w, str))
-        if self.room < 0:
-            self.kept, new = {}, met
-            self.room = KEPT_CHARS - sum(len(w) for w in met if isinstance(w, str))
+        chars = sum(len(w) for w in new if isinstance(w, str))
+        if chars > self.room:
+            self.older, self.kept, new = self.kept, {}, met
+            chars = sum(len(w) for w in met if isinstance(w, str))
+            self.room = KEPT_CHARS // 2
+        self.room -= chars
+        known = new.intersection(self.older)
+        for w in known:
+            self.kept[w] = self.older.pop(w)
+        new -= known
         spelled = {}
         for w in new:
             if isinstance(w, int):

@@ -82,3 +82,16 @@ def test_the_kept_words_may_be_emptied(library, monkeypatch):
     texts = ["some words that come and go", "other words that stay", "some words again and again"]
     for text in texts:
         assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == expected(library, text)[0]
+
+
+def test_words_met_lately_stay_when_memory_is_short(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_CHARS", 60)
+    coder = bpe.WordBpe(word_vocabulary())
+    walked = []
+    plain = coder.merges.walk
+    monkeypatch.setattr(coder.merges, "walk", lambda words: walked.extend(words) or plain(words))
+    for rare in ("alphabet", "bicycles", "cathedral", "dolphins", "elephants", "furniture"):
+        text = f"common {rare}"
+        assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == expected(library, text)[0]
+    assert walked.count("common") == 1 and len(walked) == 7
+    assert sum(len(w) for w in [*coder.kept, *coder.older]) <= 60
